@@ -147,3 +147,46 @@ def c360_with_propensity(t: Tables) -> DataFrame:
 
 C360_SCORED_SQL = fs.propensity_sql(fs.C360_FULL)
 C360_SCORED_VIEWS = _ALL_FACT_VIEWS + ["v_claim_embeddings", "v_fraud_patterns", "v_providers"]
+
+
+# ============================================================== J: churn
+from claimflow.checks import churn_sql as cs  # noqa: E402
+from claimflow.operators import churn  # noqa: E402
+
+
+def _scan(t: Tables) -> DataFrame:
+    return churn.churn_scan(c360_with_propensity(t), churn.empty_alerts(t.spark), OW)
+
+
+@register("j07_churn_scan", cs.SCAN, C360_SCORED_VIEWS, ["churn_propensity", "sentiment_score"])
+def _j07(t: Tables) -> DataFrame:
+    return _scan(t)
+
+
+def _churn_run(t: Tables):
+    c = c360_with_propensity(t)
+    return c, churn.run_churn(c, churn.empty_alerts(t.spark), OW)
+
+
+@register("j10_churn_pipeline_alerts", cs.ALERTS_AFTER, C360_SCORED_VIEWS, ["churn_propensity", "sentiment_score"])
+def _j10a(t: Tables) -> DataFrame:
+    return _churn_run(t)[1][0]
+
+
+@register("j09_retention_actions", cs.ACTIONS, C360_SCORED_VIEWS)
+def _j09(t: Tables) -> DataFrame:
+    return _churn_run(t)[1][1]
+
+
+@register("j11_churn_dashboard", cs.DASHBOARD, C360_SCORED_VIEWS,
+          ["churn_propensity", "sentiment_score", "root_cause_confidence", "lifetime_value_score",
+           "total_annual_premium", "expected_success_rate"])
+def _j11(t: Tables) -> DataFrame:
+    c, (alerts, actions, _audit) = _churn_run(t)
+    return churn.churn_dashboard(alerts, c, actions)
+
+
+@register("j12_nba_for_crm", cs.CRM, C360_SCORED_VIEWS, ["total_annual_premium", "expected_success_rate"])
+def _j12(t: Tables) -> DataFrame:
+    c, (alerts, actions, _audit) = _churn_run(t)
+    return churn.nba_for_crm(actions, t.customers(), c, OW)
