@@ -190,3 +190,57 @@ def _j11(t: Tables) -> DataFrame:
 def _j12(t: Tables) -> DataFrame:
     c, (alerts, actions, _audit) = _churn_run(t)
     return churn.nba_for_crm(actions, t.customers(), c, OW)
+
+
+# ============================================================== H: DQ gate and claims agents
+from claimflow.checks import claims_sql as ks  # noqa: E402
+from claimflow.operators import claims_v1, claims_v2, dq, underwriting  # noqa: E402
+
+
+def _joined_lists(df: DataFrame) -> DataFrame:
+    return (df.withColumn("errors", F.array_join("errors", " | "))
+              .withColumn("warnings", F.array_join("warnings", " | ")))
+
+
+@register("h01_dq_validate_claims", ks.DQ, ["v_claims", "v_customers", "v_policies"])
+def _h01(t: Tables) -> DataFrame:
+    return _joined_lists(dq.dq_validate_claims(t.claims(), t.customers(), t.policies(), OW))
+
+
+@register("h02_dq_validate_intake", ks.INTAKE, ["v_claims_text", "v_customers", "v_policies"])
+def _h02(t: Tables) -> DataFrame:
+    return _joined_lists(dq.dq_validate_intake(t.claims(with_text=True), t.customers(), t.policies()))
+
+
+@register("h04_intake_severity", ks.INTAKE_V2, ["v_claims_text"])
+def _h04(t: Tables) -> DataFrame:
+    c = claims_v2.agent_intake_v2(t.claims(with_text=True).filter(F.col("claim_status") == "SUBMITTED"))
+    return c.select("claim_id", "lob_type", F.col("intake_output.severity").alias("severity"))
+
+
+@register("h09_claims_v2_resolutions", ks.V2, ["v_claims", "v_claims_text", "v_customers", "v_policies"],
+          ["settlement_amount", "claimed_amount", "fraud_score", "confidence_score"])
+def _h09(t: Tables) -> DataFrame:
+    out = claims_v2.run_claims_batch(t.claims(with_text=True), t.customers(), t.policies(), OW)
+    return out["resolutions"]
+
+
+@register("h20_claims_v1_resolutions", ks.V1, ["v_claims", "v_customers", "v_policies"],
+          ["claimed_amount", "composite_fraud_score", "settlement_amount", "confidence_score"])
+def _h20(t: Tables) -> DataFrame:
+    return claims_v1.process_claims_v1(t.claims(), t.customers(), t.policies(), OW)
+
+
+# ============================================================== I: underwriting
+@register("i02_uw_risk_score", ks.UW_SCORE, ["v_applications", "v_actuarial"],
+          ["coverage_requested", "base_rate", "risk_multiplier", "geographic_factor", "history_factor",
+           "composite_score", "recommended_premium"])
+def _i02(t: Tables) -> DataFrame:
+    apps = t.applications().filter(F.col("status") == "PENDING")
+    return underwriting.uw_risk_score(apps, t.actuarial())
+
+
+@register("i05_underwriting_decisions", ks.UW_DECIDE, ["v_applications", "v_actuarial"],
+          ["confidence", "recommended_premium"])
+def _i05(t: Tables) -> DataFrame:
+    return underwriting.run_underwriting(t.applications(), t.actuarial(), OW)[0]
