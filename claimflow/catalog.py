@@ -244,3 +244,258 @@ def _i02(t: Tables) -> DataFrame:
           ["confidence", "recommended_premium"])
 def _i05(t: Tables) -> DataFrame:
     return underwriting.run_underwriting(t.applications(), t.actuarial(), OW)[0]
+
+
+# ============================================================== D/E/H/L: reports and read models
+from claimflow.checks import report_sql as rs  # noqa: E402
+from claimflow.operators import models, reports, search, similarity, writes  # noqa: E402
+from claimflow.functions import text as tx  # noqa: E402
+
+
+def _boot_scored(t: Tables) -> DataFrame:
+    return c360.churn_propensity(c360.build_c360_bootstrap(
+        t.customers(), t.policies(), t.claims(), t.payments(), t.interactions(), OW, EV))
+
+
+@register("d06_kpi_executive", rs.KPI_EXEC, _ALL_FACT_VIEWS)
+def _d06(t: Tables) -> DataFrame:
+    return reports.kpi_executive(_boot_scored(t))
+
+
+@register("d07_kpi_segments", rs.KPI_SEG, _ALL_FACT_VIEWS)
+def _d07(t: Tables) -> DataFrame:
+    return reports.kpi_segments(_boot_scored(t))
+
+
+@register("d08_kpi_lob", rs.KPI_LOB, ["v_policies"])
+def _d08(t: Tables) -> DataFrame:
+    return reports.kpi_lob(t.policies())
+
+
+@register("d09_kpi_claim_status", rs.KPI_STATUS, ["v_claims"])
+def _d09(t: Tables) -> DataFrame:
+    return reports.kpi_claim_status(t.claims())
+
+
+@register("d10_kpi_churn", rs.KPI_CHURN, C360_SCORED_VIEWS)
+def _d10(t: Tables) -> DataFrame:
+    return reports.kpi_churn(_scan(t), c360_with_propensity(t))
+
+
+@register("d11_kpi_platform", rs.KPI_PLATFORM, C360_SCORED_VIEWS)
+def _d11(t: Tables) -> DataFrame:
+    return reports.kpi_platform(t.customers(), t.policies(), t.claims(), _scan(t))
+
+
+@register("d12_table_counts", rs.TABLE_COUNTS, _ALL_FACT_VIEWS + ["v_providers", "v_fraud_patterns", "v_applications"])
+def _d12(t: Tables) -> DataFrame:
+    return reports.table_counts({
+        "customers": t.customers(), "policies": t.policies(), "claims_landing": t.claims(),
+        "payments": t.payments(), "interactions": t.interactions(), "providers": t.providers(),
+        "fraud_pattern_embeddings": t.fraud_patterns(), "applications": t.applications()})
+
+
+def _v2_state(t: Tables) -> DataFrame:
+    out = claims_v2.run_claims_batch(t.claims(with_text=True), t.customers(), t.policies(), OW)
+    return out["claim_state"]
+
+
+@register("d13_pipeline_states", rs.STATE_COUNTS, ["v_claims", "v_claims_text", "v_customers", "v_policies"])
+def _d13(t: Tables) -> DataFrame:
+    return reports.kpi_pipeline_states(_v2_state(t))
+
+
+@register("d14_health_counts", rs.HEALTH, ["v_claims", "v_claims_text", "v_customers", "v_policies"])
+def _d14(t: Tables) -> DataFrame:
+    return reports.health_check(_v2_state(t), t.claims(), OW)[2]
+
+
+@register("d15_concat_transcripts", rs.TRANSCRIPTS, ["v_interactions_text"])
+def _d15(t: Tables) -> DataFrame:
+    return reports.concat_transcripts(t.interactions(with_text=True), EV)
+
+
+@register("d18_recent_customer_count", rs.RECENT_CUSTOMERS, ["v_interactions"])
+def _d18(t: Tables) -> DataFrame:
+    return reports.recent_customer_count(t.interactions(), EV)
+
+
+@register("h21_pipeline_status", rs.PIPELINE_STATUS, ["v_claims", "v_claims_text", "v_customers", "v_policies"],
+          ["claimed_amount", "fraud_score", "settlement", "lifetime_value_score"])
+def _h21(t: Tables) -> DataFrame:
+    return reports.pipeline_status(_v2_state(t), t.claims(), t.customers(), OW)
+
+
+@register("l08_next_state", rs.NEXT_STATE, ["v_claims"])
+def _l08(t: Tables) -> DataFrame:
+    c = t.claims()
+    s = (c.filter(F.col("claim_status") == "SUBMITTED").select("claim_id", F.lit("VALIDATION").alias("current_state"))
+         .unionByName(c.filter(F.col("claim_status") == "APPROVED")
+                      .select("claim_id", F.lit("COMPLETED").alias("current_state"))))
+    return s.withColumn("next_state", reports.next_state(F.col("current_state")))
+
+
+# ============================================================== G: vectors, retrieval, text
+@register("g02_cosine_adjacent", rs.COSINE_ADJ, [], ["cosine"])
+def _g02(t: Tables) -> DataFrame:
+    e = t.raw("embeddings")
+    a = e.select(F.col("vec_id").alias("left_id"), F.col("embedding").alias("_a"))
+    b = e.select(F.col("vec_id").alias("right_id"), F.col("embedding").alias("_b"))
+    j = a.join(b, F.col("right_id") == F.col("left_id") + 1)
+    return j.select("left_id", "right_id", similarity.cosine("_a", "_b").alias("cosine"))
+
+
+@register("g03_fraud_similarity", rs.SIM, ["v_claim_embeddings", "v_fraud_patterns"], ["fraud_sim"])
+def _g03(t: Tables) -> DataFrame:
+    return _scored_claim_embeddings(t)
+
+
+def _topk(t: Tables) -> DataFrame:
+    return similarity.top_k_patterns(t.claim_embeddings(), t.fraud_patterns(), "claim_embedding",
+                                     "pattern_embedding", 3, ["claim_id", "customer_id", "lob_type"])
+
+
+@register("g06_similar_patterns", rs.TOPK, ["v_claim_embeddings", "v_fraud_patterns"], ["similarity_score"])
+def _g06(t: Tables) -> DataFrame:
+    return _topk(t)
+
+
+@register("d19_similar_patterns_array", rs.TOPK_ARRAY, ["v_claim_embeddings", "v_fraud_patterns"])
+def _d19(t: Tables) -> DataFrame:
+    arr = similarity.similar_patterns_array(_topk(t), ["claim_id", "customer_id", "lob_type"])
+    return arr.select("claim_id", "customer_id", "lob_type",
+                      F.array_join(F.transform("similar_patterns", lambda x: x["pattern_type"]), ",")
+                      .alias("similar_pattern_types"))
+
+
+@register("g07_sentiment_documents", rs.SENTIMENT_DOCS, [], ["sentiment"])
+def _g07(t: Tables) -> DataFrame:
+    return t.documents().select("doc_id", tx.sentiment(F.col("text")).alias("sentiment"))
+
+
+@register("g09_classify_lob_documents", rs.CLASSIFY_DOCS, [])
+def _g09(t: Tables) -> DataFrame:
+    return t.documents().select("doc_id", tx.classify_lob(F.col("text")).alias("lob_type"))
+
+
+@register("g10_summarize_documents")
+def _g10(t: Tables) -> DataFrame:
+    return t.documents().select("doc_id", tx.summarize(F.col("text"), 2).alias("summary"))
+
+
+@register("g01_embed_documents")
+def _g01(t: Tables) -> DataFrame:
+    return models.embed_text(t.documents().select("doc_id", "text"), "text", dim=64).drop("text")
+
+
+@register("g11_search_bm25", rs.BM25, [], ["score"])
+def _g11(t: Tables) -> DataFrame:
+    q = t.benchmark().select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return search.search(t.documents(), q, text_col="text", doc_id="doc_id", k=5)
+
+
+@register("g13_extract_json", rs.EXTRACT_JSON, [])
+def _g13(t: Tables) -> DataFrame:
+    c = t.raw("conversations")
+    reply = F.concat(F.col("text"), F.lit(' {"turn": '), F.col("turn").cast("string"), F.lit(', "role": "'),
+                     F.col("role"), F.lit('"} end'))
+    parsed = tx.extract_json(reply, "turn long, role string")
+    return c.select("conv_id", "turn", parsed["turn"].alias("parsed_turn"), parsed["role"].alias("parsed_role"))
+
+
+@register("g15_churn_prompt")
+def _g15(t: Tables) -> DataFrame:
+    c = c360_with_propensity(t)
+    return c.select("customer_id", churn.churn_profile_line(c).alias("profile_line"))
+
+
+@register("g16_customer_context")
+def _g16(t: Tables) -> DataFrame:
+    c, (alerts, actions, _a) = _churn_run(t)
+    return churn.customer_context(c, alerts, actions, mode="customer")
+
+
+@register("j05_interaction_features")
+def _j05(t: Tables) -> DataFrame:
+    c = c360.build_c360_full(t.customers(), t.policies(), t.claims(), t.payments(), t.interactions(), None, None,
+                             OW, EV)
+    return churn.extract_interaction_features(c, t.interactions(with_text=True), EV).select(
+        "customer_id", "frustration_level", "intent_cancel_detected", "competitor_mentions_count",
+        "digital_engagement_trend", "emotional_manipulation_flag")
+
+
+# ============================================================== K: data quality
+EXPECTATIONS = [  # (table, column, metric, expectation name); every expectation is value = 0
+    ("claims_landing", "claim_id", "NULL_COUNT", "CLAIMS_NO_NULL_ID"),
+    ("claims_landing", "claim_id", "DUPLICATE_COUNT", "CLAIMS_UNIQUE_ID"),
+    ("claims_landing", "claimed_amount", "NULL_COUNT", "CLAIMS_NO_NULL_AMOUNT"),
+    ("claims_landing", "customer_id", "REFERENTIAL_INTEGRITY_COUNT", "CLAIMS_VALID_CUSTOMER"),
+    ("customers", "customer_id", "NULL_COUNT", "CUSTOMERS_NO_NULL_ID"),
+    ("customers", "customer_id", "DUPLICATE_COUNT", "CUSTOMERS_UNIQUE_ID"),
+    ("policies", "policy_id", "NULL_COUNT", "POLICIES_NO_NULL_ID"),
+    ("policies", "policy_id", "DUPLICATE_COUNT", "POLICIES_UNIQUE_ID"),
+    ("fct_customer_360", "customer_id", "NULL_COUNT", "C360_NO_NULL_ID"),
+    ("fct_customer_360", "customer_id", "DUPLICATE_COUNT", "C360_UNIQUE_ID"),
+    ("fraud_pattern_embeddings", "pattern_description", "NULL_COUNT", "FRAUD_INDICATORS_NO_NULL_DESC"),
+]
+
+
+@register("k04_quality_report", rs.QUALITY, _ALL_FACT_VIEWS + ["v_claims_text", "v_fraud_patterns"])
+def _k04(t: Tables) -> DataFrame:
+    claims = t.claims()
+    c360_dyn = c360.build_c360_dynamic(t.customers(), t.policies(), claims, t.payments(), t.interactions(), OW, EV)
+    metrics = (dq.null_count(claims, "claims_landing", ["claim_id", "claimed_amount"])
+               .unionByName(dq.null_count(t.claims(with_text=True).select("claim_text"), "claims_landing",
+                                          ["claim_text"]))
+               .unionByName(dq.duplicate_count(claims, "claims_landing", "claim_id"))
+               .unionByName(dq.ref_integrity_count(claims, "claims_landing", "customer_id", t.customers(),
+                                                   "customer_id"))
+               .unionByName(dq.null_count(t.customers(), "customers", ["customer_id", "email"]))
+               .unionByName(dq.duplicate_count(t.customers(), "customers", "customer_id"))
+               .unionByName(dq.null_count(t.policies(), "policies", ["policy_id", "customer_id"]))
+               .unionByName(dq.duplicate_count(t.policies(), "policies", "policy_id"))
+               .unionByName(dq.null_count(c360_dyn, "fct_customer_360", ["customer_id"]))
+               .unionByName(dq.duplicate_count(c360_dyn, "fct_customer_360", "customer_id"))
+               .unionByName(dq.null_count(t.fraud_patterns(), "fraud_pattern_embeddings", ["pattern_description"]))
+               .unionByName(dq.duplicate_count(t.raw("lineitem"), "lineitem", ["l_orderkey", "l_linenumber"])))
+    exp = t.spark.createDataFrame(EXPECTATIONS, "table_name string, column_name string, metric string, "
+                                                "expectation string").withColumn("expected_value", F.lit(0).cast("long"))
+    return dq.evaluate_expectations(metrics, exp)
+
+
+# ============================================================== A: write operators
+_LATER = (rs.LATER_OW, rs.LATER_EV)
+
+
+@register("a11_snapshot_diff", rs.SNAPSHOT_DIFF, _ALL_FACT_VIEWS)
+def _a11(t: Tables) -> DataFrame:
+    def snap(ow, ev):
+        return c360.build_c360_dynamic(t.customers(), t.policies(), t.claims(), t.payments(), t.interactions(),
+                                       ow, ev).select("customer_id", *rs.DIFF_COLS)
+    return writes.diff_snapshots(snap(OW, EV), snap(*_LATER), ["customer_id"])
+
+
+@register("a12_merge_refresh", rs.MERGE_REFRESH, _ALL_FACT_VIEWS, ["total_annual_premium", "sentiment_score_last_30d"])
+def _a12(t: Tables) -> DataFrame:
+    target = (c360.build_c360_bootstrap(t.customers(), t.policies(), t.claims(), t.payments(), t.interactions(), OW, EV)
+              .select("customer_id", "customer_segment", "total_annual_premium", "sentiment_score_last_30d",
+                      "complaint_count_90d", "last_interaction_days_ago")
+              .withColumn("last_refreshed_at", F.lit(None).cast("timestamp_ntz")))
+    source = features.agg_interaction_signals(t.interactions(), rs.LATER_EV).select(
+        "customer_id", "sentiment_score_last_30d", "complaint_count_90d", "last_interaction_days_ago")
+    ts = F.lit(f"{rs.LATER_EV} 00:00:00").cast("timestamp_ntz")
+    return writes.merge_upsert(target, source, ["customer_id"], set_on_update={"last_refreshed_at": ts},
+                               set_on_insert={"last_refreshed_at": ts})
+
+
+@register("a15_applications_after_underwriting", rs.APPS_AFTER, ["v_applications", "v_actuarial"])
+def _a15(t: Tables) -> DataFrame:
+    after = underwriting.run_underwriting(t.applications(), t.actuarial(), OW)[1]
+    return after.select("application_id", "lob_type", "credit_score", "status")
+
+
+@register("h03_claims_after_gate", rs.CLAIMS_AFTER_GATE, ["v_claims", "v_customers", "v_policies"])
+def _h03(t: Tables) -> DataFrame:
+    claims = t.claims()
+    dqr = dq.dq_validate_claims(claims, t.customers(), t.policies(), OW)
+    return dq.gate_batch(claims, dqr, OW)[1].select("claim_id", "customer_id", "claim_status")

@@ -129,6 +129,8 @@ def with_views(names: list[str], body: str) -> str:
         add(n)
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]}\n)" for n in order)
     body = body.strip()
+    if not order:
+        return body
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -111,15 +111,11 @@ def churn_profile_line(c360: DataFrame) -> Column:
         F.lit(" | Days to Renewal: "), F.coalesce(s("days_to_nearest_renewal"), F.lit("N/A")),
         F.lit(" | Open Claims: "), s("open_claims_count"),
         F.lit(" | Avg Resolution Days: "), F.coalesce(s("avg_resolution_time_days"), F.lit("N/A")),
-        F.lit(" | Competitor Mentions: "), s(_col_or(c360, "competitor_mentions_count")),
-        F.lit(" | Cancel Intent: "), s(_col_or(c360, "intent_cancel_detected")),
+        F.lit(" | Competitor Mentions: "), _opt(c360, "competitor_mentions_count", "long").cast("string"),
+        F.lit(" | Cancel Intent: "), _opt(c360, "intent_cancel_detected", "boolean").cast("string"),
     )
 
 
-def _col_or(df: DataFrame, name: str) -> str:
-    return name if name in df.columns else "customer_id"
-
-
 def root_cause(alerts: DataFrame, c360: DataFrame, as_of, scorer=None) -> DataFrame:
     """Classify today's NEW alerts; they move to IN_PROGRESS.
 
@@ -272,3 +268,48 @@ def log_interactions(chat: DataFrame, as_of, mode_col: str = "mode") -> DataFram
 def c360_view(c360: DataFrame) -> DataFrame:
     """Plain wrapper view."""
     return c360.select("*")
+
+
+def customer_context(c360: DataFrame, alerts: DataFrame, nba: DataFrame, mode: str = "internal") -> DataFrame:
+    """One JSON bundle per customer (profile + alerts + actions). ``mode='customer'``
+    drops the internal score columns. Alerts/actions are collected per customer
+    (bounded by that customer's alerts), profile columns are a projection."""
+    internal = ["churn_propensity_score", "lifetime_value_score", "fraud_similarity_score", "loss_ratio"]
+    prof_cols = [c for c in c360.columns if mode == "internal" or c not in internal]
+    a_cols = ["alert_date", "trigger_reason", "status", "root_cause"] + (
+        ["churn_propensity", "priority"] if mode == "internal" else [])
+    n_cols = ["action_type", "offer_details", "channel", "timing", "status", "expiry_date"] + (
+        ["expected_success_rate"] if mode == "internal" else [])
+    a = alerts.groupBy("customer_id").agg(F.sort_array(F.collect_list(F.struct(*a_cols))).alias("alerts"))
+    n = nba.groupBy("customer_id").agg(F.sort_array(F.collect_list(F.struct(*n_cols))).alias("actions"))
+    j = c360.select(*prof_cols).join(a, "customer_id", "left").join(n, "customer_id", "left")
+    return j.select("customer_id", F.to_json(F.struct(
+        F.struct(*[F.col(c) for c in prof_cols]).alias("profile"),
+        F.coalesce("alerts", F.array()).alias("alerts"), F.coalesce("actions", F.array()).alias("actions")))
+        .alias("context"))
+
+
+def extract_interaction_features(c360: DataFrame, interactions: DataFrame, as_of, model=None,
+                                 n_chars: int = 500) -> DataFrame:
+    """Per customer with interactions in the last 90 days, a prompt of the
+    transcripts (newest first, each cut to ``n_chars``) goes to ``model``; the
+    first JSON object of the reply updates five C360 features by key (A15).
+    No model -> NULL reply -> the five features become NULL for those customers,
+    as the source's UPDATE with a failed parse does."""
+    from claimflow.functions.text import extract_json
+    from claimflow.operators.models import complete
+    from claimflow.operators.reports import concat_transcripts
+    from claimflow.operators.writes import update_from
+    tx = concat_transcripts(interactions, as_of, n_chars=n_chars)
+    prompts = tx.select("customer_id", F.concat(
+        F.lit("Analyze these customer interactions. Return ONLY a single JSON object, nothing else: "
+              '{"frustration_level": 0.0-1.0, "intent_cancel_detected": bool, '
+              '"competitor_mentions_count": int, "digital_engagement_trend": -1 to 1, '
+              '"emotional_manipulation_flag": bool}\n\nTranscripts:\n'), F.col("transcripts")).alias("prompt"))
+    replies = complete(prompts, "prompt", model)
+    schema = ("frustration_level double, intent_cancel_detected boolean, competitor_mentions_count long, "
+              "digital_engagement_trend double, emotional_manipulation_flag boolean")
+    val = replies.select("customer_id", extract_json(F.col("reply"), schema).alias("v")).select("customer_id", "v.*")
+    cols = {c: c for c in ["frustration_level", "intent_cancel_detected", "competitor_mentions_count",
+                           "digital_engagement_trend", "emotional_manipulation_flag"] if c in c360.columns}
+    return update_from(c360, val, ["customer_id"], cols)

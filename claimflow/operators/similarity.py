@@ -148,7 +148,8 @@ def top_k_patterns(left: DataFrame, patterns: DataFrame, left_vec: str, pattern_
                 out["rank"] = np.asarray(rk, dtype=np.int64)
                 yield out
 
-        parts.append(left.select(*key_cols, left_vec, left_lob).mapInPandas(score, out_schema))
+        cols = list(dict.fromkeys([*key_cols, left_vec, left_lob]))
+        parts.append(left.select(*cols).mapInPandas(score, out_schema))
     if not parts:
         return spark.createDataFrame([], out_schema)
     if len(parts) == 1:
