@@ -24,7 +24,8 @@ def sentiment_sql(col: str) -> str:
 
 
 def severity_sql(col: str) -> str:
-    arms = " ".join(f"WHEN regexp_matches(lower({col}), '{pat}') THEN '{lab}'" for lab, pat in SEVERITY_RULES)
+    arms = " ".join("WHEN " + " OR ".join(f"contains(lower({col}), '{k}')" for k in kws) + f" THEN '{lab}'"
+                    for lab, kws in SEVERITY_RULES)
     return f"(CASE WHEN {col} IS NULL THEN 'medium' {arms} ELSE 'medium severity' END)"
 
 

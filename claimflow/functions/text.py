@@ -16,10 +16,10 @@ POSITIVE_WORDS = ["good", "great", "excellent", "happy", "satisfied", "thank", "
                   "quick", "fast", "easy", "pleased", "love", "best", "fine", "nice", "glad", "appreciate", "well"]
 NEGATIVE_WORDS = ["bad", "poor", "terrible", "angry", "unhappy", "frustrated", "slow", "delay", "delayed", "denied",
                   "cancel", "complaint", "worst", "hate", "problem", "issue", "error", "wrong", "refund", "never"]
-SEVERITY_RULES = [  # first match wins
-    ("critical severity", r"(fatal|death|total loss|collapse|explosion)"),
-    ("high severity", r"(injur|hospital|severe|major|fire|flood|theft|stolen)"),
-    ("low severity", r"(minor|scratch|dent|small|cosmetic)"),
+SEVERITY_RULES = [  # first match wins; a rule matches when the text contains any of its keywords
+    ("critical severity", ["fatal", "death", "total loss", "collapse", "explosion"]),
+    ("high severity", ["injur", "hospital", "severe", "major", "fire", "flood", "theft", "stolen"]),
+    ("low severity", ["minor", "scratch", "dent", "small", "cosmetic"]),
 ]
 LOB_KEYWORDS = [  # vote order breaks ties
     ("AUTO", ["car", "vehicle", "collision", "accident", "driver", "road", "traffic"]),
@@ -47,11 +47,14 @@ def sentiment(text: Column) -> Column:
 
 
 def classify_severity(text: Column) -> Column:
-    """G08 default: keyword rules; NULL text -> 'medium' (the source's fallback)."""
+    """G08 default: keyword rules (plain substring tests, code-generated); NULL text
+    -> 'medium' (the source's fallback)."""
     low = F.lower(text)
     out = None
-    for label, pattern in SEVERITY_RULES:
-        cond = low.rlike(pattern)
+    for label, keywords in SEVERITY_RULES:
+        cond = None
+        for k in keywords:
+            cond = low.contains(k) if cond is None else (cond | low.contains(k))
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     return F.when(text.isNull(), F.lit("medium")).otherwise(out.otherwise(F.lit("medium severity")))
 

@@ -119,14 +119,27 @@ def agent_resolution_v2(claims: DataFrame, as_of) -> DataFrame:
              .withColumn("completed_at", as_ts(as_of)))
 
 
+def text_features_v2(claims: DataFrame, severity: Column | None = None,
+                     sentiment: Column | None = None) -> DataFrame:
+    """Score the claim text once (severity for intake, sentiment for fraud) and drop
+    it, so no later join or shuffle carries the text."""
+    if "claim_text" not in claims.columns and severity is None and sentiment is None:
+        return claims
+    sev = severity if severity is not None else tx.classify_severity(F.col("claim_text"))
+    sent = sentiment if sentiment is not None else tx.sentiment(F.col("claim_text"))
+    out = claims.withColumn("_severity", sev).withColumn("_sentiment", sent)
+    return out.drop("claim_text") if "claim_text" in out.columns else out
+
+
 def process_claims_v2(claims: DataFrame, policies: DataFrame, as_of, severity: Column | None = None,
                       vector_score: Column | None = None, sentiment: Column | None = None) -> DataFrame:
     """The five agents composed into one plan (no per-row loop)."""
-    c = agent_intake_v2(claims, severity)
+    c = claims if "_severity" in claims.columns else text_features_v2(claims, severity, sentiment)
+    c = agent_intake_v2(c, F.col("_severity"))
     c = agent_validation_v2(c, policies)
-    c = agent_fraud_v2(c, vector_score, sentiment)
+    c = agent_fraud_v2(c, vector_score, F.col("_sentiment"))
     c = agent_assessment_v2(c)
-    return agent_resolution_v2(c, as_of).withColumn("started_at", as_ts(as_of))
+    return agent_resolution_v2(c, as_of).withColumn("started_at", as_ts(as_of)).drop("_severity", "_sentiment")
 
 
 def resolutions_v2(processed: DataFrame, as_of) -> DataFrame:
@@ -172,12 +185,19 @@ def latest_decision_text(resolutions: DataFrame) -> DataFrame:
 
 
 def run_claims_batch(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,
-                     cap: int | None = None, **scorers):
-    """DQ gate -> chain -> counts. Returns a dict of the produced tables."""
+                     cap: int | None = None, severity: Column | None = None, vector_score: Column | None = None,
+                     sentiment: Column | None = None):
+    """DQ gate -> chain -> counts. Returns a dict of the produced tables.
+
+    Text features are computed before the gate, on the SUBMITTED claims only,
+    so the claim text never crosses a shuffle."""
     from claimflow.operators.dq import dq_validate_claims, gate_batch
-    dq = dq_validate_claims(claims, customers, policies, as_of)
-    passed, claims_after, dq_audit = gate_batch(claims, dq, as_of, cap)
-    processed = process_claims_v2(passed, policies, as_of, **scorers)
+    base = claims.drop("claim_text") if "claim_text" in claims.columns else claims
+    dq = dq_validate_claims(base, customers, policies, as_of)
+    passed, claims_after, dq_audit = gate_batch(base, dq, as_of, cap)
+    scored = text_features_v2(claims.filter(F.col("claim_status") == "SUBMITTED"), severity, sentiment)
+    work = scored.join(passed.select("claim_id"), "claim_id", "left_semi")
+    processed = process_claims_v2(work, policies, as_of, vector_score=vector_score)
     return {
         "claims": claims_after, "processed": processed, "resolutions": resolutions_v2(processed, as_of),
         "claim_state": claim_state_v2(processed), "audit": dq_audit.unionByName(audit_v2(processed, as_of)),

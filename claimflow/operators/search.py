@@ -59,7 +59,7 @@ def search(corpus: DataFrame, queries: DataFrame, text_col: str, doc_id: str, k:
     df_ = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = df_.select("term", F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
                      .alias("idf"))
-    p = post.join(F.broadcast(idf), "term")      # one row per query term: bounded like ``vocab``
+    p = post.join(idf, "term")                   # one row per matched query term (AQE broadcasts it)
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
     p = p.withColumn("w", F.col("idf") * F.col("tf") * (k1 + 1.0) / (F.col("tf") + norm))
     scored = qterms.join(p, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("w") * F.col("qtf")).alias("score"))
