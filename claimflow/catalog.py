@@ -20,6 +20,7 @@ from claimflow.checks.views import with_views
 from claimflow.constants import EVENT_WORLD_AS_OF as EV
 from claimflow.constants import ORDER_WORLD_AS_OF as OW
 from claimflow.operators import c360, features
+from claimflow.session import spread
 from claimflow.sources.adapters import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,14 +215,16 @@ def _h02(t: Tables) -> DataFrame:
 
 @register("h04_intake_severity", ks.INTAKE_V2, ["v_claims_text"])
 def _h04(t: Tables) -> DataFrame:
-    c = claims_v2.agent_intake_v2(t.claims(with_text=True).filter(F.col("claim_status") == "SUBMITTED"))
+    sub = t.claims(with_text_key=True).filter(F.col("claim_status") == "SUBMITTED")
+    c = claims_v2.agent_intake_v2(claims_v2.text_features_v2(sub, texts=t.claim_texts()), F.col("_severity"))
     return c.select("claim_id", "lob_type", F.col("intake_output.severity").alias("severity"))
 
 
 @register("h09_claims_v2_resolutions", ks.V2, ["v_claims", "v_claims_text", "v_customers", "v_policies"],
           ["settlement_amount", "claimed_amount", "fraud_score", "confidence_score"])
 def _h09(t: Tables) -> DataFrame:
-    out = claims_v2.run_claims_batch(t.claims(with_text=True), t.customers(), t.policies(), OW)
+    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
+                                     texts=t.claim_texts())
     return out["resolutions"]
 
 
@@ -296,7 +299,8 @@ def _d12(t: Tables) -> DataFrame:
 
 
 def _v2_state(t: Tables) -> DataFrame:
-    out = claims_v2.run_claims_batch(t.claims(with_text=True), t.customers(), t.policies(), OW)
+    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
+                                     texts=t.claim_texts())
     return out["claim_state"]
 
 
@@ -370,22 +374,22 @@ def _d19(t: Tables) -> DataFrame:
 
 @register("g07_sentiment_documents", rs.SENTIMENT_DOCS, [], ["sentiment"])
 def _g07(t: Tables) -> DataFrame:
-    return t.documents().select("doc_id", tx.sentiment(F.col("text")).alias("sentiment"))
+    return spread(t.documents()).select("doc_id", tx.sentiment(F.col("text")).alias("sentiment"))
 
 
 @register("g09_classify_lob_documents", rs.CLASSIFY_DOCS, [])
 def _g09(t: Tables) -> DataFrame:
-    return t.documents().select("doc_id", tx.classify_lob(F.col("text")).alias("lob_type"))
+    return spread(t.documents()).select("doc_id", tx.classify_lob(F.col("text")).alias("lob_type"))
 
 
 @register("g10_summarize_documents")
 def _g10(t: Tables) -> DataFrame:
-    return t.documents().select("doc_id", tx.summarize(F.col("text"), 2).alias("summary"))
+    return spread(t.documents()).select("doc_id", tx.summarize(F.col("text"), 2).alias("summary"))
 
 
 @register("g01_embed_documents")
 def _g01(t: Tables) -> DataFrame:
-    return models.embed_text(t.documents().select("doc_id", "text"), "text", dim=64).drop("text")
+    return models.embed_text(spread(t.documents().select("doc_id", "text")), "text", dim=64).drop("text")
 
 
 @register("g11_search_bm25", rs.BM25, [], ["score"])

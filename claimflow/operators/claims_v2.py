@@ -120,9 +120,26 @@ def agent_resolution_v2(claims: DataFrame, as_of) -> DataFrame:
 
 
 def text_features_v2(claims: DataFrame, severity: Column | None = None,
-                     sentiment: Column | None = None) -> DataFrame:
-    """Score the claim text once (severity for intake, sentiment for fraud) and drop
-    it, so no later join or shuffle carries the text."""
+                     sentiment: Column | None = None, texts: DataFrame | None = None,
+                     text_key: str = "claim_text_id") -> DataFrame:
+    """Score the claim text once (severity for intake, sentiment for fraud) and drop it,
+    so no later join or shuffle carries the text.
+
+    With ``texts`` (text_id, text) and a ``text_key`` column on the claims, the
+    features are computed per text where the text is stored and joined to the
+    claims by key: a narrative shared by many claims is scored once and text
+    bytes never cross a shuffle. Otherwise the inline ``claim_text`` is scored.
+    """
+    if texts is not None and text_key in claims.columns:
+        sev = severity if severity is not None else tx.classify_severity(F.col("text"))
+        sent = sentiment if sentiment is not None else tx.sentiment(F.col("text"))
+        from claimflow.session import spread
+        feats = spread(texts).select(F.col("text_id").alias(text_key), sev.alias("_severity"),
+                                     sent.alias("_sentiment"))
+        out = claims.join(feats, text_key, "left")
+        # a claim without a stored text has NULL text: severity falls back to 'medium'
+        out = out.withColumn("_severity", F.coalesce(F.col("_severity"), F.lit("medium")))
+        return out.drop("claim_text") if "claim_text" in out.columns else out
     if "claim_text" not in claims.columns and severity is None and sentiment is None:
         return claims
     sev = severity if severity is not None else tx.classify_severity(F.col("claim_text"))
@@ -186,16 +203,16 @@ def latest_decision_text(resolutions: DataFrame) -> DataFrame:
 
 def run_claims_batch(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,
                      cap: int | None = None, severity: Column | None = None, vector_score: Column | None = None,
-                     sentiment: Column | None = None):
+                     sentiment: Column | None = None, texts: DataFrame | None = None):
     """DQ gate -> chain -> counts. Returns a dict of the produced tables.
 
     Text features are computed before the gate, on the SUBMITTED claims only,
     so the claim text never crosses a shuffle."""
     from claimflow.operators.dq import dq_validate_claims, gate_batch
-    base = claims.drop("claim_text") if "claim_text" in claims.columns else claims
+    base = claims.drop(*[c for c in ("claim_text", "claim_text_id") if c in claims.columns])
     dq = dq_validate_claims(base, customers, policies, as_of)
     passed, claims_after, dq_audit = gate_batch(base, dq, as_of, cap)
-    scored = text_features_v2(claims.filter(F.col("claim_status") == "SUBMITTED"), severity, sentiment)
+    scored = text_features_v2(claims.filter(F.col("claim_status") == "SUBMITTED"), severity, sentiment, texts)
     work = scored.join(passed.select("claim_id"), "claim_id", "left_semi")
     processed = process_claims_v2(work, policies, as_of, vector_score=vector_score)
     return {

@@ -43,9 +43,9 @@ def search(corpus: DataFrame, queries: DataFrame, text_col: str, doc_id: str, k:
     to a query column that must be equal (the '@eq' filter of the source).
     Returns (query_id, rank, doc_id, score, *return_cols).
     """
-    from claimflow.session import bounded_broadcast
+    from claimflow.session import bounded_broadcast, spread
     extra = list(dict.fromkeys([*(filters or {}).keys(), *(return_cols or [])]))
-    docs = corpus.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("_text"), *extra)
+    docs = spread(corpus.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("_text"), *extra))
     toks = docs.select("doc_id", tokenize(F.col("_text")).alias("_toks"))
     stats = toks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("_toks")).alias("avgdl")).collect()[0]
     n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)

@@ -71,3 +71,11 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster before CPU-heavy per-row work (tokenizing,
+    scoring) when it arrives in fewer partitions than the session's parallelism
+    (e.g. one Parquet row group). A no-op for inputs that are already split."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

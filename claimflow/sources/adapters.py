@@ -92,7 +92,10 @@ class Tables:
         return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
                            F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
 
-    def claims(self, with_text: bool = False) -> DataFrame:
+    def claims(self, with_text: bool = False, with_text_key: bool = False) -> DataFrame:
+        """Claims over lineitem x orders. ``with_text`` attaches the narrative text;
+        ``with_text_key`` adds ``claim_text_id``, the key of the narrative in
+        ``claim_texts()`` (text features can then be computed once per text)."""
         lo = self._lineitem_orders()
         policy_id = (F.when(F.col("l_suppkey") % 31 == 0, F.lit(None).cast("long"))
                      .when(F.col("l_suppkey") % 29 == 0, F.lit(-1).cast("long"))
@@ -115,8 +118,14 @@ class Tables:
         )
         if with_text:
             df = self._attach_text(df, "text_key", "claim_text")
+        if with_text_key:
+            df = df.withColumn("claim_text_id", F.col("text_key") % F.lit(max(self.raw("documents").count(), 1)))
         return df.drop("text_key")
 
+    def claim_texts(self) -> DataFrame:
+        """(text_id, text): the narratives claims point to through ``claim_text_id``."""
+        return self.raw("documents").select(F.col("doc_id").alias("text_id"), "text")
+
     def _attach_text(self, df: DataFrame, key: str, out: str) -> DataFrame:
         """Attach documents.text at doc_id = key % count(documents)."""
         docs = self.raw("documents").select("doc_id", "text")
