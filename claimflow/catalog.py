@@ -500,6 +500,5 @@ def _a15(t: Tables) -> DataFrame:
 
 @register("h03_claims_after_gate", rs.CLAIMS_AFTER_GATE, ["v_claims", "v_customers", "v_policies"])
 def _h03(t: Tables) -> DataFrame:
-    claims = t.claims()
-    dqr = dq.dq_validate_claims(claims, t.customers(), t.policies(), OW)
-    return dq.gate_batch(claims, dqr, OW)[1].select("claim_id", "customer_id", "claim_status")
+    dqr = dq.dq_validate_claims(t.claims(), t.customers(), t.policies(), OW, keep_columns=True)
+    return dq.gate_batch(dqr, OW)[1].select("claim_id", "customer_id", "claim_status")

@@ -29,8 +29,8 @@ def severity_sql(col: str) -> str:
     return f"(CASE WHEN {col} IS NULL THEN 'medium' {arms} ELSE 'medium severity' END)"
 
 
-DQ_CORE = f"""
-SELECT c.claim_id, c.customer_id,
+DQ_CORE_T = f"""
+SELECT c.*,
   list_filter([
     CASE WHEN cu.customer_id IS NULL
          THEN 'CUSTOMER_NOT_FOUND: ' || coalesce(CAST(c.customer_id AS VARCHAR), 'NULL') END,
@@ -56,7 +56,7 @@ SELECT c.claim_id, c.customer_id,
          THEN 'DUPLICATE_RISK: ' || CAST(rc.recent - CASE WHEN c.submission_date >= {TS} - INTERVAL 30 DAY
                                           AND c.claim_status NOT IN ('DENIED', 'DQ_FAILED') THEN 1 ELSE 0 END AS VARCHAR)
               || ' similar claim(s) in last 30 days' END], lambda x: x IS NOT NULL) AS warns
-FROM v_claims c
+FROM {{src}} c
 LEFT JOIN (SELECT DISTINCT customer_id FROM v_customers) cu ON c.customer_id = cu.customer_id
 LEFT JOIN v_policies p ON c.policy_id = p.policy_id
 LEFT JOIN (SELECT customer_id, lob_type,
@@ -65,10 +65,17 @@ LEFT JOIN (SELECT customer_id, lob_type,
            FROM v_claims WHERE customer_id IS NOT NULL AND lob_type IS NOT NULL GROUP BY ALL) rc
   ON c.customer_id = rc.customer_id AND c.lob_type = rc.lob_type"""
 
+
+
+def dq_core(src: str = "v_claims") -> str:
+    """Row-preserving DQ annotation of every claim row (claim columns + errs + warns)."""
+    return DQ_CORE_T.replace("{src}", src)
+
+
 DQ = f"""
 SELECT claim_id, customer_id, len(errs) = 0 AS passed, array_to_string(errs, ' | ') AS errors,
        array_to_string(warns, ' | ') AS warnings
-FROM ({DQ_CORE}) q"""
+FROM ({dq_core()}) q"""
 
 INTAKE = """
 SELECT c.claim_id, c.customer_id,
@@ -96,9 +103,8 @@ LEFT JOIN v_policies p ON c.policy_id = p.policy_id"""
 SENT = sentiment_sql("c.claim_text")
 
 V2 = f"""
-WITH dq AS ({DQ}),
-passed AS (SELECT c.* FROM v_claims_text c JOIN dq ON c.claim_id = dq.claim_id
-           WHERE c.claim_status = 'SUBMITTED' AND dq.passed),
+WITH passed AS (SELECT * EXCLUDE (errs, warns) FROM ({dq_core("v_claims_text")}) q
+                WHERE claim_status = 'SUBMITTED' AND len(errs) = 0),
 f AS (SELECT c.*, p.policy_status AS vstatus, {SENT} AS sent FROM passed c
       LEFT JOIN v_policies p ON c.policy_id = p.policy_id),
 g AS (SELECT *, round(0.0::DOUBLE * 0.4::DOUBLE

@@ -70,15 +70,24 @@ FROM ({ks.V2}) v"""
 
 V2H = ks.V2[:ks.V2.index("SELECT sha256")] + "SELECT * FROM h"
 
+STATE_ROWS = f"""
+SELECT claim_id, fs_raw,
+  CASE WHEN fs > 0.7 THEN 'REFERRED' WHEN invalid THEN 'DENIED' WHEN fs > 0.4 THEN 'PARTIALLY_APPROVED'
+       ELSE 'APPROVED' END AS decision,
+  CASE WHEN fs > 0.7 THEN 0.0::DOUBLE WHEN invalid THEN 0.0::DOUBLE WHEN fs > 0.4 THEN st * 0.5::DOUBLE ELSE st END
+       AS settlement
+FROM ({V2H}) h"""
+
 PIPELINE_STATUS = f"""
-SELECT r.claim_id, r.customer_id, r.lob_type, r.claimed_amount, 'COMPLETED' AS current_state,
-  r.decided_at AS started_at, r.decided_at AS completed_at, CAST(0 AS BIGINT) AS elapsed_seconds,
-  h.fs_raw AS fraud_score,
-  CASE WHEN h.fs_raw IS NULL THEN NULL WHEN h.fs_raw > 0.7 THEN 'HIGH' WHEN h.fs_raw > 0.4 THEN 'MEDIUM'
+SELECT s.claim_id, c.customer_id, c.lob_type, c.claimed_amount, 'COMPLETED' AS current_state,
+  TIMESTAMP '{OW} 00:00:00' AS started_at, TIMESTAMP '{OW} 00:00:00' AS completed_at,
+  CAST(0 AS BIGINT) AS elapsed_seconds, s.fs_raw AS fraud_score,
+  CASE WHEN s.fs_raw IS NULL THEN NULL WHEN s.fs_raw > 0.7 THEN 'HIGH' WHEN s.fs_raw > 0.4 THEN 'MEDIUM'
        ELSE 'LOW' END AS fraud_risk,
-  r.decision, r.settlement_amount AS settlement, cu.customer_segment, cu.lifetime_value_score
-FROM ({ks.V2}) r JOIN ({V2H}) h ON r.claim_id = h.claim_id
-JOIN v_customers cu ON r.customer_id = cu.customer_id"""
+  s.decision, s.settlement, cu.customer_segment, cu.lifetime_value_score
+FROM ({STATE_ROWS}) s
+JOIN v_claims c ON s.claim_id = c.claim_id
+JOIN v_customers cu ON c.customer_id = cu.customer_id"""
 
 STATE_COUNTS = f"SELECT current_state, count(*) AS count FROM ({STATE}) s GROUP BY current_state"
 
@@ -254,6 +263,6 @@ SELECT a.application_id, a.lob_type, a.credit_score, coalesce(d.application_stat
 FROM v_applications a LEFT JOIN ({ks.UW_DECIDE}) d ON a.application_id = d.application_id"""
 
 CLAIMS_AFTER_GATE = f"""
-SELECT c.claim_id, c.customer_id, CASE WHEN c.claim_status = 'SUBMITTED' AND NOT dq.passed THEN 'DQ_FAILED'
-       ELSE c.claim_status END AS claim_status
-FROM v_claims c JOIN ({ks.DQ}) dq ON c.claim_id = dq.claim_id"""
+SELECT claim_id, customer_id, CASE WHEN claim_status = 'SUBMITTED' AND len(errs) > 0 THEN 'DQ_FAILED'
+       ELSE claim_status END AS claim_status
+FROM ({ks.dq_core()}) q"""

@@ -206,15 +206,20 @@ def run_claims_batch(claims: DataFrame, customers: DataFrame, policies: DataFram
                      sentiment: Column | None = None, texts: DataFrame | None = None):
     """DQ gate -> chain -> counts. Returns a dict of the produced tables.
 
-    Text features are computed before the gate, on the SUBMITTED claims only,
+    Row-aligned end to end: the gate filters the DQ-annotated claim rows and
+    no result is joined back by ``claim_id``. Text features are either joined
+    by text key after the gate (``texts`` given) or computed inline before it,
     so the claim text never crosses a shuffle."""
     from claimflow.operators.dq import dq_validate_claims, gate_batch
-    base = claims.drop(*[c for c in ("claim_text", "claim_text_id") if c in claims.columns])
-    dq = dq_validate_claims(base, customers, policies, as_of)
-    passed, claims_after, dq_audit = gate_batch(base, dq, as_of, cap)
-    scored = text_features_v2(claims.filter(F.col("claim_status") == "SUBMITTED"), severity, sentiment, texts)
-    work = scored.join(passed.select("claim_id"), "claim_id", "left_semi")
-    processed = process_claims_v2(work, policies, as_of, vector_score=vector_score)
+    keyed = texts is not None and "claim_text_id" in claims.columns
+    base = claims if keyed else text_features_v2(claims, severity, sentiment)
+    dq = dq_validate_claims(base, customers, policies, as_of, keep_columns=True)
+    passed, claims_after, dq_audit = gate_batch(dq, as_of, cap)
+    if keyed:
+        passed = text_features_v2(passed, severity, sentiment, texts)
+    processed = process_claims_v2(passed, policies, as_of, vector_score=vector_score)
+    claims_after = claims_after.drop(*[c for c in ("_severity", "_sentiment", "claim_text_id")
+                                       if c in claims_after.columns])
     return {
         "claims": claims_after, "processed": processed, "resolutions": resolutions_v2(processed, as_of),
         "claim_state": claim_state_v2(processed), "audit": dq_audit.unionByName(audit_v2(processed, as_of)),

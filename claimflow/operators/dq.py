@@ -44,8 +44,14 @@ def recent_similar_counts(claims: DataFrame, as_of, days: int = 30) -> DataFrame
 
 
 def dq_validate_claims(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,
-                       accept: list[str] = DQ_GATE_ACCEPT, dup_days: int = 30) -> DataFrame:
-    """Per claim ``passed``, ``errors`` and ``warnings`` (arrays of text)."""
+                       accept: list[str] = DQ_GATE_ACCEPT, dup_days: int = 30,
+                       keep_columns: bool = False) -> DataFrame:
+    """Per claim ``passed``, ``errors`` and ``warnings`` (arrays of text).
+
+    Row-preserving (every lookup side is unique on its key), so with
+    ``keep_columns`` the result is the claims table plus the DQ columns and the
+    gate never has to join results back by ``claim_id`` (which is a checked,
+    not a guaranteed, key)."""
     c = claims.join(_existing_customers(customers), "customer_id", "left")
     c = c.join(_policy_lookup(policies), c.policy_id == F.col("_pid"), "left")
     c = c.join(recent_similar_counts(claims, as_of, dup_days), ["customer_id", "lob_type"], "left")
@@ -78,8 +84,9 @@ def dq_validate_claims(claims: DataFrame, customers: DataFrame, policies: DataFr
         F.when(dup > 0, F.concat(F.lit("DUPLICATE_RISK: "), dup.cast("string"),
                                  F.lit(" similar claim(s) in last 30 days"))),
     ))
-    return c.select("claim_id", "customer_id", (F.size(errors) == 0).alias("passed"),
-                    errors.alias("errors"), warnings.alias("warnings"))
+    head = claims.columns if keep_columns else ["claim_id", "customer_id"]
+    return c.select(*head, (F.size(errors) == 0).alias("passed"), errors.alias("errors"),
+                    warnings.alias("warnings"))
 
 
 def dq_validate_intake(claims: DataFrame, customers: DataFrame, policies: DataFrame,
@@ -108,24 +115,35 @@ def dq_validate_intake(claims: DataFrame, customers: DataFrame, policies: DataFr
                     errors.alias("errors"), warnings.alias("warnings"))
 
 
-def gate_batch(claims: DataFrame, dq: DataFrame, as_of, cap: int | None = None):
-    """Take SUBMITTED claims (oldest first, optional cap); failed ones become
-    DQ_FAILED with the DQ result as metadata plus an audit row (step 0).
+DQ_COLUMNS = ["passed", "errors", "warnings"]
+
+
+def gate_batch(claims_dq: DataFrame, as_of, cap: int | None = None):
+    """Over ``dq_validate_claims(..., keep_columns=True)``: the SUBMITTED claims in
+    scope (all, or the ``cap`` oldest) that fail become DQ_FAILED with the DQ result
+    as metadata plus an audit row (step 0); the ones that pass go on.
 
-    Returns ``(passed_claims, claims_after, audit)``.
+    Returns ``(passed_claims, claims_after, audit)``, all row-aligned with the input.
     """
-    from claimflow.operators.writes import audit_rows, update_from
-    sub = claims.filter(F.col("claim_status") == "SUBMITTED")
-    if cap is not None:
-        sub = sub.orderBy(F.col("submission_date").asc_nulls_last(), "claim_id").limit(cap)
-    batch = sub.select("claim_id").join(dq, "claim_id")
+    from claimflow.operators.writes import audit_rows
+    submitted = F.col("claim_status") == "SUBMITTED"
+    df = claims_dq
+    if cap is None:
+        scope = submitted
+    else:
+        chosen = (df.filter(submitted).orderBy(F.col("submission_date").asc_nulls_last(), "claim_id").limit(cap)
+                  .select("claim_id").distinct().withColumn("_in_cap", F.lit(True)))
+        df = df.join(chosen, "claim_id", "left")
+        scope = submitted & F.coalesce(F.col("_in_cap"), F.lit(False))
+    failed = scope & ~F.col("passed")
     meta = F.to_json(F.struct("passed", "errors", "warnings", "claim_id", "customer_id"))
-    failed = batch.filter(~F.col("passed")).select("claim_id", meta.alias("metadata"),
-                                                    F.lit("DQ_FAILED").alias("claim_status"))
-    passed = claims.join(batch.filter(F.col("passed")).select("claim_id"), "claim_id", "left_semi")
-    base = claims if "metadata" in claims.columns else claims.withColumn("metadata", F.lit(None).cast("string"))
-    after = update_from(base, failed, ["claim_id"], {"claim_status": "claim_status", "metadata": "metadata"})
-    audit = audit_rows(failed.select(F.col("claim_id").alias("reference_id"), F.col("metadata").alias("output_payload")),
+    old_meta = F.col("metadata") if "metadata" in df.columns else F.lit(None).cast("string")
+    base_cols = [c for c in claims_dq.columns if c not in DQ_COLUMNS]
+    after = df.select(*[F.when(failed, F.lit("DQ_FAILED")).otherwise(F.col(c)).alias(c) if c == "claim_status"
+                        else F.col(c) for c in base_cols if c != "metadata"],
+                      F.when(failed, meta).otherwise(old_meta).alias("metadata"))
+    passed = df.filter(scope & F.col("passed")).select(*base_cols)
+    audit = audit_rows(df.filter(failed).select(F.col("claim_id").alias("reference_id"), meta.alias("output_payload")),
                        "CLAIMS", "DQ_VALIDATOR", 0, as_of, status="DQ_FAILED")
     return passed, after, audit
 
