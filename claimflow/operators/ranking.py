@@ -9,27 +9,21 @@ from pyspark.sql import functions as F
 
 from claimflow.session import cut_lineage
 
-# Below this many rows a single-partition window is cheaper than two phases.
-SMALL_RANK_ROWS = 2_000_000
-ROWS_PER_RANGE_PARTITION = 1_000_000
-
 
 def global_row_number(df: DataFrame, order: list[Column], out: str = "rn",
-                      small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY ...)`` without funnelling large inputs into one task.
+                      partitions: int | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY ...)`` without funnelling the input into one task.
 
-    ``order`` must be a total order (add a unique tie-break key). Small inputs
-    use the plain window. Large inputs are range-partitioned on the order,
-    sorted per partition, checkpointed (so both passes see identical rows),
-    and each row's number is its partition's offset (a prefix sum over the
-    per-partition counts, one row per partition) plus its position inside the
+    ``order`` must be a total order (add a unique tie-break key). The input is
+    range-partitioned on the order and sorted per partition; each row's
+    position is recorded and the result is checkpointed (reliable storage,
+    so both uses below read identical rows and the input plan runs once).
+    A row's number is its partition's offset — a prefix sum over per-partition
+    counts, one row per partition, broadcast — plus its position inside the
     partition.
     """
-    n = df.count()
-    if n <= small_rows:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    parts = max(1, -(-n // ROWS_PER_RANGE_PARTITION))
-    staged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    staged = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
     staged = cut_lineage(staged)

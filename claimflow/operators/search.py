@@ -25,7 +25,8 @@ TOKEN_PATTERN = "[^a-z0-9]+"
 
 
 def tokenize(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), TOKEN_PATTERN), lambda t: F.length(t) > 0)
+    """Lower-cased [a-z0-9] runs; the empty edge tokens of ``split`` are removed natively."""
+    return F.array_remove(F.split(F.lower(text), TOKEN_PATTERN), "")
 
 
 def corpus_postings(corpus: DataFrame, text_col: str, doc_id: str) -> DataFrame:
@@ -47,16 +48,23 @@ def search(corpus: DataFrame, queries: DataFrame, text_col: str, doc_id: str, k:
     extra = list(dict.fromkeys([*(filters or {}).keys(), *(return_cols or [])]))
     docs = spread(corpus.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("_text"), *extra))
     toks = docs.select("doc_id", tokenize(F.col("_text")).alias("_toks"))
-    stats = toks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("_toks")).alias("avgdl")).collect()[0]
+    stats = docs.agg(F.count(F.lit(1)).alias("n"),
+                     F.avg(F.size(tokenize(F.col("_text")))).alias("avgdl")).collect()[0]
     n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
     qterms = (queries.select("query_id", F.explode(tokenize(F.col("query"))).alias("term"))
               .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
     vocab = bounded_broadcast(qterms.select("term").distinct())
-    # document length rides along with each posting: no per-document join back
-    post = (toks.select("doc_id", F.size("_toks").alias("dl"), F.explode("_toks").alias("term"))
+    # document length rides along with each posting: no per-document join back.
+    # explode_outer: a plain explode makes Catalyst infer size(tokens) > 0 and push
+    # that (tokenizing) filter under the repartition into the scan task; the NULL
+    # term of an empty document is dropped by the vocabulary semi join anyway.
+    post = (toks.select("doc_id", F.size("_toks").alias("dl"), F.explode_outer("_toks").alias("term"))
             .join(vocab, "term", "left_semi")
             .groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf")))
-    df_ = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # counting rows through ``tf`` (not count(*), which lets Catalyst prune tf) keeps this
+    # branch's postings aggregate identical to the scoring branch: the exchange is
+    # reused and the corpus is tokenized once
+    df_ = post.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
     idf = df_.select("term", F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
                      .alias("idf"))
     p = post.join(idf, "term")                   # one row per matched query term (AQE broadcasts it)

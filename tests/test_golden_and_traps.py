@@ -76,8 +76,9 @@ def test_t02_priority_puts_null_ltv_first(spark):
 def test_global_row_number_two_phase_matches_window(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"), F.col("id"))
     order = [F.col("k").desc(), F.col("id")]
-    a = ranking.global_row_number(df, order, "rn", small_rows=10)          # forces the two-phase path
-    b = ranking.global_row_number(df, order, "rn")
+    from pyspark.sql import Window
+    a = ranking.global_row_number(df, order, "rn", partitions=7)
+    b = df.withColumn("rn", F.row_number().over(Window.orderBy(*order)).cast("long"))
     assert a.orderBy("rn").collect() == b.orderBy("rn").collect()
     assert a.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).collect()[0] == (1, 5000, 5000)
 
