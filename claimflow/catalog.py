@@ -502,3 +502,104 @@ def _a15(t: Tables) -> DataFrame:
 def _h03(t: Tables) -> DataFrame:
     dqr = dq.dq_validate_claims(t.claims(), t.customers(), t.policies(), OW, keep_columns=True)
     return dq.gate_batch(dqr, OW)[1].select("claim_id", "customer_id", "claim_status")
+
+
+# ============================================================== more read models and helpers
+from claimflow.operators import claims_v1 as cv1  # noqa: E402
+
+
+@register("e06_newest_resolutions", rs.NEWEST_RESOLUTIONS, ["v_claims", "v_claims_text", "v_customers", "v_policies"],
+          ["settlement_amount", "claimed_amount", "fraud_score", "confidence_score"])
+def _e06(t: Tables) -> DataFrame:
+    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
+                                     texts=t.claim_texts())
+    return reports.newest(out["resolutions"], "decided_at", 50, tie="resolution_id")
+
+
+@register("h22_claim_state_flat", rs.CLAIM_STATE_FLAT, ["v_claims", "v_claims_text", "v_customers", "v_policies"],
+          ["fraud_score", "recommended_settlement", "settlement"])
+def _h22(t: Tables) -> DataFrame:
+    return reports.claim_state_flat(_v2_state(t))
+
+
+@register("h23_audit_trail", rs.AUDIT_TRAIL, ["v_claims", "v_claims_text", "v_customers", "v_policies"])
+def _h23(t: Tables) -> DataFrame:
+    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
+                                     texts=t.claim_texts())
+    refs = out["resolutions"].select(F.col("claim_id").alias("reference_id"))
+    trail = reports.audit_trail(out["audit"].filter(F.col("agent_name") != "DQ_VALIDATOR"), refs)
+    return trail.select("flow_type", "reference_id", "agent_name", "step_number", "cortex_module_used", "status")
+
+
+@register("e07_deep_dive_claims", rs.DEEP_DIVE_CLAIMS, C360_SCORED_VIEWS)
+def _e07(t: Tables) -> DataFrame:
+    c = c360_with_propensity(t)
+    panels = reports.customer_deep_dive(_scan(t).select("customer_id"), c, t.policies(), t.claims(),
+                                        churn.empty_alerts(t.spark), churn.empty_nba(t.spark))
+    return panels["claims"]
+
+
+@register("l05_health_check_claims", rs.HEALTH_CLAIMS, ["v_claims", "v_customers", "v_policies"])
+def _l05(t: Tables) -> DataFrame:
+    claims = t.claims()
+    dqr = dq.dq_validate_claims(claims, t.customers(), t.policies(), OW, keep_columns=True)
+    passed = dq.gate_batch(dqr, OW)[0]
+    # claims that went through intake and then stopped: started 10 minutes before the check
+    started = F.lit(f"{OW} 00:00:00").cast("timestamp_ntz") - F.expr("INTERVAL 10 MINUTES")
+    state = (claims_v2.agent_intake_v2(passed, F.lit("medium"))
+             .select("claim_id", "current_state", started.alias("started_at"),
+                     F.lit(None).cast("timestamp_ntz").alias("completed_at"),
+                     F.lit(None).cast("string").alias("error_message")))
+    _state_after, claims_after, _counts = reports.health_check(state, claims, OW)
+    return claims_after.select("claim_id", "customer_id", "claim_status")
+
+
+@register("i03_uw_guidelines", rs.GUIDELINES, ["v_applications"], ["score"])
+def _i03(t: Tables) -> DataFrame:
+    apps = t.applications().filter(F.col("status") == "PENDING").withColumn(
+        "risk_tier", underwriting.risk_tier(F.col("credit_score")))
+    return underwriting.uw_guidelines(apps, t.documents(), "text", "doc_id", k=3)
+
+
+@register("c09_duplicates_90d", rs.DUP_90D, ["v_claims"])
+def _c09(t: Tables) -> DataFrame:
+    c = t.claims().filter(F.col("customer_id").isNotNull() & F.col("policy_id").isNotNull()
+                          & F.col("incident_date").isNotNull())
+    d = cv1.duplicate_counts_90d(t.claims())
+    return (c.join(d, ["customer_id", "policy_id", "incident_date"], "left")
+             .select("claim_id", (F.col("_within") - 1).alias("n_within_90d")))
+
+
+@register("c11_same_day_claims", rs.SAME_DAY, ["v_claims"])
+def _c11(t: Tables) -> DataFrame:
+    return cv1.same_day_counts(t.claims())
+
+
+@register("d17_multi_lob_count", rs.MULTI_LOB, ["v_policies"])
+def _d17(t: Tables) -> DataFrame:
+    return cv1.multi_lob_count(t.policies())
+
+
+@register("j13_log_interactions", rs.CHAT_LOG, [])
+def _j13(t: Tables) -> DataFrame:
+    chat = t.raw("conversations").select(F.col("conv_id").alias("customer_id"), "text",
+                                         F.when(F.col("role") == "user", "customer").otherwise("agent").alias("mode"))
+    return churn.log_interactions(chat, f"{EV}")
+
+
+@register("a07_append_defaults", rs.DEFAULTS, [])
+def _a07(t: Tables) -> DataFrame:
+    rows = t.raw("conversations").select("conv_id", "turn", "role",
+                                         F.lit(None).cast("string").alias("interaction_id"),
+                                         F.lit(None).cast("string").alias("channel"))
+    return writes.append_with_defaults(
+        rows, {"interaction_id": "uuid", "channel": "CHAT", "resolution_status": "RESOLVED", "created_at": "now"},
+        EV, key_cols=["conv_id", "turn"])
+
+
+@register("g14_parse_model_reply", rs.FENCED, [])
+def _g14(t: Tables) -> DataFrame:
+    c = t.raw("conversations")
+    reply = F.concat(F.lit("```json\n"), F.to_json(F.struct("turn", "role")), F.lit("\n```"))
+    parsed = tx.parse_model_reply(reply, "turn long, role string")
+    return c.select("conv_id", "turn", parsed["turn"].alias("parsed_turn"), parsed["role"].alias("parsed_role"))

@@ -146,12 +146,14 @@ CLASSIFY_DOCS = f"SELECT doc_id, {_lob_sql('text')} AS lob_type FROM documents"
 
 _TOK = "list_filter(regexp_split_to_array(lower({c}), '[^a-z0-9]+'), lambda t: length(t) > 0)"
 
-BM25 = f"""
+def bm25_sql(queries: str, k: int) -> str:
+    """BM25 top-k; ``queries`` is a relation (query_id, query)."""
+    return f"""
 WITH docs AS (SELECT doc_id, {_TOK.format(c='text')} AS toks FROM documents),
 dl AS (SELECT doc_id, len(toks) AS dl FROM docs),
 stats AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
 qt AS (SELECT query_id, term, count(*) AS qtf FROM (
-         SELECT item_id AS query_id, unnest({_TOK.format(c='text')}) AS term FROM benchmark) GROUP BY ALL),
+         SELECT query_id, unnest({_TOK.format(c='query')}) AS term FROM ({queries}) qq) GROUP BY ALL),
 post AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(toks) AS term FROM docs)
          WHERE term IN (SELECT term FROM qt) GROUP BY ALL),
 idf AS (SELECT term, ln(1.0::DOUBLE + (CAST((SELECT n FROM stats) AS DOUBLE) - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))
@@ -161,7 +163,14 @@ w AS (SELECT p.doc_id, p.term, idf.idf * p.tf * 2.2::DOUBLE
       FROM post p JOIN dl ON p.doc_id = dl.doc_id JOIN idf ON p.term = idf.term),
 sc AS (SELECT qt.query_id, w.doc_id, sum(w.w * qt.qtf) AS score FROM qt JOIN w ON qt.term = w.term GROUP BY ALL)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank, doc_id, score
-FROM sc QUALIFY rank <= 5"""
+FROM sc QUALIFY rank <= {k}"""
+
+
+BM25 = bm25_sql("SELECT item_id AS query_id, text AS query FROM benchmark", 5)
+
+GUIDELINES = bm25_sql("""SELECT application_id AS query_id,
+  lob_type || ' ' || CASE WHEN credit_score >= 750 THEN 'LOW' WHEN credit_score >= 650 THEN 'MEDIUM' ELSE 'HIGH' END
+  || ' underwriting risk assessment' AS query FROM v_applications WHERE status = 'PENDING'""", 3)
 
 EXTRACT_JSON = """
 SELECT conv_id, turn,
@@ -266,3 +275,69 @@ CLAIMS_AFTER_GATE = f"""
 SELECT claim_id, customer_id, CASE WHEN claim_status = 'SUBMITTED' AND len(errs) > 0 THEN 'DQ_FAILED'
        ELSE claim_status END AS claim_status
 FROM ({ks.dq_core()}) q"""
+
+
+# ---------------------------------------------------------------- more read models
+NEWEST_RESOLUTIONS = f"""
+SELECT * FROM ({ks.V2}) r ORDER BY decided_at DESC, resolution_id LIMIT 50"""
+
+CLAIM_STATE_FLAT = f"""
+SELECT h.claim_id, 'COMPLETED' AS current_state,
+  {ks.severity_sql('h.claim_text')} AS severity,
+  NOT h.invalid AS valid, coalesce(h.vstatus, 'UNKNOWN') AS policy_status,
+  {pr('h.fs_raw', 2)} AS fraud_score,
+  CASE WHEN h.fs_raw IS NULL THEN NULL WHEN h.fs_raw > 0.7 THEN 'HIGH' WHEN h.fs_raw > 0.4 THEN 'MEDIUM'
+       ELSE 'LOW' END AS fraud_risk,
+  {pr('h.claimed_amount * 0.85::DOUBLE', 2)} AS recommended_settlement,
+  s.decision, {pr('s.settlement', 2)} AS settlement
+FROM ({V2H}) h JOIN ({STATE_ROWS}) s ON h.claim_id = s.claim_id"""
+
+AUDIT_TRAIL = f"""
+SELECT 'CLAIMS' AS flow_type, CAST(r.claim_id AS VARCHAR) AS reference_id, a.agent_name, a.step_number,
+  a.module AS cortex_module_used, 'SUCCESS' AS status
+FROM ({ks.V2}) r, (VALUES ('INTAKE', 1, 'CLASSIFY_TEXT'), ('VALIDATION', 2, NULL),
+  ('FRAUD', 3, 'COMPLETE+SEARCH+EMBED+SENTIMENT'), ('ASSESSMENT', 4, 'COMPLETE+SEARCH'), ('RESOLUTION', 5, 'COMPLETE'))
+  AS a(agent_name, step_number, module)"""
+
+DEEP_DIVE_CLAIMS = f"""
+SELECT * EXCLUDE (text_key) FROM v_claims WHERE customer_id IN (SELECT customer_id FROM ({SCAN}) a)"""
+
+HEALTH_CLAIMS = f"""
+SELECT claim_id, customer_id,
+  CASE WHEN claim_id IN (SELECT claim_id FROM ({ks.dq_core()}) q WHERE claim_status = 'SUBMITTED' AND len(errs) = 0)
+        AND claim_status NOT IN ('MANUAL_REVIEW', 'APPROVED', 'DENIED', 'REFERRED')
+       THEN 'MANUAL_REVIEW' ELSE claim_status END AS claim_status
+FROM v_claims"""
+
+DUP_90D = """
+SELECT a.claim_id, count(b.claim_id) AS n_within_90d
+FROM v_claims a LEFT JOIN v_claims b
+  ON a.customer_id = b.customer_id AND a.policy_id = b.policy_id AND b.claim_id <> a.claim_id
+ AND abs(date_diff('day', a.incident_date, b.incident_date)) <= 90
+WHERE a.customer_id IS NOT NULL AND a.policy_id IS NOT NULL AND a.incident_date IS NOT NULL
+GROUP BY a.claim_id"""
+
+SAME_DAY = """
+SELECT customer_id, incident_date, count(*) AS same_day_claims FROM v_claims
+WHERE customer_id IS NOT NULL AND incident_date IS NOT NULL GROUP BY ALL"""
+
+MULTI_LOB = """
+SELECT customer_id, count(DISTINCT lob_type) AS multi_lob_count FROM v_policies
+WHERE policy_status = 'ACTIVE' GROUP BY customer_id"""
+
+CHAT_LOG = f"""
+SELECT substr(sha256('INT-' || CAST(conv_id AS VARCHAR) || '-' || text || '-' || '{EV} 00:00:00'), 1, 12)
+    AS interaction_id,
+  conv_id AS customer_id, 'CHAT' AS channel, TIMESTAMP '{EV} 00:00:00' AS interaction_date,
+  left(text, 500) AS transcript_text, CASE WHEN role = 'user' THEN 'INBOUND' ELSE 'OUTBOUND' END AS direction,
+  'RESOLVED' AS resolution_status, CAST(NULL AS BIGINT) AS nps_score
+FROM conversations"""
+
+DEFAULTS = f"""
+SELECT conv_id, turn, role,
+  sha256(concat_ws(chr(1), CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))) AS interaction_id,
+  'CHAT' AS channel, 'RESOLVED' AS resolution_status, TIMESTAMP '{EV} 00:00:00' AS created_at
+FROM conversations"""
+
+FENCED = """
+SELECT conv_id, turn, CAST(turn AS BIGINT) AS parsed_turn, role AS parsed_role FROM conversations"""

@@ -157,18 +157,23 @@ def pipeline_status(state: DataFrame, claims: DataFrame, customers: DataFrame, a
 
 
 def claim_state_flat(state: DataFrame) -> DataFrame:
-    """One flat row per claim state (JSON paths cast, scores rounded)."""
+    """One flat row per claim state (JSON paths cast, amounts rounded).
+    The JSON values are projected first so the rounding works on plain columns."""
     g = lambda c, p: F.get_json_object(c, p)
-    return state.select(
+    raw = state.select(
         "claim_id", "current_state",
         g("intake_output", "$.severity").alias("severity"),
         g("validation_output", "$.valid").cast("boolean").alias("valid"),
         g("validation_output", "$.policy_status").alias("policy_status"),
-        F.round(g("fraud_output", "$.composite_fraud_score").cast("double"), 2).alias("fraud_score"),
+        g("fraud_output", "$.composite_fraud_score").cast("double").alias("_fs"),
         g("fraud_output", "$.risk_level").alias("fraud_risk"),
-        F.round(g("assessment_output", "$.recommended_settlement").cast("double"), 2).alias("recommended_settlement"),
+        g("assessment_output", "$.recommended_settlement").cast("double").alias("_rs"),
         g("resolution_output", "$.decision").alias("decision"),
-        F.round(g("resolution_output", "$.settlement_amount").cast("double"), 2).alias("settlement"))
+        g("resolution_output", "$.settlement_amount").cast("double").alias("_st"))
+    return raw.select("claim_id", "current_state", "severity", "valid", "policy_status",
+                      pyround(F.col("_fs"), 2).alias("fraud_score"), "fraud_risk",
+                      pyround(F.col("_rs"), 2).alias("recommended_settlement"), "decision",
+                      pyround(F.col("_st"), 2).alias("settlement"))
 
 
 def audit_trail(audit: DataFrame, reference_ids: DataFrame) -> DataFrame:
