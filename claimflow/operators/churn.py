@@ -97,22 +97,24 @@ def churn_scan(c360: DataFrame, alerts: DataFrame, as_of, suppress_days: int = 7
 
 def churn_profile_line(c360: DataFrame) -> Column:
     """The profile line of the root-cause prompt. ``concat`` is NULL-propagating
-    like the source (trap T10); optional parts use the 'N/A' fallback."""
-    s = lambda c: F.col(c).cast("string")
+    like the source (trap T10); optional parts use the 'N/A' fallback. Columns the
+    given C360 build does not have are NULL, as in the source table."""
+    s = lambda c: _opt(c360, c, "string").cast("string")
+    na = lambda c: F.coalesce(s(c), F.lit("N/A"))
     return F.concat(
         F.lit("Customer: "), s("customer_id"), F.lit(" | Segment: "), s("customer_segment"),
         F.lit(" | LTV: "), s("lifetime_value_score"), F.lit(" | Tenure: "), s("tenure_months"), F.lit(" months"),
         F.lit(" | Premium: Rs "), s("total_annual_premium"), F.lit(" | LOBs: "), s("lob_diversity"),
-        F.lit(" | Sentiment(30d): "), F.coalesce(s("sentiment_score_last_30d"), F.lit("N/A")),
-        F.lit(" | Sentiment Trend: "), F.coalesce(s("sentiment_trend"), F.lit("N/A")),
+        F.lit(" | Sentiment(30d): "), na("sentiment_score_last_30d"),
+        F.lit(" | Sentiment Trend: "), na("sentiment_trend"),
         F.lit(" | Complaints(90d): "), s("complaint_count_90d"),
         F.lit(" | Missed Payments(12m): "), s("missed_payments_12m"),
-        F.lit(" | NPS: "), F.coalesce(s("nps_score_latest"), F.lit("N/A")),
-        F.lit(" | Days to Renewal: "), F.coalesce(s("days_to_nearest_renewal"), F.lit("N/A")),
+        F.lit(" | NPS: "), na("nps_score_latest"),
+        F.lit(" | Days to Renewal: "), na("days_to_nearest_renewal"),
         F.lit(" | Open Claims: "), s("open_claims_count"),
-        F.lit(" | Avg Resolution Days: "), F.coalesce(s("avg_resolution_time_days"), F.lit("N/A")),
-        F.lit(" | Competitor Mentions: "), _opt(c360, "competitor_mentions_count", "long").cast("string"),
-        F.lit(" | Cancel Intent: "), _opt(c360, "intent_cancel_detected", "boolean").cast("string"),
+        F.lit(" | Avg Resolution Days: "), na("avg_resolution_time_days"),
+        F.lit(" | Competitor Mentions: "), s("competitor_mentions_count"),
+        F.lit(" | Cancel Intent: "), s("intent_cancel_detected"),
     )
 
 

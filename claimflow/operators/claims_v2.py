@@ -141,7 +141,9 @@ def text_features_v2(claims: DataFrame, severity: Column | None = None,
         out = out.withColumn("_severity", F.coalesce(F.col("_severity"), F.lit("medium")))
         return out.drop("claim_text") if "claim_text" in out.columns else out
     if "claim_text" not in claims.columns and severity is None and sentiment is None:
-        return claims
+        # no narrative at all: the model calls get NULL (severity falls back to 'medium')
+        return (claims.withColumn("_severity", F.lit(None).cast("string"))
+                      .withColumn("_sentiment", F.lit(None).cast("double")))
     sev = severity if severity is not None else tx.classify_severity(F.col("claim_text"))
     sent = sentiment if sentiment is not None else tx.sentiment(F.col("claim_text"))
     out = claims.withColumn("_severity", sev).withColumn("_sentiment", sent)
