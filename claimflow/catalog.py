@@ -43,6 +43,10 @@ def register(name: str, sql: str | None = None, views: list[str] | None = None,
              doubles: list[str] | None = None):
     def deco(fn):
         def run(spark: SparkSession, root: str) -> DataFrame:
+            # the adapters' wall-clock timestamps are TIMESTAMP_NTZ; pin the two settings
+            # that would otherwise let a caller's session shift them
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            spark.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", "true")
             return round_doubles(fn(Tables(spark, root)))
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -45,10 +45,11 @@ def day_diff(start: Column, end: Column) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Whole-second boundaries (``DATEDIFF(second, ...)``)."""
-    s = F.unix_timestamp(F.date_trunc("second", start.cast("timestamp")))
-    e = F.unix_timestamp(F.date_trunc("second", end.cast("timestamp")))
-    return (e - s).cast("long")
+    """Whole-second boundaries (``DATEDIFF(second, ...)``) on wall-clock values;
+    no session time zone is involved (NTZ arithmetic)."""
+    s = F.date_trunc("second", start.cast("timestamp_ntz")).cast("timestamp_ntz")
+    e = F.date_trunc("second", end.cast("timestamp_ntz")).cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", s, e).cast("long")
 
 
 def minus_days(ts: Column, n: int) -> Column:

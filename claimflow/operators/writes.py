@@ -10,7 +10,6 @@ failed job never leaves a half-written table behind.
 from __future__ import annotations
 
 import json
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,20 +141,31 @@ def update_from(target: DataFrame, source: DataFrame, keys: list[str], cols: dic
 # ------------------------------------------------------------------ versioned store
 class TableStore:
     """Versioned Parquet tables under a shared root: ``<root>/<name>/v=<id>/`` and a
-    ``_current`` pointer. Readers always see one complete version."""
+    ``_current`` pointer file. Readers always see one complete version; the pointer
+    is written through the Hadoop FileSystem API (HDFS, object stores, local)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
     def _pointer(self, name: str) -> str:
         return f"{self.root}/{name}/_current"
 
     def current_path(self, name: str) -> str | None:
-        p = self._pointer(name)
-        if not os.path.exists(p):
+        fs, p = self._fs(self._pointer(name))
+        if not fs.exists(p):
             return None
-        with open(p) as fh:
-            return json.load(fh)["path"]
+        stream = fs.open(p)
+        try:
+            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
+                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return json.loads(reader.readLine())["path"]
+        finally:
+            stream.close()
 
     def read(self, name: str, schema=None) -> DataFrame | None:
         path = self.current_path(name)
@@ -164,14 +174,20 @@ class TableStore:
         return self.spark.read.parquet(path)
 
     def commit(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Write a new version, then replace the pointer (write temp file + rename)."""
         path = f"{self.root}/{name}/v={uuid.uuid4().hex}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        os.makedirs(f"{self.root}/{name}", exist_ok=True)
-        tmp = self._pointer(name) + ".tmp"
-        with open(tmp, "w") as fh:
-            json.dump({"path": path}, fh)
-        os.replace(tmp, self._pointer(name))
+        fs, ptr = self._fs(self._pointer(name))
+        _, tmp = self._fs(self._pointer(name) + f".{uuid.uuid4().hex}.tmp")
+        out = fs.create(tmp, True)
+        try:
+            out.write(bytearray(json.dumps({"path": path}).encode("utf-8")))
+        finally:
+            out.close()
+        if fs.exists(ptr):
+            fs.delete(ptr, False)
+        fs.rename(tmp, ptr)
         return path
