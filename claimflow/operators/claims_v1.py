@@ -109,8 +109,8 @@ def agent_fraud_v1(validated: DataFrame, claims: DataFrame, customers: DataFrame
     Defaults (no model, empty retrieval): embed 0, rag 0, narrative 0.3, sentiment 0."""
     d = duplicate_counts_90d(claims)
     j = validated.join(d, ["customer_id", "policy_id", "incident_date"], "left")
-    cust = customers.select("customer_id", F.col("onboarding_date").alias("_onb"))
-    j = j.join(cust, "customer_id", "left")
+    if "_onb" not in j.columns:            # not pre-joined by process_claims_v1
+        j = j.join(customers.select("customer_id", F.col("onboarding_date").alias("_onb")), "customer_id", "left")
     if rag is not None:
         j = j.join(rag, "claim_id", "left")
     n_dup = F.coalesce(F.col("_within") - 1, F.lit(0))
@@ -129,7 +129,7 @@ def agent_fraud_v1(validated: DataFrame, claims: DataFrame, customers: DataFrame
                .withColumn("recommended_action", F.when(F.col("composite_fraud_score") > 0.75, "REFER_TO_SIU")
                            .when(F.col("composite_fraud_score") > 0.45, "FLAG_FOR_REVIEW").otherwise("PASS"))
                .withColumn("dup_score", s_dup).withColumn("tenure_score", s_ten)
-               .drop("_within", "_onb", *(["rag_score"] if rag is not None else [])))
+               .drop("_within", *(["rag_score"] if rag is not None else [])))
 
 
 def agent_assessment_v1(scored: DataFrame) -> DataFrame:
@@ -147,8 +147,12 @@ def agent_resolution_v1(assessed: DataFrame, customers: DataFrame, claims: DataF
     """H18 + H19: DENIED (ineligible) before REFERRED (T21), zero settlement DENIED;
     confidence .95/.7/.5; EXPEDITE for high-value customers with >1 claim that day.
     Claims whose customer does not exist produce no resolution (inner join)."""
-    cust = customers.select("customer_id", "customer_segment", "lifetime_value_score")
-    j = assessed.join(cust, "customer_id", "inner")
+    if "_cust" in assessed.columns:        # customer columns pre-joined by process_claims_v1
+        j = (assessed.filter(F.col("_cust") == True)  # noqa: E712
+                     .withColumnRenamed("_seg", "customer_segment").withColumnRenamed("_ltv", "lifetime_value_score"))
+    else:
+        cust = customers.select("customer_id", "customer_segment", "lifetime_value_score")
+        j = assessed.join(cust, "customer_id", "inner")
     j = j.join(same_day_counts(claims).withColumnRenamed("same_day_claims", "_sameday"),
                ["customer_id", "incident_date"], "left")
     fs = F.coalesce(F.col("composite_fraud_score"), F.lit(0.0))
@@ -180,7 +184,11 @@ def process_claims_v1(claims: DataFrame, customers: DataFrame, policies: DataFra
     sub = claims.filter(F.col("claim_status") == "SUBMITTED")
     if cap is not None:
         sub = sub.orderBy(F.col("submission_date").asc_nulls_last(), "claim_id").limit(cap)
-    v = agent_validation_v1(sub, policies)
+    # one join to customers serves tenure (fraud) and segment / LTV / existence (resolution)
+    cust = customers.select("customer_id", F.col("onboarding_date").alias("_onb"),
+                            F.col("customer_segment").alias("_seg"), F.col("lifetime_value_score").alias("_ltv"),
+                            F.lit(True).alias("_cust"))
+    v = agent_validation_v1(sub.join(cust, "customer_id", "left"), policies)
     f = agent_fraud_v1(v, universe, customers, as_of, **scorers)
     a = agent_assessment_v1(f)
     return agent_resolution_v1(a, customers, universe)

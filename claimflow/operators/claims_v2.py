@@ -37,9 +37,13 @@ def agent_intake_v2(claims: DataFrame, severity: Column | None = None) -> DataFr
 def agent_validation_v2(claims: DataFrame, policies: DataFrame) -> DataFrame:
     """Policy status in (ACTIVE, RENEWAL_PENDING) else invalid; a missing
     policy is valid with status UNKNOWN (NULL comparison takes no branch, T18)."""
-    p = policies.select(F.col("policy_id").alias("_vp"), F.col("policy_status").alias("_vstatus"),
-                        F.col("coverage_limit").alias("_vlimit"))
-    j = claims.join(p, F.col("policy_id") == F.col("_vp"), "left")
+    if "_pol_status" in claims.columns:   # policy already looked up by the DQ gate
+        j = (claims.withColumnRenamed("_pol_status", "_vstatus").withColumnRenamed("_pol_limit", "_vlimit")
+                   .withColumn("_vp", F.col("_pol_found")).drop("_pol_found"))
+    else:
+        p = policies.select(F.col("policy_id").alias("_vp"), F.col("policy_status").alias("_vstatus"),
+                            F.col("coverage_limit").alias("_vlimit"))
+        j = claims.join(p, F.col("policy_id") == F.col("_vp"), "left")
     inactive = ~F.col("_vstatus").isin(*AGENT_V2_ACCEPT)           # NULL when status NULL
     valid = ~F.coalesce(inactive, F.lit(False))
     issues = F.concat(
@@ -215,7 +219,7 @@ def run_claims_batch(claims: DataFrame, customers: DataFrame, policies: DataFram
     from claimflow.operators.dq import dq_validate_claims, gate_batch
     keyed = texts is not None and "claim_text_id" in claims.columns
     base = claims if keyed else text_features_v2(claims, severity, sentiment)
-    dq = dq_validate_claims(base, customers, policies, as_of, keep_columns=True)
+    dq = dq_validate_claims(base, customers, policies, as_of, keep_columns=True, keep_policy=True)
     passed, claims_after, dq_audit = gate_batch(dq, as_of, cap)
     if keyed:
         passed = text_features_v2(passed, severity, sentiment, texts)

@@ -45,13 +45,15 @@ def recent_similar_counts(claims: DataFrame, as_of, days: int = 30) -> DataFrame
 
 def dq_validate_claims(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,
                        accept: list[str] = DQ_GATE_ACCEPT, dup_days: int = 30,
-                       keep_columns: bool = False) -> DataFrame:
+                       keep_columns: bool = False, keep_policy: bool = False) -> DataFrame:
     """Per claim ``passed``, ``errors`` and ``warnings`` (arrays of text).
 
     Row-preserving (every lookup side is unique on its key), so with
     ``keep_columns`` the result is the claims table plus the DQ columns and the
     gate never has to join results back by ``claim_id`` (which is a checked,
-    not a guaranteed, key)."""
+    not a guaranteed, key). ``keep_policy`` also keeps the policy lookup
+    (``_pol_found``, ``_pol_status``, ``_pol_limit``) for later agents, so the
+    claims are not joined to the policies a second time."""
     c = claims.join(_existing_customers(customers), "customer_id", "left")
     c = c.join(_policy_lookup(policies), c.policy_id == F.col("_pid"), "left")
     c = c.join(recent_similar_counts(claims, as_of, dup_days), ["customer_id", "lob_type"], "left")
@@ -85,6 +87,8 @@ def dq_validate_claims(claims: DataFrame, customers: DataFrame, policies: DataFr
                                  F.lit(" similar claim(s) in last 30 days"))),
     ))
     head = claims.columns if keep_columns else ["claim_id", "customer_id"]
+    if keep_policy:
+        head = head + ["_pol_found", "_pol_status", "_pol_limit"]
     return c.select(*head, (F.size(errors) == 0).alias("passed"), errors.alias("errors"),
                     warnings.alias("warnings"))
 
@@ -139,8 +143,9 @@ def gate_batch(claims_dq: DataFrame, as_of, cap: int | None = None):
     meta = F.to_json(F.struct("passed", "errors", "warnings", "claim_id", "customer_id"))
     old_meta = F.col("metadata") if "metadata" in df.columns else F.lit(None).cast("string")
     base_cols = [c for c in claims_dq.columns if c not in DQ_COLUMNS]
+    table_cols = [c for c in base_cols if not c.startswith("_pol_")]
     after = df.select(*[F.when(failed, F.lit("DQ_FAILED")).otherwise(F.col(c)).alias(c) if c == "claim_status"
-                        else F.col(c) for c in base_cols if c != "metadata"],
+                        else F.col(c) for c in table_cols if c != "metadata"],
                       F.when(failed, meta).otherwise(old_meta).alias("metadata"))
     passed = df.filter(scope & F.col("passed")).select(*base_cols)
     audit = audit_rows(df.filter(failed).select(F.col("claim_id").alias("reference_id"), meta.alias("output_payload")),
