@@ -607,3 +607,11 @@ def _g14(t: Tables) -> DataFrame:
     reply = F.concat(F.lit("```json\n"), F.to_json(F.struct("turn", "role")), F.lit("\n```"))
     parsed = tx.parse_model_reply(reply, "turn long, role string")
     return c.select("conv_id", "turn", parsed["turn"].alias("parsed_turn"), parsed["role"].alias("parsed_role"))
+
+
+@register("h11_intake_v1", rs.INTAKE_V1, ["v_claims"])
+def _h11(t: Tables) -> DataFrame:
+    sub = t.claims().filter(F.col("claim_status") == "SUBMITTED")
+    out = cv1.agent_intake_v1(sub)            # no completion model: the source's fallback branch
+    return out.select("claim_id", "lob_classification", "confidence_score", "urgency_level",
+                      "multi_lob_indicator", "parse_error", "current_state")

@@ -341,3 +341,8 @@ FROM conversations"""
 
 FENCED = """
 SELECT conv_id, turn, CAST(turn AS BIGINT) AS parsed_turn, role AS parsed_role FROM conversations"""
+
+INTAKE_V1 = """
+SELECT claim_id, coalesce(lob_type, 'UNKNOWN') AS lob_classification, 0.5::DOUBLE AS confidence_score,
+  'MEDIUM' AS urgency_level, FALSE AS multi_lob_indicator, TRUE AS parse_error, 'INTAKE_COMPLETE' AS current_state
+FROM v_claims WHERE claim_status = 'SUBMITTED'"""

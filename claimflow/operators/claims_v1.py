@@ -18,6 +18,49 @@ from claimflow.functions.dates import as_date, month_diff
 from claimflow.functions.numeric import pyround
 
 
+INTAKE_V1_SCHEMA = ("claimant_name string, policy_number string, incident_date string, incident_location string, "
+                    "lob_classification string, lob_confidence double, claimed_amount double, "
+                    "damage_description string, urgency_level string, multi_lob_indicator boolean, "
+                    "estimated_severity string")
+
+
+def intake_prompt_v1(claims: DataFrame) -> Column:
+    """The v1 extraction prompt: first 2000 characters of the claim text plus the keys
+    (missing values print as empty text, as the source's ``str(x or '')`` does)."""
+    def txt(c: str) -> Column:
+        col = F.col(c) if c in claims.columns else F.lit(None)
+        return F.coalesce(col.cast("string"), F.lit(""))
+    return F.concat(
+        F.lit("Extract entities from this claim:\nCLAIM: "), F.substring(F.coalesce("claim_text", F.lit("")), 1, 2000),
+        F.lit("\nPolicy: "), txt("policy_id"), F.lit("\nCustomer: "), txt("customer_id"),
+        F.lit("\nDate: "), txt("incident_date"), F.lit("\nAmount: "), txt("claimed_amount"),
+        F.lit("\nReturn JSON only."))
+
+
+def agent_intake_v1(claims: DataFrame, model=None) -> DataFrame:
+    """Entity extraction through an injected completion model (one call per Arrow
+    batch); the reply may be fenced. A missing or unparsable reply falls back to the
+    claim's own LOB (or UNKNOWN) with confidence 0.5 and ``parse_error``."""
+    from claimflow.functions.text import parse_model_reply
+    from claimflow.operators.models import complete
+    c = claims if "claim_text" in claims.columns else claims.withColumn("claim_text", F.lit(None).cast("string"))
+    c = complete(c.withColumn("_prompt", intake_prompt_v1(c)), "_prompt", model, out="_reply")
+    ex = parse_model_reply(F.col("_reply"), INTAKE_V1_SCHEMA)
+    parsed = F.col("_reply").isNotNull() & ex.isNotNull()
+    out = c.withColumn("_ex", F.when(parsed, ex))
+    return (out.withColumn("parse_error", ~F.coalesce(parsed, F.lit(False)))
+               .withColumn("lob_classification",
+                           F.when(F.col("parse_error"), F.coalesce(F.col("lob_type"), F.lit("UNKNOWN")))
+                           .otherwise(F.coalesce(F.col("_ex.lob_classification"), F.col("lob_type"))))
+               .withColumn("confidence_score",
+                           F.when(F.col("parse_error"), F.lit(0.5))
+                           .otherwise(F.coalesce(F.col("_ex.lob_confidence"), F.lit(0.0))))
+               .withColumn("urgency_level", F.coalesce(F.col("_ex.urgency_level"), F.lit("MEDIUM")))
+               .withColumn("multi_lob_indicator", F.coalesce(F.col("_ex.multi_lob_indicator"), F.lit(False)))
+               .withColumn("current_state", F.lit("INTAKE_COMPLETE"))
+               .drop("_prompt", "_reply"))
+
+
 def multi_lob_count(policies: DataFrame) -> DataFrame:
     """Distinct active LOBs per customer (LOB domain is small: collect_set)."""
     return (policies.filter(F.col("policy_status") == "ACTIVE").groupBy("customer_id")

@@ -175,3 +175,19 @@ def test_churn_pipeline_with_scorers(spark):
     n = actions.collect()[0]
     assert n.action_type == "RETAIN" and n.rationale == 'Root cause: price_sensitivity. Talking points: ["value"]'
     assert audit.collect()[0].output_payload == '{"alerts_found":1,"processed":1}'
+
+
+def test_intake_v1_with_fenced_model_reply(spark):
+    from claimflow.operators import claims_v1
+    claims = spark.createDataFrame([("C1", 1, 2, "AUTO", "car hit a pole", 100.0), ("C2", 1, 2, None, "x", 5.0)],
+                                   "claim_id string, customer_id long, policy_id long, lob_type string, "
+                                   "claim_text string, claimed_amount double")
+
+    def model(prompts):
+        return prompts.map(lambda p: '```json\n{"lob_classification": "PROPERTY", "lob_confidence": 0.9, '
+                           '"urgency_level": "HIGH"}\n```' if "pole" in p else "not json")
+
+    out = {r.claim_id: r for r in claims_v1.agent_intake_v1(claims, model).collect()}
+    assert (out["C1"].lob_classification, out["C1"].confidence_score, out["C1"].urgency_level,
+            out["C1"].parse_error) == ("PROPERTY", 0.9, "HIGH", False)
+    assert (out["C2"].lob_classification, out["C2"].confidence_score, out["C2"].parse_error) == ("UNKNOWN", 0.5, True)
