@@ -82,13 +82,18 @@ def summarize(text: Column, n: int = 2) -> Column:
     return F.array_join(F.transform(ordered, lambda x: x["s"]), " ")
 
 
+def _parse_or_null(text: Column, schema: T.StructType | str) -> Column:
+    """Parse JSON into ``schema``; NULL (not a struct of NULLs) when the text is not JSON."""
+    return F.when(F.try_parse_json(text).isNotNull(), F.from_json(text, schema, {"mode": "PERMISSIVE"}))
+
+
 def extract_json(reply: Column, schema: T.StructType | str) -> Column:
     """First flat ``{...}`` object in a reply, parsed; NULL when none parses."""
     obj = F.regexp_extract(reply, r"\{[^{}]*\}", 0)
-    return F.when(F.length(obj) > 0, F.from_json(obj, schema, {"mode": "PERMISSIVE"}))
+    return F.when(F.length(obj) > 0, _parse_or_null(obj, schema))
 
 
 def parse_model_reply(reply: Column, schema: T.StructType | str) -> Column:
     """Strip markdown code fences, then parse; NULL marks a parse error."""
-    stripped = F.regexp_replace(F.trim(reply), r"^```(json)?|```$", "")
-    return F.from_json(F.trim(stripped), schema, {"mode": "PERMISSIVE"})
+    stripped = F.trim(F.regexp_replace(F.trim(reply), r"^```(json)?|```$", ""))
+    return _parse_or_null(stripped, schema)
