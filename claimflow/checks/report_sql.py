@@ -281,6 +281,11 @@ FROM ({ks.dq_core()}) q"""
 NEWEST_RESOLUTIONS = f"""
 SELECT * FROM ({ks.V2}) r ORDER BY decided_at DESC, resolution_id LIMIT 50"""
 
+_DECISION = ("CASE WHEN h.fs > 0.7 THEN 'REFERRED' WHEN h.invalid THEN 'DENIED' "
+             "WHEN h.fs > 0.4 THEN 'PARTIALLY_APPROVED' ELSE 'APPROVED' END")
+_SETTLE = ("CASE WHEN h.fs > 0.7 THEN 0.0::DOUBLE WHEN h.invalid THEN 0.0::DOUBLE "
+           "WHEN h.fs > 0.4 THEN h.st * 0.5::DOUBLE ELSE h.st END")
+
 CLAIM_STATE_FLAT = f"""
 SELECT h.claim_id, 'COMPLETED' AS current_state,
   {ks.severity_sql('h.claim_text')} AS severity,
@@ -289,8 +294,8 @@ SELECT h.claim_id, 'COMPLETED' AS current_state,
   CASE WHEN h.fs_raw IS NULL THEN NULL WHEN h.fs_raw > 0.7 THEN 'HIGH' WHEN h.fs_raw > 0.4 THEN 'MEDIUM'
        ELSE 'LOW' END AS fraud_risk,
   {pr('h.claimed_amount * 0.85::DOUBLE', 2)} AS recommended_settlement,
-  s.decision, {pr('s.settlement', 2)} AS settlement
-FROM ({V2H}) h JOIN ({STATE_ROWS}) s ON h.claim_id = s.claim_id"""
+  {_DECISION} AS decision, {pr(_SETTLE, 2)} AS settlement
+FROM ({V2H}) h"""
 
 AUDIT_TRAIL = f"""
 SELECT 'CLAIMS' AS flow_type, CAST(r.claim_id AS VARCHAR) AS reference_id, a.agent_name, a.step_number,
