@@ -127,7 +127,8 @@ def agg_embedding_features(scored_claims: DataFrame, providers: DataFrame,
     """
     risky_lobs = (providers.filter(F.col("risk_flag") == True)  # noqa: E712
                   .select("lob_type").distinct().withColumn("_risky", F.lit(True)))
-    j = scored_claims.join(F.broadcast(risky_lobs), "lob_type", "left")
+    from claimflow.session import bounded_broadcast
+    j = scored_claims.join(bounded_broadcast(risky_lobs), "lob_type", "left")
     mx = F.max(score_col)
     return j.groupBy("customer_id").agg(
         mx.alias("fraud_similarity_score"),

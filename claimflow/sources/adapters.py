@@ -44,7 +44,8 @@ class Tables:
     def customers(self) -> DataFrame:
         c = self.raw("customer")
         n = self.raw("nation").select("n_nationkey", "n_name")
-        return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+        from claimflow.session import bounded_broadcast
+        return (c.join(bounded_broadcast(n), c.c_nationkey == n.n_nationkey, "left")
                 .select(
                     F.col("c_custkey").alias("customer_id"),
                     F.lit("Customer").alias("first_name"),
