@@ -61,9 +61,13 @@ def register(name: str, sql: str | None = None, views: list[str] | None = None,
 @register("d01_policy_portfolio", fs.PP, ["v_policies"],
           ["total_annual_premium", "coverage_adequacy_ratio"])
 def _d01(t: Tables) -> DataFrame:
-    df = features.agg_policy_portfolio(t.policies(), OW, with_policy_ids=True)
-    return (df.withColumn("policy_ids", F.array_join(F.col("policy_ids_array").cast("array<string>"), ","))
-              .drop("policy_ids_array"))
+    return features.agg_policy_portfolio(t.policies(), OW)
+
+
+@register("d01_active_policy_ids", fs.ACTIVE_IDS, ["v_policies"])
+def _d01_ids(t: Tables) -> DataFrame:
+    """D01 ``policy_ids_array`` in long form: every active id, no per-customer collection."""
+    return features.active_policy_ids(t.policies())
 
 
 @register("d02_claims_history", fs.CH, ["v_claims"],
