@@ -619,3 +619,72 @@ def _h11(t: Tables) -> DataFrame:
     out = cv1.agent_intake_v1(sub)            # no completion model: the source's fallback branch
     return out.select("claim_id", "lob_classification", "confidence_score", "urgency_level",
                       "multi_lob_indicator", "parse_error", "current_state")
+
+
+# ============================================================== v1 sub-agents, E02, G04/A13, A17
+from claimflow.checks import agents_sql as ag  # noqa: E402
+from claimflow.operators.ranking import latest_per_key  # noqa: E402
+
+
+def _v1_validated(t: Tables) -> DataFrame:
+    claims = t.claims()
+    return cv1.agent_validation_v1(claims.filter(F.col("claim_status") == "SUBMITTED"), t.policies(), claims)
+
+
+def _v1_scored(t: Tables) -> DataFrame:
+    return cv1.agent_fraud_v1(_v1_validated(t), t.claims(), t.customers(), OW)
+
+
+@register("h12_validation_v1", ag.VALIDATION_V1, ["v_claims", "v_policies"],
+          ["coverage_limit", "deductible", "max_payable"])
+def _h12(t: Tables) -> DataFrame:
+    failed = F.array_join(F.transform(F.filter("checks", lambda c: ~c["passed"]), lambda c: c["check"]), ",")
+    return _v1_validated(t).select("claim_id", "eligible", "ineligible_reason", "coverage_limit", "deductible",
+                                   "max_payable", failed.alias("failed_checks"), "multi_lob_count",
+                                   "concurrent_claims")
+
+
+@register("h16_fraud_v1", ag.FRAUD_V1, ["v_claims", "v_customers", "v_policies"],
+          ["dup_score", "tenure_score", "composite_fraud_score"])
+def _h16(t: Tables) -> DataFrame:
+    return _v1_scored(t).select("claim_id", "dup_score", "tenure_score", "composite_fraud_score",
+                                "fraud_risk_level", "recommended_action")
+
+
+@register("h17_assessment_v1", ag.ASSESSMENT_V1, ["v_claims", "v_customers", "v_policies"],
+          ["base_settlement", "risk_factor", "assessed_settlement"])
+def _h17(t: Tables) -> DataFrame:
+    return cv1.agent_assessment_v1(_v1_scored(t)).select("claim_id", "base_settlement", "risk_factor",
+                                                         "assessed_settlement")
+
+
+@register("e02_latest_interaction", ag.LATEST_INTERACTION, ["v_interactions"])
+def _e02(t: Tables) -> DataFrame:
+    i = t.interactions().select("customer_id", "interaction_id", "channel", "interaction_date",
+                                "resolution_status")
+    return latest_per_key(i, ["customer_id"], "interaction_date", tie="interaction_id")
+
+
+@register("g04_refresh_document_embeddings", ag.EMBEDDING_REFRESH, [])
+def _g04(t: Tables) -> DataFrame:
+    """G04 + A13: documents without a stored vector are embedded (anti join first, so
+    stored rows are never re-scored) and inserted; stored vectors stay as they are."""
+    stored = t.raw("embeddings").select(F.col("vec_id").alias("doc_id"), "embedding",
+                                        F.lit("EXISTING").alias("origin"))
+    docs = t.documents().select("doc_id", "text")
+
+    def embed(new: DataFrame) -> DataFrame:
+        return (models.embed_text(spread(new), "text", dim=64).drop("text")
+                .withColumn("origin", F.lit("NEW")))
+
+    added = similarity.refresh_pattern_embeddings(docs, stored, embed, key="doc_id")
+    table = writes.merge_insert_only(stored, added, ["doc_id"])
+    return table.select("doc_id", "origin", F.size("embedding").alias("dims"))
+
+
+@register("a17_claims_audit", ag.CLAIMS_AUDIT, ["v_claims", "v_claims_text", "v_customers", "v_policies"])
+def _a17(t: Tables) -> DataFrame:
+    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
+                                     texts=t.claim_texts())
+    return out["audit"].select("flow_type", "reference_id", "agent_name", "step_number", "cortex_module_used",
+                               "status", "created_at")

@@ -85,15 +85,18 @@ def duplicate_counts_90d(claims: DataFrame, days: int = 90) -> DataFrame:
                           F.sum("_n").over(w).cast("long").alias("_within"))
 
 
-def agent_validation_v1(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    """STATUS / DATES / LOB hard checks, LIMIT soft; max payable; multi-LOB; concurrency."""
+def agent_validation_v1(claims: DataFrame, policies: DataFrame, all_claims: DataFrame | None = None) -> DataFrame:
+    """STATUS / DATES / LOB hard checks, LIMIT soft; max payable; multi-LOB; concurrency.
+    Concurrent claims are the *other* claims of the same customer and incident date in
+    ``all_claims`` (the whole claims table; default ``claims``), whatever their status."""
     p = policies.select(F.col("policy_id").alias("_p_id"), F.col("policy_status").alias("_p_status"),
                         F.col("start_date").alias("_p_start"), F.col("end_date").alias("_p_end"),
                         F.col("lob_type").alias("_p_lob"), F.col("coverage_limit").alias("_p_limit"),
                         F.col("deductible").alias("_p_ded"))
     j = claims.join(p, F.col("policy_id") == F.col("_p_id"), "left")
     j = j.join(multi_lob_count(policies), "customer_id", "left")
-    j = j.join(same_day_counts(claims), ["customer_id", "incident_date"], "left")
+    j = j.join(same_day_counts(all_claims if all_claims is not None else claims),
+               ["customer_id", "incident_date"], "left")
     found = F.col("_p_id").isNotNull()
     status_ok = F.coalesce(F.col("_p_status") == "ACTIVE", F.lit(False))
     inc = F.col("incident_date")
@@ -231,7 +234,7 @@ def process_claims_v1(claims: DataFrame, customers: DataFrame, policies: DataFra
     cust = customers.select("customer_id", F.col("onboarding_date").alias("_onb"),
                             F.col("customer_segment").alias("_seg"), F.col("lifetime_value_score").alias("_ltv"),
                             F.lit(True).alias("_cust"))
-    v = agent_validation_v1(sub.join(cust, "customer_id", "left"), policies)
+    v = agent_validation_v1(sub.join(cust, "customer_id", "left"), policies, universe)
     f = agent_fraud_v1(v, universe, customers, as_of, **scorers)
     a = agent_assessment_v1(f)
     return agent_resolution_v1(a, customers, universe)

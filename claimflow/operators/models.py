@@ -18,45 +18,38 @@ from claimflow.functions.dates import as_ts
 from claimflow.operators.search import tokenize
 
 
+def _bucket_sums(dim: int):
+    """Arrow-batched scorer: per row, signed counts of hashed tokens per bucket
+    (``np.bincount``, O(tokens)), L2-normalised; an empty or NULL text gives zeros."""
+    import numpy as np
+
+    def run(codes: pd.Series) -> pd.Series:
+        out = []
+        for c in codes:
+            if c is None or len(c) == 0:
+                out.append(np.zeros(dim, dtype=np.float32))
+                continue
+            c = np.asarray(c, dtype=np.int64)
+            v = np.bincount(c >> 1, weights=1.0 - 2.0 * (c & 1), minlength=dim)
+            n = np.sqrt(np.dot(v, v))
+            out.append((v / n if n > 0 else v).astype(np.float32))
+        return pd.Series(out)
+
+    return F.pandas_udf(run, "array<float>")
+
+
 def embed_text(df: DataFrame, col: str, dim: int = 768, n_chars: int = 8000, out: str = "embedding") -> DataFrame:
     """G01 default: signed feature hashing of the tokens of the first ``n_chars``
-    characters into ``dim`` buckets, L2-normalised — all native expressions.
+    characters into ``dim`` buckets, L2-normalised.
 
-    Works per row with higher-order functions (no explode, no shuffle)."""
+    Tokenizing and hashing are native expressions evaluated once per row (one
+    code per token: bucket * 2 + sign bit); only the bucket sum runs in Python,
+    one Arrow batch at a time with numpy, so the cost is O(tokens), not
+    O(tokens x dim)."""
     toks = tokenize(F.substring(F.col(col), 1, n_chars))
-    hashed = F.transform(toks, lambda t: F.struct(
-        F.pmod(F.xxhash64(t), F.lit(dim)).cast("int").alias("i"),
-        F.when(F.pmod(F.xxhash64(F.concat(t, F.lit("#s"))), F.lit(2)) == 0, 1.0).otherwise(-1.0).alias("s")))
-    buckets = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.aggregate(
-        hashed, F.lit(0.0), lambda acc, h: acc + F.when(h["i"] == i, h["s"]).otherwise(0.0)))
-    norm = F.sqrt(F.aggregate(buckets, F.lit(0.0), lambda a, v: a + v * v))
-    vec = F.transform(buckets, lambda v: F.when(norm > 0, v / norm).otherwise(0.0).cast("float"))
-    return df.withColumn(out, vec)
-
-
-def embed_text_batched(df: DataFrame, col: str, dim: int = 768, n_chars: int = 8000,
-                       out: str = "embedding") -> DataFrame:
-    """G01, vectorised form for wide vectors: the same hashing scheme run with numpy
-    per Arrow batch (O(tokens) per row instead of O(tokens x dim))."""
-    import re
-
-    import numpy as np
-    import xxhash
-
-    def embed(texts: pd.Series) -> pd.Series:
-        rows = []
-        for t in texts:
-            v = np.zeros(dim, dtype=np.float64)
-            if t is not None:
-                for tok in (w for w in re.split("[^a-z0-9]+", t[:n_chars].lower()) if w):
-                    h = xxhash.xxh64_intdigest(tok)
-                    v[h % dim] += 1.0 if (xxhash.xxh64_intdigest(tok + "#s") % 2 == 0) else -1.0
-            n = np.linalg.norm(v)
-            rows.append((v / n if n > 0 else v).astype(np.float32))
-        return pd.Series(rows)
-
-    fn = F.pandas_udf(embed, "array<float>")
-    return df.withColumn(out, fn(F.col(col)))
+    codes = F.transform(toks, lambda t: F.pmod(F.xxhash64(t), F.lit(dim)) * 2
+                        + F.pmod(F.xxhash64(F.concat(t, F.lit("#s"))), F.lit(2)))
+    return df.withColumn(out, _bucket_sums(dim)(codes))
 
 
 def complete(df: DataFrame, prompt_col: str, model: Callable[[pd.Series], pd.Series] | None = None,
