@@ -163,3 +163,31 @@ def test_t22_t23_v1_dates_and_negative_payable(spark):
 def test_t29_integer_rate_is_double(spark):
     r = spark.createDataFrame([(3, 4)], "a long, b long").select((F.col("a") / F.col("b")).alias("x")).collect()[0]
     assert r.x == 0.75
+
+
+def test_v1_concurrent_claims_count_every_status(spark):
+    # the v1 validation counts other claims of the same customer and incident date in the
+    # whole claims table (any status), not only in the SUBMITTED batch
+    schema = ("claim_id string, policy_id long, customer_id long, lob_type string, claimed_amount double, "
+              "incident_date date, claim_status string")
+    claims = spark.createDataFrame([
+        ("C1", 1, 7, "AUTO", 100.0, D(2001, 5, 1), "SUBMITTED"),
+        ("C2", 1, 7, "AUTO", 100.0, D(2001, 5, 1), "APPROVED"),
+        ("C3", 1, 7, "AUTO", 100.0, D(2001, 5, 1), "DENIED"),
+        ("C4", 1, 7, "AUTO", 100.0, D(2001, 5, 2), "SUBMITTED")], schema)
+    policies = spark.createDataFrame(
+        [(1, 7, "AUTO", "ACTIVE", D(2001, 1, 1), D(2002, 1, 1), 1000.0, 500.0)],
+        "policy_id long, customer_id long, lob_type string, policy_status string, start_date date, "
+        "end_date date, coverage_limit double, deductible double")
+    sub = claims.filter(F.col("claim_status") == "SUBMITTED")
+    got = {r.claim_id: r.concurrent_claims
+           for r in claims_v1.agent_validation_v1(sub, policies, claims).collect()}
+    assert got == {"C1": 2, "C4": 0}
+
+
+def test_hashed_embedding_is_unit_length_and_zero_for_empty_text(spark):
+    from claimflow.operators import models
+    df = spark.createDataFrame([(1, "storm damage to roof"), (2, None), (3, "!!")], "id long, t string")
+    rows = {r.id: r.e for r in models.embed_text(df, "t", dim=16, out="e").collect()}
+    assert abs(sum(v * v for v in rows[1]) - 1.0) < 1e-6
+    assert rows[2] == [0.0] * 16 and rows[3] == [0.0] * 16
