@@ -94,15 +94,26 @@ def dq_validate_claims(claims: DataFrame, customers: DataFrame, policies: DataFr
 
 
 def dq_validate_intake(claims: DataFrame, customers: DataFrame, policies: DataFrame,
-                       accept: list[str] = INTAKE_UI_ACCEPT) -> DataFrame:
+                       accept: list[str] = INTAKE_UI_ACCEPT, text_flags: DataFrame | None = None,
+                       text_key: str = "claim_text_id") -> DataFrame:
     """The front-end variant. Required fields first (customer, policy, text);
     comparisons follow Python rules (a missing value is simply "different").
-    Warnings never block."""
+    Warnings never block.
+
+    Only "text present and non-empty" is needed, so the text is reduced to that
+    flag before any join: from ``text_flags`` (``text_key``, ``has_text``; one row
+    per stored text) joined by key, or from an inline ``claim_text`` column."""
+    if text_flags is not None and text_key in claims.columns:
+        claims = claims.join(text_flags.select(text_key, F.col("has_text").alias("_has_text")), text_key, "left")
+    elif "claim_text" in claims.columns:
+        t = F.col("claim_text")
+        claims = claims.withColumn("_has_text", t.isNotNull() & (F.length(t) > 0)).drop("claim_text")
+    else:
+        claims = claims.withColumn("_has_text", F.lit(True))
     c = claims.join(_existing_customers(customers), "customer_id", "left")
     c = c.join(_policy_lookup(policies), c.policy_id == F.col("_pid"), "left")
-    text = F.col("claim_text") if "claim_text" in claims.columns else F.lit("x")
     required = (F.col("customer_id").isNotNull() & F.col("policy_id").isNotNull()
-                & text.isNotNull() & (F.length(text) > 0))
+                & F.coalesce(F.col("_has_text"), F.lit(False)))
     found = F.col("_pol_found") == True  # noqa: E712
     errors = F.when(~required, F.array(F.lit("REQUIRED_FIELDS_MISSING"))).otherwise(F.array_compact(F.array(
         F.when(F.col("_cust_found").isNull(), F.lit("CUSTOMER_NOT_FOUND")),

@@ -127,9 +127,21 @@ class Tables:
         """(text_id, text): the narratives claims point to through ``claim_text_id``."""
         return self.raw("documents").select(F.col("doc_id").alias("text_id"), "text")
 
-    def _attach_text(self, df: DataFrame, key: str, out: str) -> DataFrame:
-        """Attach documents.text at doc_id = key % count(documents)."""
-        docs = self.raw("documents").select("doc_id", "text")
+    def claim_text_flags(self) -> DataFrame:
+        """(claim_text_id, has_text, text_is_null): per stored narrative, whether it is
+        present / non-empty — computed where the text is stored, so checks that only
+        need these flags never move the text itself."""
+        t = F.col("text")
+        return self.raw("documents").select(F.col("doc_id").alias("claim_text_id"),
+                                            (t.isNotNull() & (F.length(t) > 0)).alias("has_text"),
+                                            t.isNull().alias("text_is_null"))
+
+    def _attach_text(self, df: DataFrame, key: str, out: str, n_chars: int | None = None) -> DataFrame:
+        """Attach documents.text at doc_id = key % count(documents); with ``n_chars`` only
+        the first ``n_chars`` characters are projected, so the cut runs in the
+        documents scan and only the prefix crosses the join exchange."""
+        text = F.col("text") if n_chars is None else F.substring("text", 1, n_chars).alias("text")
+        docs = self.raw("documents").select("doc_id", text)
         n = self.raw("documents").count()          # one scalar; the texts stay distributed
         keyed = df.withColumn("_doc", F.col(key) % F.lit(max(n, 1)))
         return (keyed.join(docs, keyed["_doc"] == docs["doc_id"], "left")
@@ -155,7 +167,9 @@ class Tables:
         )
 
     # ---------------------------------------------------------------- interactions
-    def interactions(self, with_text: bool = False) -> DataFrame:
+    def interactions(self, with_text: bool = False, text_chars: int | None = None) -> DataFrame:
+        """Interactions over ``events``; ``with_text`` attaches ``transcript_text``, cut to
+        ``text_chars`` characters on the documents side (before the join) when given."""
         e = self.raw("events")
         k = F.get_json_object("props", "$.k").cast("long")
         df = e.select(
@@ -169,7 +183,7 @@ class Tables:
             (((F.col("user_id") % 5) - 2) * F.lit(0.3) + (k - 50) / F.lit(250.0)).alias("sentiment"),
         )
         if with_text:
-            df = self._attach_text(df, "interaction_id", "transcript_text")
+            df = self._attach_text(df, "interaction_id", "transcript_text", text_chars)
         return df
 
     # ---------------------------------------------------------------- providers
