@@ -67,19 +67,29 @@ def multi_lob_count(policies: DataFrame) -> DataFrame:
             .agg(F.size(F.collect_set("lob_type")).cast("long").alias("multi_lob_count")))
 
 
+def claim_day_counts(claims: DataFrame) -> DataFrame:
+    """Claims per (customer, policy, incident day) — one pre-aggregate (map-side partial
+    counts) that both same-day (C11) and 90-day duplicate (C09) counts are derived
+    from, so the claims table is scanned and shuffled once for both. ``policy_id``
+    may be NULL here; it is deliberately not filtered (a filter on a grouping key is
+    pushed under the aggregate and the two uses would no longer share the exchange)."""
+    return (claims.filter(F.col("customer_id").isNotNull() & F.col("incident_date").isNotNull())
+            .groupBy("customer_id", "policy_id", "incident_date").agg(F.count(F.lit(1)).alias("_n")))
+
+
 def same_day_counts(claims: DataFrame) -> DataFrame:
     """C11: claims per (customer, incident date)."""
-    return (claims.filter(F.col("customer_id").isNotNull() & F.col("incident_date").isNotNull())
-            .groupBy("customer_id", "incident_date").agg(F.count(F.lit(1)).alias("same_day_claims")))
+    return (claim_day_counts(claims).groupBy("customer_id", "incident_date")
+            .agg(F.sum("_n").cast("long").alias("same_day_claims")))
 
 
 def duplicate_counts_90d(claims: DataFrame, days: int = 90) -> DataFrame:
     """Per (customer, policy, incident date), the number of claims of the same
-    customer and policy whose incident is within +-``days`` days (self included)."""
-    per_day = (claims.filter(F.col("customer_id").isNotNull() & F.col("policy_id").isNotNull()
-                             & F.col("incident_date").isNotNull())
-               .groupBy("customer_id", "policy_id", "incident_date").agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_day", F.datediff(F.col("incident_date"), F.lit("1970-01-01").cast("date"))))
+    customer and policy whose incident is within +-``days`` days (self included).
+    The range window runs over per-day counts, never over raw claims. Rows with a
+    NULL policy form their own window group and never match an equi-join back."""
+    per_day = claim_day_counts(claims).withColumn(
+        "_day", F.datediff(F.col("incident_date"), F.lit("1970-01-01").cast("date")))
     w = Window.partitionBy("customer_id", "policy_id").orderBy("_day").rangeBetween(-days, days)
     return per_day.select("customer_id", "policy_id", "incident_date",
                           F.sum("_n").over(w).cast("long").alias("_within"))
