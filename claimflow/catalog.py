@@ -696,3 +696,20 @@ def _a17(t: Tables) -> DataFrame:
                                      texts=t.claim_texts())
     return out["audit"].select("flow_type", "reference_id", "agent_name", "step_number", "cortex_module_used",
                                "status", "created_at")
+
+
+# ============================================================== E03/E04: batch caps (the cap is the feature)
+@register("e03_gate_batch_cap20", ag.GATE_CAP20, ["v_claims", "v_customers", "v_policies"])
+def _e03(t: Tables) -> DataFrame:
+    """One claims-batch run: only the 20 oldest SUBMITTED claims are gated (the rest wait)."""
+    dqr = dq.dq_validate_claims(t.claims(), t.customers(), t.policies(), OW, keep_columns=True)
+    return dq.gate_batch(dqr, OW, cap=20)[1].select("claim_id", "customer_id", "claim_status")
+
+
+@register("e04_churn_batch_cap100", cs.ALERTS_AFTER.replace(
+              "'ACTIONED' AS status", "CASE WHEN priority <= 100 THEN 'ACTIONED' ELSE 'NEW' END AS status"),
+          C360_SCORED_VIEWS, ["churn_propensity", "sentiment_score"])
+def _e04(t: Tables) -> DataFrame:
+    """One churn-pipeline run: the 100 NEW alerts with the best priority are worked, the rest stay NEW."""
+    c = c360_with_propensity(t)
+    return churn.run_churn(c, churn.empty_alerts(t.spark), OW, cap=100)[0]

@@ -83,3 +83,13 @@ SELECT 'CLAIMS', CAST(r.claim_id AS VARCHAR), a.agent_name, CAST(a.step_number A
 FROM ({ks.V2}) r, (VALUES ('INTAKE', 1, 'CLASSIFY_TEXT'), ('VALIDATION', 2, NULL),
   ('FRAUD', 3, 'COMPLETE+SEARCH+EMBED+SENTIMENT'), ('ASSESSMENT', 4, 'COMPLETE+SEARCH'), ('RESOLUTION', 5, 'COMPLETE'))
   AS a(agent_name, step_number, module)"""
+
+# One gate run over the 20 oldest SUBMITTED claims (the source's batch cap)
+GATE_CAP20 = f"""
+WITH q AS ({ks.dq_core()}),
+chosen AS (SELECT claim_id FROM q WHERE claim_status = 'SUBMITTED'
+           ORDER BY submission_date ASC NULLS LAST, claim_id LIMIT 20)
+SELECT claim_id, customer_id,
+  CASE WHEN claim_status = 'SUBMITTED' AND len(errs) > 0 AND claim_id IN (SELECT claim_id FROM chosen)
+       THEN 'DQ_FAILED' ELSE claim_status END AS claim_status
+FROM q"""

@@ -95,7 +95,8 @@ def duplicate_counts_90d(claims: DataFrame, days: int = 90) -> DataFrame:
                           F.sum("_n").over(w).cast("long").alias("_within"))
 
 
-def agent_validation_v1(claims: DataFrame, policies: DataFrame, all_claims: DataFrame | None = None) -> DataFrame:
+def agent_validation_v1(claims: DataFrame, policies: DataFrame, all_claims: DataFrame | None = None,
+                        keep_same_day: bool = False) -> DataFrame:
     """STATUS / DATES / LOB hard checks, LIMIT soft; max payable; multi-LOB; concurrency.
     Concurrent claims are the *other* claims of the same customer and incident date in
     ``all_claims`` (the whole claims table; default ``claims``), whatever their status."""
@@ -135,6 +136,7 @@ def agent_validation_v1(claims: DataFrame, policies: DataFrame, all_claims: Data
         F.when(found, checks).alias("checks"),
         F.when(found, F.coalesce(F.col("multi_lob_count"), F.lit(0))).cast("long").alias("multi_lob_count"),
         F.when(found, concurrent).cast("long").alias("concurrent_claims"),
+        *([F.col("same_day_claims").alias("_sameday")] if keep_same_day else []),
     )
     return out
 
@@ -209,8 +211,9 @@ def agent_resolution_v1(assessed: DataFrame, customers: DataFrame, claims: DataF
     else:
         cust = customers.select("customer_id", "customer_segment", "lifetime_value_score")
         j = assessed.join(cust, "customer_id", "inner")
-    j = j.join(same_day_counts(claims).withColumnRenamed("same_day_claims", "_sameday"),
-               ["customer_id", "incident_date"], "left")
+    if "_sameday" not in j.columns:        # not carried over from the validation step
+        j = j.join(same_day_counts(claims).withColumnRenamed("same_day_claims", "_sameday"),
+                   ["customer_id", "incident_date"], "left")
     fs = F.coalesce(F.col("composite_fraud_score"), F.lit(0.0))
     st = F.col("assessed_settlement")
     eligible = F.coalesce(F.col("eligible"), F.lit(True))
@@ -244,7 +247,8 @@ def process_claims_v1(claims: DataFrame, customers: DataFrame, policies: DataFra
     cust = customers.select("customer_id", F.col("onboarding_date").alias("_onb"),
                             F.col("customer_segment").alias("_seg"), F.col("lifetime_value_score").alias("_ltv"),
                             F.lit(True).alias("_cust"))
-    v = agent_validation_v1(sub.join(cust, "customer_id", "left"), policies, universe)
+    # the same-day count joined for validation also serves the expedite rule (no second join)
+    v = agent_validation_v1(sub.join(cust, "customer_id", "left"), policies, universe, keep_same_day=True)
     f = agent_fraud_v1(v, universe, customers, as_of, **scorers)
     a = agent_assessment_v1(f)
     return agent_resolution_v1(a, customers, universe)

@@ -73,9 +73,16 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster before CPU-heavy per-row work (tokenizing,
-    scoring) when it arrives in fewer partitions than the session's parallelism
-    (e.g. one Parquet row group). A no-op for inputs that are already split."""
+def spread(df: DataFrame, min_partitions: int | None = None, key: list[str] | None = None) -> DataFrame:
+    """Spread ``df`` over the cluster before per-row work when it arrives in fewer
+    partitions than the session's parallelism (e.g. one Parquet row group). A no-op
+    for inputs that are already split, i.e. for any real multi-file table.
+
+    With ``key`` (a unique or near-unique column) the rows are hash-partitioned on
+    it; otherwise round-robin (Spark then sorts each input partition first so that a
+    retried task reproduces its rows, which costs more). Filters and column
+    pruning still reach the scan below the repartition."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *key) if key else df.repartition(target)

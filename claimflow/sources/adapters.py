@@ -37,6 +37,8 @@ class Tables:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._cache:
+            # not spread here: the float aggregates (averages of FLOAT amounts) then sum in
+            # file order, as the source does; a repartition would make them order-dependent
             self._cache[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._cache[name]
 
