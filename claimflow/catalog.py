@@ -383,22 +383,23 @@ def _d19(t: Tables) -> DataFrame:
 
 @register("g07_sentiment_documents", rs.SENTIMENT_DOCS, [], ["sentiment"])
 def _g07(t: Tables) -> DataFrame:
-    return spread(t.documents()).select("doc_id", tx.sentiment(F.col("text")).alias("sentiment"))
+    return spread(t.documents(), key=["doc_id"]).select("doc_id", tx.sentiment(F.col("text")).alias("sentiment"))
 
 
 @register("g09_classify_lob_documents", rs.CLASSIFY_DOCS, [])
 def _g09(t: Tables) -> DataFrame:
-    return spread(t.documents()).select("doc_id", tx.classify_lob(F.col("text")).alias("lob_type"))
+    return spread(t.documents(), key=["doc_id"]).select("doc_id", tx.classify_lob(F.col("text")).alias("lob_type"))
 
 
 @register("g10_summarize_documents")
 def _g10(t: Tables) -> DataFrame:
-    return spread(t.documents()).select("doc_id", tx.summarize(F.col("text"), 2).alias("summary"))
+    return spread(t.documents(), key=["doc_id"]).select("doc_id", tx.summarize(F.col("text"), 2).alias("summary"))
 
 
 @register("g01_embed_documents")
 def _g01(t: Tables) -> DataFrame:
-    return models.embed_text(spread(t.documents().select("doc_id", "text")), "text", dim=64).drop("text")
+    docs = spread(t.documents().select("doc_id", "text"), key=["doc_id"])
+    return models.embed_text(docs, "text", dim=64).drop("text")
 
 
 @register("g11_search_bm25", rs.BM25, [], ["score"])
@@ -682,7 +683,7 @@ def _g04(t: Tables) -> DataFrame:
     docs = t.documents().select("doc_id", "text")
 
     def embed(new: DataFrame) -> DataFrame:
-        return (models.embed_text(spread(new), "text", dim=64).drop("text")
+        return (models.embed_text(spread(new, key=["doc_id"]), "text", dim=64).drop("text")
                 .withColumn("origin", F.lit("NEW")))
 
     added = similarity.refresh_pattern_embeddings(docs, stored, embed, key="doc_id")

@@ -138,7 +138,7 @@ def text_features_v2(claims: DataFrame, severity: Column | None = None,
         sev = severity if severity is not None else tx.classify_severity(F.col("text"))
         sent = sentiment if sentiment is not None else tx.sentiment(F.col("text"))
         from claimflow.session import spread
-        feats = spread(texts).select(F.col("text_id").alias(text_key), sev.alias("_severity"),
+        feats = spread(texts, key=["text_id"]).select(F.col("text_id").alias(text_key), sev.alias("_severity"),
                                      sent.alias("_sentiment"))
         out = claims.join(feats, text_key, "left")
         # a claim without a stored text has NULL text: severity falls back to 'medium'

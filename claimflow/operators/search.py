@@ -46,7 +46,7 @@ def search(corpus: DataFrame, queries: DataFrame, text_col: str, doc_id: str, k:
     """
     from claimflow.session import bounded_broadcast, spread
     extra = list(dict.fromkeys([*(filters or {}).keys(), *(return_cols or [])]))
-    docs = spread(corpus.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("_text"), *extra))
+    docs = spread(corpus.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("_text"), *extra), key=["doc_id"])
     toks = docs.select("doc_id", tokenize(F.col("_text")).alias("_toks"))
     stats = docs.agg(F.count(F.lit(1)).alias("n"),
                      F.avg(F.size(tokenize(F.col("_text")))).alias("avgdl")).collect()[0]
