@@ -103,17 +103,24 @@ def concat_transcripts(interactions: DataFrame, as_of, n_chars: int | None = 500
     cut to ``n_chars`` (``None`` = whole text); ``with_header`` prefixes
     '[channel timestamp] ' as the root-cause prompt does. No row limit (T08).
 
-    This is a per-customer string by definition (it becomes one prompt);
-    the rows are sorted inside the aggregate (``sort_array`` of structs)."""
+    This is a per-customer string by definition (it becomes one prompt), but no
+    task gathers a customer's rows: texts are first concatenated per (customer,
+    day) in parallel, then at most ``days + 1`` day parts per customer are joined
+    newest first. NULL texts are skipped as ``array_join`` skips them (a day of
+    only NULL texts contributes no part)."""
     recent = interactions.filter(F.col("interaction_date") >= minus_days(as_ts(as_of), days))
     body = F.col("transcript_text") if n_chars is None else F.substring("transcript_text", 1, n_chars)
     if with_header:
         body = F.concat(F.lit("["), F.col("channel"), F.lit(" "), F.col("interaction_date").cast("string"),
                         F.lit("] "), body)
     item = F.struct(F.col("interaction_date").alias("ts"), F.col("interaction_id").alias("id"), body.alias("t"))
-    return recent.groupBy("customer_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(item), asc=False), lambda x: x["t"]), sep)
-         .alias("transcripts"))
+    texts = F.filter(F.transform(F.sort_array(F.collect_list(item), asc=False), lambda x: x["t"]),
+                     lambda t: t.isNotNull())
+    parts = (recent.groupBy("customer_id", F.to_date("interaction_date").alias("_day"))
+             .agg(F.when(F.size(texts) > 0, F.array_join(texts, sep)).alias("_part")))
+    return parts.groupBy("customer_id").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_day", "_part")), asc=False),
+                                 lambda x: x["_part"]), sep).alias("transcripts"))
 
 
 def playbook_context(keys: DataFrame, playbooks: DataFrame, n_chars: int = 500, sep: str = "\n---\n",

@@ -191,3 +191,29 @@ def test_intake_v1_with_fenced_model_reply(spark):
     assert (out["C1"].lob_classification, out["C1"].confidence_score, out["C1"].urgency_level,
             out["C1"].parse_error) == ("PROPERTY", 0.9, "HIGH", False)
     assert (out["C2"].lob_classification, out["C2"].confidence_score, out["C2"].parse_error) == ("UNKNOWN", 0.5, True)
+
+
+def test_concat_transcripts_matches_brute_force(spark):
+    import datetime as dt
+    import random
+
+    from claimflow.operators import reports
+    rng = random.Random(7)
+    base = dt.datetime(2024, 2, 15)
+    rows = []
+    for i in range(400):
+        cust = 1 if i % 3 else rng.randint(2, 6)          # customer 1 holds two thirds of the rows
+        ts = base - dt.timedelta(hours=rng.randint(0, 24 * 100))
+        text = None if rng.random() < 0.15 else f"t{i}-" + "x" * rng.randint(0, 600)
+        rows.append((i, cust, "CHAT", ts, text))
+    rows.append((1000, 9, "CHAT", base - dt.timedelta(days=1), None))    # only NULL texts -> ""
+    df = spark.createDataFrame(rows, "interaction_id long, customer_id long, channel string, "
+                                     "interaction_date timestamp_ntz, transcript_text string")
+    got = {r.customer_id: r.transcripts for r in reports.concat_transcripts(df, "2024-02-15").collect()}
+    cutoff = base - dt.timedelta(days=90)
+    want = {}
+    for cust in {r[1] for r in rows}:
+        mine = sorted([r for r in rows if r[1] == cust and r[3] >= cutoff], key=lambda r: (r[3], r[0]), reverse=True)
+        if mine:
+            want[cust] = "\n---\n".join(r[4][:500] for r in mine if r[4] is not None)
+    assert got == want
