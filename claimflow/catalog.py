@@ -429,7 +429,13 @@ def _g16(t: Tables) -> DataFrame:
     return churn.customer_context(c, alerts, actions, mode="customer")
 
 
-@register("j05_interaction_features")
+def _j05_sql() -> str:
+    from claimflow.checks import agents_sql
+    return agents_sql.INTERACTION_FEATURES
+
+
+@register("j05_interaction_features", _j05_sql(), ["v_customers", "v_interactions"],
+          ["frustration_level", "digital_engagement_trend"])
 def _j05(t: Tables) -> DataFrame:
     c = c360.build_c360_full(t.customers(), t.policies(), t.claims(), t.payments(), t.interactions(), None, None,
                              OW, EV)

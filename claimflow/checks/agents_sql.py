@@ -4,6 +4,7 @@ the insert-only embedding refresh (G04 / A13) and the claims audit log (A17)."""
 from __future__ import annotations
 
 from claimflow.checks import claims_sql as ks
+from claimflow.constants import EVENT_WORLD_AS_OF as EV
 from claimflow.constants import ORDER_WORLD_AS_OF as OW
 
 # the v1 chain's CTEs (sub, mlob, sameday, dup, val, fr, asm) without its final projection
@@ -93,3 +94,17 @@ SELECT claim_id, customer_id,
   CASE WHEN claim_status = 'SUBMITTED' AND len(errs) > 0 AND claim_id IN (SELECT claim_id FROM chosen)
        THEN 'DQ_FAILED' ELSE claim_status END AS claim_status
 FROM q"""
+
+# J05 without a completion model: customers with interactions in the last 90 days get the
+# failed-parse update (five NULL features); everyone else keeps the build's defaults
+INTERACTION_FEATURES = f"""
+SELECT c.customer_id,
+  CASE WHEN r.customer_id IS NULL THEN 0.0::DOUBLE END AS frustration_level,
+  CASE WHEN r.customer_id IS NULL THEN FALSE END AS intent_cancel_detected,
+  CASE WHEN r.customer_id IS NULL THEN CAST(0 AS BIGINT) END AS competitor_mentions_count,
+  CASE WHEN r.customer_id IS NULL THEN 0.0::DOUBLE END AS digital_engagement_trend,
+  CASE WHEN r.customer_id IS NULL THEN FALSE END AS emotional_manipulation_flag
+FROM v_customers c
+LEFT JOIN (SELECT DISTINCT customer_id FROM v_interactions
+           WHERE interaction_date >= TIMESTAMP '{EV} 00:00:00' - INTERVAL 90 DAY) r
+  ON c.customer_id = r.customer_id"""
