@@ -720,3 +720,22 @@ def _e04(t: Tables) -> DataFrame:
     """One churn-pipeline run: the 100 NEW alerts with the best priority are worked, the rest stay NEW."""
     c = c360_with_propensity(t)
     return churn.run_churn(c, churn.empty_alerts(t.spark), OW, cap=100)[0]
+
+
+# ============================================================== A06 + G17: staged documents
+@register("g17_process_pages", ag.PROCESS_PAGES, [])
+def _g17(t: Tables) -> DataFrame:
+    """Each page is a staged HTML file ``P<page_id>/DOC-<page_id>_page.html``: registered
+    PENDING (A06), joined to its bytes by path, decoded, marked EXTRACTED / FAILED with its
+    length and an embedding of the first 8000 characters (G17)."""
+    pages = spread(t.raw("pages").select("page_id", "html"), key=["page_id"])
+    files = pages.select(
+        F.concat(F.lit("P"), F.col("page_id").cast("string"), F.lit("/DOC-"), F.col("page_id").cast("string"),
+                 F.lit("_page.html")).alias("path"),
+        F.encode(F.col("html"), "UTF-8").alias("content"))
+    listing = files.select("path", F.octet_length("content").alias("length"))
+    out = models.process_documents(models.register_documents(listing, EV), files, EV, dim=64)
+    return out.select("document_id", "claim_id", "file_name",
+                      F.col("file_size_bytes").cast("long").alias("file_size_bytes"),
+                      "extraction_status", F.col("text_length").cast("long").alias("text_length"),
+                      F.size("text_embedding").cast("long").alias("embedding_dims"))

@@ -108,3 +108,12 @@ FROM v_customers c
 LEFT JOIN (SELECT DISTINCT customer_id FROM v_interactions
            WHERE interaction_date >= TIMESTAMP '{EV} 00:00:00' - INTERVAL 90 DAY) r
   ON c.customer_id = r.customer_id"""
+
+# A06 + G17 over the driver's web pages, each staged as <P page_id>/<DOC-page_id>_page.html
+PROCESS_PAGES = """
+SELECT 'DOC-' || CAST(page_id AS VARCHAR) AS document_id, 'P' || CAST(page_id AS VARCHAR) AS claim_id,
+  'page.html' AS file_name, CAST(strlen(html) AS BIGINT) AS file_size_bytes,
+  CASE WHEN html IS NOT NULL AND length(html) > 0 THEN 'EXTRACTED' ELSE 'FAILED' END AS extraction_status,
+  CAST(length(html) AS BIGINT) AS text_length,
+  CASE WHEN html IS NOT NULL AND length(html) > 0 THEN CAST(64 AS BIGINT) END AS embedding_dims
+FROM pages"""
