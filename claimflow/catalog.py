@@ -739,3 +739,13 @@ def _g17(t: Tables) -> DataFrame:
                       F.col("file_size_bytes").cast("long").alias("file_size_bytes"),
                       "extraction_status", F.col("text_length").cast("long").alias("text_length"),
                       F.size("text_embedding").cast("long").alias("embedding_dims"))
+
+
+# ============================================================== J08: root-cause step on its own
+@register("j08_root_cause_alerts", cs.ALERTS_AFTER.replace("'ACTIONED' AS status", "'IN_PROGRESS' AS status"),
+          C360_SCORED_VIEWS, ["churn_propensity", "sentiment_score"])
+def _j08(t: Tables) -> DataFrame:
+    """Today's NEW alerts after the root-cause step: IN_PROGRESS; without a completion
+    model the root cause and its confidence stay NULL (the source's failed-parse branch)."""
+    c = c360_with_propensity(t)
+    return churn.root_cause(churn.churn_scan(c, churn.empty_alerts(t.spark), OW), c, OW)
