@@ -34,6 +34,7 @@ class Tables:
         self.spark = spark
         self.root = root.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
+        self._scalars: dict[str, int] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -43,11 +44,23 @@ class Tables:
         return self._cache[name]
 
     # ---------------------------------------------------------------- customers
+    def _doc_count(self) -> int:
+        """Number of stored narratives (one scalar job per loader, not per use)."""
+        if "_doc_count" not in self._scalars:
+            self._scalars["_doc_count"] = max(self.raw("documents").count(), 1)
+        return self._scalars["_doc_count"]
+
+    def _nations(self) -> DataFrame:
+        """The nation dimension, broadcast only after its size check (checked once)."""
+        if "_nations" not in self._cache:
+            from claimflow.session import bounded_broadcast
+            self._cache["_nations"] = bounded_broadcast(self.raw("nation").select("n_nationkey", "n_name"))
+        return self._cache["_nations"]
+
     def customers(self) -> DataFrame:
         c = self.raw("customer")
-        n = self.raw("nation").select("n_nationkey", "n_name")
-        from claimflow.session import bounded_broadcast
-        return (c.join(bounded_broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+        n = self._nations()
+        return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
                 .select(
                     F.col("c_custkey").alias("customer_id"),
                     F.lit("Customer").alias("first_name"),
@@ -122,7 +135,7 @@ class Tables:
         if with_text:
             df = self._attach_text(df, "text_key", "claim_text")
         if with_text_key:
-            df = df.withColumn("claim_text_id", F.col("text_key") % F.lit(max(self.raw("documents").count(), 1)))
+            df = df.withColumn("claim_text_id", F.col("text_key") % F.lit(self._doc_count()))
         return df.drop("text_key")
 
     def claim_texts(self) -> DataFrame:
@@ -144,8 +157,7 @@ class Tables:
         documents scan and only the prefix crosses the join exchange."""
         text = F.col("text") if n_chars is None else F.substring("text", 1, n_chars).alias("text")
         docs = self.raw("documents").select("doc_id", text)
-        n = self.raw("documents").count()          # one scalar; the texts stay distributed
-        keyed = df.withColumn("_doc", F.col(key) % F.lit(max(n, 1)))
+        keyed = df.withColumn("_doc", F.col(key) % F.lit(self._doc_count()))  # one scalar; texts stay distributed
         return (keyed.join(docs, keyed["_doc"] == docs["doc_id"], "left")
                 .withColumnRenamed("text", out).drop("_doc", "doc_id"))
 
