@@ -181,13 +181,18 @@ def agent_fraud_v1(validated: DataFrame, claims: DataFrame, customers: DataFrame
     comp = (s_dup * 0.15 + s_ten * 0.10 + s_emb * 0.20 + s_rag * 0.15 + s_nar * 0.25
             + F.when(sent < -0.3, 0.15).otherwise(0.0))
     comp = F.least(F.greatest(comp, F.lit(0.0)), F.lit(1.0))
-    out = j.withColumn("composite_fraud_score", pyround(comp, 4))
-    return (out.withColumn("fraud_risk_level", F.when(F.col("composite_fraud_score") > 0.75, "HIGH")
-                           .when(F.col("composite_fraud_score") > 0.45, "MEDIUM").otherwise("LOW"))
-               .withColumn("recommended_action", F.when(F.col("composite_fraud_score") > 0.75, "REFER_TO_SIU")
-                           .when(F.col("composite_fraud_score") > 0.45, "FLAG_FOR_REVIEW").otherwise("PASS"))
-               .withColumn("dup_score", s_dup).withColumn("tenure_score", s_ten)
-               .drop("_within", *(["rag_score"] if rag is not None else [])))
+    # two projections (not a withColumn chain): each DataFrame step re-analyzes the whole plan
+    dropped = {"_within", "rag_score"} if rag is not None else {"_within"}
+    keep = [c for c in j.columns if c not in dropped]
+    out = j.select(*keep, pyround(comp, 4).alias("composite_fraud_score"), s_dup.alias("dup_score"),
+                   s_ten.alias("tenure_score"))
+    score = F.col("composite_fraud_score")
+    return out.select(*keep, "composite_fraud_score",
+                      F.when(score > 0.75, "HIGH").when(score > 0.45, "MEDIUM").otherwise("LOW")
+                       .alias("fraud_risk_level"),
+                      F.when(score > 0.75, "REFER_TO_SIU").when(score > 0.45, "FLAG_FOR_REVIEW")
+                       .otherwise("PASS").alias("recommended_action"),
+                      "dup_score", "tenure_score")
 
 
 def agent_assessment_v1(scored: DataFrame) -> DataFrame:
@@ -196,8 +201,8 @@ def agent_assessment_v1(scored: DataFrame) -> DataFrame:
     base = F.greatest(F.least(claimed, F.col("coverage_limit")) - F.col("deductible"), F.lit(0.0))
     fs = F.coalesce(F.col("composite_fraud_score"), F.lit(0.0))
     factor = F.when(fs > 0.75, 0.0).when(fs > 0.45, 0.7).otherwise(1.0)
-    return (scored.withColumn("base_settlement", base).withColumn("risk_factor", factor)
-                  .withColumn("assessed_settlement", pyround(base * factor, 2)))
+    return scored.select("*", base.alias("base_settlement"), factor.alias("risk_factor"),
+                         pyround(base * factor, 2).alias("assessed_settlement"))
 
 
 def agent_resolution_v1(assessed: DataFrame, customers: DataFrame, claims: DataFrame,
