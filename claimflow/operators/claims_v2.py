@@ -31,7 +31,7 @@ def agent_intake_v2(claims: DataFrame, severity: Column | None = None) -> DataFr
     intake = F.when(F.col("lob_type").isNotNull(),
                     F.struct(F.col("lob_type").alias("incident_type"), sev.alias("severity"),
                              F.lit("parsed").alias("status")))
-    return claims.withColumn("intake_output", intake).withColumn("current_state", F.lit("VALIDATION"))
+    return claims.withColumns({"intake_output": intake, "current_state": F.lit("VALIDATION")})
 
 
 def agent_validation_v2(claims: DataFrame, policies: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def agent_validation_v2(claims: DataFrame, policies: DataFrame) -> DataFrame:
         valid.alias("valid"), F.coalesce(F.col("_vstatus"), F.lit("UNKNOWN")).alias("policy_status"),
         F.coalesce(F.col("_vlimit"), F.lit(0.0)).alias("coverage_limit"),
         F.col("claimed_amount").alias("claimed_amount"), issues.alias("issues")))
-    return (j.withColumn("validation_output", out).withColumn("current_state", F.lit("FRAUD_CHECK"))
+    return (j.withColumns({"validation_output": out, "current_state": F.lit("FRAUD_CHECK")})
              .drop("_vp", "_vstatus", "_vlimit"))
 
 
@@ -82,12 +82,12 @@ def agent_fraud_v2(claims: DataFrame, vector_score: Column | None = None, sentim
     sent = sentiment if sentiment is not None else tx.sentiment(F.col("claim_text"))
     composite = F.coalesce(model_score, fraud_score_v2(vec, sent)) if model_score is not None \
         else fraud_score_v2(vec, sent)
-    c = claims.withColumn("_fs", composite).withColumn("_vec", vec).withColumn("_sent", sent)
+    c = claims.withColumns({"_fs": composite, "_vec": vec, "_sent": sent})
     out = F.when(_all_present(F.col("_fs"), F.col("_vec"), F.col("_sent")), F.struct(
         F.col("_fs").alias("composite_fraud_score"), risk_band(F.col("_fs"), 0.7, 0.4).alias("risk_level"),
         F.round("_vec", 3).alias("vector_similarity"), F.round("_sent", 3).alias("sentiment"),
         F.lit(True).alias("search_grounded")))
-    return (c.withColumn("fraud_output", out).withColumn("current_state", F.lit("ASSESSMENT"))
+    return (c.withColumns({"fraud_output": out, "current_state": F.lit("ASSESSMENT")})
              .drop("_fs", "_vec", "_sent"))
 
 
@@ -99,7 +99,7 @@ def agent_assessment_v2(claims: DataFrame, model_reply: Column | None = None) ->
         F.lit("Standard assessment with guideline context").alias("justification"),
         F.lit(True).alias("search_grounded")))
     out = fallback if model_reply is None else F.coalesce(model_reply, fallback)
-    return claims.withColumn("assessment_output", out).withColumn("current_state", F.lit("RESOLUTION"))
+    return claims.withColumns({"assessment_output": out, "current_state": F.lit("RESOLUTION")})
 
 
 def agent_resolution_v2(claims: DataFrame, as_of) -> DataFrame:
@@ -114,13 +114,13 @@ def agent_resolution_v2(claims: DataFrame, as_of) -> DataFrame:
                 .otherwise("APPROVED"))
     amount = (F.when(fs > 0.7, F.lit(0.0)).when(invalid, F.lit(0.0)).when(fs > 0.4, settle * 0.5)
               .otherwise(settle))
-    c = (claims.withColumn("fraud_score", fs).withColumn("fraud_risk_level", risk)
-               .withColumn("decision", decision).withColumn("settlement_amount", amount)
-               .withColumn("confidence_score", conf))
+    # one projection per dependency level (each DataFrame step re-analyzes the whole plan)
+    c = claims.withColumns({"fraud_score": fs, "fraud_risk_level": risk, "decision": decision,
+                            "settlement_amount": amount, "confidence_score": conf})
     res = F.when(F.col("settlement_amount").isNotNull(),
                  F.struct(F.col("decision"), F.col("settlement_amount")))
-    return (c.withColumn("resolution_output", res).withColumn("current_state", F.lit("COMPLETED"))
-             .withColumn("completed_at", as_ts(as_of)))
+    return c.withColumns({"resolution_output": res, "current_state": F.lit("COMPLETED"),
+                          "completed_at": as_ts(as_of)})
 
 
 def text_features_v2(claims: DataFrame, severity: Column | None = None,
