@@ -247,5 +247,6 @@ def churn_propensity(c360: DataFrame, ltv_high: float = 80.0) -> DataFrame:
          - ladder([(col("tenure_months") > 60, 0.1), (col("tenure_months") > 36, 0.05)])
          - ladder([(col("lifetime_value_score") > ltv_high, 0.05)])
          + F.lit(0.08))
-    return (c360.withColumn("churn_propensity_score", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), s)), 2))
-                .withColumn("churn_time_to_event_days", F.coalesce(renewal, F.lit(180)).cast("long")))
+    return c360.withColumns({
+        "churn_propensity_score": F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), s)), 2),
+        "churn_time_to_event_days": F.coalesce(renewal, F.lit(180)).cast("long")})

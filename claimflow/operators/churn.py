@@ -166,9 +166,9 @@ def generate_nba(alerts: DataFrame, c360: DataFrame, as_of, scorer=None, expiry_
                                  "timing string, expected_success_rate double, talking_points string")
         base = base.join(reply, "customer_id", "left")
     else:
-        for c, t in [("action_type", "string"), ("offer_details", "string"), ("channel", "string"),
-                     ("timing", "string"), ("expected_success_rate", "double"), ("talking_points", "string")]:
-            base = base.withColumn(c, F.lit(None).cast(t))
+        base = base.withColumns({c: F.lit(None).cast(t) for c, t in [
+            ("action_type", "string"), ("offer_details", "string"), ("channel", "string"),
+            ("timing", "string"), ("expected_success_rate", "double"), ("talking_points", "string")]})
     actions = base.select(
         F.sha2(F.concat_ws("-", F.lit("NBA"), F.col("customer_id").cast("string"), today.cast("string")), 256)
          .alias("nba_id"),
