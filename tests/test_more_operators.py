@@ -217,3 +217,16 @@ def test_concat_transcripts_matches_brute_force(spark):
         if mine:
             want[cust] = "\n---\n".join(r[4][:500] for r in mine if r[4] is not None)
     assert got == want
+
+
+def test_typed_scan_schemas_match_the_driver_files(spark):
+    # The declared schemas must be exactly what the files hold, at every scale
+    from pyspark.sql.types import _parse_datatype_string
+
+    from claimflow.sources.adapters import DRIVER_SCHEMAS, DRIVER_TABLES
+    assert set(DRIVER_SCHEMAS) == set(DRIVER_TABLES)
+    for sf in ("0.001", "0.01", "0.1"):
+        for name, ddl in DRIVER_SCHEMAS.items():
+            inferred = spark.read.parquet(f"/root/testdata/sf{sf}/{name}.parquet").schema
+            declared = _parse_datatype_string(ddl)
+            assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], (sf, name)
