@@ -6,4 +6,12 @@ Python runs only inside Arrow-batched scorers (``mapInPandas``) where no
 built-in expression exists.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the Python workers by value, so that a job needs the package on
+# the driver only.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"
