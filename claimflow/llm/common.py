@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,6 +26,11 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def output_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name under the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` (narrow rows) if it is counted at ``max_rows`` or fewer; else
     leave the join to a shuffle. Both ways give the same rows."""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import jaccard_join, ordinal_quality
-from claimflow.llm.common import read_table, small_batches
+from claimflow.llm import jaccard_join, mixing, orc_tokens, ordinal_quality, winnowing
+from claimflow.llm.common import output_folder, read_table, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,9 +28,56 @@ def op1_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op4_pareto_mix(spark, sf_dir):
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"), weight=mixing.damped)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 @register
 def op5_ordinal_quality(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     grade = F.col("quality") + 1 - F.col("toxic")
     return (ordinal_quality.quality_classifier(docs, read_table(spark, sf_dir, "labels"), grade)
             .select("doc_id", "expected_grade", "p_top", "kept"))
+
+
+def tokenizer_path() -> str:
+    """The tokenizer that the registered queries use; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register
+def op7_orc_tokens(spark, sf_dir):
+    path = output_folder(spark, "orc_tokens")
+    orc_tokens.write_tokens(read_table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return orc_tokens.token_digest(spark, path)
+
+
+@register
+def op9_winnowing(spark, sf_dir):
+    judged = winnowing.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return judged.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                         winnowing.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+ORACLE["op9_winnowing"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bi AS (SELECT item, w, least(len(w), 13) AS n, unnest(range(len(w) - least(len(w), 13) + 1)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, n, array_to_string(w[i + 1 : i + n], ' ') AS s FROM bi),
+sizes AS (SELECT DISTINCT n FROM bw),
+di AS (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i + 1 : i + n], ' ') AS s FROM di),
+hit AS (SELECT dw.doc_id, dw.i, dw.n, bw.item FROM dw JOIN bw ON dw.n = bw.n AND dw.s = bw.s),
+at AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit),
+cover AS (SELECT doc_id, count(*) AS n_hit FROM at GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(l, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cover ON d.doc_id = cover.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
+"""
