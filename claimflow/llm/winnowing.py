@@ -6,7 +6,8 @@ the join of test and training fingerprints misses no shared span. Documents with
 are then read again and their hits extended to whole windows: every ``SPAN``-word window of an item
 is looked up at every word of those documents, and the words inside matches are counted once.
 Items of fewer words than ``SPAN`` are one window of their own length (at most SPAN - 1 lengths),
-looked up in every document.
+looked up in every document. Word counts and fingerprints (a fifth of a long for each word) of all
+documents are checkpointed, so texts are split once, and once more where there is something to extend.
 
 Words: A-Z lower-cased, then ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. Windows are equal if their
 64-bit hashes over the words' 64-bit hashes are.
@@ -30,7 +31,6 @@ SPAN = 13
 MAX_BROADCAST_ROWS = 500_000  # narrow rows of numbers: at most some 20 MB
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
@@ -75,7 +75,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     hashed = keyed.select("id", "t", words_of(F.col("x")).alias("w")).select(
         "id", "t", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
-    asked = settle(hashed.withColumn("g", grams).select("id", "t", F.explode(least).alias("f"))
+    sketched = settle(hashed.withColumn("g", grams).select("id", "t", F.size("h").cast("long").alias("n_words"),
+                                                           least.alias("f")))
+    asked = settle(sketched.select("id", "t", F.explode("f").alias("f"))
                    .join(broadcast_within(prints, MAX_BROADCAST_ROWS), "f", "left_semi")
                    .select("id", "t").distinct())
     named = broadcast_within(asked.select(F.col("id").alias("id2"), F.col("t").alias("t2")), MAX_BROADCAST_ROWS)
@@ -101,7 +103,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     known = (covered.alias("c").join(listed.alias("l"), F.expr("c.id <=> l.id and c.t = l.t"))
              .select("c.id", "c.t", "n_hit", "item_ids"))
     known = known.select(F.col("id").alias("id2"), F.col("t").alias("t2"), "n_hit", "item_ids")
-    return (keyed.select("id", "t", F.regexp_count("x", F.lit(_ANY_CASE_WORD)).cast("long").alias("n_words"))
+    return (sketched.select("id", "t", "n_words")
             .join(known, (F.col("t") == F.col("t2")) & F.col("id").eqNullSafe(F.col("id2")), "left")
             .select(F.col("id").alias(id_col), F.col("t").alias("text_key"), "n_words",
                     F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
