@@ -16,7 +16,6 @@ are kept, ordered by the hash of their text; texts are encoded whole; an empty t
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -29,49 +28,77 @@ from claimflow.llm.common import running_total
 END_ID = 0
 ROW_GROUP = 1000
 STRIPE_BYTES = 64 << 20
-KEPT_PIECES = 400_000
-_UNUSUAL = re.compile(r"\s\s|[^\S \n]|^\s|\s$|[\x00-\x09\x0b-\x1f]")
+KEPT_WORDS = 600_000
 
 
 def encoder(tokenizer_path: str):
     """A function from texts to arrays of token ids (uint32), each distinct word encoded once.
 
     Words are known by how they stand in a text: after a space (as they are) or at the start of a line
-    (after a line feed). New words are encoded together, one to a line, and cut at the line feed's id:
-    no token holds a line feed next to a word. Texts with any other white space are encoded whole."""
+    (after a line feed). New words are encoded together, one to a line, and cut at the line feed's id.
+    A word of letters alone is one unit of the tokenizer's own splitting, so its line needs no further
+    splitting; a full stop or comma behind it is a unit of its own. All other words go through the
+    tokenizer as it is, and texts with any other white space are encoded whole."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True
-    (feed,) = tokenizer.encode("\n", add_special_tokens=False).ids
-    feed_bytes = np.array([feed], "<u4").tobytes()
-    known: dict[str, bytes] = {}
+    tokenizer, by_line = Tokenizer.from_file(tokenizer_path), Tokenizer.from_file(tokenizer_path)
+    tokenizer.encode_special_tokens = by_line.encode_special_tokens = True
+    by_line.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
-    def learn(words: list[str]) -> None:
+    def ids_of(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    (feed,) = ids_of("\n")
+    feed_bytes = feed.tobytes()
+    tails = {c: ids_of(c).tobytes() for c in ".,"}
+    known: dict[str, bytes | None] = {}
+
+    def encode_lines(words: list[str], how) -> None:
         for at in range(0, len(words), 2000):
             part = words[at : at + 2000]
             lines = "\n".join([w[1:] if w[0] == "\n" else f" {w}" for w in part])
-            ids = np.array(tokenizer.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(how.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
             raw, ends = ids.tobytes(), (np.flatnonzero(ids == feed) * 4).tolist()
             start = 0
             for w, end in zip(part, [*ends, len(raw)], strict=True):
                 known[w] = feed_bytes + raw[start:end] if w[0] == "\n" else raw[start:end]
                 start = end + 4
 
+    def learn(words) -> None:
+        plain, other, ended = set(), [], []
+        for w in words:
+            core = w[1:] if w[:1] == "\n" else w
+            if core.isalpha():
+                plain.add(w)
+            elif core[-1:] in tails and core[:-1].isalpha():
+                ended.append(w)
+            elif len(core.split()) == 1 and not core[0].isspace() and not core[-1].isspace():
+                other.append(w)
+            else:
+                known[w] = None  # empty, or it holds white space
+        plain.update(w[:-1] for w in ended)
+        encode_lines([w for w in plain if w not in known], by_line)
+        encode_lines(other, tokenizer)
+        for w in ended:
+            known[w] = known[w[:-1]] + tails[w[-1]]
+
     def encode(texts: list) -> list[np.ndarray]:
-        if len(known) > KEPT_PIECES:
+        if len(known) > KEPT_WORDS:
             known.clear()
-        cut = [None if not t or _UNUSUAL.search(t) else f"\n{t}".replace("\n", " \n")[1:].split(" ") for t in texts]
-        new = set().union(*[c for c in cut if c]) - known.keys()
-        learn(list(new))
-        whole = iter(tokenizer.encode_batch_fast([t for t, c in zip(texts, cut, strict=True) if t and not c],
-                                                 add_special_tokens=False))
-        get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, c)), "<u4")[1:] if c  # without the line feed put before the text
-                else np.array(next(whole).ids if t else [], "<u4") for t, c in zip(texts, cut, strict=True)]
+        cut = [f"\n{t}".replace("\n", " \n")[1:].split(" ") if t else () for t in texts]
+        learn(set().union(*cut) - known.keys())
+        out = []
+        for t, words in zip(texts, cut, strict=True):
+            parts = [known[w] for w in words]
+            if None in parts:
+                out.append(ids_of(t))
+            else:
+                out.append(np.frombuffer(b"".join(parts), "<u4")[1 if parts else 0 :])  # the first is the added feed
+        return out
 
     return encode
 

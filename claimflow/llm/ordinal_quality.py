@@ -8,13 +8,13 @@ Features (a set per document, so long texts are not louder than short ones word
 * each word's lower-cased letters, and its first 4, 5 and 6 bytes;
 * the punctuation that follows a word;
 * shares of the text (symbols, capital words, words equal to the one before, repeated words),
-  each as a binned indicator.
+  each as indicators of the bounds it reaches.
 
 Training reads a bounded sample of labelled documents (``max_rows``, chosen by a hash of the id, so
 reruns agree); scoring reads every whole text. Weights have a fixed size (2**bits floats) and are the
 only thing that travels to the tasks.
 
-Defined results: a null or empty text has only the share features and is scored like any other; a
+Defined results: a null or empty text has one constant feature and is scored like any other; a
 text of any length is read whole; repeated rows and ids are scored row by row; null labels are left
 out of training; without at least two different grades there is no model: grades and probabilities
 are null and every document is kept. Columns other than the id and the text pass through unread.
@@ -35,6 +35,7 @@ from claimflow.llm.text_bytes import mix, powers, prefix_hash, to_bytes, word_bo
 BITS = 18
 MAX_TRAINING_ROWS = 20_000
 EPOCHS = 8
+LEAST_ROWS = 4
 _LETTER = np.zeros(256, bool)
 _LETTER[list(range(65, 91)) + list(range(97, 123)) + list(range(128, 256))] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -43,7 +44,9 @@ _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>!@^~{}[]\\/"]] = True
+_ALWAYS = mix(np.array([999], np.uint64))  # a feature of every text
 _SHARE_BINS = np.array([0.002, 0.01, 0.03, 0.1, 0.25, 0.5])
+_SHARE_COPIES = 12  # features for each bin that a share reaches: few, so they may move fast
 
 
 def _spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +62,7 @@ def features(text, bits: int = BITS) -> np.ndarray:
     lowered = _LOWER[data]
     letters = _LETTER[data]
     starts, ends = _spans(letters)
-    found = []
+    found = [_ALWAYS]
     shares = np.zeros(4)
     if len(starts):
         sums, back = prefix_hash(lowered), powers(len(data) + 1, "down")
@@ -76,8 +79,8 @@ def features(text, bits: int = BITS) -> np.ndarray:
         tail = _spans(~letters & ~np.isin(data, (0x20, 0x0A)))
         found.append(mix((sums[tail[1]] - sums[tail[0]]) * back[tail[0]] + np.uint64(7)))
         shares[0] = _SYMBOL[data].sum() / max(1, len(first))
-    bins = np.searchsorted(_SHARE_BINS, shares, side="right")
-    found.append(mix(np.arange(4, dtype=np.uint64) * np.uint64(64) + bins.astype(np.uint64) + np.uint64(1000)))
+    reached = np.flatnonzero((shares[:, None] >= _SHARE_BINS[None, :]).ravel())
+    found.append(mix((reached[:, None] * _SHARE_COPIES + np.arange(_SHARE_COPIES)).ravel().astype(np.uint64) + np.uint64(1000)))
     return np.unique(np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
 
 
@@ -90,7 +93,7 @@ class OrdinalModel:
     grades: np.ndarray
 
     def score(self, rows: list[np.ndarray]) -> np.ndarray:
-        return np.array([self.weights[r].sum() for r in rows])
+        return np.array([self.weights[r].sum() for r in rows], float)
 
     def tails(self, rows: list[np.ndarray]) -> np.ndarray:
         """P(grade >= grades[1:]) for each row."""
@@ -98,12 +101,16 @@ class OrdinalModel:
 
 
 def fit(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, epochs: int = EPOCHS,
-        rate: float = 0.1, shrink: float = 1e-3, batch: int = 64) -> OrdinalModel | None:
-    """Maximum likelihood by AdaGrad over shuffled batches (a fixed order: refits agree)."""
+        rate: float = 0.1, shrink: float = 1e-3, batch: int = 64, least: int = LEAST_ROWS) -> OrdinalModel | None:
+    """Maximum likelihood by AdaGrad over shuffled batches (a fixed order: refits agree). Features of
+    fewer than ``least`` rows get no weight: they would only tell those rows from others."""
     values, y = np.unique(grade, return_inverse=True)
     if len(values) < 2:
         return None
     k = len(values) - 1
+    common = np.bincount(np.concatenate(rows), minlength=1 << bits) >= min(least, 1 + len(rows) // 50)
+    common[_ALWAYS >> np.uint64(64 - bits)] = True
+    rows = [r[common[r]] for r in rows]
     above = np.clip(np.array([np.mean(y >= g) for g in range(1, k + 1)]), 1e-3, 1 - 1e-3)
     cuts = np.log((1 - above) / above)
     weights = np.zeros(1 << bits)
@@ -137,7 +144,7 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, epochs: int
     return OrdinalModel(weights, cuts, values)
 
 
-def fit_with_cut(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, clean_loss: float = 0.001,
+def fit_with_cut(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, clean_loss: float = 0.002,
                  lowest: float = 0.3, highest: float = 0.9) -> tuple[OrdinalModel | None, float]:
     """A model and the tail probability from which a document is selected. A quarter of the sample is
     held out: the cut is as high as it can be while at most ``clean_loss`` of its top-grade documents
