@@ -34,7 +34,7 @@ from claimflow.llm.text_bytes import mix, powers, prefix_hash, to_bytes, word_bo
 
 BITS = 18
 MAX_TRAINING_ROWS = 20_000
-EPOCHS = 8
+EPOCHS = 12
 LEAST_ROWS = 4
 _LETTER = np.zeros(256, bool)
 _LETTER[list(range(65, 91)) + list(range(97, 123)) + list(range(128, 256))] = True
@@ -145,7 +145,7 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, epochs: int
 
 
 def fit_with_cut(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, clean_loss: float = 0.002,
-                 lowest: float = 0.3, highest: float = 0.9) -> tuple[OrdinalModel | None, float]:
+                 lowest: float = 0.4, highest: float = 0.9) -> tuple[OrdinalModel | None, float]:
     """A model and the tail probability from which a document is selected. A quarter of the sample is
     held out: the cut is as high as it can be while at most ``clean_loss`` of its top-grade documents
     fall below, within [lowest, highest]."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import jaccard_join, mixing, orc_tokens, ordinal_quality, winnowing
+from claimflow.llm import jaccard_join, mixing, orc_tokens, ordinal_quality, secret_scan, winnowing
 from claimflow.llm.common import output_folder, read_table, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,16 @@ def op5_ordinal_quality(spark, sf_dir):
             .select("doc_id", "expected_grade", "p_top", "kept"))
 
 
+@register
+def op6_secret_scan(spark, sf_dir):
+    found = secret_scan.find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda kind: F.filter("secrets", lambda x: x["kind"] == kind)
+    base = F.filter("secrets", lambda x: x["kind_no"] < len(secret_scan.BASE_KINDS))
+    return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k, *_ in secret_scan.BASE_KINDS],
+                        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("secrets")).alias("spans"))
+
+
 def tokenizer_path() -> str:
     """The tokenizer that the registered queries use; operators take any path."""
     import public_tokenizers

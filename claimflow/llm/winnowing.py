@@ -92,7 +92,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                      .join(broadcast_within(windows.where(F.col("n") == n), MAX_BROADCAST_ROWS), "f")
                      .select("id", "t", "at", "n", "item"))
     hits = (settle(reduce(DataFrame.unionByName, found).distinct()) if found
-            else spark.createDataFrame([], keyed.select("id", "t").schema.add("at", "int").add("n", "int").add("item", "string")))
+            else spark.createDataFrame([], f"id {docs.schema[id_col].dataType.simpleString()}, t long, at int, n int, item string"))
     before = Window.partitionBy("id", "t").orderBy("at", "n").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("at") + F.col("n")
     covered = (hits.select("id", "t", "at", "n").distinct()
