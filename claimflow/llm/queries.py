@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import jaccard_join, mixing, orc_tokens, ordinal_quality, secret_scan, winnowing
+from claimflow.llm import jaccard_join, mixing, orc_tokens, ordinal_quality, pseudonyms, secret_scan, url_filter, winnowing
 from claimflow.llm.common import output_folder, read_table, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,15 @@ def op7_orc_tokens(spark, sf_dir):
     return orc_tokens.token_digest(spark, path)
 
 
+PSEUDONYM_KEY = "registered-query"  # a job passes its own secret
+
+
+@register
+def op8_feistel_pseudonyms(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+
+
 @register
 def op9_winnowing(spark, sf_dir):
     judged = winnowing.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -91,3 +100,30 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN cover ON d.doc_id = cover.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
 """
+
+
+# fixed values of the contract
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/")]
+
+
+def labelled_urls(spark) -> DataFrame:
+    """A small labelled table: hosts of each kind under several domains and paths (label 1: block)."""
+    blocked = ["spam-farm", "adult-x", "casino-win", "free-pills", "xxx-videos", "warez-crack", "phish-login", "bet-slots",
+               "cheap-meds", "clickbait-ads", "spamlinks", "adult-cams"]
+    allowed = ["news", "blog.garden", "docs.library", "wiki", "school", "museum", "weather", "m.reader", "www.journal",
+               "health", "blog.travel", "science", "archive", "recipes", "city-council", "open-data"]
+    rows = []
+    for label, hosts in ((1, blocked), (0, allowed)):
+        for n, host in enumerate(hosts):
+            end = ("com", "net", "org", "example.com", "example.net")[n % 5]
+            lang = ("en", "de", "fr", "es")[n % 4]
+            rows += [(f"https://{host}.{end}/{lang}/{100 + 37 * n}", label), (f"http://www.{host}.{end}/{lang}/", label),
+                     (f"https://{host}.{('net', 'com')[n % 2]}/index.html", label)]
+    return spark.createDataFrame(rows, "url string, label int")
+
+
+@register
+def op10_url_filter(spark, sf_dir):
+    judged = url_filter.filter_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), labelled_urls(spark), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "p_block")
