@@ -17,13 +17,14 @@ are kept, ordered by the hash of their text; texts are encoded whole; an empty t
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm.common import running_total
+from claimflow.llm.common import running_total, settle
 
 END_ID = 0
 ROW_GROUP = 1000
@@ -31,42 +32,35 @@ STRIPE_BYTES = 64 << 20
 KEPT_WORDS = 600_000
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies spell each byte: printable bytes as themselves, others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spelt = {b: chr(b) for b in plain}
+    return spelt | {b: chr(256 + n) for n, b in enumerate(x for x in range(256) if x not in spelt)}
+
+
 def encoder(tokenizer_path: str):
-    """A function from texts to arrays of token ids (uint32), each distinct word encoded once.
+    """A function from texts to lists of token-id bytes (little-endian uint32), each distinct word encoded once.
 
     Words are known by how they stand in a text: after a space (as they are) or at the start of a line
-    (after a line feed). New words are encoded together, one to a line, and cut at the line feed's id.
-    A word of letters alone is one unit of the tokenizer's own splitting, so its line needs no further
-    splitting; a full stop or comma behind it is a unit of its own. All other words go through the
-    tokenizer as it is, and texts with any other white space are encoded whole."""
+    (after a line feed). A word of letters alone is one unit of the tokenizer's own splitting, so the
+    library's model encodes it directly; a full stop or comma behind it is a unit of its own. All other
+    words go through the whole tokenizer, and texts with any other white space are encoded whole."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
-    from tokenizers import Tokenizer, pre_tokenizers
-
-    tokenizer, by_line = Tokenizer.from_file(tokenizer_path), Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = by_line.encode_special_tokens = True
-    by_line.pre_tokenizer = pre_tokenizers.Sequence([
-        pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-
-    def ids_of(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    (feed,) = ids_of("\n")
-    feed_bytes = feed.tobytes()
-    tails = {c: ids_of(c).tobytes() for c in ".,"}
-    known: dict[str, bytes | None] = {}
-
-    def encode_lines(words: list[str], how) -> None:
-        for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            lines = "\n".join([w[1:] if w[0] == "\n" else f" {w}" for w in part])
-            ids = np.array(how.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
-            raw, ends = ids.tobytes(), (np.flatnonzero(ids == feed) * 4).tolist()
-            start = 0
-            for w, end in zip(part, [*ends, len(raw)], strict=True):
-                known[w] = feed_bytes + raw[start:end] if w[0] == "\n" else raw[start:end]
-                start = end + 4
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    tokenizer.encode_special_tokens = True
+    model, spelling = tokenizer.model, _byte_letters()
+
+    def ids_of(text: str) -> bytes:
+        return array("I", tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    feed = ids_of("\n")
+    tails = {c: ids_of(c) for c in ".,"}
+    known: dict[str, bytes] = {}
 
     def learn(words) -> None:
         plain, other, ended = set(), [], []
@@ -77,27 +71,35 @@ def encoder(tokenizer_path: str):
             elif core[-1:] in tails and core[:-1].isalpha():
                 ended.append(w)
             elif len(core.split()) == 1 and not core[0].isspace() and not core[-1].isspace():
-                other.append(w)
+                other.append(w)  # else it is empty or holds white space, and stays unknown
+        plain.update([w[:-1] for w in ended])
+        plain = [w for w in plain if w not in known]
+        lines = "\n".join([w if w[0] == "\n" else f" {w}" for w in plain])
+        spelt = lines.encode().decode("latin-1").translate(spelling).split(spelling[10])
+        at = 0
+        for w in plain:
+            if w[0] == "\n":  # its own line feed has made an empty entry before it
+                at += 1
+                known[w] = feed + array("I", [t.id for t in model.tokenize(spelt[at])]).tobytes()
             else:
-                known[w] = None  # empty, or it holds white space
-        plain.update(w[:-1] for w in ended)
-        encode_lines([w for w in plain if w not in known], by_line)
-        encode_lines(other, tokenizer)
+                known[w] = array("I", [t.id for t in model.tokenize(spelt[at])]).tobytes()
+            at += 1
+        for w in other:
+            known[w] = ids_of(w if w[0] == "\n" else f" {w}")
         for w in ended:
             known[w] = known[w[:-1]] + tails[w[-1]]
 
-    def encode(texts: list) -> list[np.ndarray]:
+    def encode(texts: list) -> list[bytes]:
         if len(known) > KEPT_WORDS:
             known.clear()
         cut = [f"\n{t}".replace("\n", " \n")[1:].split(" ") if t else () for t in texts]
         learn(set().union(*cut) - known.keys())
-        out = []
+        get, out = known.__getitem__, []
         for t, words in zip(texts, cut, strict=True):
-            parts = [known[w] for w in words]
-            if None in parts:
+            try:
+                out.append(b"".join(map(get, words))[len(feed) if words else 0 :])  # without the added line feed
+            except KeyError:
                 out.append(ids_of(t))
-            else:
-                out.append(np.frombuffer(b"".join(parts), "<u4")[1 if parts else 0 :])  # the first is the added feed
         return out
 
     return encode
@@ -114,16 +116,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
              .repartitionByRange(n, *order).sortWithinPartitions(*order))
 
     def run(batches):
-        encode = encoder(tokenizer_path)
-        end = np.array([end_id], "<u4")
+        encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for b in batches:
-            for at in range(0, len(b), batch):
-                part = b.iloc[at : at + batch]
-                ids = [np.concatenate([x, end]).astype(np.int32) for x in encode(part["text"].tolist())]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "text_key": part["text_key"], "tokens": ids})
-
-    (dealt.mapInPandas(run, f"doc_id {kind}, text_key long, tokens array<int>").write.mode("errorifexists")
-     .option("compression", "zstd").option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
+            for at in range(0, b.num_rows, batch):
+                part = b.slice(at, batch)
+                ids = [x + end for x in encode(part["text"].to_pylist())]
+                ends = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
+                tokens = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), "<i4")))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["text_key"], tokens], ["doc_id", "text_key", "tokens"])
+
+    (dealt.mapInArrow(run, f"doc_id {kind}, text_key long, tokens array<int>").write.mode("errorifexists")
+     .option("compression", "none").option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
      .option("orc.row.index.stride", str(ROW_GROUP)).option("orc.stripe.size", str(STRIPE_BYTES))
      .orc(path))
 
@@ -144,10 +147,14 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            arrays = [np.asarray(x, "<u4") for x in b["tokens"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "text_key": b["text_key"], "n_tokens": [len(x) for x in arrays],
-                                "ids_crc32": [zlib.crc32(x.tobytes()) for x in arrays]})
-
-    sizes = stored.mapInPandas(run, f"doc_id {kind}, text_key long, n_tokens long, ids_crc32 long")
+            tokens = b["tokens"]
+            ends = tokens.offsets.to_numpy()
+            ids = memoryview(np.ascontiguousarray(tokens.values.to_numpy(), "<i4")).cast("B")
+            crc = [zlib.crc32(ids[4 * s : 4 * e]) for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], b["text_key"], pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())],
+                ["doc_id", "text_key", "n_tokens", "ids_crc32"])
+
+    sizes = settle(stored.mapInArrow(run, f"doc_id {kind}, text_key long, n_tokens long, ids_crc32 long"))
     return running_total(sizes, [], ["doc_id", "text_key"], "n_tokens", "start").select(
         "doc_id", "start", "n_tokens", "ids_crc32")

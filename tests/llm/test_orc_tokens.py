@@ -39,7 +39,7 @@ def test_query_equals_the_library(spark, tokenizer):
 def test_pieces_equal_whole_texts(tokenizer, text):
     encode = orc_tokens.encoder(queries.tokenizer_path())
     for _ in range(2):  # once new, once known
-        assert encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_files_are_in_order_and_pruned(spark):
