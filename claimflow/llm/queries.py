@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import jaccard_join, mixing, orc_tokens, ordinal_quality, pseudonyms, secret_scan, url_filter, winnowing
+from claimflow.llm import (
+    jaccard_join,
+    mixing,
+    orc_tokens,
+    ordinal_quality,
+    pseudonyms,
+    quality_outliers,
+    secret_scan,
+    url_filter,
+    winnowing,
+)
 from claimflow.llm.common import output_folder, read_table, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +38,11 @@ def op1_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op2_quality_rules(spark, sf_dir):
+    return quality_outliers.quality_rules(read_table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_pareto_mix(spark, sf_dir):
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"), weight=mixing.damped)
