@@ -15,6 +15,7 @@ from claimflow.llm import (
     pseudonyms,
     quality_outliers,
     secret_scan,
+    suffix_dedup,
     url_filter,
     winnowing,
 )
@@ -43,6 +44,12 @@ def op2_quality_rules(spark, sf_dir):
     return quality_outliers.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op3_suffix_dedup(spark, sf_dir):
+    left = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("runs").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @register
 def op4_pareto_mix(spark, sf_dir):
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"), weight=mixing.damped)
