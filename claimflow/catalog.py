@@ -551,7 +551,7 @@ def _h23(t: Tables) -> DataFrame:
                                      texts=t.claim_texts())
     refs = out["resolutions"].select(F.col("claim_id").alias("reference_id"))
     trail = reports.audit_trail(out["audit"].filter(F.col("agent_name") != "DQ_VALIDATOR"), refs)
-    return trail.select("flow_type", "reference_id", "agent_name", "step_number", "cortex_module_used", "status")
+    return trail.select("flow_type", "reference_id", "agent_name", "step_number", "module_used", "status")
 
 
 @register("e07_deep_dive_claims", rs.DEEP_DIVE_CLAIMS, C360_SCORED_VIEWS)
@@ -605,8 +605,9 @@ def _d17(t: Tables) -> DataFrame:
 
 @register("j13_log_interactions", rs.CHAT_LOG, [])
 def _j13(t: Tables) -> DataFrame:
-    chat = t.raw("conversations").select(F.col("conv_id").alias("customer_id"), "text",
-                                         F.when(F.col("role") == "user", "customer").otherwise("agent").alias("mode"))
+    chat = churn.pair_turns(t.raw("conversations")).select(
+        F.col("conv_id").alias("customer_id"), "turn", "prompt", "reply",
+        F.when(F.col("conv_id") % 2 == 0, "agent").otherwise("customer").alias("mode"))
     return churn.log_interactions(chat, f"{EV}")
 
 
@@ -701,7 +702,7 @@ def _g04(t: Tables) -> DataFrame:
 def _a17(t: Tables) -> DataFrame:
     out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
                                      texts=t.claim_texts())
-    return out["audit"].select("flow_type", "reference_id", "agent_name", "step_number", "cortex_module_used",
+    return out["audit"].select("flow_type", "reference_id", "agent_name", "step_number", "module_used",
                                "status", "created_at")
 
 

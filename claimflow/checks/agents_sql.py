@@ -75,7 +75,7 @@ WHERE NOT EXISTS (SELECT 1 FROM embeddings e WHERE e.vec_id = d.doc_id)"""
 
 CLAIMS_AUDIT = f"""
 SELECT 'CLAIMS' AS flow_type, CAST(claim_id AS VARCHAR) AS reference_id, 'DQ_VALIDATOR' AS agent_name,
-  CAST(0 AS BIGINT) AS step_number, CAST(NULL AS VARCHAR) AS cortex_module_used, 'DQ_FAILED' AS status,
+  CAST(0 AS BIGINT) AS step_number, CAST(NULL AS VARCHAR) AS module_used, 'DQ_FAILED' AS status,
   TIMESTAMP '{OW} 00:00:00' AS created_at
 FROM ({ks.dq_core()}) q WHERE claim_status = 'SUBMITTED' AND len(errs) > 0
 UNION ALL

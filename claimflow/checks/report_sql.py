@@ -299,7 +299,7 @@ FROM ({V2H}) h"""
 
 AUDIT_TRAIL = f"""
 SELECT 'CLAIMS' AS flow_type, CAST(r.claim_id AS VARCHAR) AS reference_id, a.agent_name, a.step_number,
-  a.module AS cortex_module_used, 'SUCCESS' AS status
+  a.module AS module_used, 'SUCCESS' AS status
 FROM ({ks.V2}) r, (VALUES ('INTAKE', 1, 'CLASSIFY_TEXT'), ('VALIDATION', 2, NULL),
   ('FRAUD', 3, 'COMPLETE+SEARCH+EMBED+SENTIMENT'), ('ASSESSMENT', 4, 'COMPLETE+SEARCH'), ('RESOLUTION', 5, 'COMPLETE'))
   AS a(agent_name, step_number, module)"""
@@ -331,12 +331,15 @@ SELECT customer_id, count(DISTINCT lob_type) AS multi_lob_count FROM v_policies
 WHERE policy_status = 'ACTIVE' GROUP BY customer_id"""
 
 CHAT_LOG = f"""
-SELECT substr(sha256('INT-' || CAST(conv_id AS VARCHAR) || '-' || text || '-' || '{EV} 00:00:00'), 1, 12)
-    AS interaction_id,
-  conv_id AS customer_id, 'CHAT' AS channel, TIMESTAMP '{EV} 00:00:00' AS interaction_date,
-  left(text, 500) AS transcript_text, CASE WHEN role = 'user' THEN 'INBOUND' ELSE 'OUTBOUND' END AS direction,
-  'RESOLVED' AS resolution_status, CAST(NULL AS BIGINT) AS nps_score
-FROM conversations"""
+SELECT 'INT-' || upper(left(sha256(CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) || '-' || said), 12)) AS interaction_id,
+  conv_id AS customer_id, 'CHAT' AS channel, TIMESTAMP '{EV} 00:00:00' AS interaction_date, said AS transcript_text,
+  ['INTERNAL', 'INBOUND'][1 + conv_id % 2] AS direction, ['Agent Assist', 'Customer Chat'][1 + conv_id % 2] AS topic,
+  'RESOLVED' AS resolution_status, 'ASSISTANT' AS agent_id, CAST(0 AS BIGINT) AS duration_seconds,
+  CAST(NULL AS BIGINT) AS nps_score
+FROM (SELECT u.conv_id, u.turn, 'User: ' || coalesce(u.text, '') || chr(10) || 'Assistant: ' || coalesce(a.text, '') AS said
+      FROM conversations u LEFT JOIN conversations a
+        ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+      WHERE u.role = 'user')"""
 
 DEFAULTS = f"""
 SELECT conv_id, turn, role,

@@ -80,11 +80,11 @@ SELECT vec_id AS pattern_id, 'PATTERN_' || CAST(label AS VARCHAR) AS pattern_typ
        CAST(embedding AS DOUBLE[]) AS pattern_embedding,
        {_pick('label', ['LOW', 'MEDIUM', 'HIGH', 'CRITICAL'], 4)} AS severity,
        {_pick('label', ['AUTO', 'PROPERTY', 'WORKERS_COMP', 'ALL'], 4)} AS lob_type
-FROM embeddings WHERE vec_id < 20""",
+FROM embeddings WHERE vec_id % 25 = 0""",
     "v_claim_embeddings": f"""
-SELECT vec_id AS claim_id, CAST(trunc((vec_id - 20) / 3) AS BIGINT) AS customer_id,
+SELECT vec_id AS claim_id, CAST(floor(vec_id / 3) AS BIGINT) AS customer_id,
        {_pick('label', LOB3, 3)} AS lob_type, CAST(embedding AS DOUBLE[]) AS claim_embedding
-FROM embeddings WHERE vec_id >= 20""",
+FROM embeddings WHERE vec_id % 25 <> 0""",
     "v_applications": f"""
 SELECT c_custkey AS application_id, c_name AS applicant_name,
        CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey AS VARCHAR) END AS existing_customer_id,

@@ -250,19 +250,35 @@ def nba_for_crm(nba: DataFrame, customers: DataFrame, c360: DataFrame, as_of) ->
         "rationale", "status", "expiry_date")
 
 
-def log_interactions(chat: DataFrame, as_of, mode_col: str = "mode") -> DataFrame:
-    """Chat turns written back as interactions (CHAT, direction by mode, text
-    cut to 500, RESOLVED, NULL NPS). ``chat`` has customer_id, text, mode."""
+def pair_turns(conversations: DataFrame) -> DataFrame:
+    """User turns with the assistant turn that follows them in the conversation (NULL reply: none)."""
+    asked = conversations.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("prompt"))
+    told = conversations.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
+    return asked.join(told, ["conv_id", "turn"], "left")
+
+
+def log_interactions(chat: DataFrame, as_of, mode_col: str = "mode", agent_id: str = "ASSISTANT",
+                     reply_chars: int | None = None) -> DataFrame:
+    """Chat exchanges written back as interactions: one row per (customer_id, turn, prompt, reply, mode).
+    Direction and topic follow the mode (agent or customer); the text holds both sides, whole unless
+    ``reply_chars`` cuts the reply; RESOLVED, duration 0, NULL NPS."""
     ts = as_ts(as_of)
+    agent = F.col(mode_col) == "agent"
+    reply = F.coalesce("reply", F.lit("")) if reply_chars is None else F.substring(F.coalesce("reply", F.lit("")), 1, reply_chars)
+    text = F.concat(F.lit("User: "), F.coalesce("prompt", F.lit("")), F.lit("\nAssistant: "), reply)
     return chat.select(
-        F.sha2(F.concat_ws("-", F.lit("INT"), F.col("customer_id").cast("string"), F.col("text"),
-                           ts.cast("string")), 256).substr(1, 12).alias("interaction_id"),
+        F.concat(F.lit("INT-"), F.upper(F.substring(F.sha2(F.concat_ws(
+            "-", F.col("customer_id").cast("string"), F.col("turn").cast("string"), text), 256), 1, 12))).alias("interaction_id"),
         "customer_id",
         F.lit("CHAT").alias("channel"),
         ts.alias("interaction_date"),
-        F.substring("text", 1, 500).alias("transcript_text"),
-        F.when(F.col(mode_col) == "customer", "INBOUND").otherwise("OUTBOUND").alias("direction"),
+        text.alias("transcript_text"),
+        F.when(agent, "INTERNAL").otherwise("INBOUND").alias("direction"),
+        F.when(agent, "Agent Assist").otherwise("Customer Chat").alias("topic"),
         F.lit("RESOLVED").alias("resolution_status"),
+        F.lit(agent_id).alias("agent_id"),
+        F.lit(0).cast("long").alias("duration_seconds"),
         F.lit(None).cast("long").alias("nps_score"),
     )
 
@@ -276,7 +292,8 @@ def customer_context(c360: DataFrame, alerts: DataFrame, nba: DataFrame, mode: s
     """One JSON bundle per customer (profile + alerts + actions). ``mode='customer'``
     drops the internal score columns. Alerts/actions are collected per customer
     (bounded by that customer's alerts), profile columns are a projection."""
-    internal = ["churn_propensity_score", "lifetime_value_score", "fraud_similarity_score", "loss_ratio"]
+    internal = ["churn_propensity_score", "lifetime_value_score", "fraud_similarity_score", "loss_ratio",
+                "provider_anomaly_score", "claim_cluster_id"]
     prof_cols = [c for c in c360.columns if mode == "internal" or c not in internal]
     a_cols = ["alert_date", "trigger_reason", "status", "root_cause"] + (
         ["churn_propensity", "priority"] if mode == "internal" else [])

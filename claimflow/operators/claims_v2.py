@@ -209,17 +209,19 @@ def latest_decision_text(resolutions: DataFrame) -> DataFrame:
 
 def run_claims_batch(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,
                      cap: int | None = None, severity: Column | None = None, vector_score: Column | None = None,
-                     sentiment: Column | None = None, texts: DataFrame | None = None):
+                     sentiment: Column | None = None, texts: DataFrame | None = None,
+                     all_claims: DataFrame | None = None):
     """DQ gate -> chain -> counts. Returns a dict of the produced tables.
 
     Row-aligned end to end: the gate filters the DQ-annotated claim rows and
     no result is joined back by ``claim_id``. Text features are either joined
     by text key after the gate (``texts`` given) or computed inline before it,
-    so the claim text never crosses a shuffle."""
+    so the claim text never crosses a shuffle. ``all_claims`` is the whole claims
+    table when ``claims`` is a batch of it: duplicates are looked for there."""
     from claimflow.operators.dq import dq_validate_claims, gate_batch
     keyed = texts is not None and "claim_text_id" in claims.columns
     base = claims if keyed else text_features_v2(claims, severity, sentiment)
-    dq = dq_validate_claims(base, customers, policies, as_of, keep_columns=True, keep_policy=True)
+    dq = dq_validate_claims(base, customers, policies, as_of, keep_columns=True, keep_policy=True, all_claims=all_claims)
     passed, claims_after, dq_audit = gate_batch(dq, as_of, cap)
     if keyed:
         passed = text_features_v2(passed, severity, sentiment, texts)

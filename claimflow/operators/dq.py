@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from claimflow.constants import DQ_GATE_ACCEPT, DUP_EXCLUDED_STATUSES, INTAKE_UI_ACCEPT
 from claimflow.functions.dates import as_ts, minus_days
 
+UNKNOWN_POLICY_IDS = (-1,)  # the sources' mark for "no such policy"
+UNMATCHED_PARTS = 64        # tasks that share the rows whose key cannot match
+
 
 def fmt_amount(c: Column) -> Column:
     """Number-to-text for messages: fixed 3 decimals (host float text differs, trap T11)."""
@@ -32,6 +35,22 @@ def _policy_lookup(policies: DataFrame) -> DataFrame:
                            F.col("coverage_limit").alias("_pol_limit"), F.lit(True).alias("_pol_found"))
 
 
+def _looked_up(claims: DataFrame, customers: DataFrame, policies: DataFrame) -> DataFrame:
+    """Claims with their customer and policy lookups. A claim without a key, or with the sentinel of an
+    unknown policy, cannot match: such rows would all meet in one task, so they are spread by a salt that
+    the lookup side does not have."""
+    spread = F.pmod(F.xxhash64("claim_id"), F.lit(UNMATCHED_PARTS)).cast("int") + 1
+    none = F.col("policy_id").isNull() | F.col("policy_id").isin(*UNKNOWN_POLICY_IDS)
+    salted = claims.withColumns({
+        "_cust_salt": F.when(F.col("customer_id").isNull(), spread).otherwise(0),
+        "_pol_salt": F.when(none, spread).otherwise(0)})
+    people = _existing_customers(customers).withColumnRenamed("customer_id", "_cid").withColumn("_csalt", F.lit(0))
+    pol = _policy_lookup(policies).withColumn("_psalt", F.lit(0))
+    c = salted.join(people, (F.col("customer_id") == F.col("_cid")) & (F.col("_cust_salt") == F.col("_csalt")), "left")
+    c = c.join(pol, (F.col("policy_id") == F.col("_pid")) & (F.col("_pol_salt") == F.col("_psalt")), "left")
+    return c.drop("_cid", "_cust_salt", "_csalt", "_pol_salt", "_psalt")
+
+
 def recent_similar_counts(claims: DataFrame, as_of, days: int = 30) -> DataFrame:
     """(customer_id, lob_type) -> count of recent, not denied / DQ-failed claims.
 
@@ -45,7 +64,8 @@ def recent_similar_counts(claims: DataFrame, as_of, days: int = 30) -> DataFrame
 
 def dq_validate_claims(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,
                        accept: list[str] = DQ_GATE_ACCEPT, dup_days: int = 30,
-                       keep_columns: bool = False, keep_policy: bool = False) -> DataFrame:
+                       keep_columns: bool = False, keep_policy: bool = False,
+                       all_claims: DataFrame | None = None) -> DataFrame:
     """Per claim ``passed``, ``errors`` and ``warnings`` (arrays of text).
 
     Row-preserving (every lookup side is unique on its key), so with
@@ -53,10 +73,11 @@ def dq_validate_claims(claims: DataFrame, customers: DataFrame, policies: DataFr
     gate never has to join results back by ``claim_id`` (which is a checked,
     not a guaranteed, key). ``keep_policy`` also keeps the policy lookup
     (``_pol_found``, ``_pol_status``, ``_pol_limit``) for later agents, so the
-    claims are not joined to the policies a second time."""
-    c = claims.join(_existing_customers(customers), "customer_id", "left")
-    c = c.join(_policy_lookup(policies), c.policy_id == F.col("_pid"), "left")
-    c = c.join(recent_similar_counts(claims, as_of, dup_days), ["customer_id", "lob_type"], "left")
+    claims are not joined to the policies a second time. Recent similar claims are
+    counted over ``all_claims`` (default: ``claims``), which holds the claims themselves."""
+    c = _looked_up(claims, customers, policies)
+    every = claims if all_claims is None else all_claims
+    c = c.join(recent_similar_counts(every, as_of, dup_days), ["customer_id", "lob_type"], "left")
     self_q = ((F.col("submission_date") >= minus_days(as_ts(as_of), dup_days))
               & ~F.col("claim_status").isin(*DUP_EXCLUDED_STATUSES))
     # the claim itself is in its own (customer, LOB) group when the group matched
@@ -110,8 +131,7 @@ def dq_validate_intake(claims: DataFrame, customers: DataFrame, policies: DataFr
         claims = claims.withColumn("_has_text", t.isNotNull() & (F.length(t) > 0)).drop("claim_text")
     else:
         claims = claims.withColumn("_has_text", F.lit(True))
-    c = claims.join(_existing_customers(customers), "customer_id", "left")
-    c = c.join(_policy_lookup(policies), c.policy_id == F.col("_pid"), "left")
+    c = _looked_up(claims, customers, policies)
     required = (F.col("customer_id").isNotNull() & F.col("policy_id").isNotNull()
                 & F.coalesce(F.col("_has_text"), F.lit(False)))
     found = F.col("_pol_found") == True  # noqa: E712

@@ -1,26 +1,25 @@
 """Vector operators: cosine (G02), max similarity to a pattern set (G03), top-k
 similar patterns with a LOB filter (G05/G06), pattern refresh (G04).
 
-Scoring many rows against a reference matrix is a dense matmul, so the
-pattern set is broadcast once (after a size check) and each Arrow batch of
-the large side is scored with numpy inside ``mapInPandas``: no cross join and
-no pair rows are ever materialised. When the pattern set is larger than one
-broadcast allows, it is split into bounded chunks, each chunk produces a
-partial result per row, and a ``groupBy`` merges the partials (exact).
+Scoring rows against a pattern set is a dense product. Patterns are dealt into ``blocks`` by a hash
+of their vector and rows into ``slices`` by their row number (by default as many as the session's shuffle
+partitions, so a slice is what any shuffled task holds); each (block, slice) is one co-grouped
+task that scores its rows with numpy. Pair rows are never made, nothing passes through the driver, and
+the partial results of a row are merged by its row number, so the number of blocks and slices (fixed
+parameters, not a switch on size) never shows in the result and rows that share a key stay apart.
+
+A NULL vector, a vector with a NULL or of another length, and a zero vector have no similarity (NULL).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bound on a broadcast pattern chunk: rows x dims x 8 bytes.
-MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+PATTERN_BLOCKS = 4
 
 
 def cosine(a: Column | str, b: Column | str) -> Column:
@@ -31,140 +30,113 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), zero, lambda s, v: s + v)
     na = F.aggregate(a, zero, lambda s, v: s + v.cast("double") * v.cast("double"))
     nb = F.aggregate(b, zero, lambda s, v: s + v.cast("double") * v.cast("double"))
-    return dot / (F.sqrt(na) * F.sqrt(nb))
+    return F.try_divide(dot, F.nullif(F.sqrt(na) * F.sqrt(nb), zero))
+
+
+def _unit(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of unit length, and which of them have a direction at all."""
+    size = max((len(v) for v in vectors if v is not None), default=0)
+    out = np.full((len(vectors), size), np.nan)
+    for i, v in enumerate(vectors):
+        if v is not None and len(v) == size:
+            out[i] = np.asarray(v, dtype=np.float64)
+    norm = np.linalg.norm(out, axis=1)
+    known = np.isfinite(norm) & (norm > 0)
+    out[known] /= norm[known, None]
+    return out, known
 
 
-def _pattern_chunks(patterns: DataFrame, vec_col: str, extra_cols: list[str]) -> Iterator[pd.DataFrame]:
-    """Yield the pattern table in driver-sized chunks (each within MAX_BROADCAST_BYTES)."""
-    first = patterns.select(F.size(vec_col).alias("d")).limit(1).collect()
-    if not first:
-        return
-    dim = max(int(first[0]["d"]), 1)
-    rows_per_chunk = max(MAX_BROADCAST_BYTES // (dim * 8), 1)
-    n = patterns.count()
-    if n <= rows_per_chunk:
-        yield patterns.select(vec_col, *extra_cols).toPandas()
-        return
-    # hash-split into 2x the minimum number of chunks so each one stays within the bound
-    n_chunks = 2 * ((n + rows_per_chunk - 1) // rows_per_chunk)
-    keyed = patterns.select(vec_col, *extra_cols).withColumn(
-        "_chunk", F.pmod(F.xxhash64(F.col(vec_col).cast("string")), F.lit(n_chunks)))
-    for c in range(n_chunks):
-        yield keyed.filter(F.col("_chunk") == c).drop("_chunk").toPandas()
+def _numbered(left: DataFrame, cols: list[str], blocks: int, slices: int) -> DataFrame:
+    """Rows with a number of their own, once for each pattern block."""
+    return (left.select(*cols).withColumn("_row", F.monotonically_increasing_id())
+            .withColumn("_slice", F.pmod("_row", F.lit(slices)).cast("int"))
+            .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
 
 
-def _unit(mat: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(mat, axis=1, keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return mat / norms
+def _dealt(patterns: DataFrame, cols: list[str], vec_col: str, blocks: int, slices: int) -> DataFrame:
+    """Patterns in their block, once for each slice of rows."""
+    return (patterns.select(*cols)
+            .withColumn("_block", F.pmod(F.xxhash64(vec_col), F.lit(blocks)).cast("int"))
+            .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))))
 
 
-def _stack(series: pd.Series) -> np.ndarray:
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in series]) if len(series) else np.zeros((0, 0))
+def _scored(left: pd.DataFrame, right: pd.DataFrame, left_vec: str, pattern_vec: str) -> np.ndarray:
+    """Similarities of all rows and patterns, NaN where there is none."""
+    a, a_known = _unit(left[left_vec])
+    b, b_known = _unit(right[pattern_vec])
+    out = np.full((len(a), len(b)), np.nan)
+    if a.shape[1] == b.shape[1]:
+        out[np.ix_(a_known, b_known)] = a[a_known] @ b[b_known].T
+    return out
 
 
 def max_similarity(left: DataFrame, patterns: DataFrame, left_vec: str, pattern_vec: str,
-                   key_cols: list[str], out_col: str = "max_similarity") -> DataFrame:
+                   key_cols: list[str], out_col: str = "max_similarity",
+                   blocks: int = PATTERN_BLOCKS, slices: int | None = None) -> DataFrame:
     """Per row of ``left``: max cosine similarity to any pattern (NULL if none)."""
-    spark = left.sparkSession
-    out_schema = T.StructType([left.schema[c] for c in key_cols] + [T.StructField(out_col, T.DoubleType())])
-    partials = []
-    for chunk in _pattern_chunks(patterns, pattern_vec, []):
-        pm = _unit(_stack(chunk[pattern_vec]))
-        bc = spark.sparkContext.broadcast(pm)
-
-        def score(it: Iterator[pd.DataFrame], bc=bc) -> Iterator[pd.DataFrame]:
-            p = bc.value
-            for pdf in it:
-                if len(pdf) == 0:
-                    continue
-                m = _unit(_stack(pdf[left_vec]))
-                sims = m @ p.T
-                out = pdf[key_cols].copy()
-                out[out_col] = sims.max(axis=1) if sims.shape[1] else np.nan
-                yield out
-
-        partials.append(left.select(*key_cols, left_vec).mapInPandas(score, out_schema))
-    if not partials:
-        return left.select(*key_cols).withColumn(out_col, F.lit(None).cast("double"))
-    if len(partials) == 1:
-        return partials[0]
-    u = partials[0]
-    for p in partials[1:]:
-        u = u.unionByName(p)
-    return u.groupBy(*key_cols).agg(F.max(out_col).alias(out_col))
+    slices = slices or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _numbered(left, [*dict.fromkeys([*key_cols, left_vec])], blocks, slices)
+    dealt = _dealt(patterns, [pattern_vec], pattern_vec, blocks, slices)
+
+    def score(l_rows: pd.DataFrame, r_rows: pd.DataFrame) -> pd.DataFrame:
+        sims = np.nan_to_num(_scored(l_rows, r_rows, left_vec, pattern_vec), nan=-np.inf)
+        best = sims.max(axis=1, initial=-np.inf)
+        return pd.DataFrame({"_row": l_rows["_row"], "_best": np.where(np.isfinite(best), best, np.nan)})
+
+    best = (rows.groupBy("_block", "_slice").cogroup(dealt.groupBy("_block", "_slice"))
+            .applyInPandas(score, "_row long, _best double")
+            .groupBy("_row").agg(F.max(F.nanvl("_best", F.lit(None).cast("double"))).alias(out_col)))
+    return (rows.where("_block = 0").join(best, "_row", "left")
+            .select(*key_cols, out_col))
 
 
 def top_k_patterns(left: DataFrame, patterns: DataFrame, left_vec: str, pattern_vec: str, k: int,
                    key_cols: list[str], left_lob: str = "lob_type", pattern_lob: str = "lob_type",
                    pattern_cols: tuple[str, ...] = ("pattern_id", "pattern_type", "severity", "pattern_description"),
-                   all_label: str = "ALL") -> DataFrame:
+                   all_label: str = "ALL", blocks: int = PATTERN_BLOCKS, slices: int | None = None) -> DataFrame:
     """For each row, the ``k`` most similar patterns whose LOB equals the row's
     LOB or ``all_label``; long form (keys, rank, pattern columns, similarity_score).
 
-    Ties are broken by pattern id. Chunks (when the pattern set exceeds one
-    broadcast) each keep their own top-k; the final window keeps the global top-k.
+    Ties are broken by pattern id. Each block keeps its own top-k of a row; a window over
+    the row's number keeps the global top-k.
     """
-    from pyspark.sql import Window
-    spark = left.sparkSession
+    cols = [*dict.fromkeys([*key_cols, left_vec, left_lob])]
     pcols = list(pattern_cols)
-    out_fields = ([left.schema[c] for c in key_cols]
-                  + [patterns.schema[c] for c in pcols]
-                  + [T.StructField("similarity_score", T.DoubleType()), T.StructField("rank", T.LongType())])
-    out_schema = T.StructType(out_fields)
-    parts = []
-    for chunk in _pattern_chunks(patterns, pattern_vec, pcols + [pattern_lob] if pattern_lob not in pcols else pcols):
-        pm = _unit(_stack(chunk[pattern_vec]))
-        meta = chunk[pcols].reset_index(drop=True)
-        plob = chunk[pattern_lob].to_numpy()
-        pid = chunk[pcols[0]].to_numpy()
-        bc = spark.sparkContext.broadcast((pm, meta, plob, pid))
-
-        def score(it: Iterator[pd.DataFrame], bc=bc) -> Iterator[pd.DataFrame]:
-            p, meta, plob, pid = bc.value
-            for pdf in it:
-                if len(pdf) == 0 or p.shape[0] == 0:
-                    continue
-                m = _unit(_stack(pdf[left_vec]))
-                sims = m @ p.T
-                lobs = pdf[left_lob].to_numpy()
-                allowed = (plob[None, :] == lobs[:, None]) | (plob[None, :] == all_label)
-                rows = []
-                for i in range(len(pdf)):
-                    idx = np.nonzero(allowed[i])[0]
-                    if idx.size == 0:
-                        continue
-                    s = sims[i, idx]
-                    order = np.lexsort((pid[idx], -s))[:k]
-                    for r, j in enumerate(order, start=1):
-                        rows.append((i, idx[j], s[j], r))
-                if not rows:
-                    continue
-                li, pj, sc, rk = zip(*rows)
-                out = pdf.iloc[list(li)][key_cols].reset_index(drop=True)
-                pm_ = meta.iloc[list(pj)].reset_index(drop=True)
-                out = pd.concat([out, pm_], axis=1)
-                out["similarity_score"] = np.asarray(sc, dtype=np.float64)
-                out["rank"] = np.asarray(rk, dtype=np.int64)
-                yield out
-
-        cols = list(dict.fromkeys([*key_cols, left_vec, left_lob]))
-        parts.append(left.select(*cols).mapInPandas(score, out_schema))
-    if not parts:
-        return spark.createDataFrame([], out_schema)
-    if len(parts) == 1:
-        return parts[0]          # already the exact top-k per row; no shuffle needed
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    w = Window.partitionBy(*key_cols).orderBy(F.col("similarity_score").desc(), F.col(pcols[0]).asc())
-    return u.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
-
-
-def similar_patterns_array(top_k: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Pack the top-k rows into one array of structs per key, ordered by score."""
+    slices = slices or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _numbered(left, cols, blocks, slices)
+    dealt = _dealt(patterns, [*dict.fromkeys([*pcols, pattern_lob, pattern_vec])], pattern_vec, blocks, slices)
+    schema = T.StructType([T.StructField("_row", T.LongType()), *[left.schema[c] for c in key_cols],
+                           *[patterns.schema[c] for c in pcols], T.StructField("similarity_score", T.DoubleType())])
+
+    def score(l_rows: pd.DataFrame, r_rows: pd.DataFrame) -> pd.DataFrame:
+        r_rows = r_rows.sort_values(pcols[0], kind="stable")
+        found = []
+        for lob, part in l_rows.groupby(left_lob, dropna=False):
+            mine = r_rows[(r_rows[pattern_lob] == lob) | (r_rows[pattern_lob] == all_label)]
+            if not len(mine):
+                continue
+            sims = _scored(part, mine, left_vec, pattern_vec)
+            order = np.argsort(np.where(np.isnan(sims), np.inf, -sims), axis=1, kind="stable")[:, :k]
+            i = np.repeat(np.arange(len(part)), order.shape[1])
+            j = order.ravel()
+            keep = ~np.isnan(sims[i, j])
+            i, j = i[keep], j[keep]
+            found.append(pd.concat([part[["_row", *key_cols]].iloc[i].reset_index(drop=True),
+                                    mine[pcols].iloc[j].reset_index(drop=True)], axis=1).assign(similarity_score=sims[i, j]))
+        return pd.concat(found) if found else pd.DataFrame(columns=schema.names)
+
+    near = (rows.groupBy("_block", "_slice").cogroup(dealt.groupBy("_block", "_slice"))
+            .applyInPandas(score, schema))
+    w = Window.partitionBy("_row").orderBy(F.col("similarity_score").desc(), F.col(pcols[0]).asc())
+    return near.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k).drop("_row")
+
+
+def similar_patterns_array(top_k: DataFrame, key_cols: list[str], chars: int | None = None) -> DataFrame:
+    """Pack the top-k rows into one array of structs per key, ordered by score.
+    ``chars`` cuts the descriptions for a caller that wants them short."""
+    text = F.col("pattern_description") if chars is None else F.substring("pattern_description", 1, chars)
     s = F.struct(F.col("rank"), F.col("pattern_type"), F.col("severity"), F.col("similarity_score"),
-                 F.substring("pattern_description", 1, 200).alias("description"))
+                 text.alias("description"))
     return (top_k.groupBy(*key_cols).agg(F.sort_array(F.collect_list(s)).alias("_a"))
                  .withColumn("similar_patterns", F.transform("_a", lambda x: x.dropFields("rank"))).drop("_a"))
 

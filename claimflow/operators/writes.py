@@ -1,18 +1,12 @@
-"""Write operators as pure DataFrame transforms (A07, A11-A17) plus a versioned
-Parquet table store (write a new version, then flip a pointer).
+"""Write operators as pure DataFrame transforms.
 
-Parquet has no row-level MERGE/UPDATE, so each DML statement becomes a join
-that produces the next version of the table; ``TableStore.commit`` writes it
-to a fresh version folder and only then updates the pointer file, so a
-failed job never leaves a half-written table behind.
+Parquet has no row-level MERGE/UPDATE, so each DML statement becomes a join that produces the next
+version of the table; the caller writes it with Spark's own writer to a place of its choice.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.functions.dates import as_ts
@@ -52,7 +46,7 @@ def audit_rows(df: DataFrame, flow: str, agent: str, step: int, as_of, status: s
         F.lit(step).cast("long").alias("step_number"),
         F.lit(None).cast("string").alias("input_payload"),
         payload.cast("string").alias("output_payload"),
-        F.lit(module).cast("string").alias("cortex_module_used"), F.lit(model).cast("string").alias("model_used"),
+        F.lit(module).cast("string").alias("module_used"), F.lit(model).cast("string").alias("model_used"),
         F.lit(None).cast("long").alias("latency_ms"),
         F.lit(status).alias("status"), F.lit(None).cast("string").alias("error_message"),
         as_ts(as_of).alias("created_at"),
@@ -136,58 +130,3 @@ def update_from(target: DataFrame, source: DataFrame, keys: list[str], cols: dic
     return j.select(*[F.when(F.col("_hit") == True, F.col(f"_u_{c}")).otherwise(F.col(c))  # noqa: E712
                       .cast(target.schema[c].dataType).alias(c) if c in cols else F.col(c)
                       for c in target.columns])
-
-
-# ------------------------------------------------------------------ versioned store
-class TableStore:
-    """Versioned Parquet tables under a shared root: ``<root>/<name>/v=<id>/`` and a
-    ``_current`` pointer file. Readers always see one complete version; the pointer
-    is written through the Hadoop FileSystem API (HDFS, object stores, local)."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_current"
-
-    def current_path(self, name: str) -> str | None:
-        fs, p = self._fs(self._pointer(name))
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            return json.loads(reader.readLine())["path"]
-        finally:
-            stream.close()
-
-    def read(self, name: str, schema=None) -> DataFrame | None:
-        path = self.current_path(name)
-        if path is None:
-            return None if schema is None else self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(path)
-
-    def commit(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Write a new version, then replace the pointer (write temp file + rename)."""
-        path = f"{self.root}/{name}/v={uuid.uuid4().hex}"
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        fs, ptr = self._fs(self._pointer(name))
-        _, tmp = self._fs(self._pointer(name) + f".{uuid.uuid4().hex}.tmp")
-        out = fs.create(tmp, True)
-        try:
-            out.write(bytearray(json.dumps({"path": path}).encode("utf-8")))
-        finally:
-            out.close()
-        if fs.exists(ptr):
-            fs.delete(ptr, False)
-        fs.rename(tmp, ptr)
-        return path

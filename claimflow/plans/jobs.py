@@ -1,16 +1,14 @@
-"""End-to-end batch jobs over the driver tables, persisted to a versioned store.
+"""End-to-end batch jobs over the driver tables. Every result is written with Spark's own Parquet
+writer to a folder that the caller names, and read again where a later step needs it.
 
-* ``bootstrap`` — the deployment bootstrap: C360 build + propensity, the
-  claims batch (DQ gate + v2 agents), the churn pipeline and the
-  underwriting run, each result committed as a table version.
-* ``daily_chain`` (L07) — unstructured features -> churn scan -> root cause
-  + actions. The scan runs twice by design (the chain's own scan and the
+* ``bootstrap`` — the deployment bootstrap: C360 build + propensity, the claims batch (DQ gate + v2
+  agents), the churn pipeline and the underwriting run.
+* ``daily_chain`` (L07) — unstructured features -> churn scan -> root cause + actions, from the tables
+  of one run to the tables of the next. The scan runs twice by design (the chain's own scan and the
   pipeline's); the 7-day suppression makes the second one add nothing.
-* ``refresh_c360`` (L06) — full recompute and atomic overwrite.
+* ``refresh_c360`` (L06) — full recompute.
 
-Large intermediate results that are read more than once are committed to
-the store (reliable, shared storage) rather than cached, so an executor loss
-recomputes only the missing partitions of the current stage.
+A run writes only into its own (new) folder: a failed run leaves the tables it read as they were.
 """
 
 from __future__ import annotations
@@ -19,65 +17,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.operators import c360, churn, claims_v2, underwriting
-from claimflow.operators.writes import TableStore
 from claimflow.sources.adapters import Tables
 
 
-def refresh_c360(t: Tables, store: TableStore, as_of, interactions_as_of=None) -> DataFrame:
-    """Recompute the full C360 (+ propensity) and commit it as a new version."""
+def put(df: DataFrame, root: str, name: str) -> DataFrame:
+    """Write a table into a run's folder (which must not hold it yet) and read it back."""
+    path = f"{root.rstrip('/')}/{name}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def get(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of an earlier run; it must exist."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+
+
+def refresh_c360(t: Tables, out_root: str, as_of, interactions_as_of=None) -> DataFrame:
+    """Recompute the full C360 (+ propensity) and write it."""
+    from claimflow.functions.dates import as_ts
     from claimflow.operators.similarity import max_similarity
     scored = max_similarity(t.claim_embeddings(), t.fraud_patterns(), "claim_embedding", "pattern_embedding",
                             ["claim_id", "customer_id", "lob_type"], "fraud_sim")
     full = c360.build_c360_full(t.customers(), t.policies(), t.claims(), t.payments(), t.interactions(),
                                 scored, t.providers(), as_of, interactions_as_of)
-    from claimflow.functions.dates import as_ts
-    out = c360.churn_propensity(full).withColumn("last_refreshed_at", as_ts(as_of))
-    store.commit("fct_customer_360", out)
-    return store.read("fct_customer_360")
+    return put(c360.churn_propensity(full).withColumn("last_refreshed_at", as_ts(as_of)), out_root, "fct_customer_360")
 
 
-def bootstrap(spark: SparkSession, root: str, store_root: str, as_of, interactions_as_of=None,
-              claims_cap: int | None = None, apps_cap: int | None = None, alerts_cap: int | None = None) -> dict:
+def bootstrap(spark: SparkSession, root: str, out_root: str, as_of, interactions_as_of=None) -> dict:
     t = Tables(spark, root)
-    store = TableStore(spark, store_root)
-    c = refresh_c360(t, store, as_of, interactions_as_of)
-
-    out = claims_v2.run_claims_batch(t.claims(with_text=True), t.customers(), t.policies(), as_of, cap=claims_cap)
-    for name in ("resolutions", "claim_state"):
-        store.commit(name, out[name])
-    audit = out["audit"]
-
-    alerts = store.read("churn_alerts", churn.ALERT_SCHEMA)
-    alerts_after, actions, churn_audit = churn.run_churn(c, alerts, as_of, cap=alerts_cap)
-    store.commit("churn_alerts", alerts_after)
-    store.commit("next_best_actions", actions)
-
-    decisions, apps_after, uw_audit = underwriting.run_underwriting(t.applications(), t.actuarial(), as_of, apps_cap)
-    store.commit("underwriting_decisions", decisions)
-    store.commit("applications", apps_after)
-    store.commit("audit_log", audit.unionByName(churn_audit).unionByName(uw_audit))
-
-    names = ["fct_customer_360", "resolutions", "claim_state", "churn_alerts", "next_best_actions",
-             "underwriting_decisions", "audit_log"]
-    return {n: store.read(n).count() for n in names}
+    c = refresh_c360(t, out_root, as_of, interactions_as_of)
+    out = claims_v2.run_claims_batch(t.claims(with_text=True), t.customers(), t.policies(), as_of)
+    tables = {name: put(out[name], out_root, name) for name in ("resolutions", "claim_state")}
+    alerts_after, actions, churn_audit = churn.run_churn(c, churn.empty_alerts(spark), as_of)
+    tables["churn_alerts"] = put(alerts_after, out_root, "churn_alerts")
+    tables["next_best_actions"] = put(actions, out_root, "next_best_actions")
+    decisions, apps_after, uw_audit = underwriting.run_underwriting(t.applications(), t.actuarial(), as_of)
+    tables["underwriting_decisions"] = put(decisions, out_root, "underwriting_decisions")
+    put(apps_after, out_root, "applications")
+    tables["audit_log"] = put(out["audit"].unionByName(churn_audit).unionByName(uw_audit), out_root, "audit_log")
+    return {"fct_customer_360": c.count()} | {n: df.count() for n, df in tables.items()}
 
 
-def daily_chain(spark: SparkSession, root: str, store: TableStore, as_of, interactions_as_of=None,
-                model=None, rc_scorer=None, nba_scorer=None, cap: int | None = None) -> dict:
-    """J05 -> J07 -> J10 over the stored C360 and alerts."""
+def daily_chain(spark: SparkSession, root: str, in_root: str, out_root: str, as_of, interactions_as_of=None,
+                model=None, rc_scorer=None, nba_scorer=None) -> dict:
+    """J05 -> J07 -> J10 over the C360, alerts and actions of an earlier run."""
     t = Tables(spark, root)
-    current = store.read("fct_customer_360")
-    feats = churn.extract_interaction_features(current, t.interactions(with_text=True),
-                                               interactions_as_of or as_of, model)
-    store.commit("fct_customer_360", feats)
-    current = store.read("fct_customer_360")
-    alerts = store.read("churn_alerts", churn.ALERT_SCHEMA)
-    scanned = alerts.unionByName(churn.churn_scan(current, alerts, as_of))
-    store.commit("churn_alerts", scanned)
-    alerts_after, actions, audit = churn.run_churn(current, store.read("churn_alerts"), as_of, cap,
-                                                   rc_scorer, nba_scorer)
-    store.commit("churn_alerts", alerts_after)
-    prev = store.read("next_best_actions", churn.NBA_SCHEMA)
-    store.commit("next_best_actions", prev.unionByName(actions))
-    return {"alerts": store.read("churn_alerts").filter(F.col("alert_date") == F.lit(str(as_of)).cast("date"))
-            .count(), "actions": actions.count()}
+    feats = churn.extract_interaction_features(get(spark, in_root, "fct_customer_360"),
+                                               t.interactions(with_text=True), interactions_as_of or as_of, model)
+    current = put(feats, out_root, "fct_customer_360")
+    alerts = get(spark, in_root, "churn_alerts")
+    scanned = put(alerts.unionByName(churn.churn_scan(current, alerts, as_of)), out_root, "churn_alerts_scanned")
+    alerts_after, actions, _ = churn.run_churn(current, scanned, as_of, None, rc_scorer, nba_scorer)
+    after = put(alerts_after, out_root, "churn_alerts")
+    before = get(spark, in_root, "next_best_actions")
+    every = put(before.unionByName(actions), out_root, "next_best_actions")
+    return {"alerts": after.filter(F.col("alert_date") == F.lit(str(as_of)).cast("date")).count(),
+            "actions": every.count() - before.count()}

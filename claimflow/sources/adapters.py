@@ -17,6 +17,7 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations"]
 
+PATTERN_EVERY = 25  # one embedding in so many is a fraud pattern, the others are claims: both sides grow
 
 # A01 typed scan: the driver tables' schemas (fixed values, as the files declare them).
 # Declaring them skips footer-based schema inference on every read.
@@ -238,7 +239,7 @@ class Tables:
 
     # ---------------------------------------------------------------- vectors
     def fraud_patterns(self) -> DataFrame:
-        e = self.raw("embeddings").filter(F.col("vec_id") < 20)
+        e = self.raw("embeddings").filter(F.col("vec_id") % PATTERN_EVERY == 0)
         return e.select(
             F.col("vec_id").alias("pattern_id"),
             F.concat(F.lit("PATTERN_"), F.col("label").cast("string")).alias("pattern_type"),
@@ -249,10 +250,10 @@ class Tables:
         )
 
     def claim_embeddings(self) -> DataFrame:
-        e = self.raw("embeddings").filter(F.col("vec_id") >= 20)
+        e = self.raw("embeddings").filter(F.col("vec_id") % PATTERN_EVERY != 0)
         return e.select(
             F.col("vec_id").alias("claim_id"),
-            ((F.col("vec_id") - 20) / 3).cast("long").alias("customer_id"),
+            F.floor(F.col("vec_id") / 3).cast("long").alias("customer_id"),
             pick(F.col("label"), LOB_BY_MOD3, 3).alias("lob_type"),
             F.col("embedding").alias("claim_embedding"),
         )

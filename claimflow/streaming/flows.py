@@ -26,24 +26,40 @@ def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
     return checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
 
 
+def _state(spark: SparkSession, name: str, checkpoint: str | None) -> str:
+    return f"{_checkpoint(spark, name, checkpoint).rstrip('/')}-feed"
+
+
+def started_at_ms(spark: SparkSession, folder: str) -> int:
+    """When the feed that keeps its state in ``folder`` was first defined (milliseconds): stored on the
+    first call, read on every later one, so a restarted job keeps the cut of its first start."""
+    path = f"{folder.rstrip('/')}/started_at"
+    one = spark.range(1).select((F.unix_millis(F.current_timestamp())).alias("ms"))
+    one.write.mode("ignore").parquet(path)
+    return int(spark.read.parquet(path).first()["ms"])
+
+
 def append_stream(spark: SparkSession, path: str, schema, skip_existing: bool = False,
-                  started_after_ms: int | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                  started_after_ms: int | None = None, max_files_per_trigger: int | None = None,
+                  state_dir: str | None = None) -> DataFrame:
     """A10: append-only change feed over a Parquet folder.
 
-    ``skip_existing`` (SHOW_INITIAL_ROWS = FALSE) ignores files already present
-    when the feed is defined: rows are kept only when their file was modified
-    after ``started_after_ms`` (default: now). The file-modification filter is
-    a metadata column, so no listing is held in memory.
+    ``skip_existing`` (SHOW_INITIAL_ROWS = FALSE) ignores files that were there when the feed was first
+    defined: rows are kept if their file was modified after ``started_after_ms``, or after the first start
+    kept in ``state_dir`` (one folder a feed, beside its checkpoint). Files that arrive while the job is
+    down are later than that cut, so they are delivered after a restart. The modification time is a
+    metadata column, so no listing is held in memory.
     """
     r = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.load(path)
     if skip_existing:
-        import time
-        cut = started_after_ms if started_after_ms is not None else int(time.time() * 1000)
+        if started_after_ms is None and state_dir is None:
+            raise ValueError("skip_existing needs started_after_ms or state_dir")
+        cut = started_after_ms if started_after_ms is not None else started_at_ms(spark, state_dir)
         df = (df.withColumn("_file_mtime", F.col("_metadata.file_modification_time"))
-                .filter(F.col("_file_mtime") > F.lit(cut / 1000.0).cast("timestamp"))
+                .filter(F.col("_file_mtime") > F.timestamp_millis(F.lit(cut)))
                 .drop("_file_mtime"))
     return df
 
@@ -67,37 +83,39 @@ def start_foreach_batch(stream: DataFrame, name: str, handler: Callable[[DataFra
 # ---------------------------------------------------------------- L01
 def claims_flow(spark: SparkSession, claims_path: str, claims_schema, customers: DataFrame, policies: DataFrame,
                 out_root: str, as_of, checkpoint: str | None = None, available_now: bool = True,
-                cap: int | None = None, **scorers) -> StreamingQuery:
+                skip_existing: bool = False, **scorers) -> StreamingQuery:
     """New claims -> DQ gate -> v2 chain; per batch writes resolutions, claim
-    state, audit rows and the DQ-failed claim updates."""
+    state, audit rows and the DQ-failed claim updates. The duplicate check looks at
+    the whole claims folder, not only at the batch; every row of a batch is worked."""
     from claimflow.operators.claims_v2 import run_claims_batch
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        out = run_claims_batch(batch, customers, policies, as_of, cap=cap, **scorers)
+        every = spark.read.schema(claims_schema).parquet(claims_path)
+        out = run_claims_batch(batch, customers, policies, as_of, all_claims=every, **scorers)
         write_batch(out["resolutions"], out_root, "resolutions", batch_id)
         write_batch(out["claim_state"], out_root, "claim_state", batch_id)
         write_batch(out["audit"], out_root, "audit_log", batch_id)
         write_batch(out["claims"].filter(F.col("claim_status") == "DQ_FAILED"), out_root, "claim_updates", batch_id)
 
-    return start_foreach_batch(append_stream(spark, claims_path, claims_schema), "claims_flow", handle,
-                               checkpoint, available_now)
+    feed = append_stream(spark, claims_path, claims_schema, skip_existing, state_dir=_state(spark, "claims_flow", checkpoint))
+    return start_foreach_batch(feed, "claims_flow", handle, checkpoint, available_now)
 
 
 # ---------------------------------------------------------------- L02
 def underwriting_flow(spark: SparkSession, apps_path: str, apps_schema, actuarial: DataFrame, out_root: str,
                       as_of, checkpoint: str | None = None, available_now: bool = True,
-                      cap: int | None = None) -> StreamingQuery:
+                      skip_existing: bool = False) -> StreamingQuery:
     """New applications -> risk score -> decision (+ status update, audit)."""
     from claimflow.operators.underwriting import run_underwriting
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        decisions, apps_after, audit = run_underwriting(batch, actuarial, as_of, cap)
+        decisions, apps_after, audit = run_underwriting(batch, actuarial, as_of)
         write_batch(decisions, out_root, "underwriting_decisions", batch_id)
         write_batch(apps_after.select("application_id", "status"), out_root, "application_updates", batch_id)
         write_batch(audit, out_root, "audit_log", batch_id)
 
-    return start_foreach_batch(append_stream(spark, apps_path, apps_schema), "underwriting_flow", handle,
-                               checkpoint, available_now)
+    feed = append_stream(spark, apps_path, apps_schema, skip_existing, state_dir=_state(spark, "underwriting_flow", checkpoint))
+    return start_foreach_batch(feed, "underwriting_flow", handle, checkpoint, available_now)
 
 
 # ---------------------------------------------------------------- L03
@@ -136,31 +154,45 @@ def refresh_touched_customers(touched: DataFrame, c360_current: DataFrame, build
                         set_on_insert=set_ts)
 
 
-def interaction_refresh_flow(spark: SparkSession, interactions_path: str, schema, store, build, as_of,
+def interaction_refresh_flow(spark: SparkSession, interactions_path: str, schema, build, out_root: str, as_of,
                              checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """The interaction (or payment) feed drives a touched-customer C360 refresh;
-    each batch commits a new C360 version to the versioned ``store``."""
+    """The interaction (or payment) feed drives a touched-customer C360 refresh: each batch writes the
+    fresh rows of the customers it touches (``build(ids)``) as c360_updates. ``current_c360`` reads the
+    latest row of each customer, so no batch rewrites the whole table."""
+    from claimflow.functions.dates import as_ts
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        current = store.read("fct_customer_360")
-        if current is None:
-            return
-        store.commit("fct_customer_360", refresh_touched_customers(batch, current, build, as_of))
+        ids = batch.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
+        fresh = build(ids).drop("last_refreshed_at", "refresh_no")
+        write_batch(fresh.withColumns({"last_refreshed_at": as_ts(as_of), "refresh_no": F.lit(batch_id).cast("long")}),
+                    out_root, "c360_updates", batch_id)
 
     return start_foreach_batch(append_stream(spark, interactions_path, schema), "interaction_refresh", handle,
                                checkpoint, available_now)
 
 
+def current_c360(base: DataFrame, updates: DataFrame) -> DataFrame:
+    """Each customer's latest C360 row: of the updates with the highest refresh number, else of ``base``."""
+    from claimflow.operators.ranking import latest_per_key
+    cols = [c for c in base.columns if c in updates.columns]
+    every = (base.select(*cols).withColumn("refresh_no", F.lit(-1).cast("long"))
+             .unionByName(updates.select(*cols, "refresh_no")))
+    return latest_per_key(every, ["customer_id"], "refresh_no").select(*cols)
+
+
 # ---------------------------------------------------------------- K05
 def run_on_change(stream: DataFrame, table: str, null_cols: list[str], key: str | None, out_root: str,
-                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Data-quality metrics recomputed for every micro-batch of a changed
-    table (NULL counts in one pass; duplicate keys within the batch)."""
+                  whole: Callable[[], DataFrame], checkpoint: str | None = None,
+                  available_now: bool = True) -> StreamingQuery:
+    """A change of the table triggers its data-quality metrics over the whole table (``whole()`` reads
+    it): NULL counts in one pass, and duplicate keys across all batches so far."""
     from claimflow.operators.dq import duplicate_count, null_count
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        m = null_count(batch, table, null_cols)
+        every = whole()
+        m = null_count(every, table, null_cols)
         if key:
-            m = m.unionByName(duplicate_count(batch, table, key))
+            m = m.unionByName(duplicate_count(every, table, key))
         write_batch(m.withColumn("batch_id", F.lit(batch_id).cast("long")), out_root, "dq_metrics", batch_id)
 
     return start_foreach_batch(stream, f"dq_{table}", handle, checkpoint, available_now)

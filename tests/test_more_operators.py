@@ -111,29 +111,57 @@ def test_claims_and_underwriting_flows(spark):
     assert spark.read.parquet(f"{base}/out/underwriting_decisions").count() == apps.count()
 
 
-def test_run_on_change_metrics(spark):
+def test_run_on_change_metrics_cover_the_whole_table(spark):
     base = tempfile.mkdtemp(prefix="cf-dq-")
-    spark.createDataFrame([(1, None), (1, "x"), (2, "y")], "k long, v string").write.parquet(f"{base}/in")
-    s = flows.append_stream(spark, f"{base}/in", "k long, v string")
-    flows.run_on_change(s, "t", ["v"], "k", f"{base}/out", checkpoint=f"{base}/ck").awaitTermination()
-    m = {(r.metric, r.column_name): r.value for r in spark.read.parquet(f"{base}/out/dq_metrics").collect()}
-    assert m == {("NULL_COUNT", "v"): 1, ("DUPLICATE_COUNT", "k"): 1}
+    schema = "k long, v string"
+    for rows in ([(1, None), (1, "x"), (2, "y")], [(2, "z"), (3, None)]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{base}/in")
+        s = flows.append_stream(spark, f"{base}/in", schema)
+        flows.run_on_change(s, "t", ["v"], "k", f"{base}/out", lambda: spark.read.schema(schema).parquet(f"{base}/in"),
+                            checkpoint=f"{base}/ck").awaitTermination()
+    m = {(r.batch_id, r.metric): r.value for r in spark.read.parquet(f"{base}/out/dq_metrics").collect()}
+    assert m == {(0, "NULL_COUNT"): 1, (0, "DUPLICATE_COUNT"): 1, (1, "NULL_COUNT"): 2, (1, "DUPLICATE_COUNT"): 2}
 
 
 def test_bootstrap_and_daily_chain(spark):
     from claimflow.plans import jobs
-    store_root = tempfile.mkdtemp(prefix="cf-jobs-")
-    counts = jobs.bootstrap(spark, SF_SMALL, store_root, "2001-08-01", "2024-02-15")
+    base = tempfile.mkdtemp(prefix="cf-jobs-")
+    counts = jobs.bootstrap(spark, SF_SMALL, f"{base}/one", "2001-08-01", "2024-02-15")
     assert counts["fct_customer_360"] == Tables(spark, SF_SMALL).customers().count()
     assert counts["resolutions"] > 0 and counts["churn_alerts"] > 0
-    store = writes.TableStore(spark, store_root)
-    before = store.read("churn_alerts").count()
-    out = jobs.daily_chain(spark, SF_SMALL, store, "2001-08-01", "2024-02-15")
+    before = jobs.get(spark, f"{base}/one", "churn_alerts").count()
+    out = jobs.daily_chain(spark, SF_SMALL, f"{base}/one", f"{base}/two", "2001-08-01", "2024-02-15")
     # bootstrap left its alerts ACTIONED (not suppressing), so the chain's first scan alerts the
     # same customers once more; the pipeline's second scan inside the chain adds nothing
-    after = store.read("churn_alerts")
+    after = jobs.get(spark, f"{base}/two", "churn_alerts")
     assert after.count() == 2 * before and out["actions"] == before
     assert after.groupBy("customer_id").count().filter(F.col("count") > 2).count() == 0
+    assert jobs.get(spark, f"{base}/one", "churn_alerts").count() == before      # the run it read is untouched
+
+
+def test_interaction_flow_refreshes_touched_customers_only(spark):
+    from claimflow.operators import c360 as cb
+    t = Tables(spark, SF_SMALL)
+    base = tempfile.mkdtemp(prefix="cf-l04-")
+    current = cb.build_c360_dynamic(t.customers(), t.policies(), t.claims(), t.payments(), t.interactions(),
+                                    "2001-08-01", "2024-02-15").withColumn("last_refreshed_at", F.lit(None).cast("timestamp_ntz"))
+
+    def build(ids):
+        return cb.build_c360_dynamic(t.customers().join(ids, "customer_id", "left_semi"), t.policies(), t.claims(),
+                                     t.payments(), t.interactions().join(ids, "customer_id", "left_semi"),
+                                     "2001-08-01", "2024-03-16")
+
+    feed = t.interactions().select("interaction_id", "customer_id").where("customer_id is not null")
+    feed.orderBy("interaction_id").limit(7).write.parquet(f"{base}/in")
+    flows.interaction_refresh_flow(spark, f"{base}/in", feed.schema, build, f"{base}/out", "2024-03-16",
+                                   checkpoint=f"{base}/ck").awaitTermination()
+    updates = spark.read.parquet(f"{base}/out/c360_updates")
+    touched = spark.read.parquet(f"{base}/in").select("customer_id").distinct()
+    known = touched.join(current, "customer_id", "left_semi").count()
+    assert updates.count() == known > 0
+    now = flows.current_c360(current, updates)
+    assert now.count() == current.count()
+    assert now.where("last_refreshed_at is not null").count() == known
 
 
 def test_interaction_refresh_touched_customers(spark):
@@ -230,3 +258,63 @@ def test_typed_scan_schemas_match_the_driver_files(spark):
             inferred = spark.read.parquet(f"/root/testdata/sf{sf}/{name}.parquet").schema
             declared = _parse_datatype_string(ddl)
             assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], (sf, name)
+
+
+def test_similarity_does_not_depend_on_blocks(spark):
+    """Any number of pattern blocks and row slices gives the same rows; repeated keys stay apart; vectors
+    without a direction (NULL, zero, NULL inside) have no similarity."""
+    import numpy as np
+
+    from claimflow.operators import similarity
+    rng = np.random.default_rng(5)
+    vec = lambda: rng.normal(size=4).tolist()
+    left = [(i // 2, "AB"[i % 2], vec()) for i in range(20)]
+    left += [(90, "A", None), (91, "A", [0.0] * 4), (92, "A", [1.0, None, 2.0, 3.0]), (93, "C", vec())]
+    pats = [(i, f"T{i}", "LOW", f"d{i}", ["A", "B", "ALL"][i % 3], vec()) for i in range(12)]
+    pats += [(12, "T12", "LOW", "none", "ALL", None), (13, "T13", "LOW", "zero", "ALL", [0.0] * 4)]
+    lf = spark.createDataFrame(left, "k long, lob_type string, v array<double>")
+    pf = spark.createDataFrame(pats, "pattern_id long, pattern_type string, severity string, pattern_description string, "
+                                     "lob_type string, p array<double>")
+
+    def cos(a, b):
+        if a is None or b is None or None in a or not np.linalg.norm(a) or not np.linalg.norm(b):
+            return None
+        return float(np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b))
+
+    want_max, want_top = [], []
+    for k, lob, v in left:
+        sims = [(cos(v, p[5]), p[0], p[4]) for p in pats]
+        known = [s for s, _, _ in sims if s is not None]
+        want_max.append((k, round(max(known), 9) if known else None))
+        mine = sorted(((-s, i) for s, i, pl in sims if s is not None and pl in (lob, "ALL")))[:3]
+        want_top += [(k, i, r, round(-s, 9)) for r, (s, i) in enumerate(mine, 1)]
+    order = lambda rows: sorted(rows, key=str)
+    for blocks, slices in ((1, 1), (7, 3), (20, 2)):
+        got = similarity.max_similarity(lf, pf, "v", "p", ["k"], "m", blocks, slices).collect()
+        assert order((r.k, None if r.m is None else round(r.m, 9)) for r in got) == order(want_max)
+        got = similarity.top_k_patterns(lf, pf, "v", "p", 3, ["k"], blocks=blocks, slices=slices).collect()
+        assert order((r.k, r.pattern_id, r["rank"], round(r.similarity_score, 9)) for r in got) == order(want_top)
+    pairs = spark.createDataFrame([([1.0, 0.0], [0.0, 0.0]), ([1.0, 1.0], [2.0, 2.0]), (None, [1.0, 0.0])], "a array<double>, b array<double>")
+    assert [r[0] if r[0] is None else round(r[0], 9) for r in pairs.select(similarity.cosine("a", "b")).collect()] == [None, 1.0, None]
+
+
+def test_customer_context_hides_internal_columns(spark):
+    c = spark.createDataFrame([(1, "SME", 0.4, 0.7, 2)], "customer_id long, customer_segment string, provider_anomaly_score double, "
+                                                         "churn_propensity_score double, claim_cluster_id long")
+    from claimflow.operators import churn as ch
+    nba = spark.createDataFrame([], ch.NBA_SCHEMA)
+    text = ch.customer_context(c, ch.empty_alerts(spark), nba, mode="customer").first().context
+    assert "SME" in text and "anomaly" not in text and "cluster" not in text and "churn" not in text
+
+
+def test_chat_exchanges_keep_whole_texts_and_follow_the_mode(spark):
+    from claimflow.operators import churn as ch
+    turns = spark.createDataFrame([(7, 0, "user", "q" * 900), (7, 1, "assistant", "r" * 900), (7, 2, "user", "alone"), (8, 0, "assistant", "x")],
+                                  "conv_id long, turn long, role string, text string")
+    chat = ch.pair_turns(turns).selectExpr("conv_id as customer_id", "turn", "prompt", "reply", "if(turn = 0, 'agent', 'customer') as mode")
+    rows = {r.topic: r for r in ch.log_interactions(chat, "2024-01-01").collect()}
+    assert len(rows) == 2
+    assert rows["Agent Assist"].direction == "INTERNAL" and len(rows["Agent Assist"].transcript_text) == 6 + 900 + 12 + 900
+    assert rows["Customer Chat"].direction == "INBOUND" and rows["Customer Chat"].transcript_text == "User: alone\nAssistant: "
+    cut = ch.log_interactions(chat, "2024-01-01", reply_chars=500).where("direction = 'INTERNAL'").first()
+    assert cut.transcript_text.endswith("Assistant: " + "r" * 500) and cut.duration_seconds == 0
