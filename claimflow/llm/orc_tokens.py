@@ -29,7 +29,8 @@ from claimflow.llm.common import running_total, settle
 END_ID = 0
 ROW_GROUP = 1000
 STRIPE_BYTES = 64 << 20
-KEPT_WORDS = 600_000
+KEPT_WORDS = 700_000
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -44,14 +45,19 @@ def encoder(tokenizer_path: str):
 
     Words are known by how they stand in a text: after a space (as they are) or at the start of a line
     (after a line feed). A word of letters alone is one unit of the tokenizer's own splitting, so the
-    library's model encodes it directly; a full stop or comma behind it is a unit of its own. All other
-    words go through the whole tokenizer, and texts with any other white space are encoded whole."""
+    library's model encodes it directly; punctuation behind it is a unit of its own. All other words go
+    through the whole tokenizer, and texts with any other white space are encoded whole. What is known
+    stays with the library's module, so the tasks that follow in a Python worker need not learn it again."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
-    from tokenizers import Tokenizer
+    import tokenizers
 
-    tokenizer = Tokenizer.from_file(tokenizer_path)
+    kept = vars(tokenizers).setdefault("_words_of", {})
+    if tokenizer_path not in kept:
+        kept.clear()
+        kept[tokenizer_path] = tokenizers.Tokenizer.from_file(tokenizer_path), {}, {}
+    tokenizer, known, tails = kept[tokenizer_path]
     tokenizer.encode_special_tokens = True
     model, spelling = tokenizer.model, _byte_letters()
 
@@ -59,20 +65,19 @@ def encoder(tokenizer_path: str):
         return array("I", tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     feed = ids_of("\n")
-    tails = {c: ids_of(c) for c in ".,"}
-    known: dict[str, bytes] = {}
 
     def learn(words) -> None:
         plain, other, ended = set(), [], []
         for w in words:
-            core = w[1:] if w[:1] == "\n" else w
-            if core.isalpha():
-                plain.add(w)
-            elif core[-1:] in tails and core[:-1].isalpha():
-                ended.append(w)
-            elif len(core.split()) == 1 and not core[0].isspace() and not core[-1].isspace():
-                other.append(w)  # else it is empty or holds white space, and stays unknown
-        plain.update([w[:-1] for w in ended])
+            base = w.rstrip(PUNCTUATION)
+            if (base[1:] if base[:1] == "\n" else base).isalpha():
+                plain.add(base)
+                if len(base) < len(w):
+                    ended.append((w, base, w[len(base) :]))
+            else:
+                core = w[1:] if w[:1] == "\n" else w
+                if len(core.split()) == 1 and not core[0].isspace() and not core[-1].isspace():
+                    other.append(w)  # else it is empty or holds white space, and stays unknown
         plain = [w for w in plain if w not in known]
         lines = "\n".join([w if w[0] == "\n" else f" {w}" for w in plain])
         spelt = lines.encode().decode("latin-1").translate(spelling).split(spelling[10])
@@ -86,12 +91,15 @@ def encoder(tokenizer_path: str):
             at += 1
         for w in other:
             known[w] = ids_of(w if w[0] == "\n" else f" {w}")
-        for w in ended:
-            known[w] = known[w[:-1]] + tails[w[-1]]
+        for w, base, tail in ended:
+            if tail not in tails:
+                tails[tail] = ids_of(tail)
+            known[w] = known[base] + tails[tail]
 
     def encode(texts: list) -> list[bytes]:
         if len(known) > KEPT_WORDS:
             known.clear()
+            tails.clear()
         cut = [f"\n{t}".replace("\n", " \n")[1:].split(" ") if t else () for t in texts]
         learn(set().union(*cut) - known.keys())
         get, out = known.__getitem__, []
@@ -106,14 +114,14 @@ def encoder(tokenizer_path: str):
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 end_id: int = END_ID, batch: int = 200) -> None:
+                 end_id: int = END_ID, batch: int = 500) -> None:
     """Write ``docs`` as ORC token files in ascending id order under ``path``."""
     kind = docs.schema[id_col].dataType.simpleString()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("text_key")]
     dealt = (docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
              .withColumn("text_key", F.xxhash64("text"))
-             .repartitionByRange(n, *order).sortWithinPartitions(*order))
+             .repartitionByRange(n, order[0]).sortWithinPartitions(*order))
 
     def run(batches):
         encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
