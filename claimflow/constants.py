@@ -54,6 +54,20 @@ ACTUARIAL_ROWS = [
 ACTUARIAL_DEFAULTS = {"base_rate": 0.03, "risk_multiplier": 1.3, "geographic_factor": 1.1,
                       "claims_history_factor": 1.0}
 
+# --- Output texts (fixed values: rows carry them) --------------------------------
+UW_RATIONALE = {
+    "LOW": "Auto-approved: LOW risk tier, credit score qualifies, actuarial rates favorable.",
+    "MEDIUM": "Manual review required: MEDIUM risk. Premium adjusted by risk multiplier.",
+    "HIGH": "Flagged for senior underwriter: HIGH risk. May require additional documentation.",
+}
+V1_REASONS = {
+    "INELIGIBLE": "Policy validation failed",
+    "HIGH_FRAUD": "High fraud risk (score: %s)",
+    "MEDIUM_FRAUD": "Medium fraud risk - reduced settlement",
+    "PASSED": "All checks passed",
+    "ZERO": "Zero settlement calculated",
+}
+
 # --- Fixed clocks of the adapter worlds ---------------------------------------
 ORDER_WORLD_AS_OF = "2001-08-01"
 EVENT_WORLD_AS_OF = "2024-02-15"

@@ -95,27 +95,29 @@ def churn_scan(c360: DataFrame, alerts: DataFrame, as_of, suppress_days: int = 7
     )
 
 
+# label in the prompt, C360 column, whether a missing value is named (else it makes the line NULL, trap T10)
+_PROFILE = [
+    ("customer", "customer_id", False), ("segment", "customer_segment", False), ("lifetime value", "lifetime_value_score", False),
+    ("months with us", "tenure_months", False), ("yearly premium", "total_annual_premium", False),
+    ("lines of business", "lob_diversity", False), ("mood, last 30 days", "sentiment_score_last_30d", True),
+    ("change of mood", "sentiment_trend", True), ("complaints, last 90 days", "complaint_count_90d", False),
+    ("payments missed in a year", "missed_payments_12m", False), ("latest NPS", "nps_score_latest", True),
+    ("days to renewal", "days_to_nearest_renewal", True), ("open claims", "open_claims_count", False),
+    ("days to resolve a claim", "avg_resolution_time_days", True), ("competitors named", "competitor_mentions_count", False),
+    ("wants to cancel", "intent_cancel_detected", False),
+]
+
+
 def churn_profile_line(c360: DataFrame) -> Column:
     """The profile line of the root-cause prompt. ``concat`` is NULL-propagating
-    like the source (trap T10); optional parts use the 'N/A' fallback. Columns the
+    like the source (trap T10); optional parts are 'unknown' if missing. Columns the
     given C360 build does not have are NULL, as in the source table."""
-    s = lambda c: _opt(c360, c, "string").cast("string")
-    na = lambda c: F.coalesce(s(c), F.lit("N/A"))
-    return F.concat(
-        F.lit("Customer: "), s("customer_id"), F.lit(" | Segment: "), s("customer_segment"),
-        F.lit(" | LTV: "), s("lifetime_value_score"), F.lit(" | Tenure: "), s("tenure_months"), F.lit(" months"),
-        F.lit(" | Premium: Rs "), s("total_annual_premium"), F.lit(" | LOBs: "), s("lob_diversity"),
-        F.lit(" | Sentiment(30d): "), na("sentiment_score_last_30d"),
-        F.lit(" | Sentiment Trend: "), na("sentiment_trend"),
-        F.lit(" | Complaints(90d): "), s("complaint_count_90d"),
-        F.lit(" | Missed Payments(12m): "), s("missed_payments_12m"),
-        F.lit(" | NPS: "), na("nps_score_latest"),
-        F.lit(" | Days to Renewal: "), na("days_to_nearest_renewal"),
-        F.lit(" | Open Claims: "), s("open_claims_count"),
-        F.lit(" | Avg Resolution Days: "), na("avg_resolution_time_days"),
-        F.lit(" | Competitor Mentions: "), s("competitor_mentions_count"),
-        F.lit(" | Cancel Intent: "), s("intent_cancel_detected"),
-    )
+    parts = []
+    for label, column, optional in _PROFILE:
+        value = _opt(c360, column, "string").cast("string")
+        value = F.coalesce(value, F.lit("unknown")) if optional else value
+        parts += [F.lit(f"{'; ' if parts else ''}{label}: "), value]
+    return F.concat(*parts)
 
 
 def root_cause(alerts: DataFrame, c360: DataFrame, as_of, scorer=None) -> DataFrame:
@@ -321,10 +323,10 @@ def extract_interaction_features(c360: DataFrame, interactions: DataFrame, as_of
     from claimflow.operators.writes import update_from
     tx = concat_transcripts(interactions, as_of, n_chars=n_chars)
     prompts = tx.select("customer_id", F.concat(
-        F.lit("Analyze these customer interactions. Return ONLY a single JSON object, nothing else: "
-              '{"frustration_level": 0.0-1.0, "intent_cancel_detected": bool, '
-              '"competitor_mentions_count": int, "digital_engagement_trend": -1 to 1, '
-              '"emotional_manipulation_flag": bool}\n\nTranscripts:\n'), F.col("transcripts")).alias("prompt"))
+        F.lit("Below are one customer's conversations, newest first. Reply with one JSON object and no other text. Its fields: "
+              "frustration_level (number, 0 calm to 1 furious), intent_cancel_detected (true or false), "
+              "competitor_mentions_count (whole number), digital_engagement_trend (number, -1 falling to 1 rising), "
+              "emotional_manipulation_flag (true or false).\n\n"), F.col("transcripts")).alias("prompt"))
     replies = complete(prompts, "prompt", model)
     schema = ("frustration_level double, intent_cancel_detected boolean, competitor_mentions_count long, "
               "digital_engagement_trend double, emotional_manipulation_flag boolean")

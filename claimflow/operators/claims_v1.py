@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimflow.constants import SEVERITY_WEIGHT
+from claimflow.constants import SEVERITY_WEIGHT, V1_REASONS
 from claimflow.functions.dates import as_date, month_diff
 from claimflow.functions.numeric import pyround
 
@@ -224,10 +224,10 @@ def agent_resolution_v1(assessed: DataFrame, customers: DataFrame, claims: DataF
     eligible = F.coalesce(F.col("eligible"), F.lit(True))
     decision = (F.when(~eligible, "DENIED").when(fs > 0.75, "REFERRED")
                 .when((fs > 0.45) & (st > 0), "PARTIALLY_APPROVED").when(st > 0, "APPROVED").otherwise("DENIED"))
-    reason = (F.when(~eligible, "Policy validation failed")
-              .when(fs > 0.75, F.concat(F.lit("High fraud risk (score: "), F.round(fs, 2).cast("string"), F.lit(")")))
-              .when((fs > 0.45) & (st > 0), "Medium fraud risk - reduced settlement")
-              .when(st > 0, "All checks passed").otherwise("Zero settlement calculated"))
+    reason = (F.when(~eligible, V1_REASONS["INELIGIBLE"])
+              .when(fs > 0.75, F.format_string(V1_REASONS["HIGH_FRAUD"], F.round(fs, 2).cast("string")))
+              .when((fs > 0.45) & (st > 0), V1_REASONS["MEDIUM_FRAUD"])
+              .when(st > 0, V1_REASONS["PASSED"]).otherwise(V1_REASONS["ZERO"]))
     final = F.when(~eligible | (fs > 0.75) | ~(st > 0), F.lit(0.0)).otherwise(st)
     seg = F.coalesce(F.col("customer_segment"), F.lit("STANDARD"))
     ltv = F.coalesce(F.col("lifetime_value_score"), F.lit(0.0))

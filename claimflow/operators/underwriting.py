@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.constants import ACTUARIAL_DEFAULTS
+from claimflow.constants import ACTUARIAL_DEFAULTS, UW_RATIONALE
 from claimflow.functions.dates import as_ts
 from claimflow.session import bounded_broadcast
 
@@ -80,9 +80,8 @@ def uw_decide(scored: DataFrame, as_of) -> DataFrame:
     auto = tier == "LOW"
     premium = F.when(tier.isin("LOW", "MEDIUM"), F.col("recommended_premium")) \
                .otherwise(F.col("recommended_premium") * 1.5)
-    rationale = (F.when(auto, "Auto-approved: LOW risk tier, credit score qualifies, actuarial rates favorable.")
-                 .when(tier == "MEDIUM", "Manual review required: MEDIUM risk. Premium adjusted by risk multiplier.")
-                 .otherwise("Flagged for senior underwriter: HIGH risk. May require additional documentation."))
+    rationale = (F.when(auto, UW_RATIONALE["LOW"]).when(tier == "MEDIUM", UW_RATIONALE["MEDIUM"])
+                 .otherwise(UW_RATIONALE["HIGH"]))
     return scored.select(
         F.sha2(F.concat_ws("|", F.col("application_id").cast("string"), as_ts(as_of).cast("string")), 256)
          .alias("decision_id"),
