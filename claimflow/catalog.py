@@ -9,6 +9,7 @@ not decide the comparison.
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -445,7 +446,7 @@ def _j05(t: Tables) -> DataFrame:
 
 
 # ============================================================== K: data quality
-EXPECTATIONS = [  # (table, column, metric, expectation name); every expectation is value = 0
+EXPECTATIONS = [  # fixed values: (table, column, metric, expectation name); every expectation is value = 0
     ("claims_landing", "claim_id", "NULL_COUNT", "CLAIMS_NO_NULL_ID"),
     ("claims_landing", "claim_id", "DUPLICATE_COUNT", "CLAIMS_UNIQUE_ID"),
     ("claims_landing", "claimed_amount", "NULL_COUNT", "CLAIMS_NO_NULL_AMOUNT"),
@@ -456,7 +457,11 @@ EXPECTATIONS = [  # (table, column, metric, expectation name); every expectation
     ("policies", "policy_id", "DUPLICATE_COUNT", "POLICIES_UNIQUE_ID"),
     ("fct_customer_360", "customer_id", "NULL_COUNT", "C360_NO_NULL_ID"),
     ("fct_customer_360", "customer_id", "DUPLICATE_COUNT", "C360_UNIQUE_ID"),
-    ("fraud_pattern_embeddings", "pattern_description", "NULL_COUNT", "FRAUD_INDICATORS_NO_NULL_DESC"),
+    ("churn_alerts", "customer_id", "NULL_COUNT", "ALERTS_NO_NULL_CUSTOMER"),
+    ("resolutions", "settlement_amount", "NULL_COUNT", "RESOLUTIONS_NO_NULL_SETTLEMENT"),
+    ("resolutions", "claim_id", "DUPLICATE_COUNT", "RESOLUTIONS_UNIQUE_CLAIM"),
+    ("resolutions", "claim_id", "REFERENTIAL_INTEGRITY_COUNT", "RESOLUTIONS_VALID_CLAIM"),
+    ("fraud_indicators", "pattern_description", "NULL_COUNT", "FRAUD_INDICATORS_NO_NULL_DESC"),
 ]
 
 
@@ -468,26 +473,29 @@ def _claim_text_presence(t: Tables) -> DataFrame:
     return j.select(F.when(F.col("text_is_null") == False, F.lit("")).alias("claim_text"))  # noqa: E712
 
 
-@register("k04_quality_report", rs.QUALITY, _ALL_FACT_VIEWS + ["v_claims_text", "v_fraud_patterns"])
+@register("k04_quality_report", rs.QUALITY, _ALL_FACT_VIEWS + ["v_claims_text", "v_fraud_patterns"] + C360_SCORED_VIEWS)
 def _k04(t: Tables) -> DataFrame:
-    claims = t.claims()
-    c360_dyn = c360.build_c360_dynamic(t.customers(), t.policies(), claims, t.payments(), t.interactions(), OW, EV)
-    metrics = (dq.null_count(claims, "claims_landing", ["claim_id", "claimed_amount"])
-               .unionByName(dq.null_count(_claim_text_presence(t), "claims_landing", ["claim_text"]))
-               .unionByName(dq.duplicate_count(claims, "claims_landing", "claim_id"))
-               .unionByName(dq.ref_integrity_count(claims, "claims_landing", "customer_id", t.customers(),
-                                                   "customer_id"))
-               .unionByName(dq.null_count(t.customers(), "customers", ["customer_id", "email"]))
-               .unionByName(dq.duplicate_count(t.customers(), "customers", "customer_id"))
-               .unionByName(dq.null_count(t.policies(), "policies", ["policy_id", "customer_id"]))
-               .unionByName(dq.duplicate_count(t.policies(), "policies", "policy_id"))
-               .unionByName(dq.null_count(c360_dyn, "fct_customer_360", ["customer_id"]))
-               .unionByName(dq.duplicate_count(c360_dyn, "fct_customer_360", "customer_id"))
-               .unionByName(dq.null_count(t.fraud_patterns(), "fraud_pattern_embeddings", ["pattern_description"]))
-               .unionByName(dq.duplicate_count(t.raw("lineitem"), "lineitem", ["l_orderkey", "l_linenumber"])))
+    """The 18 metrics of the source's quality attachments; 15 of them carry an expectation."""
+    claims, customers = t.claims(), t.customers()
+    c360_dyn = c360.build_c360_dynamic(customers, t.policies(), claims, t.payments(), t.interactions(), OW, EV)
+    alerts = _churn_run(t)[1][0]
+    resolutions = _h09(t)
+    parts = [
+        dq.table_metrics(claims, "claims_landing", ["claim_id", "claimed_amount"], "claim_id"),
+        dq.null_count(_claim_text_presence(t), "claims_landing", ["claim_text"]),
+        dq.ref_integrity_count(claims, "claims_landing", "customer_id", customers, "customer_id"),
+        dq.table_metrics(customers, "customers", ["customer_id", "email"], "customer_id"),
+        dq.table_metrics(t.policies(), "policies", ["policy_id", "customer_id"], "policy_id"),
+        dq.table_metrics(c360_dyn, "fct_customer_360", ["customer_id"], "customer_id"),
+        dq.table_metrics(alerts, "churn_alerts", ["customer_id"]),
+        dq.table_metrics(resolutions, "resolutions", ["settlement_amount"], "claim_id"),
+        dq.ref_integrity_count(resolutions, "resolutions", "claim_id", claims, "claim_id"),
+        dq.table_metrics(t.fraud_patterns(), "fraud_indicators", ["pattern_description"]),
+    ]
+    metrics = reduce(DataFrame.unionByName, parts)
     exp = t.spark.createDataFrame(EXPECTATIONS, "table_name string, column_name string, metric string, "
                                                 "expectation string").withColumn("expected_value", F.lit(0).cast("long"))
-    return dq.evaluate_expectations(metrics, exp)
+    return dq.evaluate_expectations(metrics, F.broadcast(exp))       # 15 literal rows
 
 
 # ============================================================== A: write operators
@@ -577,11 +585,20 @@ def _l05(t: Tables) -> DataFrame:
     return claims_after.select("claim_id", "customer_id", "claim_status")
 
 
-@register("i03_uw_guidelines", rs.GUIDELINES, ["v_applications"], ["score"])
+@register("i03_uw_guidelines", rs.GUIDELINES, ["v_applications", "v_guidelines"], ["score"])
 def _i03(t: Tables) -> DataFrame:
     apps = t.applications().filter(F.col("status") == "PENDING").withColumn(
         "risk_tier", underwriting.risk_tier(F.col("credit_score")))
-    return underwriting.uw_guidelines(apps, t.documents(), "text", "doc_id", k=3)
+    return underwriting.uw_guidelines(apps, t.guidelines(), "content", "guideline_id", k=3)
+
+
+@register("g11_search_filtered", rs.BM25_FILTERED, ["v_guidelines"], ["score"])
+def _g11f(t: Tables) -> DataFrame:
+    """Benchmark items search the guidelines of one LOB each; the passages' tier is returned."""
+    q = t.benchmark().select(F.col("item_id").alias("query_id"), F.col("text").alias("query"),
+                             F.when(F.col("item_id") % 2 == 0, "AUTO").otherwise("HOME").alias("wanted"))
+    return search.search(t.guidelines(), q, text_col="content", doc_id="guideline_id", k=4, filters={"lob_type": "wanted"},
+                         return_cols=["lob_type", "risk_tier"])
 
 
 @register("c09_duplicates_90d", rs.DUP_90D, ["v_claims"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from claimflow.checks import claims_sql as ks
+from claimflow.checks import churn_sql as cs
 from claimflow.checks import claims_sql as ks
 from claimflow.checks import feature_sql as fs
 from claimflow.checks.churn_sql import SCAN, SCORED
@@ -146,10 +148,11 @@ CLASSIFY_DOCS = f"SELECT doc_id, {_lob_sql('text')} AS lob_type FROM documents"
 
 _TOK = "list_filter(regexp_split_to_array(lower({c}), '[^a-z0-9]+'), lambda t: length(t) > 0)"
 
-def bm25_sql(queries: str, k: int) -> str:
-    """BM25 top-k; ``queries`` is a relation (query_id, query)."""
+def bm25_sql(queries: str, k: int, corpus: str = "SELECT doc_id, text FROM documents", where: str = "") -> str:
+    """BM25 top-k; ``queries`` is a relation (query_id, query), ``corpus`` one of (doc_id, text); ``where``
+    filters the scored pairs of query and document."""
     return f"""
-WITH docs AS (SELECT doc_id, {_TOK.format(c='text')} AS toks FROM documents),
+WITH docs AS (SELECT doc_id, {_TOK.format(c='text')} AS toks FROM ({corpus}) corpus),
 dl AS (SELECT doc_id, len(toks) AS dl FROM docs),
 stats AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
 qt AS (SELECT query_id, term, count(*) AS qtf FROM (
@@ -161,16 +164,26 @@ idf AS (SELECT term, ln(1.0::DOUBLE + (CAST((SELECT n FROM stats) AS DOUBLE) - d
 w AS (SELECT p.doc_id, p.term, idf.idf * p.tf * 2.2::DOUBLE
              / (p.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl.dl / (SELECT avgdl FROM stats))) AS w
       FROM post p JOIN dl ON p.doc_id = dl.doc_id JOIN idf ON p.term = idf.term),
-sc AS (SELECT qt.query_id, w.doc_id, sum(w.w * qt.qtf) AS score FROM qt JOIN w ON qt.term = w.term GROUP BY ALL)
+sc AS (SELECT qt.query_id, w.doc_id, sum(w.w * qt.qtf) AS score FROM qt JOIN w ON qt.term = w.term {where} GROUP BY ALL)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank, doc_id, score
 FROM sc QUALIFY rank <= {k}"""
 
 
 BM25 = bm25_sql("SELECT item_id AS query_id, text AS query FROM benchmark", 5)
 
-GUIDELINES = bm25_sql("""SELECT application_id AS query_id,
-  lob_type || ' ' || CASE WHEN credit_score >= 750 THEN 'LOW' WHEN credit_score >= 650 THEN 'MEDIUM' ELSE 'HIGH' END
-  || ' underwriting risk assessment' AS query FROM v_applications WHERE status = 'PENDING'""", 3)
+_PASSAGES = "SELECT guideline_id AS doc_id, content AS text FROM v_guidelines"
+
+# every application searches with the words of its LOB and tier
+GUIDELINES = f"""
+WITH apps AS (SELECT application_id, lob_type || ' '
+    || CASE WHEN credit_score >= 750 THEN 'LOW' WHEN credit_score >= 650 THEN 'MEDIUM' ELSE 'HIGH' END
+    || ' underwriting risk assessment' AS words FROM v_applications WHERE status = 'PENDING'),
+found AS ({bm25_sql("SELECT DISTINCT words AS query_id, words AS query FROM apps", 3, _PASSAGES)})
+SELECT application_id AS query_id, rank, doc_id, score FROM apps JOIN found ON found.query_id = apps.words"""
+
+BM25_FILTERED = f"""
+SELECT f.*, g.lob_type, g.risk_tier FROM ({bm25_sql("SELECT item_id AS query_id, text AS query FROM benchmark", 4, _PASSAGES,
+    "WHERE w.doc_id % 3 = qt.query_id % 2")}) f JOIN v_guidelines g ON g.guideline_id = f.doc_id"""
 
 EXTRACT_JSON = """
 SELECT conv_id, turn,
@@ -180,36 +193,37 @@ FROM (SELECT conv_id, turn, text || ' {"turn": ' || CAST(turn AS VARCHAR) || ',
              AS reply FROM conversations)"""
 
 # ---------------------------------------------------------------- data quality
+def _nulls(table: str, column: str, source: str) -> str:
+    return f"SELECT '{table}' AS table_name, '{column}' AS column_name, 'NULL_COUNT' AS metric, count(*) - count({column}) AS value FROM {source} x"
+
+
+def _again(table: str, column: str, source: str) -> str:
+    return f"SELECT '{table}', '{column}', 'DUPLICATE_COUNT', count({column}) - count(DISTINCT {column}) FROM {source} x"
+
+
+def _orphans(table: str, column: str, source: str, parent: str) -> str:
+    return (f"SELECT '{table}', '{column}', 'REFERENTIAL_INTEGRITY_COUNT', count(*) FROM {source} x "
+            f"WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {column} FROM {parent} WHERE {column} IS NOT NULL)")
+
+
+_METRICS = [
+    _nulls("claims_landing", "claim_id", "v_claims"), _nulls("claims_landing", "claimed_amount", "v_claims"),
+    _nulls("claims_landing", "claim_text", "v_claims_text"), _again("claims_landing", "claim_id", "v_claims"),
+    _orphans("claims_landing", "customer_id", "v_claims", "v_customers"),
+    _nulls("customers", "customer_id", "v_customers"), _nulls("customers", "email", "v_customers"),
+    _again("customers", "customer_id", "v_customers"),
+    _nulls("policies", "policy_id", "v_policies"), _nulls("policies", "customer_id", "v_policies"),
+    _again("policies", "policy_id", "v_policies"),
+    _nulls("fct_customer_360", "customer_id", "profile"), _again("fct_customer_360", "customer_id", "profile"),
+    _nulls("churn_alerts", "customer_id", "alerted"),
+    _nulls("resolutions", "settlement_amount", "settled"), _again("resolutions", "claim_id", "settled"),
+    _orphans("resolutions", "claim_id", "settled", "v_claims"),
+    _nulls("fraud_indicators", "pattern_description", "v_fraud_patterns"),
+]
+_ALL_METRICS = " UNION ALL ".join(_METRICS)
 QUALITY = f"""
-WITH m AS (
-  SELECT 'claims_landing' AS table_name, 'claim_id' AS column_name, 'NULL_COUNT' AS metric,
-         count_if(claim_id IS NULL) AS value FROM v_claims
-  UNION ALL SELECT 'claims_landing', 'claimed_amount', 'NULL_COUNT', count_if(claimed_amount IS NULL) FROM v_claims
-  UNION ALL SELECT 'claims_landing', 'claim_text', 'NULL_COUNT', count_if(claim_text IS NULL) FROM v_claims_text
-  UNION ALL SELECT 'claims_landing', 'claim_id', 'DUPLICATE_COUNT',
-            coalesce(sum(CASE WHEN n > 1 THEN n - 1 END), 0)
-            FROM (SELECT claim_id, count(*) AS n FROM v_claims WHERE claim_id IS NOT NULL GROUP BY 1)
-  UNION ALL SELECT 'claims_landing', 'customer_id', 'REFERENTIAL_INTEGRITY_COUNT', count(*)
-            FROM v_claims c WHERE c.customer_id IS NOT NULL
-            AND NOT EXISTS (SELECT 1 FROM v_customers cu WHERE cu.customer_id = c.customer_id)
-  UNION ALL SELECT 'customers', 'customer_id', 'NULL_COUNT', count_if(customer_id IS NULL) FROM v_customers
-  UNION ALL SELECT 'customers', 'email', 'NULL_COUNT', count_if(email IS NULL) FROM v_customers
-  UNION ALL SELECT 'customers', 'customer_id', 'DUPLICATE_COUNT', coalesce(sum(CASE WHEN n > 1 THEN n - 1 END), 0)
-            FROM (SELECT customer_id, count(*) AS n FROM v_customers WHERE customer_id IS NOT NULL GROUP BY 1)
-  UNION ALL SELECT 'policies', 'policy_id', 'NULL_COUNT', count_if(policy_id IS NULL) FROM v_policies
-  UNION ALL SELECT 'policies', 'customer_id', 'NULL_COUNT', count_if(customer_id IS NULL) FROM v_policies
-  UNION ALL SELECT 'policies', 'policy_id', 'DUPLICATE_COUNT', coalesce(sum(CASE WHEN n > 1 THEN n - 1 END), 0)
-            FROM (SELECT policy_id, count(*) AS n FROM v_policies WHERE policy_id IS NOT NULL GROUP BY 1)
-  UNION ALL SELECT 'fct_customer_360', 'customer_id', 'NULL_COUNT', count_if(customer_id IS NULL)
-            FROM ({fs.C360_DYN}) c
-  UNION ALL SELECT 'fct_customer_360', 'customer_id', 'DUPLICATE_COUNT',
-            coalesce(sum(CASE WHEN n > 1 THEN n - 1 END), 0)
-            FROM (SELECT customer_id, count(*) AS n FROM ({fs.C360_DYN}) c WHERE customer_id IS NOT NULL GROUP BY 1)
-  UNION ALL SELECT 'fraud_pattern_embeddings', 'pattern_description', 'NULL_COUNT',
-            count_if(pattern_description IS NULL) FROM v_fraud_patterns
-  UNION ALL SELECT 'lineitem', 'l_orderkey,l_linenumber', 'DUPLICATE_COUNT',
-            coalesce(sum(CASE WHEN n > 1 THEN n - 1 END), 0)
-            FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)),
+WITH profile AS ({fs.C360_DYN}), alerted AS ({cs.ALERTS_AFTER}), settled AS ({ks.V2}),
+m AS ({_ALL_METRICS}),
 e AS (SELECT * FROM (VALUES
   ('claims_landing', 'claim_id', 'NULL_COUNT', 'CLAIMS_NO_NULL_ID'),
   ('claims_landing', 'claim_id', 'DUPLICATE_COUNT', 'CLAIMS_UNIQUE_ID'),
@@ -221,7 +235,11 @@ e AS (SELECT * FROM (VALUES
   ('policies', 'policy_id', 'DUPLICATE_COUNT', 'POLICIES_UNIQUE_ID'),
   ('fct_customer_360', 'customer_id', 'NULL_COUNT', 'C360_NO_NULL_ID'),
   ('fct_customer_360', 'customer_id', 'DUPLICATE_COUNT', 'C360_UNIQUE_ID'),
-  ('fraud_pattern_embeddings', 'pattern_description', 'NULL_COUNT', 'FRAUD_INDICATORS_NO_NULL_DESC')
+  ('churn_alerts', 'customer_id', 'NULL_COUNT', 'ALERTS_NO_NULL_CUSTOMER'),
+  ('resolutions', 'settlement_amount', 'NULL_COUNT', 'RESOLUTIONS_NO_NULL_SETTLEMENT'),
+  ('resolutions', 'claim_id', 'DUPLICATE_COUNT', 'RESOLUTIONS_UNIQUE_CLAIM'),
+  ('resolutions', 'claim_id', 'REFERENTIAL_INTEGRITY_COUNT', 'RESOLUTIONS_VALID_CLAIM'),
+  ('fraud_indicators', 'pattern_description', 'NULL_COUNT', 'FRAUD_INDICATORS_NO_NULL_DESC')
   ) AS t(table_name, column_name, metric, expectation))
 SELECT m.table_name, m.column_name, m.metric, CAST(m.value AS BIGINT) AS value, e.expectation,
   CASE WHEN e.expectation IS NOT NULL THEN CAST(0 AS BIGINT) END AS expected_value,

@@ -107,6 +107,10 @@ SELECT * FROM (VALUES
 # dependencies between views (for ordering the WITH list)
 DEPS = {"v_claims_text": ["v_claims", "v_doc_count"], "v_interactions_text": ["v_interactions", "v_doc_count"]}
 
+VIEWS["v_guidelines"] = """
+SELECT doc_id AS guideline_id, lob_type, risk_tier, lob_type || ' ' || risk_tier || ' underwriting guideline. ' || coalesce(text, '') AS content
+FROM (SELECT doc_id, text, ['AUTO', 'HOME', 'LIFE'][1 + doc_id % 3] AS lob_type,
+        ['LOW', 'MEDIUM', 'HIGH'][CAST(1 + floor(doc_id / 3) % 3 AS INT)] AS risk_tier FROM documents)"""
 VIEWS["v_claims_text"] = """
 SELECT c.*, d.text AS claim_text FROM v_claims c
 LEFT JOIN documents d ON d.doc_id = c.text_key % (SELECT n FROM v_doc_count)"""

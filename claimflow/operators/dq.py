@@ -193,6 +193,22 @@ def null_count(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
               .select(F.lit(table).alias("table_name"), "column_name", F.lit("NULL_COUNT").alias("metric"), "value")
 
 
+def table_metrics(df: DataFrame, table: str, null_cols: list[str], key: str | None = None) -> DataFrame:
+    """K01 and K02 of a table in one pass: NULL counts of ``null_cols`` and the duplicates of ``key``. Rows are
+    first added up by key (map-side too), so the counts and the duplicates come from the same exchange."""
+    if key is None:
+        return null_count(df, table, null_cols)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                  *[F.count_if(F.col(c).isNull()).alias(f"_null{i}") for i, c in enumerate(null_cols)])
+    again = F.sum(F.when(F.col(key).isNotNull() & (F.col("_n") > 1), F.col("_n") - 1))
+    sums = per_key.agg(F.coalesce(again, F.lit(0)).cast("long").alias("_again"),
+                       *[F.coalesce(F.sum(f"_null{i}"), F.lit(0)).cast("long").alias(f"_null{i}") for i in range(len(null_cols))])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit("NULL_COUNT").alias("metric"), F.col(f"_null{i}").alias("value"))
+            for i, c in enumerate(null_cols)]
+    rows.append(F.struct(F.lit(key).alias("column_name"), F.lit("DUPLICATE_COUNT").alias("metric"), F.col("_again").alias("value")))
+    return sums.select(F.explode(F.array(*rows)).alias("m")).select(F.lit(table).alias("table_name"), "m.*")
+
+
 def duplicate_count(df: DataFrame, table: str, key: list[str] | str) -> DataFrame:
     """Sum over keys of (n - 1) for keys seen more than once (NULL keys ignored)."""
     keys = [key] if isinstance(key, str) else key

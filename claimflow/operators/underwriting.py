@@ -68,9 +68,13 @@ def guideline_query(scored: DataFrame) -> DataFrame:
 
 
 def uw_guidelines(scored: DataFrame, corpus: DataFrame, text_col: str, id_col: str, k: int = 3) -> DataFrame:
-    """Top-``k`` guideline passages per application (no LOB filter), via G11."""
+    """Top-``k`` guideline passages per application (no LOB filter), via G11. Applications of one LOB
+    and tier ask the same words, so each distinct text is searched once and joined back."""
     from claimflow.operators.search import search
-    return search(corpus, guideline_query(scored), text_col=text_col, doc_id=id_col, k=k)
+    asked = guideline_query(scored)
+    once = asked.select(F.col("query").alias("query_id"), "query").distinct()
+    found = search(corpus, once, text_col=text_col, doc_id=id_col, k=k).withColumnRenamed("query_id", "query")
+    return asked.join(found, "query").select("query_id", "rank", "doc_id", "score")
 
 
 def uw_decide(scored: DataFrame, as_of) -> DataFrame:

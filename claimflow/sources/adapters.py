@@ -289,5 +289,14 @@ class Tables:
     def documents(self) -> DataFrame:
         return self.raw("documents")
 
+    def guidelines(self) -> DataFrame:
+        """Underwriting guideline passages: the document corpus, each passage headed by the LOB and tier it is for."""
+        d = self.raw("documents")
+        lob = pick(F.col("doc_id"), APPLICATION_LOB_BY_MOD3, 3)
+        tier = pick(F.floor(F.col("doc_id") / 3), ["LOW", "MEDIUM", "HIGH"], 3)
+        return d.select(F.col("doc_id").alias("guideline_id"), lob.alias("lob_type"), tier.alias("risk_tier"),
+                        F.concat(lob, F.lit(" "), tier, F.lit(" underwriting guideline. "), F.coalesce("text", F.lit("")))
+                        .alias("content"))
+
     def benchmark(self) -> DataFrame:
         return self.raw("benchmark")
