@@ -230,11 +230,18 @@ def _h04(t: Tables) -> DataFrame:
     return c.select("claim_id", "lob_type", F.col("intake_output.severity").alias("severity"))
 
 
+def _claims_batch(t: Tables) -> dict:
+    """The v2 batch with the narratives' own sentiment and similarity to the fraud patterns."""
+    vectors = similarity.max_similarity(t.text_vectors(), t.fraud_patterns(), "embedding", "pattern_embedding",
+                                        ["claim_text_id"], "vector_score")
+    return claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
+                                      texts=t.claim_texts(), vectors=vectors)
+
+
 @register("h09_claims_v2_resolutions", ks.V2, ["v_claims", "v_claims_text", "v_customers", "v_policies"],
           ["settlement_amount", "claimed_amount", "fraud_score", "confidence_score"])
 def _h09(t: Tables) -> DataFrame:
-    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
-                                     texts=t.claim_texts())
+    out = _claims_batch(t)
     return out["resolutions"]
 
 
@@ -309,8 +316,7 @@ def _d12(t: Tables) -> DataFrame:
 
 
 def _v2_state(t: Tables) -> DataFrame:
-    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
-                                     texts=t.claim_texts())
+    out = _claims_batch(t)
     return out["claim_state"]
 
 
@@ -542,8 +548,7 @@ from claimflow.operators import claims_v1 as cv1  # noqa: E402
 @register("e06_newest_resolutions", rs.NEWEST_RESOLUTIONS, ["v_claims", "v_claims_text", "v_customers", "v_policies"],
           ["settlement_amount", "claimed_amount", "fraud_score", "confidence_score"])
 def _e06(t: Tables) -> DataFrame:
-    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
-                                     texts=t.claim_texts())
+    out = _claims_batch(t)
     return reports.newest(out["resolutions"], "decided_at", 50, tie="resolution_id")
 
 
@@ -555,8 +560,7 @@ def _h22(t: Tables) -> DataFrame:
 
 @register("h23_audit_trail", rs.AUDIT_TRAIL, ["v_claims", "v_claims_text", "v_customers", "v_policies"])
 def _h23(t: Tables) -> DataFrame:
-    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
-                                     texts=t.claim_texts())
+    out = _claims_batch(t)
     refs = out["resolutions"].select(F.col("claim_id").alias("reference_id"))
     trail = reports.audit_trail(out["audit"].filter(F.col("agent_name") != "DQ_VALIDATOR"), refs)
     return trail.select("flow_type", "reference_id", "agent_name", "step_number", "module_used", "status")
@@ -717,8 +721,7 @@ def _g04(t: Tables) -> DataFrame:
 
 @register("a17_claims_audit", ag.CLAIMS_AUDIT, ["v_claims", "v_claims_text", "v_customers", "v_policies"])
 def _a17(t: Tables) -> DataFrame:
-    out = claims_v2.run_claims_batch(t.claims(with_text_key=True), t.customers(), t.policies(), OW,
-                                     texts=t.claim_texts())
+    out = _claims_batch(t)
     return out["audit"].select("flow_type", "reference_id", "agent_name", "step_number", "module_used",
                                "status", "created_at")
 

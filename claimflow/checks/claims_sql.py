@@ -105,11 +105,11 @@ SENT = sentiment_sql("c.claim_text")
 V2 = f"""
 WITH passed AS (SELECT * EXCLUDE (errs, warns) FROM ({dq_core("v_claims_text")}) q
                 WHERE claim_status = 'SUBMITTED' AND len(errs) = 0),
-f AS (SELECT c.*, p.policy_status AS vstatus, {SENT} AS sent FROM passed c
-      LEFT JOIN v_policies p ON c.policy_id = p.policy_id),
-g AS (SELECT *, round(0.0::DOUBLE * 0.4::DOUBLE
+f AS (SELECT c.*, p.policy_status AS vstatus, {SENT} AS sent, coalesce(s.vector_score, 0.0::DOUBLE) AS vec FROM passed c
+      LEFT JOIN v_policies p ON c.policy_id = p.policy_id LEFT JOIN v_text_scores s ON s.vec_id = c.claim_text_id),
+g AS (SELECT *, CAST(round(CAST(vec * 0.4::DOUBLE
                       + (CASE WHEN sent IS NULL THEN NULL ELSE greatest(0.0::DOUBLE, (1.0::DOUBLE - sent) / 4.0::DOUBLE) END)
-                        * 0.3::DOUBLE + 0.1::DOUBLE, 2) AS fs_raw,
+                        * 0.3::DOUBLE + 0.1::DOUBLE AS DECIMAL(18, 9)), 2) AS DOUBLE) AS fs_raw,
              claimed_amount IS NOT NULL AND coalesce(vstatus NOT IN ('ACTIVE', 'RENEWAL_PENDING'), FALSE) AS invalid
       FROM f),
 h AS (SELECT *, coalesce(fs_raw, 0.1::DOUBLE) AS fs, coalesce(claimed_amount * 0.85::DOUBLE, claimed_amount * 0.8::DOUBLE) AS st

@@ -105,14 +105,19 @@ SELECT * FROM (VALUES
 }
 
 # dependencies between views (for ordering the WITH list)
-DEPS = {"v_claims_text": ["v_claims", "v_doc_count"], "v_interactions_text": ["v_interactions", "v_doc_count"]}
+DEPS = {"v_text_scores": ["v_fraud_patterns"], "v_claims_text": ["v_claims", "v_doc_count", "v_text_scores"], "v_interactions_text": ["v_interactions", "v_doc_count"]}
 
 VIEWS["v_guidelines"] = """
 SELECT doc_id AS guideline_id, lob_type, risk_tier, lob_type || ' ' || risk_tier || ' underwriting guideline. ' || coalesce(text, '') AS content
 FROM (SELECT doc_id, text, ['AUTO', 'HOME', 'LIFE'][1 + doc_id % 3] AS lob_type,
         ['LOW', 'MEDIUM', 'HIGH'][CAST(1 + floor(doc_id / 3) % 3 AS INT)] AS risk_tier FROM documents)"""
+VIEWS["v_text_scores"] = """
+SELECT e.vec_id, max(list_dot_product(CAST(e.embedding AS DOUBLE[]), p.pattern_embedding)
+    / (sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))
+       * sqrt(list_dot_product(p.pattern_embedding, p.pattern_embedding)))) AS vector_score
+FROM embeddings e, v_fraud_patterns p GROUP BY e.vec_id"""
 VIEWS["v_claims_text"] = """
-SELECT c.*, d.text AS claim_text FROM v_claims c
+SELECT c.*, d.text AS claim_text, d.doc_id AS claim_text_id FROM v_claims c
 LEFT JOIN documents d ON d.doc_id = c.text_key % (SELECT n FROM v_doc_count)"""
 VIEWS["v_interactions_text"] = """
 SELECT i.*, d.text AS transcript_text FROM v_interactions i

@@ -63,7 +63,8 @@ def fraud_score_v2(vector_score: Column, sentiment: Column) -> Column:
     """round(sim*0.4 + max(0, (1 - sentiment)/4)*0.3 + 0.1, 2); NULL if a part is NULL."""
     part = F.when(sentiment.isNull(), F.lit(None).cast("double")) \
             .otherwise(F.greatest(F.lit(0.0), (F.lit(1.0) - sentiment) / 4.0))
-    return F.round(vector_score * 0.4 + part * 0.3 + 0.1, 2)
+    # first to 9 places: the noise of a float similarity must not decide a rounding half
+    return F.round(F.round(vector_score * 0.4 + part * 0.3 + 0.1, 9), 2)
 
 
 def risk_band(score: Column, hi: float, mid: float, labels=("HIGH", "MEDIUM", "LOW")) -> Column:
@@ -125,7 +126,7 @@ def agent_resolution_v2(claims: DataFrame, as_of) -> DataFrame:
 
 def text_features_v2(claims: DataFrame, severity: Column | None = None,
                      sentiment: Column | None = None, texts: DataFrame | None = None,
-                     text_key: str = "claim_text_id") -> DataFrame:
+                     text_key: str = "claim_text_id", vectors: DataFrame | None = None) -> DataFrame:
     """Score the claim text once (severity for intake, sentiment for fraud) and drop it,
     so no later join or shuffle carries the text.
 
@@ -133,6 +134,8 @@ def text_features_v2(claims: DataFrame, severity: Column | None = None,
     features are computed per text where the text is stored and joined to the
     claims by key: a narrative shared by many claims is scored once and text
     bytes never cross a shuffle. Otherwise the inline ``claim_text`` is scored.
+    ``vectors`` (text_key, vector_score): the similarity of a text to the fraud
+    patterns, joined with the other features of the text.
     """
     if texts is not None and text_key in claims.columns:
         sev = severity if severity is not None else tx.classify_severity(F.col("text"))
@@ -140,6 +143,8 @@ def text_features_v2(claims: DataFrame, severity: Column | None = None,
         from claimflow.session import spread
         feats = spread(texts, key=["text_id"]).select(F.col("text_id").alias(text_key), sev.alias("_severity"),
                                      sent.alias("_sentiment"))
+        if vectors is not None:
+            feats = feats.join(vectors.select(text_key, F.col("vector_score").alias("_vector")), text_key, "left")
         out = claims.join(feats, text_key, "left")
         # a claim without a stored text has NULL text: severity falls back to 'medium'
         out = out.withColumn("_severity", F.coalesce(F.col("_severity"), F.lit("medium")))
@@ -162,7 +167,7 @@ def process_claims_v2(claims: DataFrame, policies: DataFrame, as_of, severity: C
     c = agent_validation_v2(c, policies)
     c = agent_fraud_v2(c, vector_score, F.col("_sentiment"))
     c = agent_assessment_v2(c)
-    return agent_resolution_v2(c, as_of).withColumn("started_at", as_ts(as_of)).drop("_severity", "_sentiment")
+    return agent_resolution_v2(c, as_of).withColumn("started_at", as_ts(as_of)).drop("_severity", "_sentiment", "_vector")
 
 
 def resolutions_v2(processed: DataFrame, as_of) -> DataFrame:
@@ -190,12 +195,10 @@ def audit_v2(processed: DataFrame, as_of) -> DataFrame:
     steps = [("INTAKE", 1, "CLASSIFY_TEXT"), ("VALIDATION", 2, None),
              ("FRAUD", 3, "COMPLETE+SEARCH+EMBED+SENTIMENT"), ("ASSESSMENT", 4, "COMPLETE+SEARCH"),
              ("RESOLUTION", 5, "COMPLETE")]
-    refs = processed.select(F.col("claim_id").alias("reference_id"))
-    out = None
-    for agent, step, module in steps:
-        a = audit_rows(refs, "CLAIMS", agent, step, as_of, module=module)
-        out = a if out is None else out.unionByName(a)
-    return out
+    each = F.array(*[F.struct(F.lit(agent).alias("agent"), F.lit(step).alias("step"), F.lit(module).cast("string").alias("module"))
+                     for agent, step, module in steps])
+    rows = processed.select(F.col("claim_id").alias("reference_id"), F.explode(each).alias("a"))
+    return audit_rows(rows, "CLAIMS", F.col("a.agent"), F.col("a.step"), as_of, module=F.col("a.module"))
 
 
 def latest_decision_text(resolutions: DataFrame) -> DataFrame:
@@ -210,7 +213,7 @@ def latest_decision_text(resolutions: DataFrame) -> DataFrame:
 def run_claims_batch(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,
                      cap: int | None = None, severity: Column | None = None, vector_score: Column | None = None,
                      sentiment: Column | None = None, texts: DataFrame | None = None,
-                     all_claims: DataFrame | None = None):
+                     all_claims: DataFrame | None = None, vectors: DataFrame | None = None):
     """DQ gate -> chain -> counts. Returns a dict of the produced tables.
 
     Row-aligned end to end: the gate filters the DQ-annotated claim rows and
@@ -224,7 +227,9 @@ def run_claims_batch(claims: DataFrame, customers: DataFrame, policies: DataFram
     dq = dq_validate_claims(base, customers, policies, as_of, keep_columns=True, keep_policy=True, all_claims=all_claims)
     passed, claims_after, dq_audit = gate_batch(dq, as_of, cap)
     if keyed:
-        passed = text_features_v2(passed, severity, sentiment, texts)
+        passed = text_features_v2(passed, severity, sentiment, texts, vectors=vectors)
+        if vectors is not None:        # a text without a vector has the score of a failed look-up, 0
+            vector_score = F.coalesce(F.col("_vector"), F.lit(0.0))
     processed = process_claims_v2(passed, policies, as_of, vector_score=vector_score)
     claims_after = claims_after.drop(*[c for c in ("_severity", "_sentiment", "claim_text_id")
                                        if c in claims_after.columns])

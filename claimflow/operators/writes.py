@@ -34,19 +34,21 @@ def append(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(rows, allowMissingColumns=True)
 
 
-def audit_rows(df: DataFrame, flow: str, agent: str, step: int, as_of, status: str = "SUCCESS",
-               module: str | None = None, model: str | None = None, ref_col: str = "reference_id") -> DataFrame:
-    """One audit row per input row (flow, ref, agent, step, module, model, status, payload)."""
+def audit_rows(df: DataFrame, flow: str, agent: str | Column, step: int | Column, as_of, status: str = "SUCCESS",
+               module: str | Column | None = None, model: str | None = None, ref_col: str = "reference_id") -> DataFrame:
+    """One audit row per input row (flow, ref, agent, step, module, model, status, payload).
+    Agent, step and module may be columns, so rows of several steps come from one frame."""
     payload = F.col("output_payload") if "output_payload" in df.columns else F.lit(None).cast("string")
     ref = F.col(ref_col).cast("string")
+    agent, step, module = (x if isinstance(x, Column) else F.lit(x) for x in (agent, step, module))
     return df.select(
-        F.sha2(F.concat_ws("|", F.lit(flow), ref, F.lit(agent), F.lit(str(step)), as_ts(as_of).cast("string")), 256)
+        F.sha2(F.concat_ws("|", F.lit(flow), ref, agent, step.cast("string"), as_ts(as_of).cast("string")), 256)
          .alias("audit_id"),
-        F.lit(flow).alias("flow_type"), ref.alias("reference_id"), F.lit(agent).alias("agent_name"),
-        F.lit(step).cast("long").alias("step_number"),
+        F.lit(flow).alias("flow_type"), ref.alias("reference_id"), agent.alias("agent_name"),
+        step.cast("long").alias("step_number"),
         F.lit(None).cast("string").alias("input_payload"),
         payload.cast("string").alias("output_payload"),
-        F.lit(module).cast("string").alias("module_used"), F.lit(model).cast("string").alias("model_used"),
+        module.cast("string").alias("module_used"), F.lit(model).cast("string").alias("model_used"),
         F.lit(None).cast("long").alias("latency_ms"),
         F.lit(status).alias("status"), F.lit(None).cast("string").alias("error_message"),
         as_ts(as_of).alias("created_at"),

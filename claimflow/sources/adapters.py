@@ -169,6 +169,10 @@ class Tables:
         """(text_id, text): the narratives claims point to through ``claim_text_id``."""
         return self.raw("documents").select(F.col("doc_id").alias("text_id"), "text")
 
+    def text_vectors(self) -> DataFrame:
+        """(claim_text_id, embedding): the vectors of the narratives that have one."""
+        return self.raw("embeddings").select(F.col("vec_id").alias("claim_text_id"), "embedding")
+
     def claim_text_flags(self) -> DataFrame:
         """(claim_text_id, has_text, text_is_null): per stored narrative, whether it is
         present / non-empty — computed where the text is stored, so checks that only
