@@ -20,9 +20,12 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the cluster's shared folder: computed once, survives lost executors."""
+def settle(df: DataFrame, narrow: int = 1) -> DataFrame:
+    """A reliable checkpoint in the cluster's shared folder: computed once, survives lost executors.
+    ``narrow``: rows are so few that one file holds what comes from so many shuffle partitions."""
     ensure_checkpoint_dir(df.sparkSession)
+    if narrow > 1:
+        df = df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // narrow))
     return df.checkpoint(eager=True)
 
 

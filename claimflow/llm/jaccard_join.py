@@ -41,6 +41,7 @@ BANDS, ROWS = 32, 5
 VALUES = BANDS * ROWS
 STRETCH = 32
 BLOCK = 512
+FEW = 8  # links and labels are a small part of the rows: one file for so many partitions
 _RNG = np.random.default_rng(5)
 _A = (_RNG.integers(0, 2**31, VALUES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _B = _RNG.integers(0, 2**32, VALUES, dtype=np.uint32)[:, None]
@@ -265,16 +266,16 @@ def _verified(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, thr
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for the nodes of undirected ``edges`` (a, b): label is the least node of the component."""
-    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), FEW)
     labels = settle(both.groupBy("a").agg(F.min("b").alias("m"))
-                    .select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+                    .select(F.col("a").alias("node"), F.least("a", "m").alias("label")), FEW)
     while True:
         near = (both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("m")))
         lower = (labels.join(near.withColumnRenamed("a", "node"), "node")
                  .select("node", F.col("label").alias("was"), F.least("label", "m").alias("label")))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
         new = settle(lower.join(jump, "label", "left")
-                     .select("node", "was", F.coalesce(F.least("label", "next"), F.col("label")).alias("label")))
+                     .select("node", "was", F.coalesce(F.least("label", "next"), F.col("label")).alias("label")), FEW)
         labels = new.select("node", "label")
         if new.where("was != label").isEmpty():
             return labels

@@ -114,8 +114,8 @@ sizes AS (SELECT DISTINCT n FROM bw),
 di AS (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n),
 dw AS (SELECT doc_id, i, n, array_to_string(w[i + 1 : i + n], ' ') AS s FROM di),
 hit AS (SELECT dw.doc_id, dw.i, dw.n, bw.item FROM dw JOIN bw ON dw.n = bw.n AND dw.s = bw.s),
-at AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit),
-cover AS (SELECT doc_id, count(*) AS n_hit FROM at GROUP BY doc_id),
+spots AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit),
+cover AS (SELECT doc_id, count(*) AS n_hit FROM spots GROUP BY doc_id),
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(l, '')) AS items_sha256,
