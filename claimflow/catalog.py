@@ -9,8 +9,8 @@ not decide the comparison.
 
 from __future__ import annotations
 
-from functools import reduce
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from claimflow.checks import feature_sql as fs
 from claimflow.checks.views import with_views
 from claimflow.constants import EVENT_WORLD_AS_OF as EV
 from claimflow.constants import ORDER_WORLD_AS_OF as OW
+from claimflow.constants import PLAYBOOKS
 from claimflow.operators import c360, features
 from claimflow.session import spread
 from claimflow.sources.adapters import Tables
@@ -188,6 +189,32 @@ def _j09(t: Tables) -> DataFrame:
     return _churn_run(t)[1][1]
 
 
+def _causes(t: Tables) -> DataFrame:
+    """Alerted customers with their segment and the cause by rules."""
+    c = c360_with_propensity(t)
+    alerted = churn.churn_scan(c, churn.empty_alerts(t.spark), OW).select("customer_id")
+    return (c.select("customer_id", "customer_segment").join(churn.root_cause_rules(c), "customer_id")
+            .join(alerted, "customer_id", "left_semi"))
+
+
+@register("j08_root_cause_rules", cs.CAUSES, C360_SCORED_VIEWS)
+def _j08r(t: Tables) -> DataFrame:
+    return _causes(t)
+
+
+@register("j09_playbook_actions", cs.PLAYBOOK_ACTIONS, C360_SCORED_VIEWS)
+def _j09p(t: Tables) -> DataFrame:
+    books = t.spark.createDataFrame(PLAYBOOKS, "playbook_id string, segment string, cause string, action_type string, "
+                                               "offer_details string, channel string, success_rate double")
+    return churn.playbook_actions(_causes(t), books)
+
+
+@register("j14_c360_view", fs.C360_BOOT, _ALL_FACT_VIEWS, _BOOT_DOUBLES)
+def _j14(t: Tables) -> DataFrame:
+    return churn.c360_view(c360.build_c360_bootstrap(t.customers(), t.policies(), t.claims(), t.payments(),
+                                                     t.interactions(), OW, EV))
+
+
 @register("j11_churn_dashboard", cs.DASHBOARD, C360_SCORED_VIEWS,
           ["churn_propensity", "sentiment_score", "root_cause_confidence", "lifetime_value_score",
            "total_annual_premium", "expected_success_rate"])

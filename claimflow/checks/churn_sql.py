@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from claimflow.checks.feature_sql import C360_FULL, propensity_sql
 from claimflow.constants import ORDER_WORLD_AS_OF as OW
+from claimflow.constants import PLAYBOOKS, ROOT_CAUSE_RULES
 
 SCORED = propensity_sql(C360_FULL)
 D = f"DATE '{OW}'"
@@ -63,3 +64,27 @@ FROM ({ACTIONS}) n
 JOIN v_customers cu ON n.customer_id = cu.customer_id
 JOIN ({SCORED}) c ON n.customer_id = c.customer_id
 WHERE n.status = 'PENDING' AND n.expiry_date >= {D}"""
+
+
+# each customer's causes that hold, by the place of their rule; the first is theirs
+_HOLD = " UNION ALL ".join(
+    f"SELECT customer_id, customer_segment, {n} AS place, '{name}' AS root_cause, {confidence}::DOUBLE AS confidence FROM scored"
+    + ("" if column is None else f" WHERE {column} {comparison} {bound}")
+    for n, (name, column, comparison, bound, confidence) in enumerate(ROOT_CAUSE_RULES))
+CAUSES = f"""WITH scored AS ({SCORED}), alerted AS (SELECT customer_id FROM ({SCAN})), hold AS ({_HOLD})
+SELECT customer_id, customer_segment, root_cause, confidence FROM hold WHERE customer_id IN (SELECT customer_id FROM alerted)
+QUALIFY place = min(place) OVER (PARTITION BY customer_id)"""
+
+
+def _text(v) -> str:
+    return "NULL" if v is None else f"'{v}'"
+
+
+_BOOKS = ", ".join(f"({n}, {_text(i)}, {_text(seg)}, {_text(cause)}, {_text(a)}, {_text(o)}, {_text(ch)}, {r}::DOUBLE)"
+                   for n, (i, seg, cause, a, o, ch, r) in enumerate(PLAYBOOKS))
+PLAYBOOK_ACTIONS = f"""
+SELECT c.customer_id, c.customer_segment, c.root_cause, c.confidence, b.playbook_id, b.action_type, b.offer_details, b.channel, b.success_rate
+FROM ({CAUSES}) c JOIN (VALUES {_BOOKS}) AS b(n, playbook_id, segment, cause, action_type, offer_details, channel, success_rate)
+  ON (b.segment IS NULL OR b.segment = c.customer_segment) AND (b.cause IS NULL OR b.cause = c.root_cause)
+QUALIFY row_number() OVER (PARTITION BY c.customer_id
+  ORDER BY CAST(b.segment IS NOT NULL AS INT) + CAST(b.cause IS NOT NULL AS INT) DESC, b.success_rate DESC, b.n) = 1"""

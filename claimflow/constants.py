@@ -28,6 +28,30 @@ SEVERITY_WEIGHT = {"CRITICAL": 0.9, "HIGH": 0.7, "MEDIUM": 0.5, "LOW": 0.3}
 # Churn root-cause classes.
 ROOT_CAUSES = ["price_sensitivity", "poor_claims_experience", "service_quality", "coverage_gap",
                "competitor_offer", "life_event", "payment_difficulty"]
+# Rules of this engine's own scorer, in order: (class, C360 column, comparison, bound, confidence); the first that
+# holds names the cause, and the last class stands where none does.
+ROOT_CAUSE_RULES = [
+    ("payment_difficulty", "missed_payments_12m", ">=", 2, 0.9),
+    ("service_quality", "complaint_count_90d", ">=", 3, 0.85),
+    ("competitor_offer", "competitor_mentions_count", ">=", 1, 0.8),
+    ("poor_claims_experience", "open_claims_count", ">=", 10, 0.75),
+    ("coverage_gap", "lapse_count_historical", ">=", 3, 0.6),
+    ("price_sensitivity", "loss_ratio", "<", 2.0, 0.55),
+    ("life_event", None, None, None, 0.4),
+]
+# Retention playbooks of this engine: (id, segment or None for any, root cause or None for any, action, offer, channel,
+# success rate).
+PLAYBOOKS = [
+    ("PB-1", None, "payment_difficulty", "PAYMENT_PLAN", "spread the open premium over six months", "PHONE", 0.62),
+    ("PB-2", None, "service_quality", "SERVICE_CALL", "a named contact calls and closes the open complaints", "PHONE", 0.55),
+    ("PB-3", "BUILDING", "service_quality", "SITE_VISIT", "a visit to go through every open case", "VISIT", 0.66),
+    ("PB-4", None, "poor_claims_experience", "CLAIM_REVIEW", "a senior handler reviews the open claims", "EMAIL", 0.5),
+    ("PB-5", None, "price_sensitivity", "DISCOUNT", "loyalty discount on renewal", "EMAIL", 0.58),
+    ("PB-6", "AUTOMOBILE", "price_sensitivity", "DISCOUNT", "fleet discount on renewal", "PHONE", 0.7),
+    ("PB-7", None, "coverage_gap", "COVER_REVIEW", "review of lapsed cover", "EMAIL", 0.45),
+    ("PB-8", None, None, "CHECK_IN", "a short call to ask how things are", "PHONE", 0.3),
+]
+
 
 # --- Actuarial seed rows (15) --------------------------------------------------
 # (table_id, lob_type, risk_tier, geographic_zone, base_rate, risk_multiplier,

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimflow.constants import ROOT_CAUSE_RULES
+
 from claimflow.functions.dates import as_date, as_ts
 from claimflow.operators.ranking import global_row_number, null_aware_anti
 
@@ -120,6 +122,36 @@ def churn_profile_line(c360: DataFrame) -> Column:
     return F.concat(*parts)
 
 
+def root_cause_rules(c360: DataFrame) -> DataFrame:
+    """(customer_id, root_cause, confidence) by ROOT_CAUSE_RULES: this engine's scorer, without a model."""
+    out = None
+    for name, column, comparison, bound, confidence in ROOT_CAUSE_RULES:
+        found = F.struct(F.lit(name).alias("root_cause"), F.lit(confidence).alias("confidence"))
+        if column is None:
+            return c360.select("customer_id", (found if out is None else out.otherwise(found)).alias("_r")).select("customer_id", "_r.*")
+        value = _opt(c360, column, "double").cast("double")
+        holds = value >= bound if comparison == ">=" else value < bound
+        out = F.when(holds, found) if out is None else out.when(holds, found)
+    return c360.select("customer_id", out.alias("_r")).select("customer_id", "_r.*")
+
+
+def playbook_actions(causes: DataFrame, playbooks: DataFrame) -> DataFrame:
+    """The playbook for each (customer_id, customer_segment, root_cause): of those that fit (a NULL segment or cause
+    fits any), the one that names most of the two, then the most successful, then the first id. ``playbooks`` is a
+    reference table; the choice is an aggregation, so a frequent cause is not gathered."""
+    p = playbooks.select("playbook_id", F.col("segment").alias("_seg"), F.col("cause").alias("_cause"), "action_type",
+                         "offer_details", "channel", "success_rate")
+    fits = (F.coalesce(F.col("_seg") == F.col("customer_segment"), F.col("_seg").isNull())
+            & F.coalesce(F.col("_cause") == F.col("root_cause"), F.col("_cause").isNull()))
+    kinds = causes.select("customer_segment", "root_cause").distinct().join(p, fits)
+    named = F.col("_seg").isNotNull().cast("int") + F.col("_cause").isNotNull().cast("int")
+    best = kinds.groupBy("customer_segment", "root_cause").agg(F.max_by(
+        F.struct("playbook_id", "action_type", "offer_details", "channel", "success_rate"),
+        F.struct(named, "success_rate", -F.substring("playbook_id", 4, 9).cast("int"))).alias("b"))
+    same = F.expr("c.customer_segment <=> k.customer_segment and c.root_cause <=> k.root_cause")
+    return causes.alias("c").join(best.alias("k"), same, "left").select("c.*", "k.b.*")
+
+
 def root_cause(alerts: DataFrame, c360: DataFrame, as_of, scorer=None) -> DataFrame:
     """Classify today's NEW alerts; they move to IN_PROGRESS.
 

@@ -57,8 +57,3 @@ def null_aware_anti(left: DataFrame, right: DataFrame, key: str, right_key: str
     if r.limit(1).count() == 0:
         return left
     return left.filter(F.col(key).isNotNull()).join(r.distinct(), F.col(key) == F.col("_k"), "left_anti")
-
-
-def ordered_cap(df: DataFrame, order: list[Column], cap: int | None) -> DataFrame:
-    """oldest/priority-first batch cap; ``None`` means uncapped (no limit)."""
-    return df if cap is None else df.orderBy(*order).limit(int(cap))

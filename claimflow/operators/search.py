@@ -29,12 +29,6 @@ def tokenize(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), TOKEN_PATTERN), "")
 
 
-def corpus_postings(corpus: DataFrame, text_col: str, doc_id: str) -> DataFrame:
-    """(doc_id, term, tf) and (doc_id, dl) for a corpus — the reusable 'index'."""
-    toks = corpus.select(F.col(doc_id).alias("doc_id"), F.explode(tokenize(F.col(text_col))).alias("term"))
-    return toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
 def search(corpus: DataFrame, queries: DataFrame, text_col: str, doc_id: str, k: int = 10,
            filters: dict[str, str] | None = None, k1: float = 1.2, b: float = 0.75,
            return_cols: list[str] | None = None) -> DataFrame:
