@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,12 +64,6 @@ def running_total(df: DataFrame, group: list[str], order: list[str], value: str,
             .select(*df.columns, out))
 
 
-def rows_of(batches: Iterable, columns: list[str]) -> Iterator[tuple]:
-    """Rows of pandas batches as tuples of the named columns."""
-    for batch in batches:
-        yield from zip(*[batch[c] for c in columns], strict=True)
-
-
 def unit_uniform(*parts: Column) -> Column:
     """A number in (0, 1) drawn from the md5 of the parts: the same in every run and every engine."""
     text = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
