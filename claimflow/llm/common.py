@@ -33,10 +33,14 @@ def output_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` (narrow rows) if it is counted at ``max_rows`` or fewer; else
-    leave the join to a shuffle. Both ways give the same rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_within(df: DataFrame, most: int, weight: Column | None = None) -> DataFrame:
+    """Broadcast ``df`` (narrow rows) if it is counted at ``most`` rows or fewer; else leave the join to a
+    shuffle. ``weight``: what a row counts, for rows that hold arrays. Both ways give the same rows."""
+    if weight is None:
+        small = df.limit(most + 1).count() <= most
+    else:
+        small = (df.agg(F.sum(weight.cast("long") + 1)).first()[0] or 0) <= most
+    return F.broadcast(df) if small else df
 
 
 def running_total(df: DataFrame, group: list[str], order: list[str], value: str, out: str) -> DataFrame:

@@ -40,9 +40,9 @@ GRAM = 32
 SPLIT = 16_384
 HEAD = 24
 CHUNK = 1 << 18
-BATCH_BYTES = 8 << 20
-SUFFIX_BYTES = 1 << 20
-MAX_BROADCAST_ROWS = 200_000
+BATCH_BYTES = 4 << 20
+SUFFIX_BYTES = 1 << 19
+MAX_BROADCAST_RECORDS = 1_000_000  # of some 40 bytes
 
 
 def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
@@ -79,7 +79,8 @@ def dense(keys: np.ndarray) -> np.ndarray:
     order = np.argsort(keys, kind="stable")
     ordered = keys[order]
     rank = np.empty(len(keys), np.int64)
-    rank[order] = np.concatenate([[1], 1 + np.cumsum(ordered[1:] != ordered[:-1])]) if len(keys) else rank[order]
+    if len(keys):
+        rank[order] = 1 + np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
     return rank
 
 
@@ -331,7 +332,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .agg(F.array_distinct(F.collect_list(F.struct("s", "n", "fp", "variants"))).alias("asked")))
     asked = settle(asked)
     run, schema = _pieces(kind, length, split)
-    pieces = (named.alias("d").join(broadcast_within(asked, MAX_BROADCAST_ROWS).alias("a"), _same("d", "a"))
+    pieces = (named.alias("d").join(broadcast_within(asked, MAX_BROADCAST_RECORDS, F.size("asked")).alias("a"), _same("d", "a"))
               .select("d.id", "d.t", "d.x", "a.asked").mapInPandas(run, schema))
     order = ["fp", "part", "id", "t", "s"]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -374,7 +375,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 "kept": [k for _, k in kept], "kept_sha256": [hashlib.sha256(k).hexdigest() for _, k in kept]})
 
     named = _named(docs, id_col, text_col)
-    return (named.alias("d").join(broadcast_within(runs, MAX_BROADCAST_ROWS).alias("r"), _same("d", "r"), "left")
+    return (named.alias("d").join(broadcast_within(runs, MAX_BROADCAST_RECORDS, F.size("runs")).alias("r"), _same("d", "r"), "left")
             .select("d.id", "d.x", "r.runs")
             .mapInPandas(run, f"id {kind}, n_bytes long, n_removed long, runs array<struct<s:int,e:int>>, kept binary, "
                               "kept_sha256 string").withColumnRenamed("id", id_col))
