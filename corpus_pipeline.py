@@ -44,25 +44,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return once.unionByName(stays.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
 
 
+SAME = "d.doc_id <=> b.doc_id and xxhash64(coalesce(d.text, '')) = b.text_key"
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = winnowing.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    bad = (judged.where(winnowing.contaminated(F.col("n_hit"), F.col("n_words")))
-           .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
-    same = F.expr("doc_id <=> _id") & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key"))
-    return docs.join(broadcast_within(bad, MAX_BROADCAST_ROWS), same, "left_anti")
+    bad = judged.where(winnowing.contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id", "text_key").distinct()
+    return docs.alias("d").join(broadcast_within(bad, MAX_BROADCAST_ROWS).alias("b"), F.expr(SAME), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    taken = (mixing.mix(docs, weight=mixing.damped)
-             .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("source").alias("_source"))
-             .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0"))
-    same = (F.expr("doc_id <=> _id and source <=> _source")
-            & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key")))
-    single = docs.join(broadcast_within(taken.where("_rows = 1"), MAX_BROADCAST_ROWS), same)
-    repeated = (docs.join(broadcast_within(taken.where("_rows > 1"), MAX_BROADCAST_ROWS), same)
-                .dropDuplicates(["_id", "_key", "_source"]))
-    return (single.unionByName(repeated)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns))
+    taken = (mixing.mix(docs, weight=mixing.damped).groupBy("doc_id", "text_key", "source")
+             .agg(F.sum("copies").cast("int").alias("copies"), F.count(F.lit(1)).alias("n")).where("copies > 0"))
+    same = F.expr(f"{SAME} and d.source <=> b.source")
+    copy = next(c for c in (f"_copy{n}" for n in range(len(docs.columns) + 1)) if c not in docs.columns)
+
+    def repeated(rows: DataFrame, found: DataFrame) -> DataFrame:
+        joined = rows.alias("d").join(broadcast_within(found, MAX_BROADCAST_ROWS).alias("b"), same)
+        return joined.select("d.*", F.explode(F.sequence(F.lit(1), F.col("b.copies"))).alias(copy)).drop(copy)
+
+    # rows that repeat an id, text and source are taken together: one of them stands for all
+    return repeated(docs, taken.where("n = 1")).unionByName(
+        repeated(docs.dropDuplicates(["doc_id", "text", "source"]), taken.where("n > 1")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
