@@ -29,7 +29,7 @@ from claimflow.llm.common import running_total, settle
 END_ID = 0
 ROW_GROUP = 1000
 STRIPE_BYTES = 64 << 20
-KEPT_WORDS = 700_000
+KEPT_WORDS = 1_200_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 

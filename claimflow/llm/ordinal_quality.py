@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from claimflow.llm.text_bytes import mix, powers, prefix_hash, to_bytes, word_bounds
 
 BITS = 18
-MAX_TRAINING_ROWS = 20_000
+MAX_TRAINING_ROWS = 16_000
 EPOCHS = 12
 LEAST_ROWS = 4
 _LETTER = np.zeros(256, bool)
@@ -81,7 +81,7 @@ def features(text, bits: int = BITS) -> np.ndarray:
         shares[0] = _SYMBOL[data].sum() / max(1, len(first))
     reached = np.flatnonzero((shares[:, None] >= _SHARE_BINS[None, :]).ravel())
     found.append(mix((reached[:, None] * _SHARE_COPIES + np.arange(_SHARE_COPIES)).ravel().astype(np.uint64) + np.uint64(1000)))
-    return np.unique(np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.unique(np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int32)
 
 
 @dataclass
@@ -108,7 +108,10 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, epochs: int
     if len(values) < 2:
         return None
     k = len(values) - 1
-    common = np.bincount(np.concatenate(rows), minlength=1 << bits) >= min(least, 1 + len(rows) // 50)
+    held = np.zeros(1 << bits, np.int64)
+    for at in range(0, len(rows), 500):
+        held += np.bincount(np.concatenate(rows[at : at + 500]), minlength=1 << bits)
+    common = held >= min(least, 1 + len(rows) // 50)
     common[_ALWAYS >> np.uint64(64 - bits)] = True
     rows = [r[common[r]] for r in rows]
     above = np.clip(np.array([np.mean(y >= g) for g in range(1, k + 1)]), 1e-3, 1 - 1e-3)
@@ -173,13 +176,13 @@ def training_rows(docs: DataFrame, ratings: DataFrame, grade: Column, id_col: st
     def extract(batches):
         for b in batches:
             yield pd.DataFrame({"_id": b["_id"], "_grade": b["_grade"],
-                                "_features": [features(t, bits).astype("<i4").tobytes() for t in b["_text"]]})
+                                "_features": [features(t, bits).tobytes() for t in b["_text"]]})
 
     found = joined.mapInPandas(extract, "_id long, _grade double, _features binary").toPandas()
     found = found.drop_duplicates("_id").sort_values("_id", kind="stable")
-    found = found.iloc[np.random.default_rng(11).permutation(len(found))]
-    return ([np.frombuffer(x, "<i4").astype(np.int64) for x in found["_features"]],
-            found["_grade"].to_numpy(float))
+    order = np.random.default_rng(11).permutation(len(found))
+    stored, grades = found["_features"].tolist(), found["_grade"].to_numpy(float)
+    return [np.frombuffer(stored[i], "<i4") for i in order], grades[order]
 
 
 def classify(docs: DataFrame, model: OrdinalModel | None, cut: float, text_col: str = "text",
