@@ -148,10 +148,10 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, epochs: int
 
 
 def fit_with_cut(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, clean_loss: float = 0.002,
-                 lowest: float = 0.4, highest: float = 0.9) -> tuple[OrdinalModel | None, float]:
+                 margin: float = 0.5, lowest: float = 0.2, highest: float = 0.9) -> tuple[OrdinalModel | None, float]:
     """A model and the tail probability from which a document is selected. A quarter of the sample is
-    held out: the cut is as high as it can be while at most ``clean_loss`` of its top-grade documents
-    fall below, within [lowest, highest]."""
+    held out: the cut is below all but ``clean_loss`` of its top-grade documents, by ``margin`` in log
+    odds (more if they are few, and the quantile rests on little), within [lowest, highest]."""
     held = np.arange(len(rows)) % 4 == 3
     model = fit([r for r, h in zip(rows, held, strict=True) if not h], grade[~held], bits)
     if model is None:
@@ -159,8 +159,10 @@ def fit_with_cut(rows: list[np.ndarray], grade: np.ndarray, bits: int = BITS, cl
     top = np.flatnonzero(held & (grade == model.grades[-1]))
     if not len(top):
         return model, lowest
-    tails = np.sort(model.tails([rows[i] for i in top])[:, -1])
-    return model, float(np.clip(tails[int(clean_loss * len(tails))] * 0.98, lowest, highest))
+    tails = np.clip(np.sort(model.tails([rows[i] for i in top])[:, -1]), 1e-9, 1 - 1e-9)
+    least = tails[int(clean_loss * len(tails))]
+    odds = np.log(least / (1 - least)) - margin - min(1.0, 50 / len(top))
+    return model, float(np.clip(1 / (1 + np.exp(-odds)), lowest, highest))
 
 
 def training_rows(docs: DataFrame, ratings: DataFrame, grade: Column, id_col: str = "doc_id",
