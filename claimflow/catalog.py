@@ -359,7 +359,7 @@ def _d14(t: Tables) -> DataFrame:
 
 @register("d15_concat_transcripts", rs.TRANSCRIPTS, ["v_interactions_text"])
 def _d15(t: Tables) -> DataFrame:
-    return reports.concat_transcripts(t.interactions(with_text=True, text_chars=500), EV)
+    return reports.concat_transcripts(t.interactions(with_text=True), EV)
 
 
 @register("d18_recent_customer_count", rs.RECENT_CUSTOMERS, ["v_interactions"])
@@ -473,7 +473,7 @@ def _j05_sql() -> str:
 def _j05(t: Tables) -> DataFrame:
     c = c360.build_c360_full(t.customers(), t.policies(), t.claims(), t.payments(), t.interactions(), None, None,
                              OW, EV)
-    return churn.extract_interaction_features(c, t.interactions(with_text=True, text_chars=500), EV).select(
+    return churn.extract_interaction_features(c, t.interactions(with_text=True), EV).select(
         "customer_id", "frustration_level", "intent_cancel_detected", "competitor_mentions_count",
         "digital_engagement_trend", "emotional_manipulation_flag")
 
@@ -775,7 +775,7 @@ def _e04(t: Tables) -> DataFrame:
 def _g17(t: Tables) -> DataFrame:
     """Each page is a staged HTML file ``P<page_id>/DOC-<page_id>_page.html``: registered
     PENDING (A06), joined to its bytes by path, decoded, marked EXTRACTED / FAILED with its
-    length and an embedding of the first 8000 characters (G17)."""
+    length and an embedding (G17)."""
     pages = spread(t.raw("pages").select("page_id", "html"), key=["page_id"])
     files = pages.select(
         F.concat(F.lit("P"), F.col("page_id").cast("string"), F.lit("/DOC-"), F.col("page_id").cast("string"),

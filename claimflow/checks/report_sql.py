@@ -56,7 +56,7 @@ UNION ALL SELECT 'applications', count(*) FROM v_applications"""
 
 TRANSCRIPTS = f"""
 SELECT customer_id,
-  string_agg(left(transcript_text, 500), {NL_SEP} ORDER BY interaction_date DESC, interaction_id DESC) AS transcripts
+  string_agg(transcript_text, {NL_SEP} ORDER BY interaction_date DESC, interaction_id DESC) AS transcripts
 FROM v_interactions_text WHERE interaction_date >= {T_EV} - INTERVAL 90 DAY GROUP BY customer_id"""
 
 RECENT_CUSTOMERS = f"""
@@ -136,7 +136,7 @@ SENTIMENT_DOCS = f"SELECT doc_id, {ks.sentiment_sql('text')} AS sentiment FROM d
 
 
 def _lob_sql(col: str) -> str:
-    toks = f"regexp_split_to_array(lower(left({col}, 1000)), '[^a-z]+')"
+    toks = f"regexp_split_to_array(lower({col}), '[^a-z]+')"
     votes = {lob: f"len(list_filter({toks}, lambda x: x IN ({', '.join(repr(w) for w in words)})))"
              for lob, words in LOB_KEYWORDS}
     best = f"greatest({', '.join(votes.values())})"

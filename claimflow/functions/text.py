@@ -59,9 +59,14 @@ def classify_severity(text: Column) -> Column:
     return F.when(text.isNull(), F.lit("medium")).otherwise(out.otherwise(F.lit("medium severity")))
 
 
-def classify_lob(text: Column, n_chars: int = 1000) -> Column:
-    """G09 default: keyword vote over the first ``n_chars`` characters; NULL when no vote."""
-    toks = tokens(F.substring(text, 1, n_chars))
+def cut(text: Column, n_chars: int | None) -> Column:
+    """The first ``n_chars`` characters, or the whole text (None)."""
+    return text if n_chars is None else F.substring(text, 1, n_chars)
+
+
+def classify_lob(text: Column, n_chars: int | None = None) -> Column:
+    """G09 default: keyword vote over the text; NULL when no vote."""
+    toks = tokens(cut(text, n_chars))
     votes = [(lob, _hits(toks, words)) for lob, words in LOB_KEYWORDS]
     best = F.greatest(*[v for _, v in votes])
     out = None

@@ -343,9 +343,9 @@ def customer_context(c360: DataFrame, alerts: DataFrame, nba: DataFrame, mode: s
 
 
 def extract_interaction_features(c360: DataFrame, interactions: DataFrame, as_of, model=None,
-                                 n_chars: int = 500) -> DataFrame:
+                                 n_chars: int | None = None) -> DataFrame:
     """Per customer with interactions in the last 90 days, a prompt of the
-    transcripts (newest first, each cut to ``n_chars``) goes to ``model``; the
+    transcripts (newest first; ``n_chars`` cuts each) goes to ``model``; the
     first JSON object of the reply updates five C360 features by key (A15).
     No model -> NULL reply -> the five features become NULL for those customers,
     as the source's UPDATE with a failed parse does."""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from claimflow.constants import SEVERITY_WEIGHT, V1_REASONS
 from claimflow.functions.dates import as_date, month_diff
 from claimflow.functions.numeric import pyround
+from claimflow.functions.text import cut
 
 
 INTAKE_V1_SCHEMA = ("claimant_name string, policy_number string, incident_date string, incident_location string, "
@@ -24,17 +25,17 @@ INTAKE_V1_SCHEMA = ("claimant_name string, policy_number string, incident_date s
                     "estimated_severity string")
 
 
-def intake_prompt_v1(claims: DataFrame) -> Column:
-    """The v1 extraction prompt: first 2000 characters of the claim text plus the keys
+def intake_prompt_v1(claims: DataFrame, n_chars: int | None = None) -> Column:
+    """The v1 extraction prompt: the claim text (``n_chars`` cuts it) plus the keys
     (missing values print as empty text, as the source's ``str(x or '')`` does)."""
     def txt(c: str) -> Column:
         col = F.col(c) if c in claims.columns else F.lit(None)
         return F.coalesce(col.cast("string"), F.lit(""))
     return F.concat(
-        F.lit("Extract entities from this claim:\nCLAIM: "), F.substring(F.coalesce("claim_text", F.lit("")), 1, 2000),
+        F.lit("Read the claim below and name what it says.\nText: "), cut(F.coalesce("claim_text", F.lit("")), n_chars),
         F.lit("\nPolicy: "), txt("policy_id"), F.lit("\nCustomer: "), txt("customer_id"),
         F.lit("\nDate: "), txt("incident_date"), F.lit("\nAmount: "), txt("claimed_amount"),
-        F.lit("\nReturn JSON only."))
+        F.lit("\nAnswer with one JSON object."))
 
 
 def agent_intake_v1(claims: DataFrame, model=None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.functions.dates import as_ts
+from claimflow.functions.text import cut
 from claimflow.operators.search import tokenize
 
 
@@ -38,15 +39,15 @@ def _bucket_sums(dim: int):
     return F.pandas_udf(run, "array<float>")
 
 
-def embed_text(df: DataFrame, col: str, dim: int = 768, n_chars: int = 8000, out: str = "embedding") -> DataFrame:
-    """G01 default: signed feature hashing of the tokens of the first ``n_chars``
-    characters into ``dim`` buckets, L2-normalised.
+def embed_text(df: DataFrame, col: str, dim: int = 768, n_chars: int | None = None, out: str = "embedding") -> DataFrame:
+    """G01 default: signed feature hashing of the tokens (of the first ``n_chars``
+    characters if given) into ``dim`` buckets, L2-normalised.
 
     Tokenizing and hashing are native expressions evaluated once per row (one
     code per token: bucket * 2 + sign bit); only the bucket sum runs in Python,
     one Arrow batch at a time with numpy, so the cost is O(tokens), not
     O(tokens x dim)."""
-    toks = tokenize(F.substring(F.col(col), 1, n_chars))
+    toks = tokenize(cut(F.col(col), n_chars))
     codes = F.transform(toks, lambda t: F.pmod(F.xxhash64(t), F.lit(dim)) * 2
                         + F.pmod(F.xxhash64(F.concat(t, F.lit("#s"))), F.lit(2)))
     return df.withColumn(out, _bucket_sums(dim)(codes))
@@ -89,9 +90,9 @@ TEXT_SUFFIXES = (".txt", ".md", ".csv", ".json", ".html", ".htm")
 
 
 def process_documents(registry: DataFrame, files: DataFrame, as_of, parser: Callable[[bytes, str], str] | None = None,
-                      dim: int = 768, embed_chars: int = 8000) -> DataFrame:
+                      dim: int = 768, embed_chars: int | None = None) -> DataFrame:
     """Extract text for PENDING documents (joined to their file bytes by path),
-    status EXTRACTED / FAILED, text length, embedding of the first 8000 chars.
+    status EXTRACTED / FAILED, text length, embedding (of the first ``embed_chars`` characters if given).
 
     Text formats decode as UTF-8 natively; other formats (PDF, images) need an
     injected ``parser(bytes, path) -> text`` run per Arrow batch."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from claimflow.constants import CLAIM_STATES, HEALTH_PROTECTED_STATUSES
 from claimflow.functions.dates import as_date, as_ts, minus_days, seconds_between
 from claimflow.functions.numeric import pyround
+from claimflow.functions.text import cut
 
 
 # ------------------------------------------------------------------ KPIs
@@ -97,7 +98,7 @@ def recent_customer_count(interactions: DataFrame, as_of, days: int = 90) -> Dat
 
 
 # ------------------------------------------------------------------ ordered text aggregation
-def concat_transcripts(interactions: DataFrame, as_of, n_chars: int | None = 500, days: int = 90,
+def concat_transcripts(interactions: DataFrame, as_of, n_chars: int | None = None, days: int = 90,
                        sep: str = "\n---\n", with_header: bool = False) -> DataFrame:
     """Per customer, the last ``days`` days of transcripts newest first, each
     cut to ``n_chars`` (``None`` = whole text); ``with_header`` prefixes
@@ -123,7 +124,7 @@ def concat_transcripts(interactions: DataFrame, as_of, n_chars: int | None = 500
                                  lambda x: x["_part"]), sep).alias("transcripts"))
 
 
-def playbook_context(keys: DataFrame, playbooks: DataFrame, n_chars: int = 500, sep: str = "\n---\n",
+def playbook_context(keys: DataFrame, playbooks: DataFrame, n_chars: int | None = None, sep: str = "\n---\n",
                      fallback: str = "No matching playbooks found") -> DataFrame:
     """D16 + C16: for each row of ``keys`` (customer_id, customer_segment, root_cause),
     the playbooks with ``segment = coalesce(seg, 'STANDARD') OR root_cause = coalesce(rc, '')``
@@ -133,7 +134,7 @@ def playbook_context(keys: DataFrame, playbooks: DataFrame, n_chars: int = 500,
     k = keys.select("customer_id", F.coalesce("customer_segment", F.lit("STANDARD")).alias("_seg"),
                     F.coalesce("root_cause", F.lit("")).alias("_rc"))
     pb = playbooks.select("playbook_id", "customer_segment", "root_cause", "success_rate",
-                          F.concat(F.col("playbook_name"), F.lit(": "), F.substring("content", 1, n_chars),
+                          F.concat(F.col("playbook_name"), F.lit(": "), cut(F.col("content"), n_chars),
                                    F.lit(" (success rate: "), F.col("success_rate").cast("string"), F.lit(")"))
                            .alias("_txt"))
     by_seg = k.join(pb, k["_seg"] == pb["customer_segment"]).select("customer_id", "playbook_id", "success_rate", "_txt")

@@ -237,14 +237,16 @@ def test_concat_transcripts_matches_brute_force(spark):
     rows.append((1000, 9, "CHAT", base - dt.timedelta(days=1), None))    # only NULL texts -> ""
     df = spark.createDataFrame(rows, "interaction_id long, customer_id long, channel string, "
                                      "interaction_date timestamp_ntz, transcript_text string")
-    got = {r.customer_id: r.transcripts for r in reports.concat_transcripts(df, "2024-02-15").collect()}
+    got = {r.customer_id: r.transcripts for r in reports.concat_transcripts(df, "2024-02-15", n_chars=500).collect()}
     cutoff = base - dt.timedelta(days=90)
-    want = {}
+    want, whole = {}, {}
     for cust in {r[1] for r in rows}:
         mine = sorted([r for r in rows if r[1] == cust and r[3] >= cutoff], key=lambda r: (r[3], r[0]), reverse=True)
         if mine:
             want[cust] = "\n---\n".join(r[4][:500] for r in mine if r[4] is not None)
+            whole[cust] = "\n---\n".join(r[4] for r in mine if r[4] is not None)
     assert got == want
+    assert {r.customer_id: r.transcripts for r in reports.concat_transcripts(df, "2024-02-15").collect()} == whole
 
 
 def test_typed_scan_schemas_match_the_driver_files(spark):
