@@ -67,8 +67,10 @@ def _rates(rows: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
     """``targets`` with r: sum of min(cap, r * w) * size over a source is its target. Documents at the
     cap are set aside and r is solved for the others until no more reach it."""
     rates = settle(rows.groupBy("source").agg(F.sum(F.col("w") * F.col("size")).alias("mass"))
-                   .join(targets, F.expr("source <=> s2")).select("s2", "source_size", "target",
-                                                                  F.expr("target / nullif(mass, 0)").alias("r")))
+                   .join(targets, F.expr("source <=> s2")).select(
+                       "s2", "source_size", "target",  # a source that stops at the cap takes all it has so often
+                       F.when(F.col("target") >= float(cap) * F.col("source_size"), F.lit(1e300))
+                       .otherwise(F.expr("target / nullif(mass, 0)")).alias("r")))
     while True:
         at_cap = F.col("r") * F.col("w") >= cap
         new = (rows.join(broadcast_within(rates, 100_000), F.expr("source <=> s2"))

@@ -69,3 +69,11 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert rows[rows["size"] == 0].taken.eq(0).all()
     assert (rows.taken <= 3 * rows["size"]).all()
     assert sorted(rows.source.fillna("-").unique()) == ["-", "a", "b"]
+
+
+def test_sources_at_the_cap_take_every_document_three_times(spark):
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 50), "a") for i in range(200)] + [(900 + i, "v w", "b") for i in range(3)]
+                                 + [(950 + i, "v w", "c") for i in range(3)], "doc_id long, text string, source string")
+    got = mixing.mix(docs, weight=mixing.damped).toPandas()
+    assert (got[got.source != "a"].copies == 3).all()
+    assert abs(got[got.source == "a"].taken.sum() - got[got.source == "a"].target.iloc[0]) <= 50
