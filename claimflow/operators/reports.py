@@ -104,10 +104,9 @@ def concat_transcripts(interactions: DataFrame, as_of, n_chars: int | None = Non
     cut to ``n_chars`` (``None`` = whole text); ``with_header`` prefixes
     '[channel timestamp] ' as the root-cause prompt does. No row limit (T08).
 
-    This is a per-customer string by definition (it becomes one prompt), but no
-    task gathers a customer's rows: texts are first concatenated per (customer,
-    day) in parallel, then at most ``days + 1`` day parts per customer are joined
-    newest first. NULL texts are skipped as ``array_join`` skips them (a day of
+    This is a per-customer string by definition (it becomes one prompt): texts are
+    first concatenated per (customer, day), then at most ``days + 1`` day parts
+    per customer are joined newest first. NULL texts are skipped as ``array_join`` skips them (a day of
     only NULL texts contributes no part)."""
     recent = interactions.filter(F.col("interaction_date") >= minus_days(as_ts(as_of), days))
     body = F.col("transcript_text") if n_chars is None else F.substring("transcript_text", 1, n_chars)
