@@ -59,13 +59,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     same = F.expr(f"{SAME} and d.source <=> b.source")
     copy = next(c for c in (f"_copy{n}" for n in range(len(docs.columns) + 1)) if c not in docs.columns)
 
-    def repeated(rows: DataFrame, found: DataFrame) -> DataFrame:
-        joined = rows.alias("d").join(broadcast_within(found, MAX_BROADCAST_ROWS).alias("b"), same)
-        return joined.select("d.*", F.explode(F.sequence(F.lit(1), F.col("b.copies"))).alias(copy)).drop(copy)
+    def counted(found: DataFrame) -> DataFrame:
+        joined = docs.alias("d").join(broadcast_within(found, MAX_BROADCAST_ROWS).alias("b"), same)
+        return joined.select("d.*", F.col("b.copies").alias(copy))
 
     # rows that repeat an id, text and source are taken together: one of them stands for all
-    return repeated(docs, taken.where("n = 1")).unionByName(
-        repeated(docs.dropDuplicates(["doc_id", "text", "source"]), taken.where("n > 1")))
+    once = counted(taken.where("n > 1")).dropDuplicates(["doc_id", "text", "source"])
+    return (counted(taken.where("n = 1")).unionByName(once)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).drop(copy))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
