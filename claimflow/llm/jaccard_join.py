@@ -92,7 +92,7 @@ def _sketch(batches):
             s = shingles(text)
             nodes.append(node_of(s) if len(s) else None)
             sigs.append(signature(s).tobytes() if len(s) else None)
-        yield pd.DataFrame({"_id": b["_id"], "node": nodes, "sig": sigs})
+        yield pd.DataFrame({"_id": b["_id"], "_key": b["_key"], "node": nodes, "sig": sigs})
 
 
 def _sets(batches):
@@ -219,13 +219,17 @@ def _pairs(least, threshold):
 
 
 def _nodes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Every row's node, and the nodes with their copies, least id and signature."""
+    """Every row's node and text hash, and the nodes with their copies, least (id, text hash) and signature."""
     kind = docs.schema[id_col].dataType.simpleString()
-    named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    rows = settle(named.mapInPandas(_sketch, f"_id {kind}, node binary, sig binary"))
+    named = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_key"),
+                        F.col(text_col).alias("_text"))
+    rows = settle(named.mapInPandas(_sketch, f"_id {kind}, _key long, node binary, sig binary"))
     nodes = settle(rows.where("node is not null and _id is not null").groupBy("node")
-                   .agg(F.count(F.lit(1)).alias("copies"), F.min("_id").alias("least_id"), F.first("sig").alias("sig")))
-    return rows.select("_id", "node"), nodes
+                   .agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("_id", "_key")).alias("least"),
+                        F.first("sig").alias("sig"))
+                   .select("node", "copies", F.col("least._id").alias("least_id"),
+                           F.col("least._key").alias("least_key"), "sig"))
+    return rows.select("_id", "_key", "node"), nodes
 
 
 def _dealt(members: DataFrame) -> DataFrame:
@@ -299,19 +303,24 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
     """One row per input row: id, class_id (least id connected to it by links), copy_of (least id with
-    the same shingle set) and n_links (other documents of similarity >= threshold)."""
+    the same shingle set), n_links (other documents of similarity >= threshold), text_key (a hash of the
+    text) and class_key. Different texts may share an id: (class_id, class_key), the least (id, text_key)
+    of the class, tells classes apart, and (id, text_key) rows."""
     rows, nodes = _nodes(docs, id_col, text_col)
     found = settle(_verified(docs, nodes, id_col, text_col, threshold, tolerance, block, _link,
                              "node binary, links long, root binary"))
     labels = components(found.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    known = (nodes.select("node", "copies", "least_id").join(labels, "node", "left").join(links, "node", "left")
+    known = (nodes.select("node", "copies", "least_id", "least_key").join(labels, "node", "left").join(links, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
-    classes = known.groupBy("label").agg(F.min("least_id").alias("class_id"))
-    known = known.join(classes, "label").select("node", "class_id", F.col("least_id").alias("copy_of"),
-                                                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    classes = known.groupBy("label").agg(F.min(F.struct("least_id", "least_key")).alias("least"))
+    known = known.join(classes, "label").select("node", F.col("least.least_id").alias("class_id"),
+                                                F.col("least_id").alias("copy_of"),
+                                                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                                                F.col("least.least_key").alias("class_key"))
     alone = F.col("node").isNull() | F.col("_id").isNull()
     return (rows.where(~alone).join(known, "node")
-            .select(F.col("_id").alias(id_col), "class_id", "copy_of", "n_links")
-            .unionByName(rows.where(alone).select(F.col("_id").alias(id_col), F.col("_id").alias("class_id"),
-                                                  F.col("_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links"))))
+            .select(F.col("_id").alias(id_col), "class_id", "copy_of", "n_links", F.col("_key").alias("text_key"), "class_key")
+            .unionByName(rows.where(alone).select(
+                F.col("_id").alias(id_col), F.col("_id").alias("class_id"), F.col("_id").alias("copy_of"),
+                F.lit(0).cast("long").alias("n_links"), F.col("_key").alias("text_key"), F.col("_key").alias("class_key"))))

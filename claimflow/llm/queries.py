@@ -36,7 +36,8 @@ def register(fn):
 
 @register
 def op1_jaccard_join(spark, sf_dir):
-    return jaccard_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
+    classes = jaccard_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "copy_of", "n_links")
 
 
 @register

@@ -6,7 +6,8 @@ written as Parquet and read again, so a lost executor repeats no earlier stage.
 
 1. quality: an ordinal model fitted on ``labels`` drops the documents it rejects.
 2. near_duplicates: of each group of documents linked by 5-word shingles at Jaccard similarity 0.8 or
-   more, the one with the least id stays (of rows that repeat it, one). Rows without an id all stay.
+   more, the one with the least id stays (of different texts under that id, the one with the least text
+   hash; of rows that repeat both, one). Rows without an id all stay.
 3. decontaminate: documents contaminated by ``benchmark`` items go.
 4. mix: documents stay, are repeated (at most 3 times) or go so that sources meet their target weights.
    Documents without words add nothing to a mix and go.
@@ -32,19 +33,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rated.where("kept").select(*docs.columns)
 
 
+SAME = "d.doc_id <=> b.doc_id and xxhash64(coalesce(d.text, '')) = b.text_key"
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     classes = jaccard_join.jaccard_classes(docs.select("doc_id", "text"))
-    goes = classes.where("doc_id != class_id").select("doc_id").distinct()
-    stays = docs.join(broadcast_within(goes, MAX_BROADCAST_ROWS), "doc_id", "left_anti").select(*docs.columns)
-    # rows that repeat an id which stays: one is kept
-    again = broadcast_within(classes.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1")
-                             .select("doc_id"), MAX_BROADCAST_ROWS)
-    once = stays.join(again, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(stays.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
-
-
-SAME = "d.doc_id <=> b.doc_id and xxhash64(coalesce(d.text, '')) = b.text_key"
+    same = F.expr(SAME)
+
+    def listed(found: DataFrame) -> DataFrame:
+        return broadcast_within(found.select("doc_id", "text_key"), MAX_BROADCAST_ROWS).alias("b")
+
+    goes = listed(classes.where("doc_id != class_id or text_key != class_key").select("doc_id", "text_key").distinct())
+    stays = docs.alias("d").join(goes, same, "left_anti")
+    # rows that repeat an id and text which stay: one is kept
+    again = listed(classes.where("doc_id = class_id and text_key = class_key").groupBy("doc_id", "text_key").count()
+                   .where("count > 1"))
+    once = stays.alias("d").join(again, same, "left_anti")
+    return once.unionByName(stays.alias("d").join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,3 +94,13 @@ def test_stages_take_odd_rows_and_empty_tables(spark, odd_docs, no_docs):
         assert stage(spark, wide, SMALL).columns == wide.columns, name
     near = cp.near_duplicates(spark, odd_docs, SMALL).collect()
     assert Counter(r.doc_id for r in near) == Counter([1, 2, 3, 4, 5, 7, None])
+
+
+def test_different_texts_under_one_id_are_told_apart(spark):
+    one = " ".join(f"a{i}" for i in range(60))
+    two = " ".join(f"b{i}" for i in range(60))
+    rows = [(5, one), (9, f"{one} x"), (12, f"{one} y"), (5, two), (3, f"{two} z"), (7, "an own text"), (7, "another one under it"),
+            (7, "an own text"), (8, ""), (8, " ")]
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = Counter((r.doc_id, r.text) for r in cp.near_duplicates(spark, docs, SMALL).collect())
+    assert kept == Counter([(5, one), (3, f"{two} z"), (7, "an own text"), (7, "another one under it"), (8, ""), (8, " ")])
