@@ -2,11 +2,12 @@
 similar patterns with a LOB filter (G05/G06), pattern refresh (G04).
 
 Scoring rows against a pattern set is a dense product. Patterns are dealt into ``blocks`` by a hash
-of their vector and rows into ``slices`` by their row number (by default as many as the session's shuffle
-partitions, so a slice is what any shuffled task holds); each (block, slice) is one co-grouped
-task that scores its rows with numpy. Pair rows are never made, nothing passes through the driver, and
-the partial results of a row are merged by its row number, so the number of blocks and slices (fixed
-parameters, not a switch on size) never shows in the result and rows that share a key stay apart.
+of what they hold and rows into ``slices`` by their row number, by default so many that each holds some
+``TASK_ROWS`` of the counted rows (at least ``PATTERN_BLOCKS``, and the session's shuffle partitions); each
+(block, slice) is one co-grouped task that scores its rows with numpy, at most ``CELLS`` similarities at a
+time. Pair rows are never made, only the two counts pass through the driver, and the partial results of a
+row are merged by its row number, so the number of blocks and slices never shows in the result and rows
+that share a key stay apart.
 
 A NULL vector, a vector with a NULL or of another length, and a zero vector have no similarity (NULL).
 """
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PATTERN_BLOCKS = 4
+TASK_ROWS = 8192  # of each side
+CELLS = 1 << 22  # 32 MB
 
 
 def cosine(a: Column | str, b: Column | str) -> Column:
@@ -46,41 +49,54 @@ def _unit(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return out, known
 
 
+def _sizes(left: DataFrame, patterns: DataFrame, blocks: int | None, slices: int | None) -> tuple[int, int]:
+    """Numbers of blocks and slices that keep a task at some TASK_ROWS rows of each side."""
+    blocks = blocks or max(PATTERN_BLOCKS, -(-patterns.count() // TASK_ROWS))
+    least = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks, slices or max(least, -(-left.count() // TASK_ROWS))
+
+
 def _numbered(left: DataFrame, cols: list[str], blocks: int, slices: int) -> DataFrame:
     """Rows with a number of their own, once for each pattern block."""
     return (left.select(*cols).withColumn("_row", F.monotonically_increasing_id())
-            .withColumn("_slice", F.pmod("_row", F.lit(slices)).cast("int"))
+            .withColumn("_slice", F.pmod(F.xxhash64("_row"), F.lit(slices)).cast("int"))
             .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
 
 
-def _dealt(patterns: DataFrame, cols: list[str], vec_col: str, blocks: int, slices: int) -> DataFrame:
+def _dealt(patterns: DataFrame, cols: list[str], blocks: int, slices: int) -> DataFrame:
     """Patterns in their block, once for each slice of rows."""
     return (patterns.select(*cols)
-            .withColumn("_block", F.pmod(F.xxhash64(vec_col), F.lit(blocks)).cast("int"))
+            .withColumn("_block", F.pmod(F.xxhash64(*cols), F.lit(blocks)).cast("int"))
             .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))))
 
 
-def _scored(left: pd.DataFrame, right: pd.DataFrame, left_vec: str, pattern_vec: str) -> np.ndarray:
-    """Similarities of all rows and patterns, NaN where there is none."""
+def _scored(left: pd.DataFrame, right: pd.DataFrame, left_vec: str, pattern_vec: str):
+    """(first row, similarities of the rows from there on and all patterns), NaN where there is none; at
+    most CELLS at a time, or one row."""
     a, a_known = _unit(left[left_vec])
     b, b_known = _unit(right[pattern_vec])
-    out = np.full((len(a), len(b)), np.nan)
-    if a.shape[1] == b.shape[1]:
-        out[np.ix_(a_known, b_known)] = a[a_known] @ b[b_known].T
-    return out
+    step = max(1, CELLS // max(1, len(b)))
+    for at in range(0, len(a), step):
+        part, known = a[at : at + step], a_known[at : at + step]
+        out = np.full((len(part), len(b)), np.nan)
+        if a.shape[1] == b.shape[1]:
+            out[np.ix_(known, b_known)] = part[known] @ b[b_known].T
+        yield at, out
 
 
 def max_similarity(left: DataFrame, patterns: DataFrame, left_vec: str, pattern_vec: str,
                    key_cols: list[str], out_col: str = "max_similarity",
-                   blocks: int = PATTERN_BLOCKS, slices: int | None = None) -> DataFrame:
+                   blocks: int | None = None, slices: int | None = None) -> DataFrame:
     """Per row of ``left``: max cosine similarity to any pattern (NULL if none)."""
-    slices = slices or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks, slices = _sizes(left, patterns, blocks, slices)
     rows = _numbered(left, [*dict.fromkeys([*key_cols, left_vec])], blocks, slices)
-    dealt = _dealt(patterns, [pattern_vec], pattern_vec, blocks, slices)
+    # equal vectors have equal similarities: one stands for all, so no block gathers them
+    dealt = _dealt(patterns.select(pattern_vec).distinct(), [pattern_vec], blocks, slices)
 
     def score(l_rows: pd.DataFrame, r_rows: pd.DataFrame) -> pd.DataFrame:
-        sims = np.nan_to_num(_scored(l_rows, r_rows, left_vec, pattern_vec), nan=-np.inf)
-        best = sims.max(axis=1, initial=-np.inf)
+        best = np.full(len(l_rows), -np.inf)
+        for at, sims in _scored(l_rows, r_rows, left_vec, pattern_vec):
+            best[at : at + len(sims)] = np.nan_to_num(sims, nan=-np.inf).max(axis=1, initial=-np.inf)
         return pd.DataFrame({"_row": l_rows["_row"], "_best": np.where(np.isfinite(best), best, np.nan)})
 
     best = (rows.groupBy("_block", "_slice").cogroup(dealt.groupBy("_block", "_slice"))
@@ -93,7 +109,7 @@ def max_similarity(left: DataFrame, patterns: DataFrame, left_vec: str, pattern_
 def top_k_patterns(left: DataFrame, patterns: DataFrame, left_vec: str, pattern_vec: str, k: int,
                    key_cols: list[str], left_lob: str = "lob_type", pattern_lob: str = "lob_type",
                    pattern_cols: tuple[str, ...] = ("pattern_id", "pattern_type", "severity", "pattern_description"),
-                   all_label: str = "ALL", blocks: int = PATTERN_BLOCKS, slices: int | None = None) -> DataFrame:
+                   all_label: str = "ALL", blocks: int | None = None, slices: int | None = None) -> DataFrame:
     """For each row, the ``k`` most similar patterns whose LOB equals the row's
     LOB or ``all_label``; long form (keys, rank, pattern columns, similarity_score).
 
@@ -102,9 +118,9 @@ def top_k_patterns(left: DataFrame, patterns: DataFrame, left_vec: str, pattern_
     """
     cols = [*dict.fromkeys([*key_cols, left_vec, left_lob])]
     pcols = list(pattern_cols)
-    slices = slices or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks, slices = _sizes(left, patterns, blocks, slices)
     rows = _numbered(left, cols, blocks, slices)
-    dealt = _dealt(patterns, [*dict.fromkeys([*pcols, pattern_lob, pattern_vec])], pattern_vec, blocks, slices)
+    dealt = _dealt(patterns, [*dict.fromkeys([*pcols, pattern_lob, pattern_vec])], blocks, slices)
     schema = T.StructType([T.StructField("_row", T.LongType()), *[left.schema[c] for c in key_cols],
                            *[patterns.schema[c] for c in pcols], T.StructField("similarity_score", T.DoubleType())])
 
@@ -115,14 +131,14 @@ def top_k_patterns(left: DataFrame, patterns: DataFrame, left_vec: str, pattern_
             mine = r_rows[(r_rows[pattern_lob] == lob) | (r_rows[pattern_lob] == all_label)]
             if not len(mine):
                 continue
-            sims = _scored(part, mine, left_vec, pattern_vec)
-            order = np.argsort(np.where(np.isnan(sims), np.inf, -sims), axis=1, kind="stable")[:, :k]
-            i = np.repeat(np.arange(len(part)), order.shape[1])
-            j = order.ravel()
-            keep = ~np.isnan(sims[i, j])
-            i, j = i[keep], j[keep]
-            found.append(pd.concat([part[["_row", *key_cols]].iloc[i].reset_index(drop=True),
-                                    mine[pcols].iloc[j].reset_index(drop=True)], axis=1).assign(similarity_score=sims[i, j]))
+            for at, sims in _scored(part, mine, left_vec, pattern_vec):
+                order = np.argsort(np.where(np.isnan(sims), np.inf, -sims), axis=1, kind="stable")[:, :k]
+                i = np.repeat(np.arange(len(sims)), order.shape[1])
+                j = order.ravel()
+                keep = ~np.isnan(sims[i, j])
+                i, j = i[keep], j[keep]
+                found.append(pd.concat([part[["_row", *key_cols]].iloc[at + i].reset_index(drop=True),
+                                        mine[pcols].iloc[j].reset_index(drop=True)], axis=1).assign(similarity_score=sims[i, j]))
         return pd.concat(found) if found else pd.DataFrame(columns=schema.names)
 
     near = (rows.groupBy("_block", "_slice").cogroup(dealt.groupBy("_block", "_slice"))

@@ -320,3 +320,29 @@ def test_chat_exchanges_keep_whole_texts_and_follow_the_mode(spark):
     assert rows["Customer Chat"].direction == "INBOUND" and rows["Customer Chat"].transcript_text == "User: alone\nAssistant: "
     cut = ch.log_interactions(chat, "2024-01-01", reply_chars=500).where("direction = 'INTERNAL'").first()
     assert cut.transcript_text.endswith("Assistant: " + "r" * 500) and cut.duration_seconds == 0
+
+
+def test_similarity_tasks_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    left = pd.DataFrame({"v": rng.normal(size=(300, 4)).tolist()})
+    right = pd.DataFrame({"p": rng.normal(size=(70, 4)).tolist()})
+    monkeypatch.setattr(similarity, "CELLS", 1000)
+    parts = list(similarity._scored(left, right, "v", "p"))
+    a, b = (np.array(x.tolist()) for x in (left["v"], right["p"]))
+    want = (a / np.linalg.norm(a, axis=1)[:, None]) @ (b / np.linalg.norm(b, axis=1)[:, None]).T
+    assert max(sims.size for _, sims in parts) <= 1000
+    assert np.allclose(np.concatenate([sims for _, sims in parts]), want)
+    assert [at for at, _ in parts] == list(range(0, 300, 14))
+
+    monkeypatch.setattr(similarity, "TASK_ROWS", 16)
+    lf = spark.createDataFrame(list(enumerate(left["v"])), "k long, v array<double>")
+    # one vector is very common: its copies must not meet in one block
+    vectors = [right["p"][i] if i < 40 else right["p"][0] for i in range(400)]
+    pf = spark.createDataFrame(list(enumerate(vectors)), "pattern_id long, p array<double>").selectExpr("*", "'ALL' as lob_type")
+    blocks, slices = similarity._sizes(lf, pf, None, None)
+    assert (blocks, slices) == (25, 19)
+    dealt = similarity._dealt(pf, ["pattern_id", "p"], blocks, slices).groupBy("_block", "_slice").count()
+    assert dealt.agg(F.max("count")).first()[0] < 50
+    got = {r.k: r.m for r in similarity.max_similarity(lf, pf, "v", "p", ["k"], "m").collect()}
+    assert np.allclose([got[k] for k in range(300)], want[:, :40].max(axis=1))
