@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from claimflow.operators import churn, models, ranking, reports, similarity, writes
 from claimflow.sources.adapters import Tables
 from claimflow.streaming import flows
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 
 def test_playbook_context_disjunctive_join(spark):

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from claimflow.checks.compare import compare
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
