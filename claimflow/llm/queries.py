@@ -12,6 +12,7 @@ from claimflow.llm import (
     mixing,
     orc_tokens,
     ordinal_quality,
+    prefix_trie,
     pseudonyms,
     quality_outliers,
     secret_scan,
@@ -150,3 +151,9 @@ def labelled_urls(spark) -> DataFrame:
 def op10_url_filter(spark, sf_dir):
     judged = url_filter.filter_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), labelled_urls(spark), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "p_block")
+
+
+@register
+def op11_prefix_trie(spark, sf_dir):
+    keys = prefix_trie.turn_keys(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.respliced(keys))
