@@ -15,6 +15,7 @@ from claimflow.llm import (
     prefix_trie,
     pseudonyms,
     quality_outliers,
+    reversed_search,
     secret_scan,
     suffix_dedup,
     url_filter,
@@ -157,3 +158,23 @@ def op10_url_filter(spark, sf_dir):
 def op11_prefix_trie(spark, sf_dir):
     keys = prefix_trie.turn_keys(read_table(spark, sf_dir, "conversations"))
     return prefix_trie.trie(prefix_trie.respliced(keys))
+
+
+@register
+def op12_reversed_search(spark, sf_dir):
+    return reversed_search.search(read_table(spark, sf_dir, "benchmark"), read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_reversed_search"] = r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY doc_id, t),
+size AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+every AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM size),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+scored AS (SELECT item_id, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (t) JOIN df USING (t) JOIN size USING (doc_id), every GROUP BY item_id, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
