@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimflow.llm import (
     jaccard_join,
+    license_scan,
     mixing,
     orc_tokens,
     ordinal_quality,
@@ -178,3 +179,38 @@ scored AS (SELECT item_id, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * n_docs + 2
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@register
+def op13_license_scan(spark, sf_dir):
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_license_scan"] = license_scan.oracle_sql()
+
+
+ORACLE["op11_prefix_trie"] = """
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id, flatten([[ascii(ch), -1, -1, -1, -1, -1, -1, -1, -1] for ch in string_split(CAST(conv_id AS VARCHAR), '')]) AS steps FROM t),
+c AS (SELECT conv_id, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], [CAST(x AS BIGINT) for x in steps]),
+  lambda v, s: CASE WHEN s >= 0 THEN xor(v, s) ELSE xor(v >> 1, (v & 1) * CAST(3988292384 AS BIGINT)) END), CAST(4294967295 AS BIGINT)) % 9 AS h FROM ids),
+r AS (SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND pos < h
+  UNION ALL SELECT conv_id, pos, role, text FROM c JOIN t USING (conv_id) WHERE pos >= h),
+s AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS depth, role, text FROM r),
+q AS (SELECT conv_id, depth, strlen(text) AS nb, string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS prefix FROM s
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+l AS (SELECT conv_id, max(depth) AS len FROM q GROUP BY conv_id),
+node AS (SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n, any_value(nb) AS nb,
+  string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = len) AS ends FROM q JOIN l USING (conv_id) GROUP BY prefix, depth),
+pair AS (SELECT DISTINCT a.prefix AS ap, a.depth AS ad, b.prefix AS bp, b.depth AS bd FROM q a JOIN q b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+kids AS (SELECT ap, ad, count(*) AS n_children FROM pair WHERE bd = ad + 1 GROUP BY ap, ad),
+below AS (SELECT p.ap, p.ad, count(*) FILTER (k.n_children IS NULL) AS n_leaves, sum((n.n - 1) * n.nb) AS saved
+  FROM pair p JOIN node n ON n.prefix = p.bp AND n.depth = p.bd LEFT JOIN kids k ON k.ap = p.bp AND k.ad = p.bd GROUP BY p.ap, p.ad),
+up AS (SELECT p.bp, p.bd, n.conv_id AS parent FROM pair p JOIN node n ON n.prefix = p.ap AND n.depth = p.ad WHERE p.bd = p.ad + 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, parent AS parent_conv_id, CAST(n.n AS BIGINT) AS n_convs,
+  CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(ends, '')) AS ends_sha256
+FROM node n JOIN below b ON b.ap = n.prefix AND b.ad = n.depth LEFT JOIN kids k ON k.ap = n.prefix AND k.ad = n.depth
+LEFT JOIN up ON up.bp = n.prefix AND up.bd = n.depth
+"""
