@@ -20,7 +20,7 @@ from claimflow.checks import feature_sql as fs
 from claimflow.checks.views import with_views
 from claimflow.constants import EVENT_WORLD_AS_OF as EV
 from claimflow.constants import ORDER_WORLD_AS_OF as OW
-from claimflow.constants import PLAYBOOKS
+from claimflow.constants import PLAYBOOKS, V1_AS_OF
 from claimflow.operators import c360, features
 from claimflow.session import spread
 from claimflow.sources.adapters import Tables
@@ -272,10 +272,35 @@ def _h09(t: Tables) -> DataFrame:
     return out["resolutions"]
 
 
-@register("h20_claims_v1_resolutions", ks.V1, ["v_claims", "v_customers", "v_policies"],
+V1_HNW = "BUILDING"  # the order world's stand-in for the high-value segment
+
+
+def _v1_texts(t: Tables) -> dict:
+    """What the v1 agents score a claim's text with: similarity of its stored vector, and the fraud narratives."""
+    vectors = t.text_vectors().withColumnRenamed("claim_text_id", "statement_vector_id")
+    return {"vectors": similarity.max_similarity(vectors, t.fraud_patterns(), "embedding", "pattern_embedding",
+                                                 ["statement_vector_id"], "vector_score"),
+            "patterns": t.fraud_narratives()}
+
+
+def _v1_resolved(t: Tables) -> DataFrame:
+    claims = t.claims(with_statement=True)
+    return claims_v1.process_claims_v1(claims, t.customers(), t.policies(), V1_AS_OF, all_claims=t.claims(),
+                                       hnw_segment=V1_HNW, **_v1_texts(t))
+
+
+@register("h20_claims_v1_resolutions", ks.V1, ks.V1_VIEWS,
           ["claimed_amount", "composite_fraud_score", "settlement_amount", "confidence_score"])
 def _h20(t: Tables) -> DataFrame:
-    return claims_v1.process_claims_v1(t.claims(), t.customers(), t.policies(), OW)
+    return _v1_resolved(t)
+
+
+@register("h18_claims_after_v1", ks.CLAIMS_AFTER_V1, ks.V1_VIEWS)
+def _h18(t: Tables) -> DataFrame:
+    """The claims table after the v1 run wrote its decisions back, and each decided claim's letter."""
+    letters = claims_v1.resolution_summary(_v1_resolved(t)).select("claim_id", "decision", "summary")
+    claims = t.claims().select("claim_id", "customer_id", "claim_status").withColumn("summary", F.lit(None).cast("string"))
+    return writes.update_from(claims, letters, ["claim_id"], {"claim_status": "decision", "summary": "summary"})
 
 
 # ============================================================== I: underwriting
@@ -296,6 +321,7 @@ def _i05(t: Tables) -> DataFrame:
 # ============================================================== D/E/H/L: reports and read models
 from claimflow.checks import report_sql as rs  # noqa: E402
 from claimflow.operators import models, reports, search, similarity, writes  # noqa: E402
+from claimflow.functions import extract  # noqa: E402
 from claimflow.functions import text as tx  # noqa: E402
 
 
@@ -677,12 +703,16 @@ def _g14(t: Tables) -> DataFrame:
     return c.select("conv_id", "turn", parsed["turn"].alias("parsed_turn"), parsed["role"].alias("parsed_role"))
 
 
-@register("h11_intake_v1", rs.INTAKE_V1, ["v_claims"])
+@register("h11_intake_v1", ks.INTAKE_V1, ["v_claims_v1"], ["confidence_score", "stated_amount"])
 def _h11(t: Tables) -> DataFrame:
-    sub = t.claims().filter(F.col("claim_status") == "SUBMITTED")
-    out = cv1.agent_intake_v1(sub)            # no completion model: the source's fallback branch
+    """Entities by the extraction grammar; claims without a statement take the source's fallback branch."""
+    sub = t.claims(with_statement=True).filter(F.col("claim_status") == "SUBMITTED")
+    out = cv1.agent_intake_v1(sub, facts=extract.claim_facts(F.col("claim_text")))
     return out.select("claim_id", "lob_classification", "confidence_score", "urgency_level",
-                      "multi_lob_indicator", "parse_error", "current_state")
+                      "multi_lob_indicator", "parse_error", "current_state",
+                      F.col("_ex.incident_date").cast("date").alias("stated_day"), F.col("_ex.claimed_amount").alias("stated_amount"),
+                      F.col("_ex.incident_location").alias("place"),
+                      F.coalesce("_ex.estimated_severity", F.lit("medium")).alias("severity"))
 
 
 # ============================================================== v1 sub-agents, E02, G04/A13, A17
@@ -696,7 +726,9 @@ def _v1_validated(t: Tables) -> DataFrame:
 
 
 def _v1_scored(t: Tables) -> DataFrame:
-    return cv1.agent_fraud_v1(_v1_validated(t), t.claims(), t.customers(), OW)
+    claims = t.claims(with_statement=True).filter(F.col("claim_status") == "SUBMITTED")
+    valid = cv1.agent_validation_v1(cv1.with_signals(claims, **_v1_texts(t)), t.policies(), t.claims())
+    return cv1.agent_fraud_v1(valid, t.claims(), t.customers(), V1_AS_OF)
 
 
 @register("h12_validation_v1", ag.VALIDATION_V1, ["v_claims", "v_policies"],
@@ -708,14 +740,14 @@ def _h12(t: Tables) -> DataFrame:
                                    "concurrent_claims")
 
 
-@register("h16_fraud_v1", ag.FRAUD_V1, ["v_claims", "v_customers", "v_policies"],
-          ["dup_score", "tenure_score", "composite_fraud_score"])
+@register("h16_fraud_v1", ag.FRAUD_V1, ks.V1_VIEWS,
+          ["dup_score", "tenure_score", "composite_fraud_score", "embed_score", "rag_score", "narrative_score", "sentiment"])
 def _h16(t: Tables) -> DataFrame:
-    return _v1_scored(t).select("claim_id", "dup_score", "tenure_score", "composite_fraud_score",
+    return _v1_scored(t).select("claim_id", "embed_score", "rag_score", "narrative_score", "sentiment", "dup_score", "tenure_score", "composite_fraud_score",
                                 "fraud_risk_level", "recommended_action")
 
 
-@register("h17_assessment_v1", ag.ASSESSMENT_V1, ["v_claims", "v_customers", "v_policies"],
+@register("h17_assessment_v1", ag.ASSESSMENT_V1, ks.V1_VIEWS,
           ["base_settlement", "risk_factor", "assessed_settlement"])
 def _h17(t: Tables) -> DataFrame:
     return cv1.agent_assessment_v1(_v1_scored(t)).select("claim_id", "base_settlement", "risk_factor",

@@ -42,7 +42,7 @@ FROM j LEFT JOIN mlob m ON j.customer_id = m.customer_id
 LEFT JOIN sameday sd ON j.customer_id = sd.customer_id AND j.incident_date = sd.incident_date"""
 
 FRAUD_V1 = V1_CTES + """
-SELECT f.claim_id,
+SELECT f.claim_id, embed AS embed_score, rag AS rag_score, narrative AS narrative_score, sentiment,
   least(coalesce(d.n_dup, 0) * 0.3::DOUBLE, 0.9::DOUBLE) AS dup_score,
   (CASE WHEN f.m < 6 THEN 0.6 WHEN f.m < 12 THEN 0.3 ELSE 0.1 END)::DOUBLE AS tenure_score,
   f.composite_fraud_score,

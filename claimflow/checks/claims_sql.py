@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from claimflow.checks.bm25_sql import bm25_sql
 from claimflow.constants import ORDER_WORLD_AS_OF as OW
+from claimflow.constants import V1_AS_OF
+from claimflow.functions.extract import MONTHS, SEARCH_WORDS, URGENT_WORDS
 from claimflow.functions.numeric import pyround_sql
-from claimflow.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS, SEVERITY_RULES
+from claimflow.functions.text import LOB_KEYWORDS, NEGATIVE_WORDS, POSITIVE_WORDS, SEVERITY_RULES
 
 D = f"DATE '{OW}'"
+D1 = f"DATE '{V1_AS_OF}'"
 TS = f"TIMESTAMP '{OW} 00:00:00'"
 TS_TXT = f"{OW} 00:00:00"
 
@@ -130,10 +134,38 @@ INTAKE_V2 = f"""
 SELECT claim_id, lob_type, {severity_sql('claim_text')} AS severity
 FROM v_claims_text WHERE claim_status = 'SUBMITTED'"""
 
+# v1: what the statement says, and how the claim scores on it
+_MONTHS = "|".join(MONTHS)
+_TOKS = "regexp_split_to_array(lower(claim_text), '[^a-z]+')"
+_VOTES = [f"len(list_filter(toks, lambda x: x IN ({_in(words)})))" for _, words in LOB_KEYWORDS]
+V1_SIGNALS = f"""
+said AS (SELECT *, regexp_extract(claim_text, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}|[0-9]{{1,2}} (?:{_MONTHS}) [0-9]{{4}}') AS day_text,
+    {_TOKS} AS toks FROM v_claims_v1 WHERE claim_status = 'SUBMITTED'),
+facts AS (SELECT * EXCLUDE (day_text), CAST(coalesce(try_strptime(day_text, '%Y-%m-%d'), try_strptime(day_text, '%d/%m/%Y'), try_strptime(day_text, '%d %B %Y')) AS DATE) AS stated_day,
+    try_cast(replace(regexp_extract(claim_text, '(?:INR|Rs|USD|EUR)\\.? ?([0-9][0-9,]*(?:\\.[0-9]+)?)', 1), ',', '') AS DOUBLE) AS stated_amount,
+    regexp_extract(claim_text, '\\b(?:in|at|near) ([A-Z][a-z]+(?: [A-Z][a-z]+)?)', 1) AS place,
+    {_VOTES[0]} AS auto, {_VOTES[1]} AS property, {_VOTES[2]} AS work,
+    CASE WHEN len(list_filter(toks, lambda x: x IN ({_in(URGENT_WORDS)}))) > 0 THEN 'HIGH'
+         WHEN regexp_matches(lower(claim_text), '\\bno (?:hurry|rush)\\b') THEN 'LOW' ELSE 'MEDIUM' END AS urgency,
+    coalesce({sentiment_sql('claim_text')}, 0.0::DOUBLE) AS sentiment,
+    array_to_string(list_sort(list_distinct(list_filter(toks, lambda x: x IN ({_in(SEARCH_WORDS)})))), ' ') AS asked FROM said),
+ranked AS ({{BM25}}),
+rag AS (SELECT query_id, max((1.0::DOUBLE - (rank - 1) * 0.25::DOUBLE)
+    * CASE severity WHEN 'CRITICAL' THEN 0.9::DOUBLE WHEN 'HIGH' THEN 0.7::DOUBLE WHEN 'MEDIUM' THEN 0.5::DOUBLE ELSE 0.3::DOUBLE END) AS rag
+  FROM ranked JOIN v_fraud_narratives ON pattern_id = doc_id GROUP BY query_id),
+sub AS (SELECT f.*, coalesce(round(vector_score, 6), 0.0::DOUBLE) AS embed, coalesce(rag, 0.0::DOUBLE) AS rag,
+    CASE WHEN claim_text IS NULL THEN 0.3::DOUBLE ELSE
+      (CASE WHEN stated_day IS NULL OR stated_amount IS NULL OR auto + property + work = 0 THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END)
+      + (CASE WHEN coalesce(stated_day <> incident_date, FALSE) OR coalesce(abs(stated_amount - claimed_amount) > 1, FALSE) THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END)
+      + (CASE WHEN sentiment < -0.3 THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END)
+      + (CASE WHEN urgency = 'HIGH' THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END) END AS narrative
+  FROM facts f LEFT JOIN v_text_scores t ON t.vec_id = f.vector_id LEFT JOIN rag ON rag.query_id = f.asked)"""
+
 PR_COMP = pyround_sql("""least(greatest(
       least(coalesce(d.n_dup, 0) * 0.3::DOUBLE, 0.9::DOUBLE) * 0.15::DOUBLE
     + (CASE WHEN m < 6 THEN 0.6::DOUBLE WHEN m < 12 THEN 0.3::DOUBLE ELSE 0.1::DOUBLE END) * 0.10::DOUBLE
-    + 0.0::DOUBLE * 0.20::DOUBLE + 0.0::DOUBLE * 0.15::DOUBLE + 0.3::DOUBLE * 0.25::DOUBLE + 0.0::DOUBLE,
+    + v.embed * 0.20::DOUBLE + v.rag * 0.15::DOUBLE + v.narrative * 0.25::DOUBLE
+    + (CASE WHEN v.sentiment < -0.3 THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END),
     0.0::DOUBLE), 1.0::DOUBLE)""", 4)
 PR_ST = pyround_sql("""greatest(least(coalesce(claimed_amount, 0.0), coverage_limit) - deductible, 0.0)
                   * CASE WHEN composite_fraud_score > 0.75 THEN 0.0::DOUBLE
@@ -141,7 +173,7 @@ PR_ST = pyround_sql("""greatest(least(coalesce(claimed_amount, 0.0), coverage_li
 PR_FINAL = pyround_sql("CASE WHEN NOT a.eligible OR a.composite_fraud_score > 0.75 OR NOT (a.st > 0) THEN 0.0 ELSE a.st END", 2)
 
 V1 = f"""
-WITH sub AS (SELECT * FROM v_claims WHERE claim_status = 'SUBMITTED'),
+WITH {{SIGNALS}},
 mlob AS (SELECT customer_id, count(DISTINCT lob_type) AS multi_lob_count FROM v_policies
          WHERE policy_status = 'ACTIVE' GROUP BY 1),
 sameday AS (SELECT customer_id, incident_date, count(*) AS n FROM v_claims
@@ -160,7 +192,7 @@ val AS (
   FROM sub s LEFT JOIN v_policies p ON s.policy_id = p.policy_id),
 fr AS (
   SELECT v.*, {PR_COMP} AS composite_fraud_score
-  FROM (SELECT v.*, coalesce((year({D}) - year(cu.onboarding_date)) * 12 + (month({D}) - month(cu.onboarding_date)), 0)
+  FROM (SELECT v.*, coalesce((year({D1}) - year(cu.onboarding_date)) * 12 + (month({D1}) - month(cu.onboarding_date)), 0)
                AS m FROM val v LEFT JOIN v_customers cu ON v.customer_id = cu.customer_id) v
   LEFT JOIN dup d ON v.claim_id = d.claim_id),
 asm AS (
@@ -181,10 +213,34 @@ SELECT a.claim_id, a.customer_id, a.policy_id, a.lob_type, a.claimed_amount, a.c
        AS settlement_amount,
   CASE WHEN a.composite_fraud_score < 0.3 THEN 0.95 WHEN a.composite_fraud_score < 0.6 THEN 0.7 ELSE 0.5 END
        ::DOUBLE AS confidence_score,
-  CASE WHEN coalesce(cu.customer_segment, 'STANDARD') = 'HNW' AND coalesce(cu.lifetime_value_score, 0.0) > 0.7
+  CASE WHEN coalesce(cu.customer_segment, 'STANDARD') = 'BUILDING' AND coalesce(cu.lifetime_value_score, 0.0) > 0.7
             AND coalesce(sd.n, 0) > 1 THEN 'EXPEDITE' END AS next_best_action
 FROM asm a JOIN v_customers cu ON a.customer_id = cu.customer_id
 LEFT JOIN sameday sd ON a.customer_id = sd.customer_id AND a.incident_date = sd.incident_date"""
+V1 = V1.replace("{SIGNALS}", V1_SIGNALS.replace("{BM25}", bm25_sql(
+    "SELECT DISTINCT asked AS query_id, asked AS query FROM facts WHERE asked <> ''", 3,
+    "SELECT pattern_id AS doc_id, example_narrative AS text FROM v_fraud_narratives")))
+V1_VIEWS = ["v_claims", "v_claims_v1", "v_customers", "v_policies", "v_fraud_narratives", "v_text_scores", "v_doc_count"]
+
+INTAKE_V1 = f"""
+WITH {V1_SIGNALS[:V1_SIGNALS.index("ranked AS")].rstrip().rstrip(",")}
+SELECT claim_id, CASE WHEN claim_text IS NULL THEN coalesce(lob_type, 'UNKNOWN')
+    ELSE coalesce(CASE WHEN auto + property + work = 0 THEN NULL WHEN auto >= property AND auto >= work THEN 'AUTO'
+                       WHEN property >= work THEN 'PROPERTY' ELSE 'WORKERS_COMP' END, lob_type) END AS lob_classification,
+  CASE WHEN claim_text IS NULL THEN 0.5::DOUBLE WHEN auto + property + work = 0 THEN 0.0::DOUBLE
+       ELSE greatest(auto, property, work) / CAST(auto + property + work AS DOUBLE) END AS confidence_score,
+  CASE WHEN claim_text IS NULL THEN 'MEDIUM' ELSE urgency END AS urgency_level,
+  claim_text IS NOT NULL AND (CASE WHEN auto > 0 THEN 1 ELSE 0 END + CASE WHEN property > 0 THEN 1 ELSE 0 END
+    + CASE WHEN work > 0 THEN 1 ELSE 0 END) > 1 AS multi_lob_indicator,
+  claim_text IS NULL AS parse_error, 'INTAKE_COMPLETE' AS current_state,
+  stated_day, stated_amount, nullif(place, '') AS place, {severity_sql('claim_text')} AS severity
+FROM facts"""
+
+CLAIMS_AFTER_V1 = f"""
+WITH done AS ({V1})
+SELECT c.claim_id, c.customer_id, coalesce(d.decision, c.claim_status) AS claim_status,
+  CASE WHEN d.claim_id IS NOT NULL THEN 'Claim ' || d.claim_id || ' ' || d.decision || '. ' || d.decision_reason END AS summary
+FROM v_claims c LEFT JOIN done d ON c.claim_id = d.claim_id"""
 
 UW_SCORE = f"""
 WITH apps AS (SELECT *, CASE WHEN credit_score >= 750 THEN 'LOW' WHEN credit_score >= 650 THEN 'MEDIUM'

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from claimflow.checks import claims_sql as ks
 from claimflow.checks import churn_sql as cs
 from claimflow.checks import claims_sql as ks
 from claimflow.checks import feature_sql as fs
+from claimflow.checks.bm25_sql import bm25_sql
 from claimflow.checks.churn_sql import SCAN, SCORED
 from claimflow.constants import EVENT_WORLD_AS_OF as EV
 from claimflow.constants import ORDER_WORLD_AS_OF as OW
@@ -146,29 +146,6 @@ def _lob_sql(col: str) -> str:
 
 CLASSIFY_DOCS = f"SELECT doc_id, {_lob_sql('text')} AS lob_type FROM documents"
 
-_TOK = "list_filter(regexp_split_to_array(lower({c}), '[^a-z0-9]+'), lambda t: length(t) > 0)"
-
-def bm25_sql(queries: str, k: int, corpus: str = "SELECT doc_id, text FROM documents", where: str = "") -> str:
-    """BM25 top-k; ``queries`` is a relation (query_id, query), ``corpus`` one of (doc_id, text); ``where``
-    filters the scored pairs of query and document."""
-    return f"""
-WITH docs AS (SELECT doc_id, {_TOK.format(c='text')} AS toks FROM ({corpus}) corpus),
-dl AS (SELECT doc_id, len(toks) AS dl FROM docs),
-stats AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
-qt AS (SELECT query_id, term, count(*) AS qtf FROM (
-         SELECT query_id, unnest({_TOK.format(c='query')}) AS term FROM ({queries}) qq) GROUP BY ALL),
-post AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(toks) AS term FROM docs)
-         WHERE term IN (SELECT term FROM qt) GROUP BY ALL),
-idf AS (SELECT term, ln(1.0::DOUBLE + (CAST((SELECT n FROM stats) AS DOUBLE) - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))
-          AS idf FROM (SELECT term, count(*) AS df FROM post GROUP BY term)),
-w AS (SELECT p.doc_id, p.term, idf.idf * p.tf * 2.2::DOUBLE
-             / (p.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl.dl / (SELECT avgdl FROM stats))) AS w
-      FROM post p JOIN dl ON p.doc_id = dl.doc_id JOIN idf ON p.term = idf.term),
-sc AS (SELECT qt.query_id, w.doc_id, sum(w.w * qt.qtf) AS score FROM qt JOIN w ON qt.term = w.term {where} GROUP BY ALL)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank, doc_id, score
-FROM sc QUALIFY rank <= {k}"""
-
-
 BM25 = bm25_sql("SELECT item_id AS query_id, text AS query FROM benchmark", 5)
 
 _PASSAGES = "SELECT guideline_id AS doc_id, content AS text FROM v_guidelines"
@@ -368,7 +345,3 @@ FROM conversations"""
 FENCED = """
 SELECT conv_id, turn, CAST(turn AS BIGINT) AS parsed_turn, role AS parsed_role FROM conversations"""
 
-INTAKE_V1 = """
-SELECT claim_id, coalesce(lob_type, 'UNKNOWN') AS lob_classification, 0.5::DOUBLE AS confidence_score,
-  'MEDIUM' AS urgency_level, FALSE AS multi_lob_indicator, TRUE AS parse_error, 'INTAKE_COMPLETE' AS current_state
-FROM v_claims WHERE claim_status = 'SUBMITTED'"""

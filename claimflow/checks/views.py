@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from claimflow.constants import ACTUARIAL_ROWS
+from claimflow.constants import ACTUARIAL_ROWS, STATEMENT_EVENTS, STATEMENT_PLACES, STATEMENT_TONES
 
 
 def _pick(expr: str, values: list[str], modulus: int) -> str:
@@ -105,7 +105,7 @@ SELECT * FROM (VALUES
 }
 
 # dependencies between views (for ordering the WITH list)
-DEPS = {"v_text_scores": ["v_fraud_patterns"], "v_claims_text": ["v_claims", "v_doc_count", "v_text_scores"], "v_interactions_text": ["v_interactions", "v_doc_count"]}
+DEPS = {"v_claims_v1": ["v_doc_count"], "v_text_scores": ["v_fraud_patterns"], "v_claims_text": ["v_claims", "v_doc_count", "v_text_scores"], "v_interactions_text": ["v_interactions", "v_doc_count"]}
 
 VIEWS["v_guidelines"] = """
 SELECT doc_id AS guideline_id, lob_type, risk_tier, lob_type || ' ' || risk_tier || ' underwriting guideline. ' || coalesce(text, '') AS content
@@ -124,6 +124,22 @@ SELECT i.*, d.text AS transcript_text FROM v_interactions i
 LEFT JOIN documents d ON d.doc_id = i.interaction_id % (SELECT n FROM v_doc_count)"""
 
 
+_STATED_DAY = "CAST(CAST(l_shipdate AS DATE) + CASE WHEN l_partkey % 7 = 0 THEN 40 ELSE 0 END AS DATE)"
+VIEWS["v_claims_v1"] = VIEWS["v_claims"].replace("l_orderkey AS text_key", f"""l_orderkey AS text_key,
+       CASE WHEN l_partkey % 103 <> 0 THEN CASE WHEN l_partkey % 4 = 0 THEN 'Some weeks ago' ELSE 'On ' || CASE l_linenumber % 3 WHEN 0 THEN strftime({_STATED_DAY}, '%Y-%m-%d')
+           WHEN 1 THEN strftime({_STATED_DAY}, '%d/%m/%Y') ELSE strftime({_STATED_DAY}, '%-d %B %Y') END END
+         || ' in ' || {_pick('l_suppkey', STATEMENT_PLACES, 7)} || ' there was ' || {_pick('l_partkey', STATEMENT_EVENTS, 5)}
+         || '. I claim INR ' || CAST(CAST(floor(l_extendedprice * CASE WHEN l_suppkey % 6 = 0 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END) AS BIGINT) AS VARCHAR)
+         || '.' || {_pick('l_suppkey', STATEMENT_TONES, 3)}
+         || CASE WHEN l_linenumber <= 4 AND l_partkey % 2 = 0 THEN ' This is urgent, please pay immediately.'
+                 WHEN l_linenumber = 7 THEN ' There is no hurry.' ELSE '' END END AS claim_text,
+       CASE WHEN l_suppkey % 6 = 0 THEN l_partkey % 20 * 25 ELSE l_orderkey % (SELECT n FROM v_doc_count) END AS vector_id""")
+VIEWS["v_fraud_narratives"] = f"""
+SELECT vec_id AS pattern_id, {_pick('label', ['LOW', 'MEDIUM', 'HIGH', 'CRITICAL'], 4)} AS severity,
+  'Staged report of ' || {_pick('(vec_id // 25)', STATEMENT_EVENTS, 5)} || ' near ' || {_pick('(vec_id // 25)', STATEMENT_PLACES, 7)} AS example_narrative
+FROM embeddings WHERE vec_id % 25 = 0"""
+
+
 def with_views(names: list[str], body: str) -> str:
     """Prefix ``body`` with a WITH clause holding the named adapter views (+ deps)."""
     order: list[str] = []

@@ -95,3 +95,15 @@ V1_REASONS = {
 # --- Fixed clocks of the adapter worlds ---------------------------------------
 ORDER_WORLD_AS_OF = "2001-08-01"
 EVENT_WORLD_AS_OF = "2024-02-15"
+V1_AS_OF = "1999-01-31"  # a day on which the order world has customers of every tenure band
+
+# --- Words of the adapter's claim statements and fraud narratives -----------------
+STATEMENT_PLACES = ["Chennai", "Bangalore", "Mumbai", "New Delhi", "Pune", "Kochi", "Jaipur"]
+STATEMENT_EVENTS = [
+    "a car collision on the road and the driver was hit",
+    "a fire in the house and the roof is a total loss",
+    "an injury at the workplace during my shift",
+    "water in the building and a damaged vehicle",
+    "some damage",
+]
+STATEMENT_TONES = [" I am angry and frustrated, this delay is a terrible problem.", " Thank you for the quick and helpful service.", ""]

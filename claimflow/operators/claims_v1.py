@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimflow.constants import SEVERITY_WEIGHT, V1_REASONS
+from claimflow.functions import extract
 from claimflow.functions.dates import as_date, month_diff
 from claimflow.functions.numeric import pyround
-from claimflow.functions.text import cut
+from claimflow.functions.text import cut, sentiment as text_sentiment
+from claimflow.operators.dq import UNKNOWN_POLICY_IDS
+from claimflow.session import bounded_broadcast, left_lookup
 
 
 INTAKE_V1_SCHEMA = ("claimant_name string, policy_number string, incident_date string, incident_location string, "
@@ -38,17 +41,22 @@ def intake_prompt_v1(claims: DataFrame, n_chars: int | None = None) -> Column:
         F.lit("\nAnswer with one JSON object."))
 
 
-def agent_intake_v1(claims: DataFrame, model=None) -> DataFrame:
+def agent_intake_v1(claims: DataFrame, model=None, facts: Column | None = None) -> DataFrame:
     """Entity extraction through an injected completion model (one call per Arrow
-    batch); the reply may be fenced. A missing or unparsable reply falls back to the
+    batch; the reply may be fenced) or, without one, by ``facts`` (``extract.claim_facts``: a native
+    grammar over the text). A missing or unparsable reply, and a claim without a text, fall back to the
     claim's own LOB (or UNKNOWN) with confidence 0.5 and ``parse_error``."""
     from claimflow.functions.text import parse_model_reply
     from claimflow.operators.models import complete
     c = claims if "claim_text" in claims.columns else claims.withColumn("claim_text", F.lit(None).cast("string"))
-    c = complete(c.withColumn("_prompt", intake_prompt_v1(c)), "_prompt", model, out="_reply")
-    ex = parse_model_reply(F.col("_reply"), INTAKE_V1_SCHEMA)
-    parsed = F.col("_reply").isNotNull() & ex.isNotNull()
-    out = c.withColumn("_ex", F.when(parsed, ex))
+    if model is None and facts is not None:
+        out = c.withColumn("_ex", facts)
+        parsed = F.col("_ex").isNotNull()
+    else:
+        c = complete(c.withColumn("_prompt", intake_prompt_v1(c)), "_prompt", model, out="_reply")
+        ex = parse_model_reply(F.col("_reply"), INTAKE_V1_SCHEMA)
+        parsed = F.col("_reply").isNotNull() & ex.isNotNull()
+        out = c.withColumn("_ex", F.when(parsed, ex))
     return (out.withColumn("parse_error", ~F.coalesce(parsed, F.lit(False)))
                .withColumn("lob_classification",
                            F.when(F.col("parse_error"), F.coalesce(F.col("lob_type"), F.lit("UNKNOWN")))
@@ -105,8 +113,8 @@ def agent_validation_v1(claims: DataFrame, policies: DataFrame, all_claims: Data
                         F.col("start_date").alias("_p_start"), F.col("end_date").alias("_p_end"),
                         F.col("lob_type").alias("_p_lob"), F.col("coverage_limit").alias("_p_limit"),
                         F.col("deductible").alias("_p_ded"))
-    j = claims.join(p, F.col("policy_id") == F.col("_p_id"), "left")
-    j = j.join(multi_lob_count(policies), "customer_id", "left")
+    j = left_lookup(claims, p.withColumn("policy_id", F.col("_p_id")), "policy_id", UNKNOWN_POLICY_IDS)
+    j = left_lookup(j, multi_lob_count(policies), "customer_id")
     j = j.join(same_day_counts(all_claims if all_claims is not None else claims),
                ["customer_id", "incident_date"], "left")
     found = F.col("_p_id").isNotNull()
@@ -160,27 +168,63 @@ def rag_score(matches: DataFrame, key: str = "claim_id") -> DataFrame:
     return matches.groupBy(key).agg(F.max((F.lit(1.0) - (F.col("rank") - 1) * 0.25) * sev).alias("rag_score"))
 
 
+def with_signals(claims: DataFrame, vectors: DataFrame | None = None, patterns: DataFrame | None = None,
+                 pattern_text: str = "example_narrative", pattern_id: str = "pattern_id", vector_key: str = "statement_vector_id",
+                 k: int = 3) -> DataFrame:
+    """H15 and H16's inputs as columns of the claims: ``embed_score`` (similarity of the claim's stored vector,
+    ``vectors``: one ``vector_score`` a ``vector_key``), ``rag_score`` (from the ``k`` patterns that a search for the text's key
+    words ranks first), ``narrative_score`` (0.3 without a text) and ``sentiment`` (0 without one).
+
+    Claims with the same key words ask the same query, so each distinct query is searched once and its score
+    joined back: the pairs of the search grow with patterns and distinct queries, not with claims."""
+    from claimflow.operators.search import search
+    from claimflow.session import cut_lineage
+    text = F.col("claim_text")
+    out = claims.withColumns({
+        "narrative_score": F.coalesce(extract.narrative_risk(text, F.col("incident_date"), F.col("claimed_amount")), F.lit(0.3)),
+        "sentiment": F.coalesce(text_sentiment(text), F.lit(0.0)),
+        "_asked": extract.search_words(text)})
+    if vectors is not None:
+        out = left_lookup(out, vectors.select(vector_key, F.col("vector_score").alias("_near")), vector_key)
+        # 6 places: the noise of float products decides no band
+        out = out.withColumn("embed_score", F.coalesce(F.round("_near", 6), F.lit(0.0))).drop("_near")
+    else:
+        out = out.withColumn("embed_score", F.lit(0.0))
+    if patterns is None:
+        return out.withColumn("rag_score", F.lit(0.0)).drop("_asked")
+    once = out.select(F.col("_asked").alias("query_id"), F.col("_asked").alias("query")).where("query != ''").distinct()
+    once = cut_lineage(once)  # few rows: the claims' texts are not read again by each step of the search
+    found = search(patterns, once, text_col=pattern_text, doc_id=pattern_id, k=k, return_cols=["severity"])
+    ranked = rag_score(found.withColumnRenamed("query_id", "_asked"), "_asked").withColumnRenamed("rag_score", "_rag")
+    out = out.join(bounded_broadcast(ranked), "_asked", "left")
+    return out.withColumn("rag_score", F.coalesce("_rag", F.lit(0.0))).drop("_asked", "_rag")
+
+
 def agent_fraud_v1(validated: DataFrame, claims: DataFrame, customers: DataFrame, as_of,
                    embed_score: Column | None = None, rag: DataFrame | None = None,
                    narrative_score: Column | None = None, sentiment: Column | None = None) -> DataFrame:
     """Weighted composite of six sub-scores, clamped to [0, 1], 4 dp;
     >0.75 HIGH/REFER_TO_SIU, >0.45 MEDIUM/FLAG_FOR_REVIEW, else LOW/PASS.
+    Inputs are those of ``with_signals`` where the claims carry them, or columns passed here.
     Defaults (no model, empty retrieval): embed 0, rag 0, narrative 0.3, sentiment 0."""
     d = duplicate_counts_90d(claims)
     j = validated.join(d, ["customer_id", "policy_id", "incident_date"], "left")
     if "_onb" not in j.columns:            # not pre-joined by process_claims_v1
-        j = j.join(customers.select("customer_id", F.col("onboarding_date").alias("_onb")), "customer_id", "left")
+        j = left_lookup(j, customers.select("customer_id", F.col("onboarding_date").alias("_onb")), "customer_id")
+
+    def given(passed: Column | None, name: str, default: float) -> Column:
+        return passed if passed is not None else F.col(name) if name in validated.columns else F.lit(default)
+
+    embed_score, narrative_score = given(embed_score, "embed_score", 0.0), given(narrative_score, "narrative_score", 0.3)
+    sentiment = given(sentiment, "sentiment", 0.0)
     if rag is not None:
         j = j.join(rag, "claim_id", "left")
     n_dup = F.coalesce(F.col("_within") - 1, F.lit(0))
     months = F.coalesce(month_diff(F.col("_onb"), as_date(as_of)), F.lit(0))
     s_dup, s_ten = dup_score(n_dup), tenure_score(months)
-    s_emb = embed_score if embed_score is not None else F.lit(0.0)
-    s_rag = F.coalesce(F.col("rag_score"), F.lit(0.0)) if rag is not None else F.lit(0.0)
-    s_nar = narrative_score if narrative_score is not None else F.lit(0.3)
-    sent = sentiment if sentiment is not None else F.lit(0.0)
-    comp = (s_dup * 0.15 + s_ten * 0.10 + s_emb * 0.20 + s_rag * 0.15 + s_nar * 0.25
-            + F.when(sent < -0.3, 0.15).otherwise(0.0))
+    s_rag = F.coalesce(F.col("rag_score"), F.lit(0.0)) if "rag_score" in j.columns else F.lit(0.0)
+    comp = (s_dup * 0.15 + s_ten * 0.10 + embed_score * 0.20 + s_rag * 0.15 + narrative_score * 0.25
+            + F.when(sentiment < -0.3, 0.15).otherwise(0.0))
     comp = F.least(F.greatest(comp, F.lit(0.0)), F.lit(1.0))
     # two projections (not a withColumn chain): each DataFrame step re-analyzes the whole plan
     dropped = {"_within", "rag_score"} if rag is not None else {"_within"}
@@ -242,22 +286,38 @@ def agent_resolution_v1(assessed: DataFrame, customers: DataFrame, claims: DataF
 
 
 def process_claims_v1(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,
-                      cap: int | None = None, all_claims: DataFrame | None = None, **scorers) -> DataFrame:
+                      cap: int | None = None, all_claims: DataFrame | None = None, hnw_segment: str = "HNW",
+                      **scorers) -> DataFrame:
     """SUBMITTED claims (oldest first, optional cap; no DQ gate) through the v1 chain.
+    ``vectors`` and ``patterns`` (see ``with_signals``) score the claims' texts.
     ``all_claims`` is the table the duplicate/concurrency lookups read (default: ``claims``)."""
     universe = all_claims if all_claims is not None else claims
     sub = claims.filter(F.col("claim_status") == "SUBMITTED")
     if cap is not None:
         sub = sub.orderBy(F.col("submission_date").asc_nulls_last(), "claim_id").limit(cap)
     # one join to customers serves tenure (fraud) and segment / LTV / existence (resolution)
+    signals = {k: scorers.pop(k) for k in ("vectors", "patterns") if k in scorers}
+    if signals:
+        sub = with_signals(sub, **signals)
     cust = customers.select("customer_id", F.col("onboarding_date").alias("_onb"),
                             F.col("customer_segment").alias("_seg"), F.col("lifetime_value_score").alias("_ltv"),
                             F.lit(True).alias("_cust"))
     # the same-day count joined for validation also serves the expedite rule (no second join)
-    v = agent_validation_v1(sub.join(cust, "customer_id", "left"), policies, universe, keep_same_day=True)
+    v = agent_validation_v1(left_lookup(sub, cust, "customer_id"), policies, universe, keep_same_day=True)
     f = agent_fraud_v1(v, universe, customers, as_of, **scorers)
     a = agent_assessment_v1(f)
-    return agent_resolution_v1(a, customers, universe)
+    return agent_resolution_v1(a, customers, universe, hnw_segment=hnw_segment)
+
+
+def resolution_summary(resolved: DataFrame, model=None) -> DataFrame:
+    """H18's letter to the policyholder through an injected model; without one, the source's own sentence."""
+    from claimflow.operators.models import complete
+    prompt = F.concat(F.lit("Two sentences for the policyholder, without scores or personal data. Decision: "), F.col("decision"),
+                      F.lit(". Settlement: INR "), F.floor("settlement_amount").cast("string"), F.lit(" of "),
+                      F.coalesce(F.floor("claimed_amount").cast("string"), F.lit("0")), F.lit(". Reason: "), F.col("decision_reason"))
+    said = complete(resolved.withColumn("_prompt", prompt), "_prompt", model, out="_said").drop("_prompt")
+    plain = F.concat(F.lit("Claim "), F.col("claim_id"), F.lit(" "), F.col("decision"), F.lit(". "), F.col("decision_reason"))
+    return said.withColumn("summary", F.coalesce("_said", plain)).drop("_said")
 
 
 def writeback_v1(claims: DataFrame, resolved: DataFrame) -> DataFrame:

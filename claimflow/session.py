@@ -86,3 +86,16 @@ def spread(df: DataFrame, min_partitions: int | None = None, key: list[str] | No
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *key) if key else df.repartition(target)
+
+
+def left_lookup(rows: DataFrame, lookup: DataFrame, key: str, unknown: tuple = ()) -> DataFrame:
+    """Left join with a lookup of one row a key, by ``key``. Rows whose key cannot match (NULL, or one of the
+    ``unknown`` marks) would all meet in one task: they are spread by a salt that the lookup does not have."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    never = F.col(key).isNull() | F.col(key).isin(*unknown) if unknown else F.col(key).isNull()
+    seen = [c for c in ("claim_id", "policy_id", "customer_id", "incident_date", "claimed_amount") if c in rows.columns]
+    spread_by = F.pmod(F.xxhash64(*(seen or rows.columns)), F.lit(parts)).cast("int") + 1
+    found = lookup.withColumnRenamed(key, "_lookup_key").withColumn("_lookup_salt", F.lit(0))
+    salted = rows.withColumn("_salt", F.when(never, spread_by).otherwise(0))
+    return (salted.join(found, (F.col(key) == F.col("_lookup_key")) & (F.col("_salt") == F.col("_lookup_salt")), "left")
+            .drop("_salt", "_lookup_key", "_lookup_salt"))

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.constants import (ACTUARIAL_ROWS, APPLICATION_LOB_BY_MOD3, LOB_BY_MOD3,
-                                 PATTERN_LOB_BY_MOD4, PATTERN_SEVERITY_BY_MOD4)
+                                 PATTERN_LOB_BY_MOD4, PATTERN_SEVERITY_BY_MOD4, STATEMENT_EVENTS, STATEMENT_PLACES,
+                                 STATEMENT_TONES)
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -135,10 +136,28 @@ class Tables:
         return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
                            F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
 
-    def claims(self, with_text: bool = False, with_text_key: bool = False) -> DataFrame:
+    @staticmethod
+    def _statement() -> Column:
+        """What the claimant says, from the claim's own columns: some state no date, or another date or amount
+        than the claim has, some press, some are angry, some say nothing (NULL)."""
+        day = F.date_add(F.to_date("l_shipdate"), F.when(F.col("l_partkey") % 7 == 0, 40).otherwise(0))
+        shape = F.col("l_linenumber") % 3
+        date = (F.when(shape == 0, F.date_format(day, "yyyy-MM-dd")).when(shape == 1, F.date_format(day, "dd/MM/yyyy"))
+                .otherwise(F.date_format(day, "d MMMM yyyy")))
+        when = F.when(F.col("l_partkey") % 4 == 0, F.lit("Some weeks ago")).otherwise(F.concat(F.lit("On "), date))
+        amount = F.floor(F.col("l_extendedprice") * F.when(F.col("l_suppkey") % 6 == 0, 2.0).otherwise(1.0)).cast("string")
+        urgent = F.when((F.col("l_linenumber") <= 4) & (F.col("l_partkey") % 2 == 0), " This is urgent, please pay immediately.") \
+                  .when(F.col("l_linenumber") == 7, " There is no hurry.").otherwise("")
+        said = F.concat(when, F.lit(" in "), pick(F.col("l_suppkey"), STATEMENT_PLACES, 7), F.lit(" there was "),
+                        pick(F.col("l_partkey"), STATEMENT_EVENTS, 5), F.lit(". I claim INR "), amount, F.lit("."),
+                        pick(F.col("l_suppkey"), STATEMENT_TONES, 3), urgent)
+        return F.when(F.col("l_partkey") % 103 != 0, said)
+
+    def claims(self, with_text: bool = False, with_text_key: bool = False, with_statement: bool = False) -> DataFrame:
         """Claims over lineitem x orders. ``with_text`` attaches the narrative text;
         ``with_text_key`` adds ``claim_text_id``, the key of the narrative in
-        ``claim_texts()`` (text features can then be computed once per text)."""
+        ``claim_texts()`` (text features can then be computed once per text); ``with_statement``
+        adds the claimant's own statement as ``claim_text`` and the key of its vector in ``text_vectors()``."""
         lo = self._lineitem_orders()
         policy_id = (F.when(F.col("l_suppkey") % 31 == 0, F.lit(None).cast("long"))
                      .when(F.col("l_suppkey") % 29 == 0, F.lit(-1).cast("long"))
@@ -158,6 +177,10 @@ class Tables:
             F.date_add(ship, F.col("l_linenumber")).cast("timestamp_ntz").alias("submission_date"),
             status.alias("claim_status"),
             F.col("l_orderkey").alias("text_key"),
+            *([self._statement().alias("claim_text"),
+               # a copycat's story has the vector of a known pattern, others that of their narrative
+               F.when(F.col("l_suppkey") % 6 == 0, F.col("l_partkey") % 20 * PATTERN_EVERY)
+                .otherwise(F.col("l_orderkey") % F.lit(self._doc_count())).alias("statement_vector_id")] if with_statement else []),
         )
         if with_text:
             df = self._attach_text(df, "text_key", "claim_text")
@@ -253,6 +276,16 @@ class Tables:
             pick(F.col("label"), PATTERN_LOB_BY_MOD4, 4).alias("lob_type"),
         )
 
+    def fraud_narratives(self) -> DataFrame:
+        """(pattern_id, pattern_type, severity, example_narrative): the fraud patterns' example texts."""
+        e = self.raw("embeddings").filter(F.col("vec_id") % PATTERN_EVERY == 0)
+        turn = F.floor(F.col("vec_id") / PATTERN_EVERY).cast("long")
+        return e.select(
+            F.col("vec_id").alias("pattern_id"), F.concat(F.lit("PATTERN_"), F.col("label").cast("string")).alias("pattern_type"),
+            pick(F.col("label"), PATTERN_SEVERITY_BY_MOD4, 4).alias("severity"),
+            F.concat(F.lit("Staged report of "), pick(turn, STATEMENT_EVENTS, 5), F.lit(" near "),
+                     pick(turn, STATEMENT_PLACES, 7)).alias("example_narrative"))
+
     def claim_embeddings(self) -> DataFrame:
         e = self.raw("embeddings").filter(F.col("vec_id") % PATTERN_EVERY != 0)
         return e.select(
