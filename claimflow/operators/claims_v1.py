@@ -192,8 +192,8 @@ def with_signals(claims: DataFrame, vectors: DataFrame | None = None, patterns:
         out = out.withColumn("embed_score", F.lit(0.0))
     if patterns is None:
         return out.withColumn("rag_score", F.lit(0.0)).drop("_asked")
-    once = out.select(F.col("_asked").alias("query_id"), F.col("_asked").alias("query")).where("query != ''").distinct()
-    once = cut_lineage(once)  # few rows: the claims' texts are not read again by each step of the search
+    once = claims.select(extract.search_words(text).alias("query_id")).distinct().select("query_id", F.col("query_id").alias("query"))
+    once = cut_lineage(once.where("query != ''"))  # few rows: the claims' texts are not read again by each step of the search
     found = search(patterns, once, text_col=pattern_text, doc_id=pattern_id, k=k, return_cols=["severity"])
     ranked = rag_score(found.withColumnRenamed("query_id", "_asked"), "_asked").withColumnRenamed("rag_score", "_rag")
     out = out.join(bounded_broadcast(ranked), "_asked", "left")

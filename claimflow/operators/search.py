@@ -3,17 +3,21 @@
 Plan shape, all DataFrame operators:
   1. tokenize queries -> distinct (query, term); the set of query terms is
      the (small) driving side;
-  2. tokenize the corpus -> (doc, term, tf) by ``explode`` + ``groupBy``
+  2. tokenize the corpus once -> (doc, term, tf) by ``explode`` + ``groupBy``
      (map-side partial counts), semi-joined to the query terms so only
-     matching postings are shuffled further;
+     matching postings are shuffled further; each document also has one posting
+     of a mark (``MARKS`` different ones, so no task holds them all), from which the
+     corpus-wide figures (document count, mean length) are summed: they come out of
+     the same exchange, as a scalar subquery, and no job runs while the plan is built
+     but the count that bounds the broadcast of the query terms;
   3. document frequency per query term (aggregate), idf;
-  4. score = sum over matching terms, per (query, doc), optional equality
-     filters on corpus attributes (filter join);
-  5. top-k per query with ``row_number() <= k`` (score ties, e.g. duplicate
+  4. equality filters on corpus attributes travel with the postings and are keys of the
+     join with the query terms, so pairs that a filter excludes are never scored;
+  5. score = sum over matching terms, per (query, doc);
+  6. top-k per query with ``row_number() <= k`` (score ties, e.g. duplicate
      documents, broken by doc id) — Spark plans this as a
      WindowGroupLimit, which already cuts each partition to k rows per query
      before the shuffle, so a query matching most documents stays cheap.
-Corpus-wide statistics (document count, mean length) are two scalars.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TOKEN_PATTERN = "[^a-z0-9]+"
+MARK = "\u0000"  # no token holds it
+MARKS = 256
 
 
 def tokenize(text: Column) -> Column:
@@ -39,39 +45,36 @@ def search(corpus: DataFrame, queries: DataFrame, text_col: str, doc_id: str, k:
     Returns (query_id, rank, doc_id, score, *return_cols).
     """
     from claimflow.session import bounded_broadcast, spread
-    extra = list(dict.fromkeys([*(filters or {}).keys(), *(return_cols or [])]))
+    filters = filters or {}
+    extra = list(dict.fromkeys([*filters, *(return_cols or [])]))
     docs = spread(corpus.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("_text"), *extra), key=["doc_id"])
-    toks = docs.select("doc_id", tokenize(F.col("_text")).alias("_toks"))
-    stats = docs.agg(F.count(F.lit(1)).alias("n"),
-                     F.avg(F.size(tokenize(F.col("_text")))).alias("avgdl")).collect()[0]
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    qterms = (queries.select("query_id", F.explode(tokenize(F.col("query"))).alias("term"))
-              .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    vocab = bounded_broadcast(qterms.select("term").distinct())
-    # document length rides along with each posting: no per-document join back.
-    # explode_outer: a plain explode makes Catalyst infer size(tokens) > 0 and push
-    # that (tokenizing) filter under the repartition into the scan task; the NULL
-    # term of an empty document is dropped by the vocabulary semi join anyway.
-    post = (toks.select("doc_id", F.size("_toks").alias("dl"), F.explode_outer("_toks").alias("term"))
+    mark = F.concat(F.lit(MARK), F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).cast("string"))
+    kept = [F.col(c).alias(f"_q_{c}") for c in filters]
+    wanted = [f"_q_{c}" for c in filters]
+    toks = docs.select("doc_id", *kept, F.coalesce(tokenize(F.col("_text")), F.array().cast("array<string>")).alias("_toks"), mark.alias("_mark"))
+    qterms = (queries.select("query_id", *[F.col(v).alias(f"_q_{c}") for c, v in filters.items()],
+                             F.explode(tokenize(F.col("query"))).alias("term"))
+              .groupBy("query_id", *wanted, "term").agg(F.count(F.lit(1)).alias("qtf")))
+    marks = queries.sparkSession.range(MARKS).select(F.concat(F.lit(MARK), F.col("id").cast("string")).alias("term"))
+    vocab = bounded_broadcast(qterms.select("term").distinct().unionByName(marks))
+    # document length rides along with each posting: no per-document join back
+    post = (toks.select("doc_id", *wanted, F.size("_toks").alias("dl"), F.explode(F.array_append("_toks", F.col("_mark"))).alias("term"))
             .join(vocab, "term", "left_semi")
-            .groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf")))
-    # counting rows through ``tf`` (not count(*), which lets Catalyst prune tf) keeps this
-    # branch's postings aggregate identical to the scoring branch: the exchange is
-    # reused and the corpus is tokenized once
+            .groupBy("doc_id", *wanted, "term", "dl").agg(F.count(F.lit(1)).alias("tf")))
+    # counting rows through ``tf`` (not count(*), which lets Catalyst prune tf) keeps these branches'
+    # postings aggregate identical to the scoring branch: the exchange is reused and the corpus is
+    # tokenized once
+    marked = F.col("term").startswith(MARK) & (F.col("tf") > 0)
+    stats = post.agg(F.count(F.when(marked, F.lit(1))).cast("double").alias("n"),
+                     F.avg(F.when(marked, F.col("dl"))).alias("avgdl"))
+    n_docs, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
     df_ = post.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
-    idf = df_.select("term", F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-                     .alias("idf"))
+    idf = df_.select("term", F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     p = post.join(idf, "term")                   # one row per matched query term (AQE broadcasts it)
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.greatest(avgdl, F.lit(1e-9)))
     p = p.withColumn("w", F.col("idf") * F.col("tf") * (k1 + 1.0) / (F.col("tf") + norm))
-    scored = qterms.join(p, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("w") * F.col("qtf")).alias("score"))
-    if filters:
-        attrs = docs.select("doc_id", *filters.keys())
-        qa = queries.select("query_id", *[F.col(v).alias(f"_q_{c}") for c, v in filters.items()])
-        scored = scored.join(attrs, "doc_id").join(qa, "query_id")
-        for c in filters:
-            scored = scored.filter(F.col(c) == F.col(f"_q_{c}"))
-        scored = scored.drop(*filters.keys(), *[f"_q_{c}" for c in filters])
+    scored = (qterms.join(p, ["term", *wanted]).groupBy("query_id", "doc_id")
+              .agg(F.sum(F.col("w") * F.col("qtf")).alias("score")))
     # equal documents score equal up to summation order: rank on 1e-9 so ties fall to doc_id
     w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
     top = scored.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
