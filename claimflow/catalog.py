@@ -829,3 +829,42 @@ def _j08(t: Tables) -> DataFrame:
     model the root cause and its confidence stay NULL (the source's failed-parse branch)."""
     c = c360_with_propensity(t)
     return churn.root_cause(churn.churn_scan(c, churn.empty_alerts(t.spark), OW), c, OW)
+
+
+# ============================================================== A08, A09, A16: ingest and insert-select
+from claimflow.constants import LOB_BY_MOD3  # noqa: E402
+from claimflow.operators import ingest  # noqa: E402
+from claimflow.session import ensure_checkpoint_dir  # noqa: E402
+
+
+@register("a08_ingest_claims", ag.INGEST_CLAIMS, ["v_claims"])
+def _a08(t: Tables) -> DataFrame:
+    """Forms with JSON columns become claims with VARIANT columns; forms whose JSON is broken come back with the reason."""
+    claims, rejected = ingest.ingest_claims(t.claim_forms(), OW)
+    kinds = {"source": "string", "lob": "string", "dq_validated": "boolean"}
+    loaded = claims.select("claim_id", "claim_status", *[F.try_variant_get("metadata", f"$.{k}", v).alias(k) for k, v in kinds.items()],
+                           F.try_variant_get("supporting_docs", "$[0].file", "string").alias("first_file"))
+    return loaded.unionByName(rejected, allowMissingColumns=True)
+
+
+@register("a09_ingest_applications", ag.INGEST_APPLICATIONS, [], ["coverage_limit"])
+def _a09(t: Tables) -> DataFrame:
+    """Three kinds of application loaded into one partitioned folder, one of them twice, and read back as one frame."""
+    import uuid
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/applications-{uuid.uuid4().hex}"
+    loads = {lob: ingest.ingest_applications(t.application_forms(lob), lob, OW) for lob in LOB_BY_MOD3}
+    for lob in [*LOB_BY_MOD3, LOB_BY_MOD3[0]]:
+        ingest.write_applications(loads[lob][0], path, lob, OW)
+    refused = reduce(DataFrame.unionByName, [r.withColumn("lob_type", F.lit(lob)) for lob, (_, r) in loads.items()])
+    return (ingest.read_applications(t.spark, path)
+            .select("application_id", "lob_type", "status", F.coalesce("applicant_name", "employer_name").alias("name"),
+                    "coverage_limit", "employee_count", "prior_claims_3yr")
+            .unionByName(refused, allowMissingColumns=True))
+
+
+@register("a16_insert_select_audit", ag.INSERT_SELECT, ["v_claims", "v_claims_text", "v_customers", "v_policies", "v_applications"])
+def _a16(t: Tables) -> DataFrame:
+    """The audit log of the claims batch, with the underwriting run's rows inserted."""
+    audit = _claims_batch(t)["audit"]
+    return writes.append(audit, underwriting.run_underwriting(t.applications(), t.actuarial(), OW)[2]).select(
+        "reference_id", "flow_type", "agent_name", "step_number", "status")

@@ -117,3 +117,32 @@ SELECT 'DOC-' || CAST(page_id AS VARCHAR) AS document_id, 'P' || CAST(page_id AS
   CAST(length(html) AS BIGINT) AS text_length,
   CASE WHEN html IS NOT NULL AND length(html) > 0 THEN CAST(64 AS BIGINT) END AS embedding_dims
 FROM pages"""
+
+# crc32 is not a function of this SQL, so the forms' numbers come from the same bitwise rule
+_CRC = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], [CAST(x AS BIGINT) for x in flatten([[ascii(ch), -1, -1, -1, -1, -1, -1, -1, -1] for ch in string_split(claim_id, '')])]),
+  lambda v, s: CASE WHEN s >= 0 THEN xor(v, s) ELSE xor(v >> 1, (v & 1) * CAST(3988292384 AS BIGINT)) END), CAST(4294967295 AS BIGINT))"""
+INGEST_CLAIMS = f"""
+WITH forms AS (SELECT claim_id, lob_type, {_CRC} AS n FROM v_claims WHERE claim_status = 'SUBMITTED')
+SELECT claim_id, CASE WHEN n % 3 <> 0 AND n % 50 = 0 THEN NULL ELSE 'SUBMITTED' END AS claim_status,
+  CASE WHEN n % 3 <> 0 AND n % 50 = 0 THEN NULL ELSE 'WEB_INTAKE' END AS source,
+  CASE WHEN n % 3 <> 0 AND n % 50 = 0 THEN NULL ELSE lob_type END AS lob,
+  CASE WHEN n % 3 <> 0 AND n % 50 = 0 THEN NULL ELSE TRUE END AS dq_validated,
+  CASE WHEN n % 3 = 0 OR n % 50 = 0 THEN NULL ELSE 'photo-' || CAST(n % 1000 AS VARCHAR) || '.jpg' END AS first_file,
+  CASE WHEN n % 3 <> 0 AND n % 50 = 0 THEN 'SUPPORTING_DOCS_NOT_JSON' END AS reason
+FROM forms"""
+
+INGEST_APPLICATIONS = """
+SELECT 'APP-' || CAST(c_custkey AS VARCHAR) AS application_id, ['AUTO', 'PROPERTY', 'WORKERS_COMP'][1 + c_custkey % 3] AS lob_type,
+  CASE WHEN c_custkey % 50 <> 0 THEN 'PENDING' END AS status,
+  CASE WHEN c_custkey % 50 <> 0 THEN c_name END AS name,
+  CASE WHEN c_custkey % 50 = 0 OR c_custkey % 3 = 2 THEN NULL WHEN c_custkey % 3 = 0 THEN c_custkey * 10.0::DOUBLE
+       WHEN c_custkey % 20 = 0 THEN NULL ELSE c_custkey * 100.0::DOUBLE END AS coverage_limit,
+  CASE WHEN c_custkey % 50 <> 0 AND c_custkey % 3 = 2 THEN CAST(c_custkey % 90 AS INTEGER) END AS employee_count,
+  CASE WHEN c_custkey % 50 <> 0 AND c_custkey % 3 = 2 THEN 0 END AS prior_claims_3yr,
+  CASE WHEN c_custkey % 50 = 0 THEN CASE WHEN c_custkey % 3 = 2 THEN 'EMPLOYER_NAME_REQUIRED' ELSE 'APPLICANT_NAME_REQUIRED' END END AS reason
+FROM customer"""
+
+INSERT_SELECT = f"""
+SELECT reference_id, flow_type, agent_name, CAST(step_number AS BIGINT) AS step_number, status FROM ({CLAIMS_AUDIT}) a
+UNION ALL
+SELECT CAST(application_id AS VARCHAR), 'UNDERWRITING', 'UW_DECISION', CAST(3 AS BIGINT), 'SUCCESS' FROM v_applications WHERE status = 'PENDING'"""

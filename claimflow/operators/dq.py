@@ -59,7 +59,14 @@ def recent_similar_counts(claims: DataFrame, as_of, days: int = 30) -> DataFrame
     q = ((F.col("submission_date") >= minus_days(as_ts(as_of), days))
          & ~F.col("claim_status").isin(*DUP_EXCLUDED_STATUSES))
     return (claims.filter(F.col("customer_id").isNotNull() & F.col("lob_type").isNotNull())
-            .groupBy("customer_id", "lob_type").agg(F.count_if(q).cast("long").alias("_recent")))
+            .groupBy("customer_id", "lob_type").agg((F.coalesce(F.sum(F.when(q, F.col("_n"))), F.lit(0)) if "_n" in claims.columns else F.count_if(q))
+                 .cast("long").alias("_recent")))
+
+
+def claim_moments(claims: DataFrame) -> DataFrame:
+    """Claims counted per (customer, LOB, status, submission time): what the duplicate check needs to keep of them."""
+    return (claims.filter(F.col("customer_id").isNotNull() & F.col("lob_type").isNotNull())
+            .groupBy("customer_id", "lob_type", "claim_status", "submission_date").agg(F.count(F.lit(1)).alias("_n")))
 
 
 def dq_validate_claims(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,

@@ -322,6 +322,36 @@ class Tables:
         return (df.withColumn("effective_date", F.col("effective_date").cast("date"))
                   .withColumn("expiry_date", F.col("expiry_date").cast("date")))
 
+    # ---------------------------------------------------------------- forms
+    def claim_forms(self) -> DataFrame:
+        """What an intake form sends for each SUBMITTED claim: its JSON columns as text, some of it broken
+        (a file name with quotes), some missing."""
+        c = self.claims().where("claim_status = 'SUBMITTED'")
+        n = F.crc32(F.col("claim_id").cast("binary"))
+        name = F.when(n % 50 == 0, F.lit('roof "east".jpg')).otherwise(F.concat(F.lit("photo-"), (n % 1000).cast("string"), F.lit(".jpg")))
+        return c.select(
+            "claim_id", "policy_id", "customer_id", "incident_date", "claimed_amount", "lob_type",
+            F.concat(F.lit('{"source": "WEB_INTAKE", "submitted_by": "IDP", "lob": "'), "lob_type",
+                     F.lit('", "dq_validated": true}')).alias("metadata"),
+            F.when(n % 3 != 0, F.concat(F.lit('[{"doc_id": "DOC-'), n.cast("string"), F.lit('", "type": "PHOTO", "file": "'), name,
+                                        F.lit('"}]'))).alias("supporting_docs"))
+
+    def application_forms(self, lob: str) -> DataFrame:
+        """Forms of one line of business: each third customer, as text; some without the name."""
+        c = self.raw("customer").where(F.col("c_custkey") % 3 == LOB_BY_MOD3.index(lob))
+        key = F.col("c_custkey")
+        name = F.when(key % 50 != 0, F.col("c_name"))
+        own = {"AUTO": {"applicant_name": name, "vehicle_make_model_year": F.concat(F.lit("Model "), (key % 7).cast("string")),
+                        "coverage_limit": (key * 10).cast("string"), "deductible_amount": F.lit("500")},
+               "PROPERTY": {"applicant_name": name, "property_address": F.concat(F.lit("Street "), key.cast("string")),
+                            "property_type": F.when(key % 2 == 0, "HOUSE").otherwise("FLAT"),
+                            "coverage_limit": F.when(key % 20 == 0, F.lit("a lot")).otherwise((key * 100).cast("string")),
+                            "deductible_amount": F.lit("1000")},
+               "WORKERS_COMP": {"employer_name": name, "employee_count": (key % 90).cast("string"),
+                                "payroll_amount": (key * 1000).cast("string")}}[lob]
+        return c.select(F.concat(F.lit("APP-"), key.cast("string")).alias("application_id"), F.lit("2001-09-01").alias("policy_start_date"),
+                        *[v.alias(k) for k, v in own.items()])
+
     # ---------------------------------------------------------------- text corpora
     def documents(self) -> DataFrame:
         return self.raw("documents")

@@ -152,16 +152,101 @@ def test_interaction_flow_refreshes_touched_customers_only(spark):
                                      "2001-08-01", "2024-03-16")
 
     feed = t.interactions().select("interaction_id", "customer_id").where("customer_id is not null")
+    table = f"{base}/c360"
+    flows.base_refresh(current, table, "2024-02-15")
+    before = {(r.bucket, r.version) for r in spark.read.parquet(table).select("bucket", "version").distinct().collect()}
     feed.orderBy("interaction_id").limit(7).write.parquet(f"{base}/in")
-    flows.interaction_refresh_flow(spark, f"{base}/in", feed.schema, build, f"{base}/out", "2024-03-16",
-                                   checkpoint=f"{base}/ck").awaitTermination()
-    updates = spark.read.parquet(f"{base}/out/c360_updates")
-    touched = spark.read.parquet(f"{base}/in").select("customer_id").distinct()
-    known = touched.join(current, "customer_id", "left_semi").count()
-    assert updates.count() == known > 0
-    now = flows.current_c360(current, updates)
-    assert now.count() == current.count()
-    assert now.where("last_refreshed_at is not null").count() == known
+
+    def run(as_of, checkpoint):
+        flows.interaction_refresh_flow(spark, f"{base}/in", feed.schema, build, table, as_of, checkpoint=checkpoint).awaitTermination()
+        return {r.customer_id: str(r.last_refreshed_at)[:10] for r in flows.current_c360(spark, table).collect()}
+
+    touched = {r[0] for r in spark.read.parquet(f"{base}/in").select("customer_id").distinct()
+               .join(current, "customer_id", "left_semi").collect()}
+    now = run("2024-03-16", f"{base}/ck")
+    assert len(now) == current.count() and {c for c, day in now.items() if day == "2024-03-16"} == touched != set()
+    written = {(r.bucket, r.version) for r in spark.read.parquet(table).select("bucket", "version").distinct().collect()} - before
+    assert 0 < len(written) <= len(touched)  # untouched buckets stay as they are
+    assert run("2024-03-17", f"{base}/ck") == now  # a restart finds nothing new
+    flows.base_refresh(current, table, "2024-03-20")
+    # a new checkpoint delivers the old interactions again, as of an older day: the newer base stays
+    assert set(run("2024-03-16", f"{base}/ck2").values()) == {"2024-03-20"}
+    again = run("2024-03-21", f"{base}/ck3")
+    assert {c for c, day in again.items() if day == "2024-03-21"} == touched and len(again) == len(now)
+
+
+def test_a_replayed_refresh_writes_the_same_rows(spark):
+    base = tempfile.mkdtemp(prefix="cf-replay-")
+    rows = lambda *r: spark.createDataFrame(r, "customer_id long, v long")
+    flows.base_refresh(rows((1, 10), (2, 20)), f"{base}/c", "2024-01-01")
+    for _ in range(2):
+        flows.merge_refresh(rows((2, 21), (3, 30)), f"{base}/c", "2024-01-02", 1)
+    flows.merge_refresh(rows((2, 19)), f"{base}/c", "2024-01-01", 2)  # the table's row is of a later refresh
+    assert {(r.customer_id, r.v) for r in flows.current_c360(spark, f"{base}/c").collect()} == {(1, 10), (2, 21), (3, 30)}
+
+
+def test_claims_state_equals_the_batch_gate(spark):
+    """Per-batch counts give the duplicate counts of all files, and a batch reads no claims again."""
+    from claimflow.operators import dq
+    t = Tables(spark, SF_SMALL)
+    claims = t.claims()
+    base = tempfile.mkdtemp(prefix="cf-state-")
+    for part in range(3):
+        flows.keep_moments(claims.where(F.abs(F.hash("claim_id")) % 3 == part), base, part)
+        if part == 1:
+            flows.keep_moments(claims.where(F.abs(F.hash("claim_id")) % 3 == part), base, part)  # a replay
+    kept = flows.kept_moments(spark, base, 2, claims.schema, "2001-08-01", 30)
+    one = {(r.customer_id, r.lob_type): r._recent for r in dq.recent_similar_counts(kept, "2001-08-01").collect() if r._recent}
+    want = {(r.customer_id, r.lob_type): r._recent for r in dq.recent_similar_counts(claims, "2001-08-01").collect() if r._recent}
+    assert one == want and want
+    assert kept.count() < claims.count()
+    earlier = flows.kept_moments(spark, base, 0, claims.schema, "2001-08-01", 30)
+    assert earlier.agg(F.sum("_n")).first()[0] < kept.agg(F.sum("_n")).first()[0]
+
+
+def test_metrics_gathered_by_the_write(spark):
+    base = tempfile.mkdtemp(prefix="cf-k05-")
+    schema = "k long, v string"
+    batches = [[(1, None), (1, "x"), (2, "y")], [(2, "z"), (3, None), (None, "a")], [(4, "b")]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        s = flows.append_stream(spark, f"{base}/in", schema)
+        flows.quality_flow(s, f"{base}/t", "t", ["k", "v"], "k", f"{base}/out", checkpoint=f"{base}/ck").awaitTermination()
+    flows.load_with_metrics(spark.createDataFrame(batches[2], schema), f"{base}/t", "t", ["k", "v"], "k", f"{base}/out", 2)  # a replay
+    got = {(r.column_name, r.metric): r.value for r in flows.table_metrics_so_far(spark, f"{base}/out").collect()}
+    assert got == {("k", "NULL_COUNT"): 1, ("v", "NULL_COUNT"): 2, ("k", "DUPLICATE_COUNT"): 2}
+    assert spark.read.parquet(f"{base}/t").count() == 7
+
+
+def test_ingest_claims_rejects_what_is_not_json(spark):
+    from claimflow.operators import ingest
+    forms = spark.createDataFrame([("C1", 5.0, '{"a": {"b": [1, 2]}}', None), ("C2", 6.0, "{'a': 1}", "[]"), (None, 7.0, "null", '[{"f": "x"}]'),
+                                   ("C4", None, "", "x")], "claim_id string, claimed_amount double, metadata string, supporting_docs string")
+    claims, rejected = ingest.ingest_claims(forms, "2024-01-01")
+    got = {r.claim_id: r for r in claims.select("claim_id", "claim_status", F.try_variant_get("metadata", "$.a.b[1]", "int").alias("b"),
+                                                F.try_variant_get("supporting_docs", "$[0].f", "string").alias("f")).collect()}
+    assert got["C1"].b == 2 and len(got) == 2 and next(r for k, r in got.items() if k != "C1").f == "x"
+    assert {r.claim_id: r.reason for r in rejected.collect()} == {"C2": "METADATA_NOT_JSON", "C4": "METADATA_NOT_JSON,SUPPORTING_DOCS_NOT_JSON"}
+    assert [r[0] for r in ingest.ingest_claims(forms, "2024-01-01")[0].select("claim_id").collect()] == list(got)
+
+
+def test_replayed_application_load_changes_nothing_else(spark):
+    from claimflow.operators import ingest
+    path = tempfile.mkdtemp(prefix="cf-apps-") + "/apps"
+    auto = spark.createDataFrame([("Ann", "Car 2020", "2024-01-01", "1000"), (" ", None, None, None)],
+                                 "applicant_name string, vehicle_make_model_year string, policy_start_date string, coverage_limit string")
+    work = spark.createDataFrame([("Mill", "12", "x")], "employer_name string, employee_count string, payroll_amount string")
+    rows, rejected = ingest.ingest_applications(auto, "AUTO", "2024-01-01")
+    assert [r.reason for r in rejected.collect()] == ["APPLICANT_NAME_REQUIRED"]
+    for _ in range(2):
+        ingest.write_applications(rows, path, "AUTO", "2024-01-01")
+        ingest.write_applications(ingest.ingest_applications(work, "WORKERS_COMP", "2024-01-01")[0], path, "WORKERS_COMP", "2024-01-01")
+    ingest.write_applications(rows, path, "AUTO", "2024-01-02")
+    got = ingest.read_applications(spark, path)
+    assert {(r.lob_type, str(r.ingest_day)): r["count"] for r in got.groupBy("lob_type", "ingest_day").count().collect()} == {
+        ("AUTO", "2024-01-01"): 1, ("AUTO", "2024-01-02"): 1, ("WORKERS_COMP", "2024-01-01"): 1}
+    mill = got.where("lob_type = 'WORKERS_COMP'").first()
+    assert (mill.employee_count, mill.payroll_amount, mill.coverage_limit, mill.prior_claims_3yr) == (12, None, None, 0)
 
 
 def test_interaction_refresh_touched_customers(spark):
