@@ -51,7 +51,8 @@ def op2_quality_rules(spark, sf_dir):
 @register
 def op3_suffix_dedup(spark, sf_dir):
     left = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
-    return left.select("doc_id", "n_bytes", "n_removed", F.size("runs").cast("long").alias("n_spans"), "kept_sha256")
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("runs").cast("long").alias("n_spans"), "kept_sha256",
+                       F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 @register

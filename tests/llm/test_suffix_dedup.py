@@ -74,8 +74,12 @@ def result(rows):
 def test_query_equals_brute_force(spark):
     docs = pd.read_parquet(f"{MEDIUM}/documents.parquet").sort_values("doc_id")
     want = [(d, *w) for d, w in zip(docs.doc_id, brute(docs.text, 400), strict=True)]
-    got = sorted(tuple(r) for r in queries.QUERIES["op3_suffix_dedup"](spark, MEDIUM).collect())
-    assert got == want
+    rows = queries.QUERIES["op3_suffix_dedup"](spark, MEDIUM).collect()
+    assert sorted(tuple(r)[:5] for r in rows) == want
+    # the text left: its bytes are those of the digest but where a cut left part of a character
+    whole = [r for r in rows if "\ufffd" not in r.text]
+    assert len(whole) > 0.9 * len(rows)
+    assert all(hashlib.sha256(r.text.encode()).hexdigest() == r.kept_sha256 for r in whole)
     assert sum(w[2] for w in want) > 10_000
 
 
