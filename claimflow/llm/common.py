@@ -14,6 +14,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A beginning that no column of ``df`` has, for a job's own columns."""
+    return next(p for p in ("_" * n for n in range(1, len(df.columns) + 3))
+                if not any(c.lower().startswith(p + "own") for c in df.columns)) + "own_"
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows: texts can be long, and a batch is held whole by a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

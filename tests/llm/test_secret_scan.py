@@ -31,9 +31,12 @@ def entropy(window):
 def all_spans(text):
     base = base_spans(text)
     out = list(base)
-    for m in re.finditer(ss.CANDIDATE, text):
+    masked = text
+    for pattern, n in ss.ALLOWED:
+        masked = re.sub(pattern, " " * n, masked, flags=re.A)
+    for m in re.finditer(ss.CANDIDATE, masked):
         s = m[0]
-        if not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)) or any(re.search(a.replace("|(?i)", "|(?i:") + ")" * a.count("|(?i)"), s) for a in ss.ALLOWED):
+        if not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)):
             continue
         hexa = bool(re.fullmatch("[0-9a-fA-F]+", s))
         bound = ss.HEX_BITS if hexa else ss.BASE64_BITS
@@ -70,19 +73,40 @@ TEXTS = [
     "AaBbCcDdEeFfGgHhIiJjKk no digit", "aaaaaaaaaaaaaaaaaaaaaaaa1", "0123456789abcdef0123456789abcdef",
     "ABCDEF0192837465FEDCBA9081726354", "x" * 300 + "k9Zq3Vt8Lw2Xp7Rb4Nc6Md1sT5" + "y" * 300, "api_key\n=abcdefghijklmnop",
     " ".join(f"deadbeef{n:08x}" for n in range(700)),
+    "latest_key=Zx9kQ7mV2pL4tR8wN3bY6c", "/test/Zx9kQ7mV2pL4tR8wN3bY6c", "contest_id=Zx9kQ7mV2pL4tR8wN3bY6c", "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUtZGVmYXVsdGsK",
 ]
 
 
 @pytest.mark.parametrize("shift", ["", "Ünï "])
 def test_odd_texts(spark, shift):
     texts = [t if t is None else shift + t for t in TEXTS]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "1 as _match", "2 as secrets", "3 as _base")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "1 as _match", "2 as secrets", "3 as _text", "4 as _own_base")
+    kept = ss.find_secrets(df)
+    assert set(kept.columns) == {"doc_id", "text", "_match", "_text", "_own_base", "secrets"}
+    assert kept.select("_match", "_text", "_own_base").distinct().collect() == [(1, 3, 4)]
     got = {r.doc_id: [(x.start, x.kind_no, x.kind, x.end) for x in r.secrets] for r in ss.find_secrets(df).collect()}
     assert got == {i: all_spans(t or "") for i, t in enumerate(texts)}
     assert any(k == "entropy_base64" for spans in got.values() for _, _, k, _ in spans)
     assert any(k == "entropy_hex" for spans in got.values() for _, _, k, _ in spans)
 
 
+def test_a_key_beside_an_allowed_word_is_found(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS[-4:])], "doc_id long, text string")
+    assert all(any(x.kind == "entropy_base64" for x in r.secrets) for r in ss.find_secrets(df).collect())
+
+
+def test_a_megabyte_in_one_candidate(spark):
+    import random
+    import time
+    rng = random.Random(5)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=1 << 20))
+    df = spark.createDataFrame([(1, text), (2, "z1" * (1 << 19))], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r.secrets for r in ss.find_secrets(df, allowed=()).collect()}
+    assert time.time() - began < 120
+    assert got[1][-1].end > (1 << 20) - 30 and not [x for x in got[2] if x.kind_no > 2]
+
+
 def test_tables_of_odd_rows(spark, odd_docs, no_docs):
     assert ss.find_secrets(no_docs).count() == 0
     got = ss.find_secrets(odd_docs).collect()
