@@ -868,3 +868,17 @@ def _a16(t: Tables) -> DataFrame:
     audit = _claims_batch(t)["audit"]
     return writes.append(audit, underwriting.run_underwriting(t.applications(), t.actuarial(), OW)[2]).select(
         "reference_id", "flow_type", "agent_name", "step_number", "status")
+
+
+# ============================================================== J07 with earlier alerts, I05 with its guideline look-up
+@register("j07_churn_scan_suppressed", cs.SCAN_SUPPRESSED, C360_SCORED_VIEWS, ["churn_propensity", "sentiment_score"])
+def _j07s(t: Tables) -> DataFrame:
+    """Customers with an open alert of the last week are left out; older and worked alerts suppress nothing."""
+    return churn.churn_scan(c360_with_propensity(t), t.alerts(OW), OW)
+
+
+@register("i05_underwriting_grounded", ag.UW_GROUNDED.replace("{GUIDELINES}", rs.GUIDELINES), ["v_applications", "v_actuarial", "v_guidelines"])
+def _i05g(t: Tables) -> DataFrame:
+    decisions, _, audit = underwriting.run_underwriting(t.applications(), t.actuarial(), OW, guidelines=t.guidelines())
+    return (decisions.select("application_id", "application_status", F.array_join(F.col("guideline_ids").cast("array<string>"), ",").alias("guideline_ids"))
+            .join(audit.select(F.col("reference_id").cast("long").alias("application_id"), "module_used"), "application_id"))

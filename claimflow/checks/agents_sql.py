@@ -82,7 +82,7 @@ UNION ALL
 SELECT 'CLAIMS', CAST(r.claim_id AS VARCHAR), a.agent_name, CAST(a.step_number AS BIGINT), a.module, 'SUCCESS',
   TIMESTAMP '{OW} 00:00:00'
 FROM ({ks.V2}) r, (VALUES ('INTAKE', 1, 'CLASSIFY_TEXT'), ('VALIDATION', 2, NULL),
-  ('FRAUD', 3, 'COMPLETE+SEARCH+EMBED+SENTIMENT'), ('ASSESSMENT', 4, 'COMPLETE+SEARCH'), ('RESOLUTION', 5, 'COMPLETE'))
+  ('FRAUD', 3, 'COMPLETE+EMBED+SENTIMENT'), ('ASSESSMENT', 4, 'COMPLETE'), ('RESOLUTION', 5, 'COMPLETE'))
   AS a(agent_name, step_number, module)"""
 
 # One gate run over the 20 oldest SUBMITTED claims (the source's batch cap)
@@ -146,3 +146,8 @@ INSERT_SELECT = f"""
 SELECT reference_id, flow_type, agent_name, CAST(step_number AS BIGINT) AS step_number, status FROM ({CLAIMS_AUDIT}) a
 UNION ALL
 SELECT CAST(application_id AS VARCHAR), 'UNDERWRITING', 'UW_DECISION', CAST(3 AS BIGINT), 'SUCCESS' FROM v_applications WHERE status = 'PENDING'"""
+
+# I05 with its guideline look-up: each decision's passages, best first
+UW_GROUNDED = f"""
+SELECT d.application_id, d.application_status, list_aggregate(list(g.doc_id ORDER BY g.rank), 'string_agg', ',') AS guideline_ids, 'SQL+SEARCH' AS module_used
+FROM ({ks.UW_DECIDE}) d JOIN ({{GUIDELINES}}) g ON g.query_id = d.application_id GROUP BY d.application_id, d.application_status"""

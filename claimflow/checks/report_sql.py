@@ -296,7 +296,7 @@ AUDIT_TRAIL = f"""
 SELECT 'CLAIMS' AS flow_type, CAST(r.claim_id AS VARCHAR) AS reference_id, a.agent_name, a.step_number,
   a.module AS module_used, 'SUCCESS' AS status
 FROM ({ks.V2}) r, (VALUES ('INTAKE', 1, 'CLASSIFY_TEXT'), ('VALIDATION', 2, NULL),
-  ('FRAUD', 3, 'COMPLETE+SEARCH+EMBED+SENTIMENT'), ('ASSESSMENT', 4, 'COMPLETE+SEARCH'), ('RESOLUTION', 5, 'COMPLETE'))
+  ('FRAUD', 3, 'COMPLETE+EMBED+SENTIMENT'), ('ASSESSMENT', 4, 'COMPLETE'), ('RESOLUTION', 5, 'COMPLETE'))
   AS a(agent_name, step_number, module)"""
 
 DEEP_DIVE_CLAIMS = f"""

@@ -72,6 +72,27 @@ def risk_band(score: Column, hi: float, mid: float, labels=("HIGH", "MEDIUM", "L
     return F.when(score > hi, labels[0]).when(score > mid, labels[1]).otherwise(labels[2])
 
 
+def with_retrieval(claims: DataFrame, corpus: DataFrame, text_col: str, id_col: str, query: Column, out: str,
+                   k: int = 3) -> DataFrame:
+    """G11 for the agents: the ids of the ``k`` passages that a claim's query ranks first, as the array ``out``
+    (empty if nothing matches). Claims that ask the same words are one query, searched once and joined back."""
+    from claimflow.operators.search import search
+    from claimflow.session import bounded_broadcast
+    asked = claims.withColumn("_asked", query)
+    once = asked.select(F.col("_asked").alias("query_id"), F.col("_asked").alias("query")).where("query is not null").distinct()
+    found = (search(corpus, once, text_col=text_col, doc_id=id_col, k=k).groupBy(F.col("query_id").alias("_asked"))
+             .agg(F.array_sort(F.collect_list(F.struct("rank", "doc_id"))).alias("_found")))
+    joined = asked.join(bounded_broadcast(found), "_asked", "left")
+    kind = corpus.schema[id_col].dataType.simpleString()
+    return joined.withColumn(out, F.coalesce(F.transform("_found", lambda x: x["doc_id"]), F.array().cast(f"array<{kind}>"))) \
+                 .drop("_asked", "_found")
+
+
+def _grounded(claims: DataFrame, column: str) -> Column:
+    """Whether a search ran and found something."""
+    return F.size(column) > 0 if column in claims.columns else F.lit(False)
+
+
 def agent_fraud_v2(claims: DataFrame, vector_score: Column | None = None, sentiment: Column | None = None,
                    model_score: Column | None = None) -> DataFrame:
     """Model score else the weighted formula; >0.7 HIGH, >0.4 MEDIUM.
@@ -87,7 +108,7 @@ def agent_fraud_v2(claims: DataFrame, vector_score: Column | None = None, sentim
     out = F.when(_all_present(F.col("_fs"), F.col("_vec"), F.col("_sent")), F.struct(
         F.col("_fs").alias("composite_fraud_score"), risk_band(F.col("_fs"), 0.7, 0.4).alias("risk_level"),
         F.round("_vec", 3).alias("vector_similarity"), F.round("_sent", 3).alias("sentiment"),
-        F.lit(True).alias("search_grounded")))
+        _grounded(claims, "matched_patterns").alias("search_grounded")))
     return (c.withColumns({"fraud_output": out, "current_state": F.lit("ASSESSMENT")})
              .drop("_fs", "_vec", "_sent"))
 
@@ -98,7 +119,7 @@ def agent_assessment_v2(claims: DataFrame, model_reply: Column | None = None) ->
         (F.col("claimed_amount") * 0.85).alias("recommended_settlement"),
         F.lit(0.75).alias("assessment_confidence"), F.lit("moderate").alias("damage_category"),
         F.lit("Standard assessment with guideline context").alias("justification"),
-        F.lit(True).alias("search_grounded")))
+        _grounded(claims, "guideline_ids").alias("search_grounded")))
     out = fallback if model_reply is None else F.coalesce(model_reply, fallback)
     return claims.withColumns({"assessment_output": out, "current_state": F.lit("RESOLUTION")})
 
@@ -160,9 +181,18 @@ def text_features_v2(claims: DataFrame, severity: Column | None = None,
 
 
 def process_claims_v2(claims: DataFrame, policies: DataFrame, as_of, severity: Column | None = None,
-                      vector_score: Column | None = None, sentiment: Column | None = None) -> DataFrame:
-    """The five agents composed into one plan (no per-row loop)."""
+                      vector_score: Column | None = None, sentiment: Column | None = None,
+                      patterns: DataFrame | None = None, guidelines: DataFrame | None = None) -> DataFrame:
+    """The five agents composed into one plan (no per-row loop). ``patterns`` (pattern_id,
+    example_narrative) and ``guidelines`` (guideline_id, content) are searched for the fraud and the
+    assessment step; without them no search runs and the outputs say so."""
     c = claims if "_severity" in claims.columns else text_features_v2(claims, severity, sentiment)
+    if patterns is not None:
+        c = with_retrieval(c, patterns, "example_narrative", "pattern_id", F.concat_ws(
+            " ", F.lit("staged report"), "lob_type", F.array_join(F.split("_severity", " "), " ")), "matched_patterns")
+    if guidelines is not None:
+        c = with_retrieval(c, guidelines, "content", "guideline_id", F.concat_ws(
+            " ", "lob_type", F.lit("underwriting guideline"), "_severity"), "guideline_ids")
     c = agent_intake_v2(c, F.col("_severity"))
     c = agent_validation_v2(c, policies)
     c = agent_fraud_v2(c, vector_score, F.col("_sentiment"))
@@ -192,8 +222,10 @@ def claim_state_v2(processed: DataFrame) -> DataFrame:
 def audit_v2(processed: DataFrame, as_of) -> DataFrame:
     """Five audit rows per claim (steps 1-5)."""
     from claimflow.operators.writes import audit_rows
+    fraud = "COMPLETE+SEARCH+EMBED+SENTIMENT" if "matched_patterns" in processed.columns else "COMPLETE+EMBED+SENTIMENT"
+    assessment = "COMPLETE+SEARCH" if "guideline_ids" in processed.columns else "COMPLETE"
     steps = [("INTAKE", 1, "CLASSIFY_TEXT"), ("VALIDATION", 2, None),
-             ("FRAUD", 3, "COMPLETE+SEARCH+EMBED+SENTIMENT"), ("ASSESSMENT", 4, "COMPLETE+SEARCH"),
+             ("FRAUD", 3, fraud), ("ASSESSMENT", 4, assessment),
              ("RESOLUTION", 5, "COMPLETE")]
     each = F.array(*[F.struct(F.lit(agent).alias("agent"), F.lit(step).alias("step"), F.lit(module).cast("string").alias("module"))
                      for agent, step, module in steps])
@@ -213,7 +245,8 @@ def latest_decision_text(resolutions: DataFrame) -> DataFrame:
 def run_claims_batch(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of,
                      cap: int | None = None, severity: Column | None = None, vector_score: Column | None = None,
                      sentiment: Column | None = None, texts: DataFrame | None = None,
-                     all_claims: DataFrame | None = None, vectors: DataFrame | None = None):
+                     all_claims: DataFrame | None = None, vectors: DataFrame | None = None,
+                     patterns: DataFrame | None = None, guidelines: DataFrame | None = None):
     """DQ gate -> chain -> counts. Returns a dict of the produced tables.
 
     Row-aligned end to end: the gate filters the DQ-annotated claim rows and
@@ -230,7 +263,7 @@ def run_claims_batch(claims: DataFrame, customers: DataFrame, policies: DataFram
         passed = text_features_v2(passed, severity, sentiment, texts, vectors=vectors)
         if vectors is not None:        # a text without a vector has the score of a failed look-up, 0
             vector_score = F.coalesce(F.col("_vector"), F.lit(0.0))
-    processed = process_claims_v2(passed, policies, as_of, vector_score=vector_score)
+    processed = process_claims_v2(passed, policies, as_of, vector_score=vector_score, patterns=patterns, guidelines=guidelines)
     claims_after = claims_after.drop(*[c for c in ("_severity", "_sentiment", "claim_text_id")
                                        if c in claims_after.columns])
     return {

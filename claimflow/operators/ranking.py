@@ -49,11 +49,11 @@ def latest_per_key(df: DataFrame, keys: list[str], ts: str, tie: str | None = No
 def null_aware_anti(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """``left WHERE key NOT IN (SELECT right_key FROM right)`` with SQL NULL rules:
     any NULL in the subquery empties the result; a NULL left key survives only
-    when the subquery is empty. The two emptiness probes are scalar lookups."""
-    rk = right_key or key
-    r = right.select(F.col(rk).alias("_k"))
-    if r.filter(F.col("_k").isNull()).limit(1).count() > 0:
-        return left.limit(0)
-    if r.limit(1).count() == 0:
-        return left
-    return left.filter(F.col(key).isNotNull()).join(r.distinct(), F.col(key) == F.col("_k"), "left_anti")
+    when the subquery is empty. Its two counts are scalar subqueries of the same plan,
+    so no job runs while the plan is built."""
+    r = right.select(F.col(right_key or key).alias("_k"))
+    counts = r.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_k").isNull()).alias("nulls"))
+    n, nulls = counts.select("n").scalar(), counts.select("nulls").scalar()
+    known = r.where(F.col("_k").isNotNull()).distinct()
+    return (left.join(known, F.col(key) == F.col("_k"), "left_anti")
+            .filter((n == 0) | ((nulls == 0) & F.col(key).isNotNull())))

@@ -96,16 +96,23 @@ def uw_decide(scored: DataFrame, as_of) -> DataFrame:
         as_ts(as_of).alias("decided_at"))
 
 
-def run_underwriting(apps: DataFrame, actuarial: DataFrame, as_of, cap: int | None = None):
-    """PENDING applications (oldest first, optional cap) -> score -> decide.
-    Returns ``(decisions, applications_after, audit)``."""
+def run_underwriting(apps: DataFrame, actuarial: DataFrame, as_of, cap: int | None = None,
+                     guidelines: DataFrame | None = None):
+    """PENDING applications (oldest first, optional cap) -> score -> guideline look-up (if ``guidelines``
+    (guideline_id, content) are given) -> decide. Returns ``(decisions, applications_after, audit)``; with
+    guidelines the decisions name the passages found, and the audit says that a search ran."""
     from claimflow.operators.writes import audit_rows, update_from
     pend = apps.filter(F.col("status") == "PENDING")
     if cap is not None:
         pend = pend.orderBy(F.col("submission_date").asc_nulls_last(), "application_id").limit(cap)
-    decisions = uw_decide(uw_risk_score(pend, actuarial), as_of)
+    scored = uw_risk_score(pend, actuarial)
+    decisions = uw_decide(scored, as_of)
+    if guidelines is not None:
+        from claimflow.operators.claims_v2 import with_retrieval
+        asked = F.concat_ws(" ", "lob_type", "risk_tier", F.lit("underwriting risk assessment"))
+        decisions = with_retrieval(decisions, guidelines, "content", "guideline_id", asked, "guideline_ids")
     after = update_from(apps, decisions.select("application_id", "application_status"), ["application_id"],
                         {"status": "application_status"})
     audit = audit_rows(decisions.select(F.col("application_id").alias("reference_id")), "UNDERWRITING",
-                       "UW_DECISION", 3, as_of, module="SQL+SEARCH")
+                       "UW_DECISION", 3, as_of, module="SQL" if guidelines is None else "SQL+SEARCH")
     return decisions, after, audit

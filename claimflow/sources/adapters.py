@@ -322,6 +322,17 @@ class Tables:
         return (df.withColumn("effective_date", F.col("effective_date").cast("date"))
                   .withColumn("expiry_date", F.col("expiry_date").cast("date")))
 
+    # ---------------------------------------------------------------- alerts
+    def alerts(self, as_of: str) -> DataFrame:
+        """Earlier churn alerts of some customers: open and recent, in progress, open but old, and worked ones."""
+        from claimflow.operators.churn import empty_alerts
+        key = F.col("c_custkey") % 10
+        day = F.date_sub(F.lit(as_of).cast("date"), F.when(key == 0, 3).when(key == 1, 6).when(key == 2, 30).otherwise(2))
+        rows = self.raw("customer").where(key < 4).select(
+            F.concat(F.lit("EARLIER-"), F.col("c_custkey").cast("string")).alias("alert_id"), F.col("c_custkey").alias("customer_id"),
+            day.alias("alert_date"), F.when(key == 1, "IN_PROGRESS").when(key == 3, "ACTIONED").otherwise("NEW").alias("status"))
+        return empty_alerts(self.spark).unionByName(rows, allowMissingColumns=True)
+
     # ---------------------------------------------------------------- forms
     def claim_forms(self) -> DataFrame:
         """What an intake form sends for each SUBMITTED claim: its JSON columns as text, some of it broken
