@@ -399,13 +399,35 @@ def _h21(t: Tables) -> DataFrame:
     return reports.pipeline_status(_v2_state(t), t.claims(), t.customers(), OW)
 
 
-@register("l08_next_state", rs.NEXT_STATE, ["v_claims"])
+@register("l08_next_state", rs.NEXT_STATE, ["v_claim_states"])
 def _l08(t: Tables) -> DataFrame:
-    c = t.claims()
-    s = (c.filter(F.col("claim_status") == "SUBMITTED").select("claim_id", F.lit("VALIDATION").alias("current_state"))
-         .unionByName(c.filter(F.col("claim_status") == "APPROVED")
-                      .select("claim_id", F.lit("COMPLETED").alias("current_state"))))
-    return s.withColumn("next_state", reports.next_state(F.col("current_state")))
+    s = t.claim_states(OW)
+    return s.select("claim_id", "current_state", reports.next_state(F.col("current_state"), F.col("failed")).alias("next_state"))
+
+
+@register("d13_states_all_stages", rs.STATES_ALL, ["v_claim_states"])
+def _d13a(t: Tables) -> DataFrame:
+    return reports.kpi_pipeline_states(t.claim_states(OW)).select("current_state", F.col("count").alias("count"))
+
+
+def _checked(t: Tables):
+    return reports.health_check(t.claim_states(OW).drop("failed"), t.claims(), OW)
+
+
+@register("l05_health_check_states", rs.STATES_CHECKED, ["v_claim_states"])
+def _l05s(t: Tables) -> DataFrame:
+    """States of every age and stage: those stuck for more than five minutes fail."""
+    return _checked(t)[0].select("claim_id", "current_state")
+
+
+@register("l05_health_audit", rs.HEALTH_AUDIT, ["v_claim_states"])
+def _l05a(t: Tables) -> DataFrame:
+    return reports.health_audit(_checked(t)[2], OW).select("flow_type", "agent_name", "status", "output_payload")
+
+
+@register("d15_transcript_pieces", rs.TRANSCRIPT_PIECES, ["v_interactions_text"])
+def _d15l(t: Tables) -> DataFrame:
+    return reports.transcript_pieces(t.interactions(with_text=True), EV)
 
 
 # ============================================================== G: vectors, retrieval, text
@@ -789,8 +811,7 @@ def _a17(t: Tables) -> DataFrame:
 @register("e03_gate_batch_cap20", ag.GATE_CAP20, ["v_claims", "v_customers", "v_policies"])
 def _e03(t: Tables) -> DataFrame:
     """One claims-batch run: only the 20 oldest SUBMITTED claims are gated (the rest wait)."""
-    dqr = dq.dq_validate_claims(t.claims(), t.customers(), t.policies(), OW, keep_columns=True)
-    return dq.gate_batch(dqr, OW, cap=20)[1].select("claim_id", "customer_id", "claim_status")
+    return dq.gate_oldest(t.claims(), t.customers(), t.policies(), OW, 20).select("claim_id", "customer_id", "claim_status")
 
 
 @register("e04_churn_batch_cap100", cs.ALERTS_AFTER.replace(
@@ -882,3 +903,39 @@ def _i05g(t: Tables) -> DataFrame:
     decisions, _, audit = underwriting.run_underwriting(t.applications(), t.actuarial(), OW, guidelines=t.guidelines())
     return (decisions.select("application_id", "application_status", F.array_join(F.col("guideline_ids").cast("array<string>"), ",").alias("guideline_ids"))
             .join(audit.select(F.col("reference_id").cast("long").alias("application_id"), "module_used"), "application_id"))
+
+
+# ============================================================== E06, E07, C16/D16: further listings, panels and the playbook block
+@register("e06_alerts_by_priority", rs.ALERTS_BY_PRIORITY, C360_SCORED_VIEWS)
+def _e06a(t: Tables) -> DataFrame:
+    return _scan(t).orderBy("priority").limit(50).select("customer_id", "priority", "trigger_reason")
+
+
+@register("e06_newest_states", rs.AUDIT_NEWEST, ["v_claim_states"])
+def _e06s(t: Tables) -> DataFrame:
+    return reports.newest(t.claim_states(OW), "started_at", 50, tie="claim_id").select("claim_id", "current_state", "started_at")
+
+
+def _panels(t: Tables) -> dict:
+    c = c360_with_propensity(t)
+    return reports.customer_deep_dive(_scan(t).select("customer_id"), c, t.policies(), t.claims(), t.alerts(OW), churn.empty_nba(t.spark))
+
+
+@register("e07_deep_dive_policies", rs.DEEP_DIVE_POLICIES, ["v_policies", *[v for v in C360_SCORED_VIEWS if v != "v_policies"]],
+          ["premium_annual", "coverage_limit"])
+def _e07p(t: Tables) -> DataFrame:
+    return _panels(t)["policies"]
+
+
+@register("e07_deep_dive_alerts", rs.DEEP_DIVE_ALERTS, C360_SCORED_VIEWS)
+def _e07a(t: Tables) -> DataFrame:
+    return _panels(t)["alerts"].select("alert_id", "customer_id", "status")
+
+
+@register("d16_playbook_context", rs.PLAYBOOK_CONTEXT, C360_SCORED_VIEWS)
+def _d16(t: Tables) -> DataFrame:
+    """C16 + D16: the playbooks of a customer's segment or cause as one block of text."""
+    books = t.spark.createDataFrame([(i, seg, cause, a, o, r) for i, seg, cause, a, o, _, r in PLAYBOOKS],
+                                    "playbook_id string, customer_segment string, root_cause string, playbook_name string, "
+                                    "content string, success_rate double")
+    return reports.playbook_context(_causes(t).select("customer_id", "customer_segment", "root_cause"), books)

@@ -6,13 +6,15 @@ from claimflow.checks import churn_sql as cs
 from claimflow.checks import claims_sql as ks
 from claimflow.checks import feature_sql as fs
 from claimflow.checks.bm25_sql import bm25_sql
-from claimflow.checks.churn_sql import SCAN, SCORED
+from claimflow.checks.churn_sql import CAUSES, SCAN, SCORED
 from claimflow.constants import EVENT_WORLD_AS_OF as EV
 from claimflow.constants import ORDER_WORLD_AS_OF as OW
+from claimflow.constants import PLAYBOOKS
 from claimflow.functions.numeric import pyround_sql as pr
 from claimflow.functions.text import LOB_KEYWORDS
 
 T_EV = f"TIMESTAMP '{EV} 00:00:00'"
+T_OW = f"TIMESTAMP '{OW} 00:00:00'"
 NL_SEP = "chr(10) || '---' || chr(10)"
 
 BOOT_SCORED = fs.propensity_sql(fs.C360_BOOT)
@@ -101,10 +103,24 @@ FROM ({STATE}) s"""
 
 NEXT_STATE = """
 SELECT claim_id, current_state,
-  CASE current_state WHEN 'VALIDATION' THEN 'FRAUD_CHECK' WHEN 'FRAUD_CHECK' THEN 'ASSESSMENT'
-       WHEN 'ASSESSMENT' THEN 'RESOLUTION' WHEN 'RESOLUTION' THEN 'COMPLETED' ELSE current_state END AS next_state
-FROM (SELECT claim_id, 'VALIDATION' AS current_state FROM v_claims WHERE claim_status = 'SUBMITTED'
-      UNION ALL SELECT claim_id, 'COMPLETED' FROM v_claims WHERE claim_status = 'APPROVED') s"""
+  CASE WHEN failed AND current_state NOT IN ('COMPLETED', 'FAILED') THEN 'FAILED' ELSE CASE current_state WHEN 'VALIDATION' THEN 'FRAUD_CHECK'
+       WHEN 'FRAUD_CHECK' THEN 'ASSESSMENT' WHEN 'ASSESSMENT' THEN 'RESOLUTION' WHEN 'RESOLUTION' THEN 'COMPLETED' ELSE current_state END END AS next_state
+FROM v_claim_states"""
+
+STATES_ALL = "SELECT current_state, count(*) AS count FROM v_claim_states GROUP BY current_state"
+
+_STUCK = f"""SELECT claim_id, completed_at, CASE WHEN current_state NOT IN ('COMPLETED', 'FAILED') AND started_at < {T_OW} - INTERVAL 5 MINUTE
+    AND completed_at IS NULL THEN 'FAILED' ELSE current_state END AS current_state FROM v_claim_states"""
+STATES_CHECKED = f"SELECT claim_id, current_state FROM ({_STUCK}) s"
+HEALTH_AUDIT = f"""
+SELECT 'SYSTEM' AS flow_type, 'HEALTH_CHECK' AS agent_name, 'SUCCESS' AS status,
+  '{{"pending_claims":' || count_if(current_state NOT IN ('COMPLETED', 'FAILED')) || ',"failed_claims":' || count_if(current_state = 'FAILED')
+  || ',"completed_today":' || count_if(coalesce(completed_at >= {T_OW}, FALSE)) || '}}' AS output_payload FROM ({_STUCK}) s"""
+
+TRANSCRIPT_PIECES = f"""
+SELECT customer_id, row_number() OVER (PARTITION BY customer_id ORDER BY interaction_date DESC, interaction_id DESC) AS position,
+  interaction_id, transcript_text FROM v_interactions_text
+WHERE interaction_date >= {T_EV} - INTERVAL 90 DAY AND transcript_text IS NOT NULL AND customer_id IS NOT NULL"""
 
 # ---------------------------------------------------------------- vectors
 def _cos(a: str, b: str) -> str:
@@ -345,3 +361,18 @@ FROM conversations"""
 FENCED = """
 SELECT conv_id, turn, CAST(turn AS BIGINT) AS parsed_turn, role AS parsed_role FROM conversations"""
 
+
+_BOOK_ROWS = ", ".join(f"('{i}', {'NULL' if seg is None else repr(seg)}, {'NULL' if cause is None else repr(cause)}, '{a}: {o} (success rate: {r})', {r}::DOUBLE)"
+                       for i, seg, cause, a, o, _, r in PLAYBOOKS)
+PLAYBOOK_CONTEXT = f"""
+SELECT c.customer_id, coalesce(string_agg(txt, {NL_SEP} ORDER BY r DESC, id DESC), 'No matching playbooks found') AS playbook_context
+FROM ({CAUSES}) c LEFT JOIN (VALUES {_BOOK_ROWS}) AS b(id, seg, cause, txt, r) ON b.seg = c.customer_segment OR b.cause = c.root_cause
+GROUP BY c.customer_id"""
+
+ALERTS_BY_PRIORITY = f"SELECT customer_id, priority, trigger_reason FROM ({SCAN}) a ORDER BY priority LIMIT 50"
+AUDIT_NEWEST = "SELECT claim_id, current_state, started_at FROM v_claim_states ORDER BY started_at DESC, claim_id LIMIT 50"
+DEEP_DIVE_POLICIES = f"SELECT * FROM v_policies WHERE customer_id IN (SELECT customer_id FROM ({SCAN}) a)"
+DEEP_DIVE_ALERTS = f"""
+SELECT 'EARLIER-' || CAST(c_custkey AS VARCHAR) AS alert_id, c_custkey AS customer_id,
+  CASE c_custkey % 10 WHEN 1 THEN 'IN_PROGRESS' WHEN 3 THEN 'ACTIONED' ELSE 'NEW' END AS status
+FROM customer WHERE c_custkey % 10 < 4 AND c_custkey IN (SELECT customer_id FROM ({SCAN}) a)"""

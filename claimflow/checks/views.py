@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from claimflow.constants import ORDER_WORLD_AS_OF as OW
 from claimflow.constants import ACTUARIAL_ROWS, STATEMENT_EVENTS, STATEMENT_PLACES, STATEMENT_TONES
 
 
@@ -134,6 +135,12 @@ VIEWS["v_claims_v1"] = VIEWS["v_claims"].replace("l_orderkey AS text_key", f"""l
          || CASE WHEN l_linenumber <= 4 AND l_partkey % 2 = 0 THEN ' This is urgent, please pay immediately.'
                  WHEN l_linenumber = 7 THEN ' There is no hurry.' ELSE '' END END AS claim_text,
        CASE WHEN l_suppkey % 6 = 0 THEN l_partkey % 20 * 25 ELSE l_orderkey % (SELECT n FROM v_doc_count) END AS vector_id""")
+VIEWS["v_claim_states"] = f"""
+SELECT {CLAIM_ID} AS claim_id, {_pick('l_linenumber', ['VALIDATION', 'FRAUD_CHECK', 'ASSESSMENT', 'RESOLUTION', 'COMPLETED', 'FAILED'], 6)} AS current_state,
+  TIMESTAMP '{OW} 00:00:00' - to_minutes(CAST(l_partkey % 11 AS BIGINT)) AS started_at,
+  CASE WHEN l_linenumber % 6 = 4 THEN TIMESTAMP '{OW} 00:00:00' + to_days(CAST(l_suppkey % 2 - 1 AS INTEGER)) END AS completed_at,
+  l_partkey % 101 = 0 AS failed
+FROM lineitem"""
 VIEWS["v_fraud_narratives"] = f"""
 SELECT vec_id AS pattern_id, {_pick('label', ['LOW', 'MEDIUM', 'HIGH', 'CRITICAL'], 4)} AS severity,
   'Staged report of ' || {_pick('(vec_id // 25)', STATEMENT_EVENTS, 5)} || ' near ' || {_pick('(vec_id // 25)', STATEMENT_PLACES, 7)} AS example_narrative

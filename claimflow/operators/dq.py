@@ -191,6 +191,18 @@ def gate_batch(claims_dq: DataFrame, as_of, cap: int | None = None):
     return passed, after, audit
 
 
+def gate_oldest(claims: DataFrame, customers: DataFrame, policies: DataFrame, as_of, cap: int) -> DataFrame:
+    """The claims table after one gate run over the ``cap`` oldest SUBMITTED claims. Only those are
+    validated (against the whole table's duplicates); the failed ones, at most ``cap``, are marked by id."""
+    chosen = (claims.filter(F.col("claim_status") == "SUBMITTED")
+              .orderBy(F.col("submission_date").asc_nulls_last(), "claim_id").limit(cap))
+    judged = dq_validate_claims(chosen, customers, policies, as_of, keep_columns=True, all_claims=claims)
+    failed = judged.where(~F.col("passed")).select(F.col("claim_id").alias("_failed_id")).distinct()
+    hit = (F.col("claim_status") == "SUBMITTED") & F.col("_failed_id").isNotNull()
+    return (claims.join(F.broadcast(failed), F.col("claim_id") == F.col("_failed_id"), "left")
+            .withColumn("claim_status", F.when(hit, "DQ_FAILED").otherwise(F.col("claim_status"))).drop("_failed_id"))
+
+
 # ------------------------------------------------------------------ K01-K04
 def null_count(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
     """NULL counts for several columns in one pass over ``df``."""

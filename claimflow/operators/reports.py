@@ -123,6 +123,20 @@ def concat_transcripts(interactions: DataFrame, as_of, n_chars: int | None = Non
                                  lambda x: x["_part"]), sep).alias("transcripts"))
 
 
+def transcript_pieces(interactions: DataFrame, as_of, days: int = 90) -> DataFrame:
+    """D15 in long form: (customer_id, position, interaction_id, transcript_text), newest first from 1. Positions
+    come from a global order dealt by ranges, less the customer's first, so no task gathers a customer's
+    texts; rows without a text or a customer have no place."""
+    from claimflow.operators.ranking import global_row_number
+    recent = interactions.filter((F.col("interaction_date") >= minus_days(as_ts(as_of), days))
+                                 & F.col("transcript_text").isNotNull() & F.col("customer_id").isNotNull())
+    order = [F.col("customer_id"), F.col("interaction_date").desc_nulls_last(), F.col("interaction_id").desc()]
+    placed = global_row_number(recent.select("customer_id", "interaction_date", "interaction_id", "transcript_text"), order, "_rn")
+    first = placed.groupBy("customer_id").agg(F.min("_rn").alias("_first"))
+    return placed.join(first, "customer_id").select("customer_id", (F.col("_rn") - F.col("_first") + 1).alias("position"),
+                                                    "interaction_id", "transcript_text")
+
+
 def playbook_context(keys: DataFrame, playbooks: DataFrame, n_chars: int | None = None, sep: str = "\n---\n",
                      fallback: str = "No matching playbooks found") -> DataFrame:
     """D16 + C16: for each row of ``keys`` (customer_id, customer_segment, root_cause),
@@ -225,6 +239,13 @@ def health_check(state: DataFrame, claims: DataFrame, as_of, stuck_minutes: int
     return state_after, claims_after, health_counts(state_after, as_of)
 
 
+def health_audit(counts: DataFrame, as_of) -> DataFrame:
+    """L05's audit row: the counts after the check as its payload."""
+    from claimflow.operators.writes import audit_rows
+    return audit_rows(counts.select(F.lit(None).cast("string").alias("reference_id"), F.to_json(F.struct(*counts.columns)).alias("output_payload")),
+                      "SYSTEM", "HEALTH_CHECK", 0, as_of)
+
+
 def next_state(current: Column, failed: Column | None = None) -> Column:
     """The claim state machine VALIDATION -> FRAUD_CHECK -> ASSESSMENT ->
     RESOLUTION -> COMPLETED; any state -> FAILED when ``failed``; terminal states stay."""

@@ -93,16 +93,20 @@ def max_similarity(left: DataFrame, patterns: DataFrame, left_vec: str, pattern_
     # equal vectors have equal similarities: one stands for all, so no block gathers them
     dealt = _dealt(patterns.select(pattern_vec).distinct(), [pattern_vec], blocks, slices)
 
+    schema = T.StructType([T.StructField("_row", T.LongType()), *[left.schema[c] for c in dict.fromkeys(key_cols)],
+                           T.StructField("_best", T.DoubleType())])
+
     def score(l_rows: pd.DataFrame, r_rows: pd.DataFrame) -> pd.DataFrame:
         best = np.full(len(l_rows), -np.inf)
         for at, sims in _scored(l_rows, r_rows, left_vec, pattern_vec):
             best[at : at + len(sims)] = np.nan_to_num(sims, nan=-np.inf).max(axis=1, initial=-np.inf)
-        return pd.DataFrame({"_row": l_rows["_row"], "_best": np.where(np.isfinite(best), best, np.nan)})
+        return l_rows[["_row", *dict.fromkeys(key_cols)]].assign(_best=np.where(np.isfinite(best), best, np.nan))
 
-    best = (rows.groupBy("_block", "_slice").cogroup(dealt.groupBy("_block", "_slice"))
-            .applyInPandas(score, "_row long, _best double")
-            .groupBy("_row").agg(F.max(F.nanvl("_best", F.lit(None).cast("double"))).alias(out_col)))
-    return (rows.where("_block = 0").join(best, "_row", "left")
+    # the keys go with the scores, so the row numbers are read once and join nothing
+    return (rows.groupBy("_block", "_slice").cogroup(dealt.groupBy("_block", "_slice"))
+            .applyInPandas(score, schema).groupBy("_row")
+            .agg(*[F.first(c).alias(c) for c in dict.fromkeys(key_cols)],
+                 F.max(F.nanvl("_best", F.lit(None).cast("double"))).alias(out_col))
             .select(*key_cols, out_col))
 
 

@@ -322,6 +322,17 @@ class Tables:
         return (df.withColumn("effective_date", F.col("effective_date").cast("date"))
                   .withColumn("expiry_date", F.col("expiry_date").cast("date")))
 
+    # ---------------------------------------------------------------- claim states
+    def claim_states(self, as_of: str) -> DataFrame:
+        """Pipeline states of claims at every stage, some of them started long before the check or failed."""
+        state = pick(F.col("l_linenumber"), ["VALIDATION", "FRAUD_CHECK", "ASSESSMENT", "RESOLUTION", "COMPLETED", "FAILED"], 6)
+        now = F.lit(f"{as_of} 00:00:00").cast("timestamp_ntz")
+        started = now - F.make_dt_interval(mins=(F.col("l_partkey") % 11).cast("int"))
+        return self.raw("lineitem").select(
+            self._claim_id().alias("claim_id"), state.alias("current_state"), started.alias("started_at"),
+            F.when(state == "COMPLETED", now + F.make_dt_interval(days=(F.col("l_suppkey") % 2 - 1).cast("int"))).alias("completed_at"),
+            F.lit(None).cast("string").alias("error_message"), (F.col("l_partkey") % 101 == 0).alias("failed"))
+
     # ---------------------------------------------------------------- alerts
     def alerts(self, as_of: str) -> DataFrame:
         """Earlier churn alerts of some customers: open and recent, in progress, open but old, and worked ones."""
