@@ -9,20 +9,25 @@ the other half; the network has ``ROUNDS`` rounds.
 kind     found and checked                           permuted
 =======  ==========================================  =================================================
 email    local part @ domain                         letters and digits of the local part, by class
-card     13-19 digits in groups, Luhn, first 3-6     digits between the first and the last; the last
+card     13-19 digits in groups, Luhn, first 2-6     digits between the first and the last; the last
                                                      is made to pass Luhn again
-date     yyyy-mm-dd, a day of the calendar from      the day among all days of these years
-         1900-01-01 to 2100-04-30
+date     yyyy-mm-dd, d Mon yyyy, m/d/yyyy or, where  the day among all days of these years, printed in
+         that is none, d/m/yyyy; a day of the        the same shape
+         calendar from 1900-01-01 to 2100-04-30
 ssn      ddd-dd-dddd with a valid area, group and    the valid numbers
          serial
-phone    (ddd) ddd-dddd or ddd-ddd-dddd              all digits
+phone    area code in brackets or not, groups        the last ten digits
+         joined by hyphens or dots, +1 or 1 before
 ip       four numbers up to 255                      all addresses
 =======  ==========================================  =================================================
 
-Separators, letter case and length stay. Matches that fail their check are left as they are.
+Separators, letter case and length stay (a day or month of a date may change its number of digits).
+Matches that fail their check are left as they are; a run of more digit groups than a card's is judged
+from its first group.
 
 Defined results: a null text stays null, an empty one empty; texts of any length are read whole, with
-any number of matches; repeated rows get equal results; other columns pass through.
+any number of matches; repeated rows get equal results; an empty table gives no rows; other columns
+pass through, whatever their names (those named n_<kind> are replaced).
 """
 
 from __future__ import annotations
@@ -30,15 +35,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimflow.llm.common import free_prefix
+
 ROUNDS = 8
 KINDS = ["email", "card", "date", "ssn", "phone", "ip"]
-# whole tokens only: no match begins or ends inside a longer run of the same characters
+# whole tokens only: no match begins or ends inside a longer run of digits or of numbers joined by hyphens
+_BEFORE, _AFTER = r"(?<![0-9])(?<![0-9][-])", r"(?![0-9])(?!-[0-9])"
+_MONTH = "(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "card": r"(?<![0-9-])[3-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9-])|(?<![0-9-])3[0-9]{3}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9-])",
-    "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9-])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
+    "card": (_BEFORE + r"[2-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}" + _AFTER + "|"
+             + _BEFORE + r"3[0-9]{3}[ -]?[0-9]{6}[ -]?[0-9]{5}" + _AFTER),
+    "date": (_BEFORE + r"[0-9]{4}-[0-9]{2}-[0-9]{2}" + _AFTER + r"|(?<![0-9/])[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(?![0-9/])|"
+             + _BEFORE + r"[0-9]{1,2} " + _MONTH + r" [0-9]{4}" + _AFTER),
+    "ssn": _BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _AFTER,
+    "phone": (r"(?<![0-9.])(?<![0-9]-)(?:\+?1[ .-])?(?:\([0-9]{3}\)[ -]?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}" + _AFTER),
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
 }
 ANY = "|".join(PATTERNS[k] for k in KINDS)
@@ -128,11 +139,18 @@ def card(value: Column, key: Column) -> tuple[Column, Column]:
 
 
 def date(value: Column, key: Column) -> tuple[Column, Column]:
-    day = F.try_to_date(value, "yyyy-MM-dd")
-    number = F.date_diff(day, F.lit(FIRST_DAY).cast("date"))
-    ok = day.isNotNull() & number.between(0, DAY_RADIX[0] * DAY_RADIX[1] - 1)
-    moved = permute_number(F.when(ok, number), DAY_RADIX, key, "date").cast("int")
-    return ok, F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), moved), "yyyy-MM-dd")
+    first, last = F.lit(FIRST_DAY).cast("date"), DAY_RADIX[0] * DAY_RADIX[1] - 1
+    shapes = [(r"^[0-9]{4}-", ["yyyy-MM-dd"]), (r"^[0-9]{1,2} ", ["d MMM yyyy"]), (r"^[0-9]{2}/[0-9]{2}/", ["MM/dd/yyyy", "dd/MM/yyyy"]),
+              (r"/", ["M/d/yyyy", "d/M/yyyy"])]
+    ok, to = F.lit(False), value
+    for shape, formats in reversed(shapes):
+        for form in reversed(formats):
+            day = F.try_to_date(F.when(value.rlike(shape), value), form)
+            number = F.date_diff(day, first)
+            good = day.isNotNull() & number.between(0, last)
+            moved = permute_number(F.when(good, number), DAY_RADIX, key, "date").cast("int")
+            ok, to = ok | good, F.when(good, F.date_format(F.date_add(first, moved), form)).otherwise(to)
+    return ok, to
 
 
 def ssn(value: Column, key: Column) -> tuple[Column, Column]:
@@ -162,8 +180,10 @@ def email(value: Column, key: Column) -> tuple[Column, Column]:
 
 
 def phone(value: Column, key: Column) -> tuple[Column, Column]:
-    digits = F.regexp_replace(value, "[^0-9]", "")  # equal numbers are linked however they are written
-    return F.lit(True), _in_place(value, permute_text(digits, key, "phone"))
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    # equal numbers are linked however they are written, with or without the country's 1
+    country = F.substring(digits, F.lit(1), F.length(digits) - 10)
+    return F.lit(True), _in_place(value, F.concat(country, permute_text(F.substring(digits, -10, 10), key, "phone")))
 
 
 _FORMATS = {"email": email, "card": card, "date": date, "ssn": ssn, "phone": phone, "ip": ip}
@@ -183,19 +203,20 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", out_col: str
     """``docs`` with the text's private values replaced (in ``out_col``, else in place) and n_<kind> of each kind."""
     names = [f"n_{k}" for k in KINDS]
     docs = docs.drop(*names)
+    match, gap, to = (f"{free_prefix(docs)}{x}" for x in ("match", "gap", "to"))
     none = F.array().cast("array<string>")
     may = F.col(text_col).rlike("[0-9]") | F.contains(F.col(text_col), F.lit("@"))
-    df = docs.withColumn("_match", F.coalesce(F.when(may, F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))), none))
+    df = docs.withColumn(match, F.coalesce(F.when(may, F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))), none))
     df = df.withColumns({
-        "_gap": F.when(F.size("_match") > 0, F.split(F.col(text_col), ANY, -1)).otherwise(none),
-        "_to": F.transform("_match", lambda v: _renamed(v, F.lit(key)))})
-    joined = F.concat(F.array_join(F.zip_with(F.slice("_gap", 1, F.size("_match")), F.col("_to"),
+        gap: F.when(F.size(match) > 0, F.split(F.col(text_col), ANY, -1)).otherwise(none),
+        to: F.transform(match, lambda v: _renamed(v, F.lit(key)))})
+    joined = F.concat(F.array_join(F.zip_with(F.slice(gap, 1, F.size(match)), F.col(to),
                                               lambda g, t: F.concat(g, t["to"])), ""),
-                      F.element_at("_gap", -1))
-    replaced = F.when(F.size("_match") > 0, joined).otherwise(F.col(text_col))
+                      F.element_at(gap, -1))
+    replaced = F.when(F.size(match) > 0, joined).otherwise(F.col(text_col))
 
     def count(kind):
-        return F.size(F.filter("_to", lambda t: t["kind"] == kind)).cast("long")
+        return F.size(F.filter(to, lambda t: t["kind"] == kind)).cast("long")
 
     return (df.withColumns({out_col or text_col: replaced} | {n: count(k) for n, k in zip(names, KINDS, strict=True)})
-            .drop("_match", "_gap", "_to"))
+            .drop(match, gap, to))

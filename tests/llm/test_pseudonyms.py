@@ -65,12 +65,18 @@ def replaced(value, key):
         body = digits[0] + text(digits[1:-1], key, kind)
         return kind, in_place(value, body + next(c for c in "0123456789" if luhn(body + c)))
     if kind == "date":
-        try:
-            n = (dt.date.fromisoformat(value) - dt.date(1900, 1, 1)).days
-        except ValueError:
-            n = -1
-        if 0 <= n < 270 * 271:
-            return kind, str(dt.date(1900, 1, 1) + dt.timedelta(number(n, (270, 271), key, kind)))
+        wide = bool(re.match("[0-9]{2}/[0-9]{2}/", value))
+        forms = ["%Y-%m-%d"] if value[4] == "-" and value[2] != "/" else ["%d %b %Y"] if " " in value else ["%m/%d/%Y", "%d/%m/%Y"]
+        for form in forms:
+            try:
+                n = (dt.datetime.strptime(value, form).date() - dt.date(1900, 1, 1)).days
+            except ValueError:
+                continue
+            if 0 <= n < 270 * 271:
+                day = dt.date(1900, 1, 1) + dt.timedelta(number(n, (270, 271), key, kind))
+                narrow = {"%d %b %Y": f"{day.day} {day:%b %Y}", "%m/%d/%Y": f"{day.month}/{day.day}/{day.year}",
+                          "%d/%m/%Y": f"{day.day}/{day.month}/{day.year}"}
+                return kind, str(day) if form[1] == "Y" else day.strftime(form) if wide else narrow[form]
     if kind == "ssn":
         a, g, s = map(int, value.split("-"))
         if 1 <= a <= 899 and a != 666 and g and s:
@@ -78,7 +84,7 @@ def replaced(value, key):
             low, rest = divmod(n, ps.SSN_REST)
             return kind, f"{low + (2 if low >= 665 else 1):03d}-{rest // 9999 + 1:02d}-{rest % 9999 + 1:04d}"
     if kind == "phone":
-        return kind, in_place(value, text(digits, key, kind))
+        return kind, in_place(value, digits[:-10] + text(digits[-10:], key, kind))
     if kind == "ip" and all(int(x) <= 255 for x in value.split(".")):
         n = 0
         for x in value.split("."):
@@ -117,12 +123,14 @@ VALUES = [
     "Mail Ann.Lee+x@a-b.example.com, twice ann.lee@x.org ann.lee@x.org.", "4111 1111 1111 1111 4111-1111-1111-1111 4111111111111111",
     "4111111111111112 not Luhn; 378282246310005 amex; 123456789012345678901", "1999-02-29 2000-02-29 1899-12-31 2100-04-30 2100-05-01 1900-01-01",
     "000-12-3456 666-12-3456 899-99-9999 001-01-0001 900-01-0001", "(578) 555-2084 578-555-2084 (578)555-2084 1578-555-20841",
-    "0.0.0.0 255.255.255.255 256.1.1.1 1.2.3.4.5 10.0.0.1.", "", None, "nothing", "@", "12", "é 🙂 61.140.123.109 🙂 a@b.co é",
+    "1-800-555-0123 +1-415-555-0100 415.555.0100 (415)-555-0100 415-555-0100", "2223000048400011 card-4111111111111111 4111111111111111-x",
+    "01/15/2024 15/01/2024 1/5/2024 31/31/2024 15 Jan 2024 5 Feb 2024 32 Jan 2024 2024-01-15-notes 01/15/20245", "0.0.0.0 255.255.255.255 256.1.1.1 1.2.3.4.5 10.0.0.1.", "", None, "nothing", "@", "12", "é 🙂 61.140.123.109 🙂 a@b.co é",
 ]
 
 
 def test_odd_values(spark):
-    df = spark.createDataFrame(list(enumerate(VALUES)), "doc_id long, text string").selectExpr("*", "1 as _to", "2 as n_ip", "3 as _gap")
+    df = spark.createDataFrame(list(enumerate(VALUES)), "doc_id long, text string").selectExpr("*", "1 as _to", "2 as n_ip", "3 as _gap", "4 as _match")
+    assert ps.pseudonymise(df, "k").select("_to", "_gap", "_match").distinct().collect() == [(1, 3, 4)]
     got = {r.doc_id: r for r in ps.pseudonymise(df, "k").collect()}
     for i, v in enumerate(VALUES):
         out, counts = brute(v, "k")
@@ -133,6 +141,18 @@ def test_odd_values(spark):
     assert other != got[1].text
 
 
+def test_common_forms_are_replaced_and_linked(spark):
+    forms = ["1-800-555-0123", "+1-415-555-0100", "415.555.0100", "(415)-555-0100", "2223000048400011", "card-4111111111111111",
+             "01/15/2024", "15 Jan 2024", "2024-01-15-notes"]
+    df = spark.createDataFrame([(i, f"see {f} there") for i, f in enumerate(forms)], "doc_id long, text string")
+    got = [r.text[4:-6] for r in ps.pseudonymise(df, "k").orderBy("doc_id").collect()]
+    assert all(a != b for a, b in zip(got, forms, strict=True))
+    digits = [re.sub("[^0-9]", "", x)[-10:] for x in got[1:4]]
+    assert len(set(digits)) == 1  # one number however it is written
+    days = {dt.datetime.strptime(got[6], "%m/%d/%Y"), dt.datetime.strptime(got[7], "%d %b %Y"), dt.datetime.strptime(got[8][:10], "%Y-%m-%d")}
+    assert len(days) == 1
+
+
 def test_they_are_permutations(spark):
     days = spark.range(270 * 271).select(ps.permute_number(F.col("id"), (270, 271), F.lit("k"), "date").alias("x"))
     assert days.agg(F.countDistinct("x"), F.min("x"), F.max("x")).first() == (73170, 0, 73169)
