@@ -17,7 +17,8 @@ only thing that travels to the tasks.
 Defined results: a null or empty text has one constant feature and is scored like any other; a
 text of any length is read whole; repeated rows and ids are scored row by row; null labels are left
 out of training; without at least two different grades there is no model: grades and probabilities
-are null and every document is kept. Columns other than the id and the text pass through unread.
+are null and every document is kept. An id that repeats gives one training text (that of least hash);
+ids may be of any type; an empty table gives no rows. Columns other than the id and the text pass through unread.
 """
 
 from __future__ import annotations
@@ -173,15 +174,18 @@ def training_rows(docs: DataFrame, ratings: DataFrame, grade: Column, id_col: st
              .where("_id is not null and _grade is not null")
              .groupBy("_id").agg(F.min("_grade").alias("_grade"))
              .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
-    joined = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(rated), "_id")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # one text an id (the one of least hash), whatever the number of rows that repeat it
+    joined = (docs.select(F.col(id_col).alias("_id"), text.alias("_text")).join(F.broadcast(rated), "_id")
+              .groupBy("_id", "_grade").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")))
+    kind = docs.schema[id_col].dataType.simpleString()
 
     def extract(batches):
         for b in batches:
             yield pd.DataFrame({"_id": b["_id"], "_grade": b["_grade"],
                                 "_features": [features(t, bits).tobytes() for t in b["_text"]]})
 
-    found = joined.mapInPandas(extract, "_id long, _grade double, _features binary").toPandas()
-    found = found.drop_duplicates("_id").sort_values("_id", kind="stable")
+    found = joined.mapInPandas(extract, f"_id {kind}, _grade double, _features binary").toPandas().sort_values("_id", kind="stable")
     order = np.random.default_rng(11).permutation(len(found))
     stored, grades = found["_features"].tolist(), found["_grade"].to_numpy(float)
     return [np.frombuffer(stored[i], "<i4") for i in order], grades[order]

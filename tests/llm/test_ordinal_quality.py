@@ -55,3 +55,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
     one_grade = ratings.where("doc_id = 4")
     got = oq.quality_classifier(odd_docs, one_grade, grade).collect()
     assert all(r.kept and r.p_top is None for r in got)
+
+
+def test_repeated_ids_train_with_one_text_each_and_ids_of_text(spark):
+    texts = [f"plain words number {i} here" if i % 2 else f"BAD ### {i} !!!" for i in range(40)]
+    docs = spark.createDataFrame([(f"d{i % 20}", t) for i, t in enumerate(texts)] * 3, "doc_id string, text string")
+    ratings = spark.createDataFrame([(f"d{i}", i % 2) for i in range(20)], "doc_id string, q int")
+    rows, grades = oq.training_rows(docs, ratings, F.col("q"), "doc_id", "text", 100)
+    again, _ = oq.training_rows(docs.repartition(7), ratings, F.col("q"), "doc_id", "text", 100)
+    assert len(rows) == 20 and all((a == b).all() for a, b in zip(rows, again, strict=True))
+    assert oq.quality_classifier(docs, ratings, F.col("q")).count() == 120
