@@ -40,8 +40,20 @@ def _byte_letters() -> dict[int, str]:
     return spelt | {b: chr(256 + n) for n, b in enumerate(x for x in range(256) if x not in spelt)}
 
 
+def splits_into_words(tokenizer) -> bool:
+    """Whether a text's ids are those of its words one after the other: a byte-level BPE that splits at blanks
+    itself, adds none in front, and changes no text beforehand. Other tokenizers encode whole texts."""
+    import json
+
+    spec = json.loads(tokenizer.to_str())
+    before = spec.get("pre_tokenizer") or {}
+    return (spec.get("model", {}).get("type") == "BPE" and spec.get("normalizer") is None and before.get("type") == "ByteLevel"
+            and before.get("add_prefix_space") is False and before.get("use_regex", True) is True)
+
+
 def encoder(tokenizer_path: str):
-    """A function from texts to lists of token-id bytes (little-endian uint32), each distinct word encoded once.
+    """A function from texts to lists of token-id bytes (little-endian uint32), each distinct word encoded once
+    (whole texts, if the tokenizer is not of the kind that ``splits_into_words``).
 
     Words are known by how they stand in a text: after a space (as they are) or at the start of a line
     (after a line feed). A word of letters alone is one unit of the tokenizer's own splitting, so the
@@ -59,6 +71,9 @@ def encoder(tokenizer_path: str):
         kept[tokenizer_path] = tokenizers.Tokenizer.from_file(tokenizer_path), {}, {}
     tokenizer, known, tails = kept[tokenizer_path]
     tokenizer.encode_special_tokens = True
+    if not splits_into_words(tokenizer):
+        return lambda texts: [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(
+            [t or "" for t in texts], add_special_tokens=False)]
     model, spelling = tokenizer.model, _byte_letters()
 
     def ids_of(text: str) -> bytes:
@@ -121,7 +136,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     order = [F.col("doc_id").asc_nulls_first(), F.col("text_key")]
     dealt = (docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
              .withColumn("text_key", F.xxhash64("text"))
-             .repartitionByRange(n, order[0]).sortWithinPartitions(*order))
+             .repartitionByRange(n, *order).sortWithinPartitions(*order))
 
     def run(batches):
         encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
