@@ -18,7 +18,8 @@ How it stays whole and bounded:
 
 A pair at similarity 0.8 shares no band with probability (1 - 0.8**5)**32 = 3e-6; more similar pairs
 less. Defined results: null, empty and wordless texts are linked to nothing and are their own class;
-a null id has no class (null) and no links; repeated rows are copies of each other; texts are read whole.
+a null id has no class (null) and no links; repeated rows are copies of each other; texts are read whole;
+an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -21,6 +21,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimflow.llm.common import free_prefix
+
 BUCKETS = 1 << 14
 SIZES = (3, 4, 5)
 SHRINK = 0.01
@@ -67,24 +69,25 @@ def filter_urls(pages: DataFrame, labelled: DataFrame, rules=(), url_col: str =
     """``pages`` with host, path, rule, p_block and verdict. ``labelled``: (url, label)."""
     mine = ["host", "path", "rule", "p_block", "verdict"]
     pages = pages.drop(*[c for c in mine if c != url_col])
-    parts = lambda df, url: df.withColumns({"_host": host_of(F.col(url)), "_path": path_of(F.col(url))})
-    known = (parts(labelled.select(F.col("url").alias("_url"), F.col("label").cast("double").alias("_label"))
-                   .where("_label is not null"), "_url")
-             .select("_label", grams(F.col("_host"), F.col("_path")).alias("_grams")))
-    labels = sorted(r[0] for r in known.select("_label").distinct().limit(3).collect())
+    own = free_prefix(pages)
+    parts = lambda df, url: df.withColumns({f"{own}host": host_of(F.col(url)), f"{own}path": path_of(F.col(url))})
+    known = (parts(labelled.select(F.col("url").alias(f"{own}url"), F.col("label").cast("double").alias(f"{own}label"))
+                   .where(f"{own}label is not null"), f"{own}url")
+             .select(f"{own}label", grams(F.col(f"{own}host"), F.col(f"{own}path")).alias(f"{own}grams")))
+    labels = sorted(r[0] for r in known.select(f"{own}label").distinct().limit(3).collect())
     df = parts(pages, url_col)
-    rule, said = rule_for(F.col("_host"), F.col("_path"), rules)
-    df = df.withColumns({"_rule": rule, "_said": said})
+    rule, said = rule_for(F.col(f"{own}host"), F.col(f"{own}path"), rules)
+    df = df.withColumns({f"{own}rule": rule, f"{own}said": said})
     if len(labels) > 1:
-        hashing = HashingTF(numFeatures=BUCKETS, binary=True, inputCol="_grams", outputCol="_features")
-        model = LogisticRegression(featuresCol="_features", labelCol="_label", probabilityCol="_probability",
-                                   rawPredictionCol="_raw", predictionCol="_predicted", regParam=SHRINK,
+        hashing = HashingTF(numFeatures=BUCKETS, binary=True, inputCol=f"{own}grams", outputCol=f"{own}features")
+        model = LogisticRegression(featuresCol=f"{own}features", labelCol=f"{own}label", probabilityCol=f"{own}probability",
+                                   rawPredictionCol=f"{own}raw", predictionCol=f"{own}predicted", regParam=SHRINK,
                                    standardization=False, maxIter=100).fit(hashing.transform(known.coalesce(1)))
-        df = model.transform(hashing.transform(df.withColumn("_grams", grams(F.col("_host"), F.col("_path")))))
-        df = df.withColumn("_block", vector_to_array("_probability")[1])
+        df = model.transform(hashing.transform(df.withColumn(f"{own}grams", grams(F.col(f"{own}host"), F.col(f"{own}path")))))
+        df = df.withColumn(f"{own}block", vector_to_array(f"{own}probability")[1])
     else:
-        df = df.withColumn("_block", F.lit(labels[0] if labels else 0.0))
-    verdict = F.coalesce("_said", F.when(F.col("_block") >= 0.5, "block").otherwise("allow"))
+        df = df.withColumn(f"{own}block", F.lit(labels[0] if labels else 0.0))
+    verdict = F.coalesce(f"{own}said", F.when(F.col(f"{own}block") >= 0.5, "block").otherwise("allow"))
     keep = [c for c in pages.columns if c not in mine or c == url_col]
-    return df.select(*keep, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"),
-                     F.col("_block").alias("p_block"), verdict.alias("verdict"))
+    return df.select(*keep, F.col(f"{own}host").alias("host"), F.col(f"{own}path").alias("path"), F.col(f"{own}rule").alias("rule"),
+                     F.col(f"{own}block").alias("p_block"), verdict.alias("verdict"))

@@ -14,7 +14,8 @@ Words: A-Z lower-cased, then ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. Windows
 
 Defined results: null or wordless texts have no words and no hits; an item without words is no window;
 a null item id is read as an empty string; rows that repeat an id and a text share their result, and
-rows that share only an id are judged apart; texts are read whole. Other columns are left unread.
+rows that share only an id are judged apart; texts are read whole; an empty table of documents gives no
+rows, one of items no hits. Other columns are left unread.
 """
 
 from __future__ import annotations
