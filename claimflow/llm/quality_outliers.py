@@ -3,18 +3,30 @@
 Each text gives counts (words, their characters, symbols, repeated lines, words in repeated 5-word
 windows, capitals), read from the whole text; a vector of transformed statistics follows from them.
 For every (language, source) the location and scatter of the vectors are minimum-covariance-determinant
-estimates: the half (``SUBSET``) of the documents whose covariance has the least determinant. They are
+estimates: the share ``SUBSET`` of the documents whose covariance has the least determinant. They are
 found by concentration steps from two deterministic starts (medians with absolute deviations, and the
 correlation of tanh scores), all groups and starts at once: distances, the group's distance that bounds
 its subset, then counts, sums and products of the subset. The start with the lesser determinant stays,
 the scatter is scaled so that the median squared distance is that of chi-square, and is estimated once
-more from the documents within its 97.5 % point. Documents beyond ``CUTOFF`` are rejected.
+more from the documents within its 97.5 % point.
+
+The scatter's diagonal gets a floor that only keeps it regular: ``RIDGE`` of the group's own spread of each
+statistic. A statistic of which most of the group has one value (no symbols at all) has no spread and no
+covariance to estimate; its floor is the upper quartile of the distance from that value, or, where that
+is less, what one symbol, line, window or capital makes in the group's median text.
+
+The same estimates are made for each language and for all documents. A group's estimate is drawn towards its
+language's, and that towards the overall one, in the proportion ``PRIOR_ROWS`` to its documents: a large group is
+judged by its own, one of a few documents mostly by its language's, without a size at which that changes.
+
+A document is rejected if its distance lies beyond the tail of its group's own distances: the median of
+log(distance) plus ``TAIL`` times what lies between it and the upper quartile (chi-square's 97.5 % point at
+least; less than a quarter of a group may be outliers for that). For chi-square distances that is their 97.5 % point; groups with long tails get a wider bound. The bound is
+drawn towards the language's in the same way, by ``TAIL_PRIOR`` times as many rows.
 
 Every step is an aggregation with partial sums over all documents; no group is gathered, and what goes
 back to the documents is one row a group. Quantiles are read from counts on a fixed grid, so reruns
-agree. ``FLOORS`` are added to the scatter's diagonal: statistics that are constant in a group (no
-symbols at all) keep it regular. Groups of fewer than ``LEAST_ROWS`` documents use the estimate of their
-language, or if that is small too, of all documents.
+agree.
 
 Defined results: a null or wordless text has zero counts, fails the base rules and has no distance;
 null language and source are values of their own; repeated rows count as often as they occur and are
@@ -23,6 +35,8 @@ judged alike; texts are read whole; an empty table gives no rows. Other columns
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -32,12 +46,16 @@ from claimflow.llm.common import broadcast_within, settle
 from claimflow.llm.text_bytes import IS_SPACE, span_hashes, to_bytes, window_hashes, word_bounds
 
 STATISTICS = ["log_words", "log_word_length", "symbols", "repeated_lines", "repeated_words", "capitals"]
-FLOORS = (1.0, 0.15, 0.06, 0.2, 0.2, 0.08)
+LINE_WORDS = 30  # of a usual line
+GRID = 1 / 512
+RIDGE = 0.1
 P = len(STATISTICS)
 SUBSET = 0.6
 STEPS = 6
-LEAST_ROWS = 60
-CUTOFF = 170.0
+PRIOR_ROWS = 60
+TAIL = 2.5
+TAIL_PRIOR = 4  # times PRIOR_ROWS
+MAX_GROUPS = 50_000  # rows of a few numbers that are broadcast at most
 CHI2_MEDIAN, CHI2_975 = 5.348, 14.449  # fixed values: chi-square with 6 degrees of freedom
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals"]
 _SYMBOL = np.zeros(256, bool)
@@ -98,13 +116,18 @@ def count_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sour
         run, f"_id {kind}, _lang string, _source string, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
-def grid_quantile(df: DataFrame, keys: list[str], value: str, part: float, step: float) -> DataFrame:
-    """keys and q: the upper edge of the grid cell in which the share ``part`` of the key's rows is reached."""
-    cells = df.groupBy(*keys, F.floor(F.col(value) / step).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-    run, every = Window.partitionBy(*keys).orderBy("_cell"), Window.partitionBy(*keys)
-    return (cells.withColumn("_upto", F.sum("_n").over(run)).withColumn("_all", F.sum("_n").over(every))
-            .where(F.col("_upto") >= F.col("_all") * part).groupBy(*keys)
-            .agg(((F.min("_cell") + 1) * step).alias("q")))
+def grid_quantiles(df: DataFrame, keys: list[str], values: dict[str, Column], parts: list[float], step: float = GRID) -> DataFrame:
+    """keys, and for each value the array of upper edges of the grid cells in which the shares ``parts`` of the key's
+    rows are reached. All values come from one aggregation."""
+    named = F.array(*[F.struct(F.lit(n).alias("v"), F.floor(c / step).alias("c")) for n, c in values.items()])
+    cells = (df.select(*keys, F.explode(named).alias("x")).groupBy(*keys, F.col("x.v").alias("_v"), F.col("x.c").alias("_cell"))
+             .agg(F.count(F.lit(1)).alias("_n")))
+    each = [*keys, "_v"]
+    run, every = Window.partitionBy(*each).orderBy("_cell"), Window.partitionBy(*each)
+    found = cells.withColumn("_upto", F.sum("_n").over(run)).withColumn("_all", F.sum("_n").over(every))
+    edge = [((F.min(F.when(F.col("_upto") >= F.col("_all") * p, F.col("_cell"))) + 1) * step).alias(f"_e{i}") for i, p in enumerate(parts)]
+    wide = found.groupBy(*each).agg(*edge).withColumn("_q", F.array(*[f"_e{i}" for i in range(len(parts))]))
+    return wide.groupBy(*keys).agg(*[F.max(F.when(F.col("_v") == n, F.col("_q"))).alias(n) for n in values])
 
 
 def _moments(df: DataFrame, keys: list[str], values: list[Column]) -> DataFrame:
@@ -126,21 +149,29 @@ def _covariance(row) -> tuple[np.ndarray, np.ndarray]:
     return mean, full / n - np.outer(mean, mean)
 
 
-_FIT = "cell string, start int, center array<double>, precision array<double>, logdet double"
+_FIT = "cell string, start int, floors array<double>, center array<double>, scatter array<double>, precision array<double>, logdet double"
+_NAMES = ["cell", "start", "floors", "center", "scatter", "precision", "logdet"]
 
 
-def _fit_row(cell, start, center, scatter) -> tuple:
-    scatter = (scatter + scatter.T) / 2 + np.diag(np.square(FLOORS))
-    values, vectors = np.linalg.eigh(scatter)  # rounding may leave a tiny negative value: the floor is its least
-    values = np.maximum(values, min(FLOORS) ** 2 / 4)
-    return (cell, int(start), center.tolist(), (vectors @ np.diag(1 / values) @ vectors.T).ravel().tolist(),
-            float(np.log(values).sum()))
+def _inverse(scatter: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, float]:
+    """Inverse and log-determinant, in units of the floors (statistics differ much in size)."""
+    unit = np.outer(floors, floors)
+    values, vectors = np.linalg.eigh((scatter + scatter.T) / 2 / unit)
+    values = np.maximum(values, 0.5)  # the floors' own share is 1 but for rounding
+    return vectors @ np.diag(1 / values) @ vectors.T / unit, float(np.log(values).sum() + 2 * np.log(floors).sum())
+
+
+def _fit_row(cell, start, floors, center, scatter) -> tuple:
+    floors = np.asarray(floors, float)
+    scatter = scatter + np.diag(floors**2)
+    precision, logdet = _inverse(scatter, floors)
+    return (cell, int(start), floors.tolist(), center.tolist(), scatter.ravel().tolist(), precision.ravel().tolist(), logdet)
 
 
 def _refit(batches):
     for b in batches:
-        rows = [_fit_row(r["cell"], r["start"], *_covariance(r)) for _, r in b.iterrows()]
-        yield pd.DataFrame(rows, columns=["cell", "start", "center", "precision", "logdet"])
+        rows = [_fit_row(r["cell"], r["start"], r["floors"], *_covariance(r)) for _, r in b.iterrows()]
+        yield pd.DataFrame(rows, columns=_NAMES)
 
 
 def _first_fits(batches):
@@ -153,9 +184,9 @@ def _first_fits(batches):
             scale = np.sqrt(np.maximum(np.diag(cov), 1e-12))
             near = np.clip(cov / np.outer(scale, scale), -0.98, 0.98)
             np.fill_diagonal(near, 1.0)
-            rows += [_fit_row(r["cell"], 0, center, np.diag(spread**2)),
-                     _fit_row(r["cell"], 1, center, near * np.outer(spread, spread))]
-        yield pd.DataFrame(rows, columns=["cell", "start", "center", "precision", "logdet"])
+            rows += [_fit_row(r["cell"], 0, r["floors"], center, np.diag(spread**2)),
+                     _fit_row(r["cell"], 1, r["floors"], center, near * np.outer(spread, spread))]
+        yield pd.DataFrame(rows, columns=_NAMES)
 
 
 def _distance() -> Column:
@@ -169,80 +200,110 @@ def _distance() -> Column:
 
 
 def _measured(rows: DataFrame, fits: DataFrame) -> DataFrame:
-    return rows.join(broadcast_within(fits, 50_000), "cell").withColumn("d2", _distance())
+    return rows.join(broadcast_within(fits, MAX_GROUPS), "cell").withColumn("d2", _distance())
+
+
+def starts(rows: DataFrame) -> DataFrame:
+    """(cell, medians, spreads, floors): medians and absolute deviations of each cell, and its floors."""
+    medians = settle(grid_quantiles(rows, ["cell"], {s: F.col(s) for s in STATISTICS}, [0.5])
+                     .select("cell", F.array(*[F.get(s, F.lit(0)) - GRID / 2 for s in STATISTICS]).alias("medians")))
+    away = {s: F.greatest(F.abs(F.col(s) - F.get("medians", F.lit(i))) - GRID, F.lit(0.0)) for i, s in enumerate(STATISTICS)}
+    spreads = grid_quantiles(rows.join(broadcast_within(medians, MAX_GROUPS), "cell"), ["cell"], away, [0.5, 0.75])
+    half = [F.get(s, F.lit(0)) * 1.4826 for s in STATISTICS]
+    flat = [F.get(s, F.lit(0)) <= GRID for s in STATISTICS]  # most of the cell has one value
+    words = F.exp(F.get("medians", F.lit(0)))
+    chars = words * F.exp(F.get("medians", F.lit(1)))
+    # one word, character, symbol, line, 5-word window or capital more or less in the cell's median text
+    one = [1 / words, 1 / chars, F.sqrt(1 / chars), F.sqrt(LINE_WORDS / words), F.sqrt(2 * WINDOW / words), F.sqrt(1 / chars)]
+    floors = [F.when(f, F.greatest(F.get(s, F.lit(1)), r)).otherwise(h * RIDGE)
+              for s, f, h, r in zip(STATISTICS, flat, half, one, strict=True)]
+    return settle(spreads.join(medians, "cell").select("cell", "medians", F.array(*half).alias("spreads"), F.array(*floors).alias("floors")))
 
 
 def fit_groups(rows: DataFrame, subset: float = SUBSET, steps: int = STEPS) -> DataFrame:
-    """(cell, center, precision, scale) of the cells of ``rows`` (cell, STATISTICS)."""
+    """(cell, n, floors, center, scatter, tail) of the cells of ``rows`` (cell, STATISTICS): scatter is scaled to
+    chi-square, tail is the log of the squared distance beyond which the cell's documents are rejected."""
     keys = ["cell", "start"]
-    grid = [f / 8 for f in FLOORS]
-    medians, spreads = [], []
-    for i, s in enumerate(STATISTICS):
-        medians.append(grid_quantile(rows, ["cell"], s, 0.5, grid[i]).withColumnRenamed("q", f"_m{i}"))
-    start = medians[0]
-    for m in medians[1:]:
-        start = start.join(m, "cell")
-    start = settle(start)
-    off = rows.join(broadcast_within(start, 50_000), "cell")
-    for i, s in enumerate(STATISTICS):
-        away = off.select("cell", F.abs(F.col(s) - F.col(f"_m{i}")).alias("away"))
-        spreads.append(grid_quantile(away, ["cell"], "away", 0.5, grid[i]).withColumnRenamed("q", f"_w{i}"))
-    for w in spreads:
-        start = start.join(w, "cell")
-    start = settle(start.select("cell", F.array(*[f"_m{i}" for i in range(P)]).alias("medians"),
-                                F.array(*[F.col(f"_w{i}") * 1.4826 for i in range(P)]).alias("spreads")))
-    scored = rows.join(broadcast_within(start, 50_000), "cell")
+    start = starts(rows)
+    scored = rows.join(broadcast_within(start, MAX_GROUPS), "cell")
     scores = [F.tanh((F.col(s) - F.get("medians", F.lit(i))) / F.get("spreads", F.lit(i))) for i, s in enumerate(STATISTICS)]
     fits = settle(_moments(scored, ["cell"], scores).join(start, "cell").mapInPandas(_first_fits, _FIT))
-    for _ in range(steps):
-        at = _measured(rows, fits).withColumn("_far", F.log1p("d2"))
-        bound = settle(grid_quantile(at, keys, "_far", subset, 0.002)).select(
-            F.col("cell").alias("_c"), F.col("start").alias("_s"), "q")
-        near = at.join(broadcast_within(bound, 50_000), F.expr("cell = _c and start = _s")).where("_far <= q")
-        fits = settle(_moments(near, keys, [F.col(s) for s in STATISTICS]).mapInPandas(_refit, _FIT))
-    best = fits.groupBy("cell").agg(F.min(F.struct("logdet", "start", "center", "precision")).alias("b"))
-    best = settle(best.select("cell", F.lit(0).alias("start"), "b.center", "b.precision", "b.logdet"))
 
-    def scaled(fits):
-        far = _measured(rows, fits).withColumn("_far", F.log1p("d2"))
-        half = grid_quantile(far, ["cell"], "_far", 0.5, 0.002)
-        return settle(fits.join(half, "cell").withColumn("scale", F.expm1("q") / CHI2_MEDIAN).drop("q"))
+    def refitted(near: DataFrame) -> DataFrame:
+        return settle(_moments(near, keys, [F.col(s) for s in STATISTICS]).join(start.select("cell", "floors"), "cell")
+                      .mapInPandas(_refit, _FIT))
 
-    best = scaled(best)
-    near = _measured(rows, best).where(F.col("d2") <= F.col("scale") * CHI2_975)
-    return scaled(settle(_moments(near, keys, [F.col(s) for s in STATISTICS]).mapInPandas(_refit, _FIT)))
+    for _ in range(steps):
+        at = _measured(rows, fits).withColumn("_far", F.log1p("d2"))
+        bound = settle(grid_quantiles(at, keys, {"far": F.col("_far")}, [subset])).select(
+            F.col("cell").alias("_c"), F.col("start").alias("_s"), F.get("far", F.lit(0)).alias("q"))
+        fits = refitted(at.join(broadcast_within(bound, MAX_GROUPS), F.expr("cell = _c and start = _s")).where("_far <= q"))
+    best = fits.groupBy("cell").agg(F.min(F.struct("logdet", "start", "center", "scatter", "precision")).alias("b"))
+    best = settle(best.select("cell", F.lit(0).alias("start"), "b.center", "b.scatter", "b.precision"))
+
+    def spread(fits: DataFrame) -> DataFrame:
+        """Median and upper quartile of the log-distances."""
+        far = {"far": F.log(F.greatest("d2", F.lit(1e-6)))}
+        return settle(grid_quantiles(_measured(rows, fits), ["cell"], far, [0.5, 0.75])
+                      .select("cell", F.get("far", F.lit(0)).alias("q50"), F.get("far", F.lit(1)).alias("q75")))
+
+    scale = spread(best).select("cell", (F.exp("q50") / CHI2_MEDIAN).alias("scale"))
+    near = _measured(rows, best).join(broadcast_within(scale, MAX_GROUPS), "cell").where(F.col("d2") <= F.col("scale") * CHI2_975)
+    last = refitted(near)
+    tail = F.log(F.lit(CHI2_MEDIAN)) + TAIL * (F.col("q75") - F.col("q50"))
+    sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    return settle(last.join(spread(last), "cell").join(sizes, "cell").select(
+        "cell", "n", "floors", "center", F.transform("scatter", lambda x: x * F.exp("q50") / CHI2_MEDIAN).alias("scatter"),
+        F.greatest(tail, F.lit(math.log(CHI2_975))).alias("tail")))
 
 
 def _name(*parts: Column) -> Column:
     return F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("="), p), F.lit("-")) for p in parts])
 
 
+_DRAWN = "own string, center array<double>, precision array<double>, tail double"
+
+
+def _drawn(prior: float):
+    """Each group's estimate drawn towards its language's, and that towards the overall one."""
+    def run(batches):
+        for b in batches:
+            rows = []
+            for _, r in b.iterrows():
+                got = None
+                for level in ("every", "wide", "mine"):
+                    f = r[level]
+                    new = [np.array(f[k], float) for k in ("floors", "center", "scatter", "tail")]
+                    # the tail rests on a quartile of few far documents and needs more of them
+                    parts = [f["n"] / (f["n"] + prior * more) for more in (1, 1, 1, TAIL_PRIOR)]
+                    got = new if got is None else [p * x + (1 - p) * y for p, x, y in zip(parts, new, got, strict=True)]
+                floors, center, scatter, tail = got
+                precision, _ = _inverse(scatter.reshape(P, P), floors)
+                rows.append((r["own"], center.tolist(), precision.ravel().tolist(), float(tail)))
+            yield pd.DataFrame(rows, columns=["own", "center", "precision", "tail"])
+
+    return run
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  source_col: str = "source", cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS,
-                  subset: float = SUBSET, steps: int = STEPS) -> DataFrame:
+                  source_col: str = "source", prior_rows: float = PRIOR_ROWS, subset: float = SUBSET,
+                  steps: int = STEPS) -> DataFrame:
     """One row per row of ``docs``: id, the counts, base_failed, distance (null: none) and kept."""
     counted = count_texts(docs, id_col, text_col, lang_col, source_col)
-    counted = settle(counted.withColumns({"own": _name(F.col("_lang"), F.col("_source")), "wide": _name(F.col("_lang"))}))
-    some = counted.where("n_words > 0").select("own", "wide", *[c.alias(s) for s, c in statistics().items()])
-    sizes = some.groupBy("own", "wide").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.withColumn("n_wide", F.sum("n").over(Window.partitionBy("wide")))
-    cell = (F.when(F.col("n") >= least_rows, F.col("own")).when(F.col("n_wide") >= least_rows, F.col("wide"))
-            .otherwise(F.lit("all")))
-    sizes = settle(sizes.withColumn("cell", cell))
-    # a document serves its own group, and its language or all of them where some group falls back on it
-    needed = settle(sizes.groupBy("wide").agg(F.max((F.col("cell") == F.col("wide")).cast("int")).alias("language")))
-    every = sizes.where("cell = 'all'").limit(1).count()
-    uses = (sizes.join(needed, "wide").select("own", "wide", F.filter(F.array(
-        F.when(F.col("n") >= least_rows, F.col("own")), F.when(F.col("language") == 1, F.col("wide")),
-        F.when(F.lit(every) == 1, F.lit("all"))), lambda x: x.isNotNull()).alias("cells")))
-    rows = settle(some.join(broadcast_within(uses.select("own", "cells"), 50_000), "own")
-                  .select(F.explode("cells").alias("cell"), *STATISTICS))
+    counted = settle(counted.withColumns({"own": F.concat(F.lit("2"), _name(F.col("_lang"), F.col("_source"))),
+                                          "wide": F.concat(F.lit("1"), _name(F.col("_lang")))}))
+    some = counted.where("n_words > 0").withColumns(statistics())
+    rows = settle(some.select(F.explode(F.array("own", "wide", F.lit("0"))).alias("cell"), *STATISTICS))
     fits = fit_groups(rows, subset, steps)
-    known = settle(sizes.select("own", "cell").join(fits.select("cell", "center", "precision", "scale"), "cell"))
-    judged = (counted.where("n_words > 0").join(broadcast_within(known, 50_000), "own")
-              .withColumns(statistics()).withColumn("distance", _distance() / F.col("scale")))
-    bare = counted.where("n_words = 0").withColumn("distance", F.lit(None).cast("double"))
-    out = judged.select("_id", *COUNTS, "distance").unionByName(bare.select("_id", *COUNTS, "distance"))
+    fit = F.struct("n", "floors", "center", "scatter", "tail")
+    level = lambda key, name: fits.select(F.col("cell").alias(key), fit.alias(name))
+    groups = some.select("own", "wide").distinct().withColumn("all", F.lit("0"))
+    known = settle(groups.join(level("own", "mine"), "own").join(level("wide", "broad"), "wide").join(level("all", "every"), "all")
+                   .select("own", "mine", F.col("broad").alias("wide"), "every").mapInPandas(_drawn(prior_rows), _DRAWN))
+    judged = some.join(broadcast_within(known, MAX_GROUPS), "own").withColumn("distance", _distance())
+    bare = counted.where("n_words = 0").withColumns({"distance": F.lit(None).cast("double"), "tail": F.lit(None).cast("double")})
+    out = judged.select("_id", *COUNTS, "distance", "tail").unionByName(bare.select("_id", *COUNTS, "distance", "tail"))
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    return out.select(F.col("_id").alias(id_col), *COUNTS[:5], failed.alias("base_failed"),
-                      (~failed & (F.col("distance") <= cutoff)).alias("kept"), "distance", *COUNTS[5:])
+    near = F.coalesce(F.col("distance") <= F.exp("tail"), F.lit(False))
+    return out.select(F.col("_id").alias(id_col), *COUNTS[:5], failed.alias("base_failed"), (~failed & near).alias("kept"),
+                      "distance", F.exp("tail").alias("bound"), *COUNTS[5:])

@@ -96,5 +96,5 @@ def test_odd_tables(spark):
 def test_columns_of_any_name_pass_through(spark):
     pages = spark.createDataFrame([(1, "https://a.org/x", 5, 6)], "page_id long, url string, _rule int, own_host int")
     labelled = spark.createDataFrame([("https://good.org/", 0), ("https://bad.com/", 1)], "url string, label int")
-    got = url_filter.filter_urls(pages, labelled, [("allow", "org/")]).first()
+    got = uf.filter_urls(pages, labelled, [("allow", "org/")]).first()
     assert (got._rule, got.own_host, got.rule, got.verdict) == (5, 6, "org/", "allow")
