@@ -39,7 +39,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.llm.common import broadcast_within, settle
@@ -118,16 +118,10 @@ def count_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sour
 
 def grid_quantiles(df: DataFrame, keys: list[str], values: dict[str, Column], parts: list[float], step: float = GRID) -> DataFrame:
     """keys, and for each value the array of upper edges of the grid cells in which the shares ``parts`` of the key's
-    rows are reached. All values come from one aggregation."""
-    named = F.array(*[F.struct(F.lit(n).alias("v"), F.floor(c / step).alias("c")) for n, c in values.items()])
-    cells = (df.select(*keys, F.explode(named).alias("x")).groupBy(*keys, F.col("x.v").alias("_v"), F.col("x.c").alias("_cell"))
-             .agg(F.count(F.lit(1)).alias("_n")))
-    each = [*keys, "_v"]
-    run, every = Window.partitionBy(*each).orderBy("_cell"), Window.partitionBy(*each)
-    found = cells.withColumn("_upto", F.sum("_n").over(run)).withColumn("_all", F.sum("_n").over(every))
-    edge = [((F.min(F.when(F.col("_upto") >= F.col("_all") * p, F.col("_cell"))) + 1) * step).alias(f"_e{i}") for i, p in enumerate(parts)]
-    wide = found.groupBy(*each).agg(*edge).withColumn("_q", F.array(*[f"_e{i}" for i in range(len(parts))]))
-    return wide.groupBy(*keys).agg(*[F.max(F.when(F.col("_v") == n, F.col("_q"))).alias(n) for n in values])
+    rows are reached. One aggregation; what it holds of a key is a count for each cell that occurs."""
+    cells = df.select(*keys, *[F.floor(c / step).alias(n) for n, c in values.items()])
+    edge = lambda n, p: (F.expr(f"percentile_disc({p}) within group (order by `{n}`)").cast("double") + 1) * step
+    return cells.groupBy(*keys).agg(*[F.array(*[edge(n, p) for p in parts]).alias(n) for n in values])
 
 
 def _moments(df: DataFrame, keys: list[str], values: list[Column]) -> DataFrame:
@@ -199,16 +193,22 @@ def _distance() -> Column:
     return total
 
 
-def _measured(rows: DataFrame, fits: DataFrame) -> DataFrame:
-    return rows.join(broadcast_within(fits, MAX_GROUPS), "cell").withColumn("d2", _distance())
+def _held(df: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(df) if few else df
 
 
-def starts(rows: DataFrame) -> DataFrame:
-    """(cell, medians, spreads, floors): medians and absolute deviations of each cell, and its floors."""
+def _measured(rows: DataFrame, fits: DataFrame, few: bool) -> DataFrame:
+    return rows.join(_held(fits, few), "cell").withColumn("d2", _distance())
+
+
+def starts(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """(cell, medians, spreads, floors): medians and absolute deviations of each cell, and its floors; and whether the
+    counted cells are so few that what is held of each (two starts at most) may be broadcast."""
     medians = settle(grid_quantiles(rows, ["cell"], {s: F.col(s) for s in STATISTICS}, [0.5])
                      .select("cell", F.array(*[F.get(s, F.lit(0)) - GRID / 2 for s in STATISTICS]).alias("medians")))
+    few = medians.limit(MAX_GROUPS // 2 + 1).count() <= MAX_GROUPS // 2
     away = {s: F.greatest(F.abs(F.col(s) - F.get("medians", F.lit(i))) - GRID, F.lit(0.0)) for i, s in enumerate(STATISTICS)}
-    spreads = grid_quantiles(rows.join(broadcast_within(medians, MAX_GROUPS), "cell"), ["cell"], away, [0.5, 0.75])
+    spreads = grid_quantiles(rows.join(_held(medians, few), "cell"), ["cell"], away, [0.5, 0.75])
     half = [F.get(s, F.lit(0)) * 1.4826 for s in STATISTICS]
     flat = [F.get(s, F.lit(0)) <= GRID for s in STATISTICS]  # most of the cell has one value
     words = F.exp(F.get("medians", F.lit(0)))
@@ -217,42 +217,43 @@ def starts(rows: DataFrame) -> DataFrame:
     one = [1 / words, 1 / chars, F.sqrt(1 / chars), F.sqrt(LINE_WORDS / words), F.sqrt(2 * WINDOW / words), F.sqrt(1 / chars)]
     floors = [F.when(f, F.greatest(F.get(s, F.lit(1)), r)).otherwise(h * RIDGE)
               for s, f, h, r in zip(STATISTICS, flat, half, one, strict=True)]
-    return settle(spreads.join(medians, "cell").select("cell", "medians", F.array(*half).alias("spreads"), F.array(*floors).alias("floors")))
+    found = spreads.join(_held(medians, few), "cell")
+    return settle(found.select("cell", "medians", F.array(*half).alias("spreads"), F.array(*floors).alias("floors"))), few
 
 
 def fit_groups(rows: DataFrame, subset: float = SUBSET, steps: int = STEPS) -> DataFrame:
     """(cell, n, floors, center, scatter, tail) of the cells of ``rows`` (cell, STATISTICS): scatter is scaled to
     chi-square, tail is the log of the squared distance beyond which the cell's documents are rejected."""
     keys = ["cell", "start"]
-    start = starts(rows)
-    scored = rows.join(broadcast_within(start, MAX_GROUPS), "cell")
+    start, few = starts(rows)
+    scored = rows.join(_held(start, few), "cell")
     scores = [F.tanh((F.col(s) - F.get("medians", F.lit(i))) / F.get("spreads", F.lit(i))) for i, s in enumerate(STATISTICS)]
-    fits = settle(_moments(scored, ["cell"], scores).join(start, "cell").mapInPandas(_first_fits, _FIT))
+    fits = settle(_moments(scored, ["cell"], scores).join(_held(start, few), "cell").mapInPandas(_first_fits, _FIT))
 
     def refitted(near: DataFrame) -> DataFrame:
-        return settle(_moments(near, keys, [F.col(s) for s in STATISTICS]).join(start.select("cell", "floors"), "cell")
+        return settle(_moments(near, keys, [F.col(s) for s in STATISTICS]).join(_held(start.select("cell", "floors"), few), "cell")
                       .mapInPandas(_refit, _FIT))
 
     for _ in range(steps):
-        at = _measured(rows, fits).withColumn("_far", F.log1p("d2"))
-        bound = settle(grid_quantiles(at, keys, {"far": F.col("_far")}, [subset])).select(
+        at = _measured(rows, fits, few).withColumn("_far", F.log1p("d2"))
+        bound = grid_quantiles(at, keys, {"far": F.col("_far")}, [subset]).select(
             F.col("cell").alias("_c"), F.col("start").alias("_s"), F.get("far", F.lit(0)).alias("q"))
-        fits = refitted(at.join(broadcast_within(bound, MAX_GROUPS), F.expr("cell = _c and start = _s")).where("_far <= q"))
+        fits = refitted(at.join(_held(bound, few), F.expr("cell = _c and start = _s")).where("_far <= q"))
     best = fits.groupBy("cell").agg(F.min(F.struct("logdet", "start", "center", "scatter", "precision")).alias("b"))
     best = settle(best.select("cell", F.lit(0).alias("start"), "b.center", "b.scatter", "b.precision"))
 
     def spread(fits: DataFrame) -> DataFrame:
         """Median and upper quartile of the log-distances."""
         far = {"far": F.log(F.greatest("d2", F.lit(1e-6)))}
-        return settle(grid_quantiles(_measured(rows, fits), ["cell"], far, [0.5, 0.75])
-                      .select("cell", F.get("far", F.lit(0)).alias("q50"), F.get("far", F.lit(1)).alias("q75")))
+        return (grid_quantiles(_measured(rows, fits, few), ["cell"], far, [0.5, 0.75])
+                .select("cell", F.get("far", F.lit(0)).alias("q50"), F.get("far", F.lit(1)).alias("q75")))
 
     scale = spread(best).select("cell", (F.exp("q50") / CHI2_MEDIAN).alias("scale"))
-    near = _measured(rows, best).join(broadcast_within(scale, MAX_GROUPS), "cell").where(F.col("d2") <= F.col("scale") * CHI2_975)
+    near = _measured(rows, best, few).join(_held(scale, few), "cell").where(F.col("d2") <= F.col("scale") * CHI2_975)
     last = refitted(near)
     tail = F.log(F.lit(CHI2_MEDIAN)) + TAIL * (F.col("q75") - F.col("q50"))
     sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    return settle(last.join(spread(last), "cell").join(sizes, "cell").select(
+    return settle(_held(last, few).join(spread(last), "cell").join(sizes, "cell").select(
         "cell", "n", "floors", "center", F.transform("scatter", lambda x: x * F.exp("q50") / CHI2_MEDIAN).alias("scatter"),
         F.greatest(tail, F.lit(math.log(CHI2_975))).alias("tail")))
 
