@@ -55,6 +55,7 @@ STEPS = 6
 PRIOR_ROWS = 60
 TAIL = 2.5
 TAIL_PRIOR = 4  # times PRIOR_ROWS
+NARROW = 16  # one task takes what comes of so many shuffle partitions: rows a cell, not a document
 MAX_GROUPS = 50_000  # rows of a few numbers that are broadcast at most
 CHI2_MEDIAN, CHI2_975 = 5.348, 14.449  # fixed values: chi-square with 6 degrees of freedom
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals"]
@@ -120,8 +121,9 @@ def grid_quantiles(df: DataFrame, keys: list[str], values: dict[str, Column], pa
     """keys, and for each value the array of upper edges of the grid cells in which the shares ``parts`` of the key's
     rows are reached. One aggregation; what it holds of a key is a count for each cell that occurs."""
     cells = df.select(*keys, *[F.floor(c / step).alias(n) for n, c in values.items()])
+    tasks = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // NARROW)
     edge = lambda n, p: (F.expr(f"percentile_disc({p}) within group (order by `{n}`)").cast("double") + 1) * step
-    return cells.groupBy(*keys).agg(*[F.array(*[edge(n, p) for p in parts]).alias(n) for n in values])
+    return cells.groupBy(*keys).agg(*[F.array(*[edge(n, p) for p in parts]).alias(n) for n in values]).coalesce(tasks)
 
 
 def _moments(df: DataFrame, keys: list[str], values: list[Column]) -> DataFrame:
@@ -228,11 +230,11 @@ def fit_groups(rows: DataFrame, subset: float = SUBSET, steps: int = STEPS) -> D
     start, few = starts(rows)
     scored = rows.join(_held(start, few), "cell")
     scores = [F.tanh((F.col(s) - F.get("medians", F.lit(i))) / F.get("spreads", F.lit(i))) for i, s in enumerate(STATISTICS)]
-    fits = settle(_moments(scored, ["cell"], scores).join(_held(start, few), "cell").mapInPandas(_first_fits, _FIT))
+    fits = settle(_moments(scored, ["cell"], scores).join(_held(start, few), "cell").mapInPandas(_first_fits, _FIT), NARROW)
 
     def refitted(near: DataFrame) -> DataFrame:
         return settle(_moments(near, keys, [F.col(s) for s in STATISTICS]).join(_held(start.select("cell", "floors"), few), "cell")
-                      .mapInPandas(_refit, _FIT))
+                      .mapInPandas(_refit, _FIT), NARROW)
 
     for _ in range(steps):
         at = _measured(rows, fits, few).withColumn("_far", F.log1p("d2"))
@@ -240,7 +242,7 @@ def fit_groups(rows: DataFrame, subset: float = SUBSET, steps: int = STEPS) -> D
             F.col("cell").alias("_c"), F.col("start").alias("_s"), F.get("far", F.lit(0)).alias("q"))
         fits = refitted(at.join(_held(bound, few), F.expr("cell = _c and start = _s")).where("_far <= q"))
     best = fits.groupBy("cell").agg(F.min(F.struct("logdet", "start", "center", "scatter", "precision")).alias("b"))
-    best = settle(best.select("cell", F.lit(0).alias("start"), "b.center", "b.scatter", "b.precision"))
+    best = settle(best.select("cell", F.lit(0).alias("start"), "b.center", "b.scatter", "b.precision"), NARROW)
 
     def spread(fits: DataFrame) -> DataFrame:
         """Median and upper quartile of the log-distances."""
@@ -255,7 +257,7 @@ def fit_groups(rows: DataFrame, subset: float = SUBSET, steps: int = STEPS) -> D
     sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     return settle(_held(last, few).join(spread(last), "cell").join(sizes, "cell").select(
         "cell", "n", "floors", "center", F.transform("scatter", lambda x: x * F.exp("q50") / CHI2_MEDIAN).alias("scatter"),
-        F.greatest(tail, F.lit(math.log(CHI2_975))).alias("tail")))
+        F.greatest(tail, F.lit(math.log(CHI2_975))).alias("tail")), NARROW)
 
 
 def _name(*parts: Column) -> Column:
@@ -265,15 +267,16 @@ def _name(*parts: Column) -> Column:
 _DRAWN = "own string, center array<double>, precision array<double>, tail double"
 
 
-def _drawn(prior: float):
-    """Each group's estimate drawn towards its language's, and that towards the overall one."""
+def _drawn(prior: float, every):
+    """Each group's estimate drawn towards its language's, and that towards the overall one (one row, ``every``)."""
+    every = every and every.asDict()
+
     def run(batches):
         for b in batches:
             rows = []
             for _, r in b.iterrows():
                 got = None
-                for level in ("every", "wide", "mine"):
-                    f = r[level]
+                for f in (every, r["wide"], r["mine"]):
                     new = [np.array(f[k], float) for k in ("floors", "center", "scatter", "tail")]
                     # the tail rests on a quartile of few far documents and needs more of them
                     parts = [f["n"] / (f["n"] + prior * more) for more in (1, 1, 1, TAIL_PRIOR)]
@@ -298,9 +301,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     fits = fit_groups(rows, subset, steps)
     fit = F.struct("n", "floors", "center", "scatter", "tail")
     level = lambda key, name: fits.select(F.col("cell").alias(key), fit.alias(name))
-    groups = some.select("own", "wide").distinct().withColumn("all", F.lit("0"))
-    known = settle(groups.join(level("own", "mine"), "own").join(level("wide", "broad"), "wide").join(level("all", "every"), "all")
-                   .select("own", "mine", F.col("broad").alias("wide"), "every").mapInPandas(_drawn(prior_rows), _DRAWN))
+    every = fits.where("cell = '0'").first()
+    groups = some.select("own", "wide").distinct()
+    known = settle(groups.join(level("own", "mine"), "own").join(level("wide", "broad"), "wide")
+                   .select("own", "mine", F.col("broad").alias("wide")).mapInPandas(_drawn(prior_rows, every), _DRAWN), NARROW)
     judged = some.join(broadcast_within(known, MAX_GROUPS), "own").withColumn("distance", _distance())
     bare = counted.where("n_words = 0").withColumns({"distance": F.lit(None).cast("double"), "tail": F.lit(None).cast("double")})
     out = judged.select("_id", *COUNTS, "distance", "tail").unionByName(bare.select("_id", *COUNTS, "distance", "tail"))
