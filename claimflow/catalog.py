@@ -9,6 +9,7 @@ not decide the comparison.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,8 +23,9 @@ from claimflow.constants import EVENT_WORLD_AS_OF as EV
 from claimflow.constants import ORDER_WORLD_AS_OF as OW
 from claimflow.constants import PLAYBOOKS, V1_AS_OF
 from claimflow.operators import c360, features
-from claimflow.session import spread
+from claimflow.session import ensure_checkpoint_dir, spread
 from claimflow.sources.adapters import Tables
+from claimflow.streaming import states
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -420,6 +422,15 @@ def _l05s(t: Tables) -> DataFrame:
     return _checked(t)[0].select("claim_id", "current_state")
 
 
+@register("l08_states_flow", rs.STATES_FLOW, ["v_claim_states"])
+def _l08f(t: Tables) -> DataFrame:
+    """The events behind all states as a stream: transitions in order, the time limit by timeouts."""
+    base = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/states-{uuid.uuid4().hex}"
+    states.stage_events(t.claim_states(OW), OW).write.parquet(f"{base}/events")
+    states.states_flow(t.spark, f"{base}/events", f"{base}/changes", checkpoint=f"{base}/ck").awaitTermination()
+    return states.current_states(t.spark.read.parquet(f"{base}/changes")).select("claim_id", "current_state", "error_message")
+
+
 @register("l05_health_audit", rs.HEALTH_AUDIT, ["v_claim_states"])
 def _l05a(t: Tables) -> DataFrame:
     return reports.health_audit(_checked(t)[2], OW).select("flow_type", "agent_name", "status", "output_payload")

@@ -112,6 +112,11 @@ STATES_ALL = "SELECT current_state, count(*) AS count FROM v_claim_states GROUP
 _STUCK = f"""SELECT claim_id, completed_at, CASE WHEN current_state NOT IN ('COMPLETED', 'FAILED') AND started_at < {T_OW} - INTERVAL 5 MINUTE
     AND completed_at IS NULL THEN 'FAILED' ELSE current_state END AS current_state FROM v_claim_states"""
 STATES_CHECKED = f"SELECT claim_id, current_state FROM ({_STUCK}) s"
+STATES_FLOW = f"""
+SELECT claim_id, CASE WHEN stuck THEN 'FAILED' ELSE current_state END AS current_state,
+  CASE WHEN stuck THEN 'TIMEOUT: Stuck in pipeline > 5 minutes' END AS error_message
+FROM (SELECT DISTINCT claim_id, current_state, current_state NOT IN ('COMPLETED', 'FAILED')
+    AND started_at < {T_OW} + INTERVAL 10 SECOND - INTERVAL 5 MINUTE AS stuck FROM v_claim_states) s"""
 HEALTH_AUDIT = f"""
 SELECT 'SYSTEM' AS flow_type, 'HEALTH_CHECK' AS agent_name, 'SUCCESS' AS status,
   '{{"pending_claims":' || count_if(current_state NOT IN ('COMPLETED', 'FAILED')) || ',"failed_claims":' || count_if(current_state = 'FAILED')

@@ -85,7 +85,8 @@ def _move(limit_ms: int):
         nexts = [a for a, _ in waiting] + ([started + limit_ms + 1] if current is not None and current not in ENDS else [])
         if nexts:  # all beyond the watermark
             state.setTimeoutTimestamp(min(nexts))
-        yield pd.DataFrame([(key[0], *c) for c in changes], columns=["claim_id", "seq", "current_state", "started_at", "at", "error_message"])
+        if changes:
+            yield pd.DataFrame([(key[0], *c) for c in changes], columns=[f.split()[0] for f in CHANGE_SCHEMA.split(", ")])
 
     return run
 
@@ -117,3 +118,15 @@ def current_states(changes: DataFrame) -> DataFrame:
     return (changes.withColumn("_n", F.row_number().over(newest)).where("_n = 1")
             .select("claim_id", "current_state", "started_at",
                     F.when(F.col("current_state") == "COMPLETED", F.col("at")).alias("completed_at"), "error_message"))
+
+
+def stage_events(states: DataFrame, now: str) -> DataFrame:
+    """The events that lead to the states of a table (claim_id, current_state, started_at), a second apart, and the
+    check's TICK ten seconds after ``now``. Rows that repeat a claim are one claim."""
+    stage = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in CLAIM_STATES]), F.col("current_state")), F.lit(0))
+    steps = F.when(F.col("current_state") == "FAILED", F.array(F.lit("START"), F.lit("FAIL"))) \
+             .otherwise(F.concat(F.array(F.lit("START")), F.array_repeat(F.lit("STEP"), (stage - 1).cast("int"))))
+    rows = states.select("claim_id", F.col("started_at").cast("timestamp").alias("at"), F.posexplode(steps).alias("n", "event"))
+    tick = states.sparkSession.range(1).select(F.lit("").alias("claim_id"), (F.lit(f"{now} 00:00:10").cast("timestamp")).alias("at"),
+                                               F.lit("TICK").alias("event"))
+    return rows.distinct().select("claim_id", (F.col("at") + F.make_dt_interval(secs=F.col("n"))).alias("at"), "event").unionByName(tick)
