@@ -8,8 +8,13 @@ then a final merge of N rows per partition).
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimflow.constants import CLAIM_STATES, HEALTH_PROTECTED_STATUSES
 from claimflow.functions.dates import as_date, as_ts, minus_days, seconds_between
@@ -98,29 +103,50 @@ def recent_customer_count(interactions: DataFrame, as_of, days: int = 90) -> Dat
 
 
 # ------------------------------------------------------------------ ordered text aggregation
+def _packed(text: Column) -> Column:
+    """UTF-8 bytes of a text, compressed: what is left of it to move and to sort."""
+    @F.pandas_udf("binary")
+    def pack(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else zlib.compress(t))
+    return pack(text.cast("binary"))
+
+
+def _one_string(sep: str):
+    """A customer's packed texts as one string, newest first (then by id and text, descending)."""
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        found = [((at, i is not None, i), (head or b"") + zlib.decompress(text)) for at, i, head, text in
+                 zip(*(rows[c].to_pylist() for c in ("_at", "interaction_id", "_head", "_text")), strict=True)
+                 if text is not None]
+        whole = sep.encode().join(text for _, text in sorted(found, reverse=True))
+        return pa.table({"customer_id": pa.array([key[0].as_py()], rows.schema.field("customer_id").type), "_whole": pa.array([whole], pa.binary())})
+    return run
+
+
 def concat_transcripts(interactions: DataFrame, as_of, n_chars: int | None = None, days: int = 90,
-                       sep: str = "\n---\n", with_header: bool = False) -> DataFrame:
+                       sep: str = "\n---\n", with_header: bool = False, texts: DataFrame | None = None) -> DataFrame:
     """Per customer, the last ``days`` days of transcripts newest first, each
     cut to ``n_chars`` (``None`` = whole text); ``with_header`` prefixes
-    '[channel timestamp] ' as the root-cause prompt does. No row limit (T08).
+    '[channel timestamp] ' as the root-cause prompt does. No row limit (T08). NULL texts are skipped.
 
-    This is a per-customer string by definition (it becomes one prompt): texts are
-    first concatenated per (customer, day), then at most ``days + 1`` day parts
-    per customer are joined newest first. NULL texts are skipped as ``array_join`` skips them (a day of
-    only NULL texts contributes no part)."""
+    The texts are ``transcript_text`` of the interactions, or those of ``texts`` (text_id, text) that their
+    ``transcript_id`` names. This is a per-customer string by definition (it becomes one prompt): every text is packed
+    where it is stored (once, however many interactions name it) and crosses one exchange to its customer."""
     recent = interactions.filter(F.col("interaction_date") >= minus_days(as_ts(as_of), days))
-    body = F.col("transcript_text") if n_chars is None else F.substring("transcript_text", 1, n_chars)
+    cut_to = lambda c: F.col(c) if n_chars is None else F.substring(c, 1, n_chars)
+    head = F.concat(F.lit("["), F.col("channel"), F.lit(" "), F.col("interaction_date").cast("string"),
+                    F.lit("] ")).cast("binary") if with_header else F.lit(None).cast("binary")
+    recent = recent.select("customer_id", "interaction_id", F.unix_micros(F.col("interaction_date").cast("timestamp")).alias("_at"),
+                           head.alias("_head"), F.col("transcript_text" if texts is None else "transcript_id"))
+    if texts is None:
+        rows = recent.withColumn("_text", _packed(cut_to("transcript_text"))).drop("transcript_text")
+    else:
+        stored = texts.select(F.col("text_id").alias("transcript_id"), _packed(cut_to("text")).alias("_text"))
+        rows = recent.join(stored, "transcript_id", "left").drop("transcript_id")
     if with_header:
-        body = F.concat(F.lit("["), F.col("channel"), F.lit(" "), F.col("interaction_date").cast("string"),
-                        F.lit("] "), body)
-    item = F.struct(F.col("interaction_date").alias("ts"), F.col("interaction_id").alias("id"), body.alias("t"))
-    texts = F.filter(F.transform(F.sort_array(F.collect_list(item), asc=False), lambda x: x["t"]),
-                     lambda t: t.isNotNull())
-    parts = (recent.groupBy("customer_id", F.to_date("interaction_date").alias("_day"))
-             .agg(F.when(F.size(texts) > 0, F.array_join(texts, sep)).alias("_part")))
-    return parts.groupBy("customer_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_day", "_part")), asc=False),
-                                 lambda x: x["_part"]), sep).alias("transcripts"))
+        rows = rows.withColumn("_text", F.when(F.col("_head").isNotNull(), F.col("_text")))
+    schema = T.StructType([interactions.schema["customer_id"], T.StructField("_whole", T.BinaryType())])
+    return (rows.groupBy("customer_id").applyInArrow(_one_string(sep), schema)
+            .select("customer_id", F.col("_whole").cast("string").alias("transcripts")))
 
 
 def transcript_pieces(interactions: DataFrame, as_of, days: int = 90) -> DataFrame:

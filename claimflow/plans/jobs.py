@@ -63,7 +63,7 @@ def daily_chain(spark: SparkSession, root: str, in_root: str, out_root: str, as_
     """J05 -> J07 -> J10 over the C360, alerts and actions of an earlier run."""
     t = Tables(spark, root)
     feats = churn.extract_interaction_features(get(spark, in_root, "fct_customer_360"),
-                                               t.interactions(with_text=True), interactions_as_of or as_of, model)
+                                               t.interactions(with_text_key=True), interactions_as_of or as_of, model, texts=t.transcript_texts())
     current = put(feats, out_root, "fct_customer_360")
     alerts = get(spark, in_root, "churn_alerts")
     scanned = put(alerts.unionByName(churn.churn_scan(current, alerts, as_of)), out_root, "churn_alerts_scanned")
