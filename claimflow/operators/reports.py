@@ -149,18 +149,26 @@ def concat_transcripts(interactions: DataFrame, as_of, n_chars: int | None = Non
             .select("customer_id", F.col("_whole").cast("string").alias("transcripts")))
 
 
-def transcript_pieces(interactions: DataFrame, as_of, days: int = 90) -> DataFrame:
+def transcript_pieces(interactions: DataFrame, texts: DataFrame, as_of, days: int = 90) -> DataFrame:
     """D15 in long form: (customer_id, position, interaction_id, transcript_text), newest first from 1. Positions
     come from a global order dealt by ranges, less the customer's first, so no task gathers a customer's
-    texts; rows without a text or a customer have no place."""
+    texts; rows without a text or a customer have no place.
+
+    ``interactions`` name their text in ``texts`` (text_id, text) by ``transcript_id``. Places are counted on keys alone:
+    an id with several texts gives each a place (equal ones by their number), and the texts join the
+    placed keys at the end, so each stored text is moved once."""
     from claimflow.operators.ranking import global_row_number
-    recent = interactions.filter((F.col("interaction_date") >= minus_days(as_ts(as_of), days))
-                                 & F.col("transcript_text").isNotNull() & F.col("customer_id").isNotNull())
-    order = [F.col("customer_id"), F.col("interaction_date").desc_nulls_last(), F.col("interaction_id").desc()]
-    placed = global_row_number(recent.select("customer_id", "interaction_date", "interaction_id", "transcript_text"), order, "_rn")
+    recent = interactions.filter((F.col("interaction_date") >= minus_days(as_ts(as_of), days)) & F.col("customer_id").isNotNull())
+    known = (texts.where(F.col("text").isNotNull() & F.col("text_id").isNotNull())
+             .select(F.col("text_id").alias("transcript_id"), F.xxhash64("text").alias("_hash"), F.col("text").alias("transcript_text")))
+    copies = known.groupBy("transcript_id", "_hash").agg(F.count(F.lit(1)).alias("_copies"))
+    keys = (recent.select("customer_id", "interaction_date", "interaction_id", "transcript_id").join(copies, "transcript_id")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_copies", "_copy"))
+    order = [F.col("customer_id"), F.col("interaction_date").desc_nulls_last(), F.col("interaction_id").desc(), F.col("_hash")]
+    placed = global_row_number(keys, order, "_rn")
     first = placed.groupBy("customer_id").agg(F.min("_rn").alias("_first"))
-    return placed.join(first, "customer_id").select("customer_id", (F.col("_rn") - F.col("_first") + 1).alias("position"),
-                                                    "interaction_id", "transcript_text")
+    return (placed.join(first, "customer_id").join(known.dropDuplicates(["transcript_id", "_hash"]), ["transcript_id", "_hash"])
+            .select("customer_id", (F.col("_rn") - F.col("_first") + 1).alias("position"), "interaction_id", "transcript_text"))
 
 
 def playbook_context(keys: DataFrame, playbooks: DataFrame, n_chars: int | None = None, sep: str = "\n---\n",

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from claimflow.operators import reports
+from claimflow.operators import ranking, reports
 
 BASE = dt.datetime(2024, 2, 15)
 INTERACTIONS = "interaction_id long, customer_id long, channel string, interaction_date timestamp_ntz, transcript_id long"
@@ -30,3 +30,16 @@ def test_stored_transcripts_cross_one_exchange_to_their_customer(spark):
             if not header or ch is not None:
                 want[c].append((f"[{ch} {at}] " if header else "") + t)
         assert {r.customer_id: r.transcripts for r in out.collect()} == {c: "\n---\n".join(t) for c, t in want.items()}
+
+
+def test_pieces_are_placed_without_their_texts(spark, monkeypatch):
+    rows, texts, inter, stored = _interactions(spark)
+    staged, cut = [], ranking.cut_lineage
+    monkeypatch.setattr(ranking, "cut_lineage", lambda df: staged.append(df.columns) or cut(df))
+    got = reports.transcript_pieces(inter, stored, "2024-02-15").collect()
+    assert staged and not any("text" in c for c in staged[0] if c != "transcript_id")
+    want = [(c, i, t) for c, _, i, _, t in _joined(rows, texts) if c is not None]
+    assert sorted((r.customer_id, r.interaction_id, r.transcript_text) for r in got) == sorted(want)
+    for customer in {w[0] for w in want}:
+        mine = sorted((r.position, r.interaction_id) for r in got if r.customer_id == customer)
+        assert mine == list(enumerate([i for c, i, _ in want if c == customer], 1))
