@@ -1,10 +1,11 @@
 """Claim states as a keyed flow (L08 transitions, L05 time limit) with ``applyInPandasWithState`` and event-time timeouts.
 
-The feed holds one row an event: (claim_id, at, event), event START, STEP, FAIL or TICK. Every claim is a key of
-its own: its open state, its time limit and the events that the watermark has not passed yet are kept in Spark's
-state store. Events count in the order of ``at``, however the files are dealt into micro-batches, because they
-are applied only when the watermark has passed them (an event at the newest moment of the feed waits for a
-later one). A claim still open ``limit_minutes`` after its START fails then, by a timeout, without a scan of
+The feed holds one row an event: (claim_id, at, event), event START, STEP, FAIL or TICK. Every claim has
+its own state: its time limit and the events that the watermark has not passed yet are kept in Spark's
+state store, together with those of the other claims of its shard (a hash of the claim): one call and one timer
+serve a whole shard, as a call of Python for every claim takes longer than its work. Events count in the order
+of ``at``, however the files are dealt into micro-batches, because they are applied only when the watermark has
+passed them (an event at the newest moment of the feed waits for a later one). A claim still open ``limit_minutes`` after its START fails then, by a timeout, without a scan of
 the state table. A TICK names no claim: it only tells the time (a health check that finds no new events).
 
 Defined results: an event without a claim or time, or of an unknown kind, changes nothing; a second START of a claim, and
@@ -16,6 +17,7 @@ watermark's ``delay`` are dropped by Spark; events at one moment count START, ST
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,7 +32,10 @@ EVENT_SCHEMA = "claim_id string, at timestamp, event string"
 CHANGE_SCHEMA = "claim_id string, seq long, current_state string, started_at long, at long, error_message string"
 ENDS = ("COMPLETED", "FAILED")
 TIMEOUT = "TIMEOUT: Stuck in pipeline > {} minutes"
-STATE_SCHEMA = "state string, started long, seq long, at array<long>, kind array<int>"
+STATE_SCHEMA = ("claim array<string>, state array<string>, started array<long>, seq array<long>, waits array<int>, "
+                "at array<long>, kind array<int>")
+SHARDS = 1024  # keys of the state store: claims are dealt to them by a hash
+CLAIMS_A_SHARD = 1024
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -65,48 +70,69 @@ def advance(held: tuple, upto: int | None, limit_ms: int) -> tuple[tuple, list[t
     return (state, started, seq, left), changes
 
 
-def _held(state) -> tuple:
+def _held(state) -> dict[str, tuple]:
+    """The claims of a shard: (state or None, started_at, seq, waiting [(at, kind)])."""
     if not state.exists:
-        return None, None, 0, []
-    current, started, seq, at, kind = state.get
-    return current, started, seq, list(zip(at, kind, strict=True))
+        return {}
+    claims, current, started, seq, waits, at, kind = state.get
+    waiting = iter(zip(at, kind, strict=True))
+    return {c: (s, b, n, list(islice(waiting, w))) for c, s, b, n, w in zip(claims, current, started, seq, waits, strict=True)}
+
+
+def _kept(held: dict[str, tuple]) -> tuple:
+    waiting = [w for h in held.values() for w in h[3]]
+    return (list(held), *[[h[i] for h in held.values()] for i in range(3)], [len(h[3]) for h in held.values()],
+            [a for a, _ in waiting], [k for _, k in waiting])
 
 
 def _move(limit_ms: int):
     def run(key, batches, state) -> Iterator[pd.DataFrame]:
-        new = [] if state.hasTimedOut else [
-            (int(a), EVENTS.index(e)) for b in batches for a, e in zip(b["at_ms"], b["event"], strict=True) if e in EVENTS]
-        if not key[0] or not (new or state.exists):
-            return
-        current, started, seq, waiting = _held(state)
-        (current, started, seq, waiting), changes = advance(
-            (current, started, seq, [] if current in ENDS else waiting + new), state.getCurrentWatermarkMs(), limit_ms)
-        state.update((current, started, seq, [a for a, _ in waiting], [k for _, k in waiting]))
-        nexts = [a for a, _ in waiting] + ([started + limit_ms + 1] if current is not None and current not in ENDS else [])
+        held = _held(state)
+        for b in () if state.hasTimedOut else batches:
+            for claim, a, e in zip(b["claim_id"], b["at_ms"], b["event"], strict=True):
+                if claim and e in EVENTS and held.setdefault(claim, (None, None, 0, []))[0] not in ENDS:
+                    held[claim][3].append((int(a), EVENTS.index(e)))
+        upto, changes, nexts = state.getCurrentWatermarkMs(), [], []
+        for claim, was in list(held.items()):
+            if was[0] in ENDS:
+                continue
+            held[claim], found = advance(was, upto, limit_ms)
+            changes += [(claim, *c) for c in found]
+            current, started, _, waiting = held[claim]
+            nexts += [a for a, _ in waiting]
+            if current is None and not waiting:
+                del held[claim]  # nothing to remember of events before a START
+            elif current is not None and current not in ENDS:
+                nexts.append(started + limit_ms + 1)
+        if held or state.exists:
+            state.update(_kept(held))
         if nexts:  # all beyond the watermark
             state.setTimeoutTimestamp(min(nexts))
         if changes:
-            yield pd.DataFrame([(key[0], *c) for c in changes], columns=[f.split()[0] for f in CHANGE_SCHEMA.split(", ")])
+            yield pd.DataFrame(changes, columns=[f.split()[0] for f in CHANGE_SCHEMA.split(", ")])
 
     return run
 
 
-def state_changes(events: DataFrame, limit_minutes: int = 5, delay: str = "0 seconds") -> DataFrame:
-    """The changes of all claims of a stream of ``EVENT_SCHEMA``."""
+def state_changes(events: DataFrame, limit_minutes: int = 5, delay: str = "0 seconds", shards: int = SHARDS) -> DataFrame:
+    """The changes of all claims of a stream of ``EVENT_SCHEMA``. A checkpoint keeps its number of ``shards``."""
     keyed = (events.withWatermark("at", delay).where("at IS NOT NULL")
-             .select(F.coalesce("claim_id", F.lit("")).alias("claim_id"), "at", F.unix_millis("at").alias("at_ms"), "event"))
-    moved = keyed.groupBy("claim_id").applyInPandasWithState(_move(limit_minutes * 60_000), CHANGE_SCHEMA, STATE_SCHEMA, "append",
+             .select(F.coalesce("claim_id", F.lit("")).alias("claim_id"), "at", F.unix_millis("at").alias("at_ms"), "event")
+             .withColumn("shard", F.pmod(F.xxhash64("claim_id"), F.lit(shards))))
+    moved = keyed.groupBy("shard").applyInPandasWithState(_move(limit_minutes * 60_000), CHANGE_SCHEMA, STATE_SCHEMA, "append",
                                                              "EventTimeTimeout")
     return moved.withColumns({c: F.timestamp_millis(c) for c in ("started_at", "at")})
 
 
 def states_flow(spark: SparkSession, events_path: str, out_path: str, limit_minutes: int = 5, delay: str = "0 seconds",
-                checkpoint: str | None = None, available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                checkpoint: str | None = None, available_now: bool = True, max_files_per_trigger: int | None = None,
+                shards: int = SHARDS) -> StreamingQuery:
     """L08/L05 as a flow: events of a folder to the changes of states, each written once by the file sink. The state
-    lives in RocksDB and its checkpoint, so a restarted job goes on with all open claims and their timers."""
+    lives in RocksDB and its checkpoint, so a restarted job goes on with all open claims and their timers.
+    Give a feed of many claims some ``shards`` for each ``CLAIMS_A_SHARD`` of them; a restart needs the same number."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     changes = state_changes(append_stream(spark, events_path, EVENT_SCHEMA, max_files_per_trigger=max_files_per_trigger),
-                            limit_minutes, delay)
+                            limit_minutes, delay, shards)
     w = (changes.writeStream.queryName("claim_states_flow").format("parquet").option("path", out_path)
          .option("checkpointLocation", _checkpoint(spark, "claim_states_flow", checkpoint)).outputMode("append"))
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()

@@ -1,8 +1,10 @@
 """What large inputs need of a plan: texts that move once, work that is done once, groups that stay small."""
 
 import datetime as dt
+import tempfile
 
 from claimflow.operators import ranking, reports
+from claimflow.streaming import states
 
 BASE = dt.datetime(2024, 2, 15)
 INTERACTIONS = "interaction_id long, customer_id long, channel string, interaction_date timestamp_ntz, transcript_id long"
@@ -43,3 +45,17 @@ def test_pieces_are_placed_without_their_texts(spark, monkeypatch):
     for customer in {w[0] for w in want}:
         mine = sorted((r.position, r.interaction_id) for r in got if r.customer_id == customer)
         assert mine == list(enumerate([i for c, i, _ in want if c == customer], 1))
+
+
+def test_claims_of_one_shard_share_a_call_but_no_state(spark):
+    at = lambda m: BASE + dt.timedelta(minutes=m)
+    events = [(f"C{i}", at(i % 7 + 0.5 * k), "START" if k == 0 else "STEP") for i in range(60) for k in range(i % 6)] + [("", at(11.5), "TICK"), ("odd", at(1), "STEP")]
+    base = tempfile.mkdtemp(prefix="cf-shards-")
+    for part in ([e for e in events if e[1] < at(4)], [e for e in events if e[1] >= at(4)]):
+        spark.createDataFrame(part, states.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        states.states_flow(spark, f"{base}/in", f"{base}/out", checkpoint=f"{base}/ck", shards=2).awaitTermination()
+    changes = spark.read.parquet(f"{base}/out")
+    got = {r.claim_id: r.current_state for r in states.current_states(changes).collect()}
+    want = {f"C{i}": "COMPLETED" if i % 6 == 5 else "FAILED" if i % 7 + 5 < 11.5 else states.CLAIM_STATES[i % 6 - 1] for i in range(60) if i % 6}
+    assert got == want
+    assert changes.groupBy("claim_id", "seq").count().where("count > 1").count() == 0
