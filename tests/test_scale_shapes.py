@@ -3,7 +3,9 @@
 import datetime as dt
 import tempfile
 
+from claimflow import catalog
 from claimflow.operators import ranking, reports
+from claimflow.sources.adapters import Tables
 from claimflow.streaming import states
 
 BASE = dt.datetime(2024, 2, 15)
@@ -59,3 +61,15 @@ def test_claims_of_one_shard_share_a_call_but_no_state(spark):
     want = {f"C{i}": "COMPLETED" if i % 6 == 5 else "FAILED" if i % 7 + 5 < 11.5 else states.CLAIM_STATES[i % 6 - 1] for i in range(60) if i % 6}
     assert got == want
     assert changes.groupBy("claim_id", "seq").count().where("count > 1").count() == 0
+
+
+def test_the_c360_is_built_once_for_a_query_that_reads_it_often(spark, monkeypatch):
+    built = []
+    one = spark.createDataFrame([(1, "A", 0.9, 0.2, -0.9, -0.5, 4, 1, 1, False, False, 0, True)],
+                                "customer_id long, customer_segment string, churn_propensity_score double, lifetime_value_score double, "
+                                "sentiment_score_last_30d double, sentiment_trend double, complaint_count_90d long, missed_payments_12m long, "
+                                "days_to_nearest_renewal long, renewal_risk_signal boolean, intent_cancel_detected boolean, "
+                                "competitor_mentions_count long, high_value_at_risk boolean")
+    monkeypatch.setattr(catalog, "c360_with_propensity", lambda t: built.append(t) or one)
+    causes = catalog._causes(Tables(spark, "/nowhere"))
+    assert len(built) == 1 and [r.customer_id for r in causes.collect()] == [1]
