@@ -26,9 +26,11 @@ SEARCH_WORDS = sorted({w for _, words in LOB_KEYWORDS for w in words}
 
 
 def stated_date(text: Column) -> Column:
-    """The first date in the text, in any of three shapes."""
+    """The first date in the text, in any of three shapes. Its separator tells the shape, so no other format is tried
+    (a format that does not fit costs an exception)."""
     found = F.regexp_extract(text, DATE_PATTERN, 0)
-    return F.coalesce(*[F.try_to_timestamp(found, F.lit(f)).cast("date") for f in DATE_FORMATS])
+    dashes, slashes, words = [F.try_to_timestamp(found, F.lit(f)).cast("date") for f in DATE_FORMATS]
+    return F.when(found.contains("-"), dashes).when(found.contains("/"), slashes).when(found != "", words)
 
 
 def stated_amount(text: Column) -> Column:
@@ -40,15 +42,16 @@ def stated_place(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, PLACE_PATTERN, 1), F.lit(""))
 
 
-def urgency(text: Column) -> Column:
-    """HIGH for a word of pressure, LOW for words of patience, else MEDIUM."""
-    pressed = F.exists(tokens(text), lambda w: w.isin(*URGENT_WORDS))
+def urgency(text: Column, toks: Column | None = None) -> Column:
+    """HIGH for a word of pressure, LOW for words of patience, else MEDIUM. ``toks``, here and below: the text's ``tokens``
+    as a column of their own, so that they are split once for all that read them."""
+    pressed = F.exists(tokens(text) if toks is None else toks, lambda w: w.isin(*URGENT_WORDS))
     return F.when(pressed, "HIGH").when(F.lower(text).rlike(CALM_PATTERN), "LOW").otherwise("MEDIUM")
 
 
-def lob_votes(text: Column) -> list[Column]:
+def lob_votes(text: Column, toks: Column | None = None) -> list[Column]:
     def count(words: list[str]) -> Column:
-        return F.size(F.filter(tokens(text), lambda w: w.isin(*words)))
+        return F.size(F.filter(tokens(text) if toks is None else toks, lambda w: w.isin(*words)))
 
     return [count(words) for _, words in LOB_KEYWORDS]
 
@@ -67,19 +70,21 @@ def claim_facts(text: Column) -> Column:
         classify_severity(text).alias("estimated_severity")))
 
 
-def search_words(text: Column) -> Column:
+def search_words(text: Column, toks: Column | None = None) -> Column:
     """What a lexical search of incident patterns can match on: the text's distinct key words, in order. Claims
     with the same words ask the same query; there are far fewer of these than claims."""
-    return F.array_join(F.array_sort(F.array_distinct(F.filter(tokens(text), lambda w: w.isin(*SEARCH_WORDS)))), " ")
+    return F.array_join(F.array_sort(F.array_distinct(F.filter(tokens(text) if toks is None else toks, lambda w: w.isin(*SEARCH_WORDS)))), " ")
 
 
-def narrative_risk(text: Column, incident_date: Column, claimed_amount: Column) -> Column:
+def narrative_risk(text: Column, incident_date: Column, claimed_amount: Column, toks: Column | None = None,
+                   date: Column | None = None, amount: Column | None = None) -> Column:
     """H16's narrative sub-score: a quarter each for a vague text (no date, no amount or no line of business in it),
     one at odds with the claim (another date, or an amount more than 1 away), an angry one (sentiment
-    below -0.3), and pressure. NULL for a NULL text."""
-    date, amount = stated_date(text), stated_amount(text)
-    vague = date.isNull() | amount.isNull() | (reduce(lambda a, b: a + b, lob_votes(text)) == 0)
+    below -0.3), and pressure. NULL for a NULL text. ``date`` and ``amount``: what the text states, as columns."""
+    date = stated_date(text) if date is None else date
+    amount = stated_amount(text) if amount is None else amount
+    vague = date.isNull() | amount.isNull() | (reduce(lambda a, b: a + b, lob_votes(text, toks)) == 0)
     odd = (F.coalesce(date != incident_date, F.lit(False))
            | F.coalesce(F.abs(amount - claimed_amount) > 1, F.lit(False)))
-    flags = [vague, odd, sentiment(text) < -0.3, urgency(text) == "HIGH"]
+    flags = [vague, odd, sentiment(text, toks) < -0.3, urgency(text, toks) == "HIGH"]
     return F.when(text.isNotNull(), reduce(lambda a, b: a + b, [F.when(f, 0.25).otherwise(0.0) for f in flags]))

@@ -37,10 +37,10 @@ def _hits(toks: Column, words: list[str]) -> Column:
     return F.size(F.filter(toks, lambda x: x.isin(*words)))
 
 
-def sentiment(text: Column) -> Column:
+def sentiment(text: Column, toks: Column | None = None) -> Column:
     """G07 default: (positive - negative) / (positive + negative) in [-1, 1]; 0 when
-    no lexicon word occurs; NULL text -> NULL."""
-    toks = tokens(text)
+    no lexicon word occurs; NULL text -> NULL. ``toks``: the text's ``tokens``, where a caller has them."""
+    toks = tokens(text) if toks is None else toks
     p, n = _hits(toks, POSITIVE_WORDS), _hits(toks, NEGATIVE_WORDS)
     return F.when(text.isNull(), F.lit(None).cast("double")).when(p + n == 0, F.lit(0.0)) \
             .otherwise((p - n).cast("double") / (p + n))

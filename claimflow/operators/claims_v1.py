@@ -17,7 +17,7 @@ from claimflow.constants import SEVERITY_WEIGHT, V1_REASONS
 from claimflow.functions import extract
 from claimflow.functions.dates import as_date, month_diff
 from claimflow.functions.numeric import pyround
-from claimflow.functions.text import cut, sentiment as text_sentiment
+from claimflow.functions.text import cut, sentiment as text_sentiment, tokens as text_tokens
 from claimflow.operators.dq import UNKNOWN_POLICY_IDS
 from claimflow.session import bounded_broadcast, left_lookup
 
@@ -179,11 +179,14 @@ def with_signals(claims: DataFrame, vectors: DataFrame | None = None, patterns:
     joined back: the pairs of the search grow with patterns and distinct queries, not with claims."""
     from claimflow.operators.search import search
     from claimflow.session import cut_lineage
-    text = F.col("claim_text")
-    out = claims.withColumns({
-        "narrative_score": F.coalesce(extract.narrative_risk(text, F.col("incident_date"), F.col("claimed_amount")), F.lit(0.3)),
-        "sentiment": F.coalesce(text_sentiment(text), F.lit(0.0)),
-        "_asked": extract.search_words(text)})
+    text, toks = F.col("claim_text"), F.col("_toks")
+    # a projection of their own: what several scores read is taken from the text once
+    read = claims.withColumns({"_toks": text_tokens(text), "_date": extract.stated_date(text), "_amount": extract.stated_amount(text)})
+    out = read.withColumns({
+        "narrative_score": F.coalesce(extract.narrative_risk(text, F.col("incident_date"), F.col("claimed_amount"), toks,
+                                                             F.col("_date"), F.col("_amount")), F.lit(0.3)),
+        "sentiment": F.coalesce(text_sentiment(text, toks), F.lit(0.0)),
+        "_asked": extract.search_words(text, toks)}).drop("_toks", "_date", "_amount")
     if vectors is not None:
         out = left_lookup(out, vectors.select(vector_key, F.col("vector_score").alias("_near")), vector_key)
         # 6 places: the noise of float products decides no band

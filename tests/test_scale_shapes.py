@@ -1,10 +1,14 @@
 """What large inputs need of a plan: texts that move once, work that is done once, groups that stay small."""
 
 import datetime as dt
+import re
 import tempfile
 
+from pyspark.sql import functions as F
+
 from claimflow import catalog
-from claimflow.operators import ranking, reports
+from claimflow.functions import extract
+from claimflow.operators import claims_v1, ranking, reports
 from claimflow.sources.adapters import Tables
 from claimflow.streaming import states
 
@@ -73,3 +77,18 @@ def test_the_c360_is_built_once_for_a_query_that_reads_it_often(spark, monkeypat
     monkeypatch.setattr(catalog, "c360_with_propensity", lambda t: built.append(t) or one)
     causes = catalog._causes(Tables(spark, "/nowhere"))
     assert len(built) == 1 and [r.customer_id for r in causes.collect()] == [1]
+
+
+def test_v1_texts_are_split_once(spark):
+    day = dt.date(2001, 5, 4)
+    texts = ["On 2001-05-04 a car crash. I claim INR 70. This is urgent", "On 04/05/2001 a fire in Pune. I claim INR 9,000.5", "On 4 May 2001 nothing. INR 70",
+             "On 2001-13-45 a flood. INR 70", "On 32/05/2001 a flood", "Some weeks ago", "", None]
+    df = spark.createDataFrame([(i, t, day, 70.0) for i, t in enumerate(texts)], "id long, claim_text string, incident_date date, claimed_amount double")
+    out = claims_v1.with_signals(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"split\(lower\(claim_text", plan)) == 1
+    got = {r.id: (r.narrative_score, r.sentiment) for r in out.collect()}
+    alone = df.select("id", extract.narrative_risk(F.col("claim_text"), F.col("incident_date"), F.col("claimed_amount")).alias("n")).collect()
+    assert {i: n for i, (n, _) in got.items()} == {r.id: 0.3 if r.n is None else r.n for r in alone}
+    dates = df.select("id", extract.stated_date(F.col("claim_text")).alias("d")).collect()
+    assert {r.id: r.d for r in dates} == {0: day, 1: day, 2: day, **dict.fromkeys(range(3, 8))}
