@@ -3,18 +3,22 @@
 Plan shape, all DataFrame operators:
   1. tokenize queries -> distinct (query, term); the set of query terms is
      the (small) driving side;
-  2. tokenize the corpus once -> (doc, term, tf) by ``explode`` + ``groupBy``
-     (map-side partial counts), semi-joined to the query terms so only
-     matching postings are shuffled further; each document also has one posting
-     of a mark (``MARKS`` different ones, so no task holds them all), from which the
-     corpus-wide figures (document count, mean length) are summed: they come out of
-     the same exchange, as a scalar subquery, and no job runs while the plan is built
-     but the count that bounds the broadcast of the query terms;
-  3. document frequency per query term (aggregate), idf;
-  4. equality filters on corpus attributes travel with the postings and are keys of the
+  2. tokenize the corpus once -> (doc, term, tf), counted inside each row by runs of its
+     sorted tokens, so a task holds one document and no table of a whole input split;
+     semi-joined to the query terms so only matching postings are shuffled further; each
+     document also has one posting of a mark (``MARKS`` different ones, so no task holds
+     them all), from which the corpus-wide figures (document count, mean length) are
+     summed: they come out of the same exchange, as a scalar subquery, and no job runs
+     while the plan is built but the counts that bound the broadcasts of the query terms;
+  3. postings are dealt by document to ``TASKS`` partitions for each one of the corpus (a
+     fixed number, which AQE does not coalesce by the postings' few bytes: each posting
+     meets many queries), so rows of one document id merge where they are;
+  4. document frequency per query term (aggregate), idf;
+  5. equality filters on corpus attributes travel with the postings and are keys of the
      join with the query terms, so pairs that a filter excludes are never scored;
-  5. score = sum over matching terms, per (query, doc);
-  6. top-k per query with ``row_number() <= k`` (score ties, e.g. duplicate
+  6. score = sum over matching terms, per (query, doc); with query terms and idf broadcast
+     the pairs of a document are scored in its partition and none is shuffled;
+  7. top-k per query with ``row_number() <= k`` (score ties, e.g. duplicate
      documents, broken by doc id) — Spark plans this as a
      WindowGroupLimit, which already cuts each partition to k rows per query
      before the shuffle, so a query matching most documents stays cheap.
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 TOKEN_PATTERN = "[^a-z0-9]+"
 MARK = "\u0000"  # no token holds it
 MARKS = 256
+TASKS = 8  # partitions of postings for each one of the corpus
 
 
 def tokenize(text: Column) -> Column:
@@ -35,6 +40,17 @@ def tokenize(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), TOKEN_PATTERN), "")
 
 
+def term_counts(toks: Column) -> Column:
+    """array<struct<term, tf>> of an array of tokens: the runs of equal ones once they are sorted. An array of
+    one element binds a value, so it is computed once and not for each element."""
+    def runs(s: Column) -> Column:
+        starts = F.array_compact(F.transform(s, lambda x, i: F.when((i == 0) | (F.get(s, i - 1) != x), i)))
+        return F.transform(F.array(starts), lambda at: F.transform(at, lambda a, j: F.struct(
+            F.get(s, a).alias("term"), (F.coalesce(F.get(at, j + 1), F.size(s)) - a).alias("tf"))))[0]
+
+    return F.transform(F.array(F.sort_array(toks)), runs)[0]
+
+
 def search(corpus: DataFrame, queries: DataFrame, text_col: str, doc_id: str, k: int = 10,
            filters: dict[str, str] | None = None, k1: float = 1.2, b: float = 0.75,
            return_cols: list[str] | None = None) -> DataFrame:
@@ -47,7 +63,9 @@ def search(corpus: DataFrame, queries: DataFrame, text_col: str, doc_id: str, k:
     from claimflow.session import bounded_broadcast, spread
     filters = filters or {}
     extra = list(dict.fromkeys([*filters, *(return_cols or [])]))
-    docs = spread(corpus.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("_text"), *extra), key=["doc_id"])
+    docs = corpus.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("_text"), *extra)
+    parts = TASKS * max(docs.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism)
+    docs = spread(docs, key=["doc_id"])
     mark = F.concat(F.lit(MARK), F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).cast("string"))
     kept = [F.col(c).alias(f"_q_{c}") for c in filters]
     wanted = [f"_q_{c}" for c in filters]
@@ -56,24 +74,28 @@ def search(corpus: DataFrame, queries: DataFrame, text_col: str, doc_id: str, k:
                              F.explode(tokenize(F.col("query"))).alias("term"))
               .groupBy("query_id", *wanted, "term").agg(F.count(F.lit(1)).alias("qtf")))
     marks = queries.sparkSession.range(MARKS).select(F.concat(F.lit(MARK), F.col("id").cast("string")).alias("term"))
-    vocab = bounded_broadcast(qterms.select("term").distinct().unionByName(marks))
+    vocab = qterms.select("term").distinct().unionByName(marks)
+    near = bounded_broadcast(vocab)
     # document length rides along with each posting: no per-document join back
-    post = (toks.select("doc_id", *wanted, F.size("_toks").alias("dl"), F.explode(F.array_append("_toks", F.col("_mark"))).alias("term"))
-            .join(vocab, "term", "left_semi")
-            .groupBy("doc_id", *wanted, "term", "dl").agg(F.count(F.lit(1)).alias("tf")))
-    # counting rows through ``tf`` (not count(*), which lets Catalyst prune tf) keeps these branches'
-    # postings aggregate identical to the scoring branch: the exchange is reused and the corpus is
-    # tokenized once
-    marked = F.col("term").startswith(MARK) & (F.col("tf") > 0)
-    stats = post.agg(F.count(F.when(marked, F.lit(1))).cast("double").alias("n"),
-                     F.avg(F.when(marked, F.col("dl"))).alias("avgdl"))
+    post = (toks.select("doc_id", *wanted, F.size("_toks").alias("dl"), F.inline(term_counts(F.array_append("_toks", F.col("_mark")))))
+            .join(near, "term", "left_semi")
+            .repartition(parts, "doc_id")
+            .groupBy("doc_id", *wanted, "term", "dl").agg(F.sum("tf").alias("tf")))
+    # one aggregate gives the document frequencies and, by the marks, the corpus-wide figures; ``_dl`` is read
+    # and the marks are not filtered in both branches, so Catalyst prunes neither and the exchange is reused:
+    # the corpus is tokenized once
+    terms = post.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"), F.sum("dl").alias("_dl")).where("_dl >= 0")
+    marked = F.col("term").startswith(MARK)
+    total = F.sum(F.when(marked, F.col("df")))
+    stats = terms.agg(F.coalesce(total, F.lit(0)).cast("double").alias("n"), (F.sum(F.when(marked, F.col("_dl"))) / total).alias("avgdl"))
     n_docs, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
-    df_ = post.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
-    idf = df_.select("term", F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    p = post.join(idf, "term")                   # one row per matched query term (AQE broadcasts it)
+    idf = terms.select("term", F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    if near is not vocab:  # as few rows as the query terms that were counted
+        idf = F.broadcast(idf)
+    p = post.join(idf, "term")                   # one row per matched query term
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.greatest(avgdl, F.lit(1e-9)))
     p = p.withColumn("w", F.col("idf") * F.col("tf") * (k1 + 1.0) / (F.col("tf") + norm))
-    scored = (qterms.join(p, ["term", *wanted]).groupBy("query_id", "doc_id")
+    scored = (p.join(bounded_broadcast(qterms), ["term", *wanted]).groupBy("query_id", "doc_id")
               .agg(F.sum(F.col("w") * F.col("qtf")).alias("score")))
     # equal documents score equal up to summation order: rank on 1e-9 so ties fall to doc_id
     w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())

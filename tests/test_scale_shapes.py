@@ -1,14 +1,16 @@
 """What large inputs need of a plan: texts that move once, work that is done once, groups that stay small."""
 
 import datetime as dt
+import math
 import re
 import tempfile
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from claimflow import catalog
 from claimflow.functions import extract
-from claimflow.operators import claims_v1, ranking, reports
+from claimflow.operators import claims_v1, ranking, reports, search
 from claimflow.sources.adapters import Tables
 from claimflow.streaming import states
 
@@ -92,3 +94,30 @@ def test_v1_texts_are_split_once(spark):
     assert {i: n for i, (n, _) in got.items()} == {r.id: 0.3 if r.n is None else r.n for r in alone}
     dates = df.select("id", extract.stated_date(F.col("claim_text")).alias("d")).collect()
     assert {r.id: r.d for r in dates} == {0: day, 1: day, 2: day, **dict.fromkeys(range(3, 8))}
+
+
+def test_bm25_scores_a_document_where_its_postings_are(spark):
+    texts = [" ".join(f"w{(i * j) % 11}" for j in range(1, 4 + i % 9)) for i in range(40)] + ["W1, w2;w2", "", None, "w3 w3 w3 w4", "w3 w3 w3 w4"]
+    asked = [(1, "w1 w2 w2"), (2, "w3 w4 absent"), (None, "w5"), (4, ""), (5, None)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = search.search(docs.repartition(3), spark.createDataFrame(asked, "query_id long, query string"), "text", "doc_id", k=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(query_id#\w+, doc_id", plan)  # no pair is shuffled
+    assert f", {search.TASKS * spark.sparkContext.defaultParallelism}), REPARTITION_BY_NUM" in plan
+    many = search.search(docs.repartition(9), spark.createDataFrame(asked, "query_id long, query string"), "text", "doc_id", k=4)
+    assert f", {search.TASKS * 9}), REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
+    toks = [re.findall("[a-z0-9]+", (t or "").lower()) for t in texts]
+    df = Counter(t for words in toks for t in set(words))
+    mean, want = sum(map(len, toks)) / len(toks), []
+    for query, words in asked:
+        score = {}
+        for d, have in enumerate(map(Counter, toks)):
+            for t, n in Counter((words or "").split()).items():
+                if have[t]:
+                    idf = math.log(1 + (len(toks) - df[t] + 0.5) / (df[t] + 0.5))
+                    score[d] = score.get(d, 0) + n * idf * have[t] * 2.2 / (have[t] + 1.2 * (0.25 + 0.75 * sum(have.values()) / mean))
+        best = sorted(score, key=lambda d: (-round(score[d], 9), d))[:4]
+        want += [(str(query), rank, d, round(score[d], 9)) for rank, d in enumerate(best, 1)]
+    assert sorted((str(r.query_id), r.rank, r.doc_id, round(r.score, 9)) for r in out.collect()) == sorted(want)
+    again = search.search(docs.union(docs), spark.createDataFrame(asked[:1], "query_id long, query string"), "text", "doc_id", k=2)
+    assert [r.doc_id for r in again.orderBy("rank").collect()] == [w[2] for w in want if w[0] == "1"][:2]
