@@ -69,6 +69,42 @@ def test_claims_of_one_shard_share_a_call_but_no_state(spark):
     assert changes.groupBy("claim_id", "seq").count().where("count > 1").count() == 0
 
 
+def test_the_states_flow_stores_little_for_a_claim(spark):
+    """What grows with the claims: rows that are exchanged, the state store's values, rows that are sorted."""
+    rows = [(f"C{i % 50}", [*states.STATES[1:], "NOISE", None][i % 8], None if i % 13 == 0 else BASE - dt.timedelta(minutes=i % 3)) for i in range(300)]
+    table = spark.createDataFrame([*rows, *rows, (None, "FAILED", BASE)], "claim_id string, current_state string, started_at timestamp")
+    events = states.stage_events(table, "2024-02-15")
+    plan = events._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange")  # a claim's row crosses before it becomes events
+    want = set()
+    for c, s, b in [*rows, (None, "FAILED", BASE)]:
+        stage = states.CLAIM_STATES.index(s) if s in states.CLAIM_STATES else 0
+        for n, e in enumerate(["START", "FAIL"] if s == "FAILED" else ["START", *["STEP"] * stage]):
+            want.add((c, b, n, e))
+    want = Counter([(c, b and b + dt.timedelta(seconds=n), e) for c, b, n, e in want] + [("", BASE + dt.timedelta(seconds=10), "TICK")])
+    assert Counter(map(tuple, events.collect())) == want
+
+    class Kept:
+        exists = True
+
+        def __init__(self, value):
+            self.get = value
+
+    held = {f"{i * 7919 % 150000}-{i % 7}-{i * 31 % 20000}-{i * 17 % 1000}":
+            [(None, None, 0, [(BASE.timestamp() * 1000 // 1 - i % 11 * 60000 + 1000 * k, min(k, 1)) for k in range(3)]),
+             ("ASSESSMENT", 1_000_000 + i, 3, [(2_000_000, 1)]), ("FAILED", None, 0, [])][i % 3] for i in range(4096)}
+    held = {c: (s, b, n, [(int(a), k) for a, k in w]) for c, (s, b, n, w) in held.items()}
+    kept = states._kept(held)
+    assert states._held(Kept(kept)) == held
+    assert len(kept[0]) < 20 * len(held)
+    changes = spark.createDataFrame([("a", 1, "VALIDATION", BASE, BASE, None), ("a", 12, "FAILED", BASE, BASE, "TIMEOUT: Stuck in pipeline > 5 minutes"), ("b", 1, "VALIDATION", BASE, BASE, None),
+                                     ("a", 3, "ASSESSMENT", BASE, BASE, None), ("c", 5, "COMPLETED", BASE, BASE, None)],
+                                    states.CHANGE_SCHEMA.replace("started_at long, at long", "started_at timestamp, at timestamp"))
+    now = states.current_states(changes)
+    assert not re.search("Window|Sort", now._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(tuple, now.collect())) == [("a", "FAILED", BASE, None, "TIMEOUT: Stuck in pipeline > 5 minutes"), ("b", "VALIDATION", BASE, None, None), ("c", "COMPLETED", BASE, BASE, None)]
+
+
 def test_the_c360_is_built_once_for_a_query_that_reads_it_often(spark, monkeypatch):
     built = []
     one = spark.createDataFrame([(1, "A", 0.9, 0.2, -0.9, -0.5, 4, 1, 1, False, False, 0, True)],
