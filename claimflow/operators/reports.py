@@ -8,11 +8,16 @@ then a final merge of N rows per partition).
 
 from __future__ import annotations
 
+import re
+import uuid
 import zlib
+from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyarrow import fs
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +25,9 @@ from claimflow.constants import CLAIM_STATES, HEALTH_PROTECTED_STATUSES
 from claimflow.functions.dates import as_date, as_ts, minus_days, seconds_between
 from claimflow.functions.numeric import pyround
 from claimflow.functions.text import cut
+from claimflow.session import ensure_checkpoint_dir
 
+OPEN_FILES = 256  # of stored texts, that a task keeps open
 
 # ------------------------------------------------------------------ KPIs
 def kpi_executive(c360: DataFrame) -> DataFrame:
@@ -111,12 +118,56 @@ def _packed(text: Column) -> Column:
     return pack(text.cast("binary"))
 
 
-def _one_string(sep: str):
-    """A customer's packed texts as one string, newest first (then by id and text, descending)."""
+def _shared_folder(spark: SparkSession) -> str | None:
+    """A new folder of the checkpoint storage, if Python workers can open that by pyarrow (None: they cannot)."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/texts-{uuid.uuid4().hex}")
+    name = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    name = re.sub("^s3a:", "s3:", re.sub("^file:/+", "file:///", name))
+    try:
+        fs.FileSystem.from_uri(name)
+    except (pa.ArrowException, OSError):
+        return None
+    return name
+
+
+def _stored(folder: str):
+    """Texts go packed into one file a task; back come (transcript_id, _file, _place, _size), no row for a NULL text.
+    A repeated task writes a file of its own, and only the rows of the task that counts are kept."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path = fs.FileSystem.from_uri(folder)
+        name, place = TaskContext.get().taskAttemptId(), 0
+        store.create_dir(path)
+        with store.open_output_stream(f"{path}/{name}") as out:
+            for b in batches:
+                rows = []
+                for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                    if text.is_valid:
+                        rows.append((key, place, size := out.write(zlib.compress(text.as_buffer()))))
+                        place += size
+                keys, places, sizes = zip(*rows, strict=True) if rows else ((), (), ())
+                yield pa.record_batch({"transcript_id": pa.array(keys, b.schema.field(0).type), "_file": pa.array([name] * len(rows), pa.int64()),
+                                       "_place": pa.array(places, pa.int64()), "_size": pa.array(sizes, pa.int64())})
+    return run
+
+
+def _one_string(sep: str, folder: str | None = None):
+    """A customer's packed texts as one string, newest first (then by id and text, descending). The texts are in the
+    rows or, with ``folder``, read there by their places."""
+    opened = {}
+
+    def text_at(file: int, place: int, size: int) -> bytes:
+        if file not in opened:
+            if len(opened) == OPEN_FILES:
+                opened.pop(next(iter(opened))).close()
+            store, path = fs.FileSystem.from_uri(folder)
+            opened[file] = store.open_input_file(f"{path}/{file}")
+        return opened[file].read_at(size, place)
+
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        found = [((at, i is not None, i), (head or b"") + zlib.decompress(text)) for at, i, head, text in
-                 zip(*(rows[c].to_pylist() for c in ("_at", "interaction_id", "_head", "_text")), strict=True)
-                 if text is not None]
+        where = zip(*(rows[c].to_pylist() for c in (("_file", "_place", "_size") if folder else ("_text",))), strict=True)
+        found = [((at, i is not None, i), (head or b"") + zlib.decompress(text_at(*w) if folder else w[0])) for at, i, head, w in
+                 zip(*(rows[c].to_pylist() for c in ("_at", "interaction_id", "_head")), where, strict=True)
+                 if w[0] is not None]
         whole = sep.encode().join(text for _, text in sorted(found, reverse=True))
         return pa.table({"customer_id": pa.array([key[0].as_py()], rows.schema.field("customer_id").type), "_whole": pa.array([whole], pa.binary())})
     return run
@@ -130,22 +181,34 @@ def concat_transcripts(interactions: DataFrame, as_of, n_chars: int | None = Non
 
     The texts are ``transcript_text`` of the interactions, or those of ``texts`` (text_id, text) that their
     ``transcript_id`` names. This is a per-customer string by definition (it becomes one prompt): every text is packed
-    where it is stored (once, however many interactions name it) and crosses one exchange to its customer."""
+    where it is stored. Texts of the interactions cross one exchange to their customer. Those of ``texts`` are written once,
+    when the frame is made, into the checkpoint storage; only their places cross, and the customer's call reads each one
+    there, so what is written does not grow with the interactions that name a text. (They cross as well if Python cannot open that storage.)"""
     recent = interactions.filter(F.col("interaction_date") >= minus_days(as_ts(as_of), days))
     cut_to = lambda c: F.col(c) if n_chars is None else F.substring(c, 1, n_chars)
     head = F.concat(F.lit("["), F.col("channel"), F.lit(" "), F.col("interaction_date").cast("string"),
                     F.lit("] ")).cast("binary") if with_header else F.lit(None).cast("binary")
     recent = recent.select("customer_id", "interaction_id", F.unix_micros(F.col("interaction_date").cast("timestamp")).alias("_at"),
                            head.alias("_head"), F.col("transcript_text" if texts is None else "transcript_id"))
+    spark, folder = interactions.sparkSession, None
     if texts is None:
         rows = recent.withColumn("_text", _packed(cut_to("transcript_text"))).drop("transcript_text")
+    elif folder := _shared_folder(spark):
+        key = T.StructField("transcript_id", texts.schema["text_id"].dataType)
+        places = T.StructType([key, *(T.StructField(c, T.LongType()) for c in ("_file", "_place", "_size"))])
+        (texts.select("text_id", cut_to("text").cast("binary").alias("text")).mapInArrow(_stored(folder), places)
+         .write.parquet(f"{folder}/places"))
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # kept: a place is small, the text behind it is not
+        rows = (recent.join(spark.read.schema(places).parquet(f"{folder}/places"), "transcript_id", "left").drop("transcript_id")
+                .repartition(parts, "customer_id"))
     else:
         stored = texts.select(F.col("text_id").alias("transcript_id"), _packed(cut_to("text")).alias("_text"))
         rows = recent.join(stored, "transcript_id", "left").drop("transcript_id")
     if with_header:
-        rows = rows.withColumn("_text", F.when(F.col("_head").isNotNull(), F.col("_text")))
+        held = "_file" if folder else "_text"
+        rows = rows.withColumn(held, F.when(F.col("_head").isNotNull(), F.col(held)))
     schema = T.StructType([interactions.schema["customer_id"], T.StructField("_whole", T.BinaryType())])
-    return (rows.groupBy("customer_id").applyInArrow(_one_string(sep), schema)
+    return (rows.groupBy("customer_id").applyInArrow(_one_string(sep, folder), schema)
             .select("customer_id", F.col("_whole").cast("string").alias("transcripts")))
 
 

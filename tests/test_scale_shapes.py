@@ -1,7 +1,10 @@
 """What large inputs need of a plan: texts that move once, work that is done once, groups that stay small."""
 
 import datetime as dt
+import glob
 import math
+import os
+import random
 import re
 import tempfile
 from collections import Counter
@@ -42,6 +45,23 @@ def test_stored_transcripts_cross_one_exchange_to_their_customer(spark):
         assert {r.customer_id: r.transcripts for r in out.collect()} == {c: "\n---\n".join(t) for c, t in want.items()}
 
 
+def test_a_stored_transcript_is_written_once_for_all_who_name_it(spark, monkeypatch):
+    texts = [(k, random.Random(k).randbytes(20_000).hex()) for k in range(6)]
+    inter = spark.createDataFrame([(i, i % 20, "CHAT", BASE - dt.timedelta(hours=i), i % 7) for i in range(400)], INTERACTIONS)
+    stored = spark.createDataFrame(texts, "text_id long, text string").repartition(3)
+    before = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/texts-*"))
+    monkeypatch.setattr(reports, "OPEN_FILES", 1)
+    out = reports.concat_transcripts(inter, "2024-02-15", texts=stored)
+    exchange = re.search(r"Exchange hashpartitioning\(customer_id.*?\n.*?Project \[(.*?)\]", out._jdf.queryExecution().executedPlan().toString(), re.DOTALL)
+    assert "_place" in exchange[1] and "_text" not in exchange[1]
+    got = {r.customer_id: r.transcripts for r in out.collect()}
+    folder, = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/texts-*")) - before
+    assert sum(os.path.getsize(f) for f in glob.glob(f"{folder}/*") if os.path.isfile(f)) < 1.3 * 6 * 20_000  # 343 interactions name them
+    assert got == {c: "\n---\n".join(texts[i % 7][1] for i in range(c, 400, 20) if i % 7 < 6) for c in range(20)}
+    monkeypatch.setattr(reports, "_shared_folder", lambda spark: None)  # a storage that Python cannot open
+    assert got == {r.customer_id: r.transcripts for r in reports.concat_transcripts(inter, "2024-02-15", texts=stored).collect()}
+
+
 def test_pieces_are_placed_without_their_texts(spark, monkeypatch):
     rows, texts, inter, stored = _interactions(spark)
     staged, cut = [], ranking.cut_lineage
